@@ -1,0 +1 @@
+"""No streaming: the reference is batch only (see README)."""
