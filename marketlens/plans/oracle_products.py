@@ -59,7 +59,7 @@ def ctes(ref) -> str:
     for k in (1, 2, 3):
         top += [f"MAX(CASE WHEN janela = '{n}' AND rk = {k} THEN cat END) AS descTopCategoria{k}{n}" for n, _ in HS]
     for k in (1, 2, 3):
-        top += [f"{rnd(f'MAX(CASE WHEN janela = {chr(39)}{n}{chr(39)} AND rk = {k} THEN share END)', 3)} "
+        top += [f"{rnd(f"MAX(CASE WHEN janela = '{n}' AND rk = {k} THEN share END)", 3)} "
                 f"AS shareTopCategoria{k}{n}" for n, _ in HS]
     return f"""
 pr_base AS (

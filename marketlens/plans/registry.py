@@ -10,8 +10,16 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marketlens.operators import customers as C
+from marketlens.operators import delivery as D
+from marketlens.operators import geo as G
+from marketlens.operators import payments as PM
 from marketlens.operators import products as P
+from marketlens.operators import reputation as R
+from marketlens.functions.geo import zip_centroids
+from marketlens.plans import oracle_groups as OG
 from marketlens.plans import oracle_products as OP
 from marketlens.plans.sqlkit import with_adapter
 from marketlens.sources.testdata import load_testdata
@@ -21,8 +29,12 @@ REF_DATE = dt.date(2000, 1, 1)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _mk(spark: SparkSession, sf_dir: str):
+    return load_testdata(spark, sf_dir)
+
+
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.sold_items(load_testdata(spark, sf_dir), REF_DATE)
+    return P.sold_items(_mk(spark, sf_dir), REF_DATE)
 
 
 def product_queries() -> dict[str, Query]:
@@ -39,22 +51,78 @@ def product_queries() -> dict[str, Query]:
         "price_freight_per_kg": lambda s, sf: P.price_freight_per_kg(_items(s, sf)),
         "top_categories": lambda s, sf: P.top_categories(_items(s, sf)),
         "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_items(s, sf)),
-        "products_snapshot": lambda s, sf: P.products_snapshot(load_testdata(s, sf), REF_DATE),
+        "products_snapshot": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE),
     }
 
 
-def product_oracles() -> dict[str, str]:
-    ctes = OP.ctes(REF_DATE)
-    return {k: with_adapter(ctes, sel) for k, sel in OP.selects(REF_DATE).items()}
+def delivery_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        k: (lambda s, sf, k=k: D.delivery_features(_mk(s, sf), REF_DATE, [k])) for k in D.FAMILIES}
+    out["delivery_snapshot"] = lambda s, sf: D.delivery_snapshot(_mk(s, sf), REF_DATE)
+    return out
+
+
+def reputation_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        k: (lambda s, sf, k=k: R.reputation_features(_mk(s, sf), REF_DATE, [k])) for k in R.SNAPSHOT_ORDER}
+    out["reputation_snapshot"] = lambda s, sf: R.reputation_snapshot(_mk(s, sf), REF_DATE)
+    return out
+
+
+def customer_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        k: (lambda s, sf, k=k: C.customer_features(_mk(s, sf), REF_DATE, k)) for k in C.FAMILY_KEYS}
+    out["customers_snapshot"] = lambda s, sf: C.customers_snapshot(_mk(s, sf), REF_DATE)
+    out["customer_period_base"] = lambda s, sf: C.customer_period_base(_mk(s, sf), REF_DATE)
+    return out
+
+
+def _rollup(s: SparkSession, sf: str) -> DataFrame:
+    r = PM.order_payment_rollup(_mk(s, sf).payments)
+    return r.select("order_id", *[F.col(f"vlr_{m}").cast("double").alias(f"vlr_{m}") for m in PM.ALL_METHODS],
+                    *[f"qtde_{m}" for m in PM.ALL_METHODS], "max_payment_installments")
+
+
+def payment_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        k: (lambda s, sf, k=k: PM.payment_features(_mk(s, sf), REF_DATE, [k])) for k in PM.SNAPSHOT_ORDER}
+    out["payments_snapshot"] = lambda s, sf: PM.payments_snapshot(_mk(s, sf), REF_DATE)
+    out["order_payment_rollup"] = _rollup
+    out["seller_month_grid"] = lambda s, sf: PM.seller_month_grid(PM.seller_orders(_mk(s, sf), REF_DATE))
+    return out
+
+
+def geo_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {k: (lambda s, sf, k=k: G.geo_features(_mk(s, sf), REF_DATE, k)) for k in G.FAMILIES}
+    out["geo_snapshot"] = lambda s, sf: G.geo_snapshot(_mk(s, sf), REF_DATE)
+    out["zip_centroids"] = lambda s, sf: zip_centroids(_mk(s, sf).geolocation)
+    out["order_distance"] = lambda s, sf: G.order_distance(_mk(s, sf), REF_DATE)
+    return out
+
+
+def _oracles(ctes: str, selects: dict[str, str]) -> dict[str, str]:
+    return {k: with_adapter(ctes, sel) for k, sel in selects.items()}
+
+
+def _rollup_oracle(ctes: str) -> str:
+    cols = ", ".join([f"CAST(vlr_{m} AS DOUBLE) AS vlr_{m}" for m in PM.ALL_METHODS]
+                     + [f"CAST(qtde_{m} AS BIGINT) AS qtde_{m}" for m in PM.ALL_METHODS])
+    return with_adapter(ctes, f"SELECT order_id, {cols}, max_payment_installments FROM pm_roll")
 
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(product_queries())
+    for part in (product_queries, delivery_queries, reputation_queries, customer_queries, payment_queries,
+                 geo_queries):
+        out.update(part())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
-    out.update(product_oracles())
+    out = _oracles(OP.ctes(REF_DATE), OP.selects(REF_DATE))
+    for build in (OG.delivery, OG.reputation, OG.customers, OG.payments, OG.geo):
+        ctes, sel = build(REF_DATE)
+        out.update(_oracles(ctes, sel))
+    ctes, _ = OG.payments(REF_DATE)
+    out["order_payment_rollup"] = _rollup_oracle(ctes)
     return out
