@@ -7,6 +7,7 @@ dates are parameters (FIXTURES.md section 3).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,14 @@ from marketlens.operators import reputation as R
 from marketlens.functions.geo import zip_centroids
 from marketlens.plans import oracle_groups as OG
 from marketlens.plans import oracle_products as OP
+from marketlens.functions.dates import month_starts
+from marketlens.plans import snapshots as S
 from marketlens.plans.sqlkit import with_adapter
 from marketlens.sources.testdata import load_testdata
 
 REF_DATE = dt.date(2000, 1, 1)
+# Backfill spine of the testdata: 19 month starts (FIXTURES.md section 3).
+SPINE_FIRST, SPINE_LAST = dt.date(1999, 1, 1), dt.date(2000, 7, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +57,25 @@ def product_queries() -> dict[str, Query]:
         "top_categories": lambda s, sf: P.top_categories(_items(s, sf)),
         "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_items(s, sf)),
         "products_snapshot": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE),
+        "backfill_products": backfill_products,
+        "snapshot_readback": snapshot_readback,
     }
 
 
+def backfill_products(s: SparkSession, sf: str) -> DataFrame:
+    """R3 + R6 + X6: every month snapshot of the spine in one job."""
+    return S.build_many(P.products_snapshot, _mk(s, sf), month_starts(SPINE_FIRST, SPINE_LAST))
+
+
+def snapshot_readback(s: SparkSession, sf: str) -> DataFrame:
+    """Replace the snapshot twice (idempotent), read the partition back in key order."""
+    path = S.scratch_path(s, f"snapshot_readback/{uuid.uuid4().hex}")
+    snap = P.products_snapshot(_mk(s, sf), REF_DATE)
+    S.replace_snapshots(snap, path=path)
+    S.replace_snapshots(snap, path=path)
+    return S.read_snapshot(s, path=path, ref=REF_DATE, order_by=["idSeller"]).select(*P.SNAPSHOT_COLS)
+
+
 def delivery_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         k: (lambda s, sf, k=k: D.delivery_features(_mk(s, sf), REF_DATE, [k])) for k in D.FAMILIES}
@@ -118,8 +139,16 @@ def queries() -> dict[str, Query]:
     return out
 
 
+def _backfill_oracle() -> str:
+    parts = [f"SELECT * FROM ({with_adapter(OP.ctes(d), OP.snapshot_select(d))})"
+             for d in month_starts(SPINE_FIRST, SPINE_LAST)]
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     out = _oracles(OP.ctes(REF_DATE), OP.selects(REF_DATE))
+    out["backfill_products"] = _backfill_oracle()
+    out["snapshot_readback"] = out["products_snapshot"]
     for build in (OG.delivery, OG.reputation, OG.customers, OG.payments, OG.geo):
         ctes, sel = build(REF_DATE)
         out.update(_oracles(ctes, sel))
