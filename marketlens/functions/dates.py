@@ -5,7 +5,7 @@
 ``dtRef``.  With one date it is a filter plus a literal column, so Catalyst
 folds the date into every horizon predicate and pushes ``ts < ref`` into
 the Parquet scan.  With many dates the dates are a literal array on each
-row: ``explode(filter(dates, d -> ts < d))`` -- a generator in the same
+row: ``explode(dates)`` then ``ts < dtRef`` -- a generator in the same
 stage as the scan, no join and no shuffle, and the partial aggregation that
 follows runs before any exchange, so shuffle volume is per (date, group)
 rather than per fact.  The array is built from driver-side parameters, so
@@ -62,9 +62,11 @@ def as_of(df: DataFrame, ts: str, refs: DateLike | Iterable[DateLike], inclusive
     df = df.where(t <= last if inclusive else t < last)
     if len(dates) == 1:
         return df.withColumn(REF, last)
-    arr = F.array(*[F.lit(d) for d in dates])
-    keep = (lambda d: t <= d) if inclusive else (lambda d: t < d)
-    return df.withColumn(REF, F.explode(F.filter(arr, keep)))
+    # explode the literal array, then filter: both stay in generated code (a
+    # lambda inside filter() would be interpreted per element).
+    ref = F.col(REF)
+    df = df.withColumn(REF, F.explode(F.array(*[F.lit(d) for d in dates])))
+    return df.where(t <= ref if inclusive else t < ref)
 
 
 def ref_literal(refs: DateLike | Iterable[DateLike]) -> Column:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.dates import DateLike, to_date
 from marketlens.functions.geo import haversine_km, zip_centroids
 from marketlens.functions.ratios import as_double, safe_ratio
+from marketlens.session import materialize
 from marketlens.sources.marketplace import Marketplace
 
 TS = "order_purchase_timestamp"
@@ -297,8 +298,12 @@ SNAPSHOT_COLS = [
 
 
 def geo_snapshot(mk: Marketplace, ref: DateLike) -> DataFrame:
-    """All 50 location features plus seller_id, for every seller (idle ones included)."""
-    base = base_seller_orders(mk, ref)
+    """All 50 location features plus seller_id, for every seller (idle ones included).
+
+    The (seller, order) base feeds a dozen aggregates; it is checkpointed once
+    instead of re-running its joins in every branch.
+    """
+    base = materialize(base_seller_orders(mk, ref), "geo_base")
     s = seller_summary(base)
     states, cities = destination_states(base), destination_cities(base)
     vol_state, vol_city = place_volume(base)

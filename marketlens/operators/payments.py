@@ -10,9 +10,9 @@ Here every feature is a ratio of sums, so:
 
 1. payments are rolled up per order (one pass over payments);
 2. orders are reduced to exact partial sums per (seller, day);
-3. one marker row per (seller, month) is added, and RANGE-frame window
-   sums over the seller's day axis -- ``[-n, -1]`` days and
-   ``[unbounded, -1]`` -- give the per-month totals.
+3. marker rows are added on each grid month m and on its window starts
+   m - n; one running sum over the seller's day axis gives every window
+   total as a difference of two running sums.
 
 A window partition holds one seller's *days*, not orders, so its size is
 bounded by the calendar whatever the seller's volume.
@@ -78,20 +78,34 @@ MEASURES = (["n_paid", "vlr_total", "qtde_total", "inst_sum", "inst_cnt"]
 
 
 def windowed_totals(base: DataFrame) -> DataFrame:
-    """Per (seller, month): each measure summed over each trailing window before the month."""
-    daily = _daily(base).withColumn("is_marker", F.lit(False))
+    """Per (seller, month m): each measure summed over [m - n days, m) and over all days before m.
+
+    One running sum per seller over its day axis (``rangeBetween(unbounded, -1)``,
+    an incremental frame) evaluated at marker rows placed on day m and on the
+    window starts m - n; a window total is ``run(m) - run(m - n)``.  Sliding
+    RANGE frames would re-aggregate the whole frame for every row.  Empty
+    windows give 0 here and their counts are 0 too, so every feature -- a
+    ratio over a count or a total -- is NULL exactly as with a NULL sum.
+    """
+    daily = _daily(base).withColumn("month", F.lit(None).cast("date")).withColumn("kind", F.lit(None).cast("string"))
     grid = seller_month_grid(base)
-    markers = grid.select("seller_id", F.col("month").alias("day"), *[F.lit(None).alias(m) for m in MEASURES],
-                          F.lit(True).alias("is_marker"))
-    rows = daily.unionByName(markers, allowMissingColumns=False)
-    rows = rows.withColumn("dayno", F.datediff("day", F.lit(EPOCH)))
-    w = Window.partitionBy("seller_id").orderBy("dayno")
-    frames = {name: w.rangeBetween(Window.unboundedPreceding if days is None else -days, -1)
-              for name, days in WINDOWS}
-    cols = [F.sum(m).over(frames[name]).alias(f"{m}__{name}") for name, _ in WINDOWS for m in MEASURES]
-    out = rows.select("seller_id", "day", "is_marker", *cols).where("is_marker")
-    return out.select("seller_id", F.date_format("day", "yyyyMM").alias("ref_month"), *[
-        F.col(f"{m}__{name}") for name, _ in WINDOWS for m in MEASURES])
+    starts = [("m", F.col("month"))] + [(name, F.date_sub("month", days)) for name, days in WINDOWS if days]
+    markers = grid.select("seller_id", "month", F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), day.alias("day")) for kind, day in starts])))
+    markers = markers.select("seller_id", "day", *[F.lit(None).alias(m) for m in MEASURES], "month", "kind")
+    rows = daily.unionByName(markers).withColumn("dayno", F.datediff("day", F.lit(EPOCH)))
+    before = Window.partitionBy("seller_id").orderBy("dayno").rangeBetween(Window.unboundedPreceding, -1)
+    run = rows.select("seller_id", "month", "kind",
+                      *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in MEASURES]).where("kind IS NOT NULL")
+    aggs = []
+    for name, days in WINDOWS:
+        for m in MEASURES:
+            at_m = F.max(F.when(F.col("kind") == "m", F.col(m)))
+            total = at_m if days is None else at_m - F.max(F.when(F.col("kind") == name, F.col(m)))
+            aggs.append(total.alias(f"{m}__{name}"))
+    out = run.groupBy("seller_id", "month").agg(*aggs)
+    return out.select("seller_id", F.date_format("month", "yyyyMM").alias("ref_month"),
+                      *[f"{m}__{name}" for name, _ in WINDOWS for m in MEASURES])
 
 
 def _c(m: str, w: str) -> Column:

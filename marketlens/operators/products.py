@@ -9,25 +9,37 @@ category dimension).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import horizons as H
 from marketlens.functions.dates import DateLike, as_of
 from marketlens.functions.horizons import REF, Horizon, within
+from marketlens.functions.money import to_double, units
 from marketlens.functions.ratios import as_double, mean_of, safe_ratio
+from marketlens.session import materialize
 from marketlens.sources.marketplace import Marketplace
 
 HORIZONS = H.make(("D14", 14), ("D28", 28), ("D56", 56), ("D365", 365), ("Vida", None))
 TS = "order_purchase_timestamp"
 KEY = [REF, "seller_id"]
 NA_CATEGORY = "NA"
+MATERIALIZE = True
 
 
-def sold_items(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """Items of orders placed before each reference date, with product attributes."""
+def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = False) -> DataFrame:
+    """Items of orders placed before each reference date, with product attributes.
+
+    Money is carried as exact integer units (``price_u``, ``freight_u``; the
+    scales are in the column metadata) so every sum below is a long sum.
+    ``materialized`` writes the joined (and, for many dates, exploded) items
+    once to the checkpoint folder so the feature branches scan it instead of
+    re-joining the sources.
+    """
     orders = mk.orders.select("order_id", TS)
     items = mk.items.select("order_id", "seller_id", "product_id", "price", "freight_value")
+    price_u, price_s = units(items, "price")
+    freight_u, freight_s = units(items, "freight_value")
     p = mk.products
     products = p.select(
         "product_id", "product_category_name", "product_photos_qty",
@@ -35,16 +47,24 @@ def sold_items(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
         F.col("product_weight_g").alias("weight_g"),
         (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"),
     )
+    items = items.select("order_id", "seller_id", "product_id",
+                         F.coalesce(price_u, F.lit(0)).alias("price_u", metadata={"scale": price_s}),
+                         F.coalesce(freight_u, F.lit(0)).alias("freight_u", metadata={"scale": freight_s}))
     base = orders.join(items, "order_id").join(products, "product_id", "left")
     base = as_of(base, TS, refs)
     # Left join keeps items of unknown products: their category is 'NA' too.
-    return base.select(
-        REF, "seller_id", "order_id", TS, "product_id", "price", "freight_value",
+    out = base.select(
+        REF, "seller_id", TS, "product_id", "price_u", "freight_u",
         F.coalesce(F.col("product_category_name"), F.lit(NA_CATEGORY)).alias("product_category_name"),
         F.coalesce(F.col("product_description_length"), F.lit(0)).alias("product_description_length"),
         F.coalesce(F.col("product_photos_qty"), F.lit(0)).alias("product_photos_qty"),
         "weight_g", (F.col("weight_g") / 1000).alias("weight_kg"), "volume_cm3",
     )
+    return materialize(out, "sold_items") if materialized else out
+
+
+def _money(items: DataFrame, col: str, agg: Column) -> Column:
+    return to_double(agg, items.schema[col].metadata.get("scale"))
 
 
 def _flag_name(prefix: str, h: Horizon) -> str:
@@ -99,63 +119,99 @@ def product_competitors(prod_flags: DataFrame) -> DataFrame:
     return competitors(prod_flags, "product_id", "hadProdSale", "vlContagemProdutosConcorrentes")
 
 
+def _total(h: Horizon, s: Column, n: Column, n_null: Column, n_all: Column) -> Column:
+    """SUM(CASE WHEN in h THEN x ELSE 0 END) at item level (lifetime: SUM(x)) from histogram sums.
+
+    NULL only when no item contributes a value: lifetime when every x is NULL,
+    windows when every item is inside the window with a NULL x.
+    """
+    if h.lifetime:
+        return F.when(n > 0, s)
+    return F.when(n_null == n_all, F.lit(None)).otherwise(F.coalesce(s, F.lit(0)))
+
+
+def weight_histogram(items: DataFrame) -> DataFrame:
+    """Items per (seller, item weight) and horizon: the input of every weight statistic.
+
+    A plain hash aggregate; the exact percentiles then run over distinct
+    weights of a seller (with counts as frequencies) instead of over items.
+    """
+    aggs = [(F.count(F.lit(1)) if h.lifetime else F.count(within(h, TS, F.lit(1)))).alias(f"c_{h.name}")
+            for h in HORIZONS]
+    return items.groupBy(*KEY, "weight_g", "weight_kg").agg(*aggs)
+
+
+def weight_stats(hist: DataFrame) -> DataFrame:
+    g, kg = F.col("weight_g"), F.col("weight_kg")
+    known = g.isNotNull()
+    aggs = [F.sum("c_Vida").alias("_n_all")]
+    for h in HORIZONS:
+        n = h.name
+        c = F.col(f"c_{n}")
+        sold = F.when(c > 0, kg)
+        aggs += [
+            F.sum(F.when(known, g * c)).alias(f"_wsum{n}"),
+            F.sum(F.when(known, c)).alias(f"_wcnt{n}"),
+            F.sum(F.when(~known, c)).alias(f"_wnull{n}"),
+            F.min(sold).alias(f"vlMinPesoProduto{n}"),
+            F.max(sold).alias(f"vlMaxPesoProduto{n}"),
+            F.percentile(sold, 0.25, c).alias(f"vlP25PesoProduto{n}"),
+            F.percentile(sold, 0.5, c).alias(f"vlMedianaPesoProduto{n}"),
+            F.percentile(sold, 0.75, c).alias(f"vlP75PesoProduto{n}"),
+        ]
+    return hist.groupBy(*KEY).agg(*aggs)
+
+
 def item_metrics(items: DataFrame) -> DataFrame:
     """Revenue, freight, item weight and volume per horizon, unrounded (F5-F7 inputs).
 
-    Weight sums run on grams (exact) and are scaled to kg at the end;
-    percentiles are exact and interpolated, on kg values.
+    Money and volume are summed straight from items; weight statistics come
+    from the (seller, weight) histogram.  Weight sums run on grams (exact)
+    and are scaled to kg at the end; percentiles are exact and interpolated.
     """
-    price0 = F.coalesce(F.col("price"), F.lit(0))
-    freight0 = F.coalesce(F.col("freight_value"), F.lit(0))
-    g, kg, vol = F.col("weight_g"), F.col("weight_kg"), F.col("volume_cm3")
+    vol = F.col("volume_cm3")
     aggs: list[Column] = []
     for h in HORIZONS:
         n = h.name
-        wg = within(h, TS, g)
         vv = within(h, TS, vol)
         aggs += [
-            F.sum(within(h, TS, price0, 0)).alias(f"vlReceitaTot{n}"),
-            F.sum(within(h, TS, freight0, 0)).alias(f"vlFreteTot{n}"),
-            F.sum(wg).alias(f"_wsum{n}"),
-            F.count(wg).alias(f"_wcnt{n}"),
-            F.sum(within(h, TS, g, 0)).alias(f"_wtot{n}"),
-            F.min(within(h, TS, kg)).alias(f"vlMinPesoProduto{n}"),
-            F.max(within(h, TS, kg)).alias(f"vlMaxPesoProduto{n}"),
-            F.percentile(within(h, TS, kg), 0.25).alias(f"vlP25PesoProduto{n}"),
-            F.percentile(within(h, TS, kg), 0.5).alias(f"vlMedianaPesoProduto{n}"),
-            F.percentile(within(h, TS, kg), 0.75).alias(f"vlP75PesoProduto{n}"),
+            F.sum(within(h, TS, F.col("price_u"), 0)).alias(f"_rev{n}"),
+            F.sum(within(h, TS, F.col("freight_u"), 0)).alias(f"_frt{n}"),
             F.sum(vv).alias(f"_vsum{n}"),
             F.count(vv).alias(f"_vcnt{n}"),
-            F.sum(within(h, TS, vol, 0)).alias(f"vlTotalCubagemProduto{n}"),
+            F.sum(within(h, TS, vol, 0)).alias(f"_vtot{n}"),
         ]
-    m = items.groupBy(*KEY).agg(*aggs)
+    m = items.groupBy(*KEY).agg(*aggs).join(weight_stats(weight_histogram(items)), KEY)
     out = [F.col(c) for c in KEY]
+    c = F.col
     for h in HORIZONS:
         n = h.name
-        total_kg = as_double(F.col(f"_wtot{n}")) / 1000
+        w_total = _total(h, c(f"_wsum{n}"), c(f"_wcnt{n}"), c(f"_wnull{n}"), c("_n_all"))
+        total_kg = as_double(w_total) / 1000
+        revenue = _money(items, "price_u", c(f"_rev{n}"))
+        freight = _money(items, "freight_u", c(f"_frt{n}"))
         out += [
-            F.col(f"vlReceitaTot{n}"), F.col(f"vlFreteTot{n}"),
-            (mean_of(F.col(f"_wsum{n}"), F.col(f"_wcnt{n}")) / 1000).alias(f"vlMediaPesoProduto{n}"),
-            F.col(f"vlMedianaPesoProduto{n}"), F.col(f"vlP25PesoProduto{n}"), F.col(f"vlP75PesoProduto{n}"),
-            F.col(f"vlMinPesoProduto{n}"), F.col(f"vlMaxPesoProduto{n}"),
+            revenue.alias(f"vlReceitaTot{n}"), freight.alias(f"vlFreteTot{n}"),
+            (mean_of(c(f"_wsum{n}"), c(f"_wcnt{n}")) / 1000).alias(f"vlMediaPesoProduto{n}"),
+            c(f"vlMedianaPesoProduto{n}"), c(f"vlP25PesoProduto{n}"), c(f"vlP75PesoProduto{n}"),
+            c(f"vlMinPesoProduto{n}"), c(f"vlMaxPesoProduto{n}"),
             total_kg.alias(f"vlTotalPesoProduto{n}"),
-            mean_of(F.col(f"_vsum{n}"), F.col(f"_vcnt{n}")).alias(f"vlMediaCubagemProduto{n}"),
-            as_double(F.col(f"vlTotalCubagemProduto{n}")).alias(f"vlTotalCubagemProduto{n}"),
-            safe_ratio(F.col(f"vlReceitaTot{n}"), total_kg).alias(f"vlPrecoKg{n}"),
-            safe_ratio(F.col(f"vlFreteTot{n}"), total_kg).alias(f"vlFreteKg{n}"),
+            mean_of(c(f"_vsum{n}"), c(f"_vcnt{n}")).alias(f"vlMediaCubagemProduto{n}"),
+            as_double(c(f"_vtot{n}")).alias(f"vlTotalCubagemProduto{n}"),
+            safe_ratio(revenue, total_kg).alias(f"vlPrecoKg{n}"),
+            safe_ratio(freight, total_kg).alias(f"vlFreteKg{n}"),
         ]
     return m.select(*out)
 
 
 def seller_revenue_horizons(items: DataFrame) -> DataFrame:
     """Revenue and freight per seller and horizon (minimum slice, X2 over P1/P3)."""
-    price0 = F.coalesce(F.col("price"), F.lit(0))
-    freight0 = F.coalesce(F.col("freight_value"), F.lit(0))
     aggs = []
     for h in HORIZONS:
-        aggs.append(as_double(F.sum(within(h, TS, price0, 0))).alias(f"vlReceitaTot{h.name}"))
+        aggs.append(_money(items, "price_u", F.sum(within(h, TS, F.col("price_u"), 0))).alias(f"vlReceitaTot{h.name}"))
     for h in HORIZONS:
-        aggs.append(as_double(F.sum(within(h, TS, freight0, 0))).alias(f"vlFreteTot{h.name}"))
+        aggs.append(_money(items, "freight_u", F.sum(within(h, TS, F.col("freight_u"), 0))).alias(
+            f"vlFreteTot{h.name}"))
     return items.groupBy(*KEY).agg(*aggs)
 
 
@@ -202,17 +258,15 @@ def top_categories(items: DataFrame, sellers: DataFrame | None = None) -> DataFr
     unpivoted to (horizon, revenue) in one Expand; the rank window is per
     (seller, horizon) over that seller's categories only.
     """
-    from pyspark.sql import Window
-
-    price0 = F.coalesce(F.col("price"), F.lit(0))
     cat = items.groupBy(*KEY, "product_category_name").agg(
-        *[F.sum(within(h, TS, price0, 0)).alias(h.name) for h in HORIZONS])
+        *[F.sum(within(h, TS, F.col("price_u"), 0)).alias(h.name) for h in HORIZONS])
     long = cat.unpivot([*KEY, "product_category_name"], [h.name for h in HORIZONS], "janela", "revenue")
     long = long.where(F.col("revenue") > 0)
     part = Window.partitionBy(*KEY, "janela")
     ranked = long.select(
         *KEY, "janela", "product_category_name",
-        (as_double(F.col("revenue")) / as_double(F.sum("revenue").over(part))).alias("share"),
+        (_money(items, "price_u", F.col("revenue"))
+         / _money(items, "price_u", F.sum("revenue").over(part))).alias("share"),
         F.row_number().over(part.orderBy(F.desc("revenue"), F.asc("product_category_name"))).alias("rk"),
     ).where(F.col("rk") <= TOP_N)
     aggs = []
@@ -239,26 +293,39 @@ PORTFOLIO_COLS = [
 
 
 def portfolio_attributes(items: DataFrame) -> DataFrame:
-    """description, photo and weight statistics over distinct products sold."""
+    """description, photo and weight statistics over distinct products sold.
+
+    Distinct (seller, product, attributes) first; the exact percentiles then
+    run over per-seller histograms of description length and of weight.
+    """
     d = items.select(*KEY, "product_id", "product_description_length", "product_photos_qty",
                      "weight_g", "weight_kg").distinct()
-    desc, photos, g, kg = (F.col("product_description_length"), F.col("product_photos_qty"),
-                           F.col("weight_g"), F.col("weight_kg"))
-    a = d.groupBy(*KEY).agg(
-        mean_of(F.sum(desc), F.count(desc)).alias("vlMediaCaracteresDescricao"),
-        F.median(desc).alias("vlMedianaCaracteresDescricao"),
-        F.percentile(desc, 0.25).alias("vlP25CaracteresDescricao"),
-        F.percentile(desc, 0.75).alias("vlP75CaracteresDescricao"),
-        F.min(desc).alias("vlMinCaracteresDescricao"),
-        F.max(desc).alias("vlMaxCaracteresDescricao"),
-        mean_of(F.sum(photos), F.count(photos)).alias("vlMediaFotosProduto"),
-        (mean_of(F.sum(g), F.count(g)) / 1000).alias("vlMediaPesoPortfolio"),
-        F.median(kg).alias("vlMedianaPesoPortfolio"),
-        F.percentile(kg, 0.25).alias("vlP25PesoPortfolio"),
-        F.percentile(kg, 0.75).alias("vlP75PesoPortfolio"),
-        F.min(kg).alias("vlMinPesoPortfolio"),
-        F.max(kg).alias("vlMaxPesoPortfolio"),
-        (as_double(F.sum(g)) / 1000).alias("vlTotalPesoPortfolio"),
+    desc, photos, g = F.col("product_description_length"), F.col("product_photos_qty"), F.col("weight_g")
+    sums = d.groupBy(*KEY).agg(
+        F.sum(desc).alias("_dsum"), F.count(desc).alias("_dcnt"),
+        F.min(desc).alias("vlMinCaracteresDescricao"), F.max(desc).alias("vlMaxCaracteresDescricao"),
+        F.sum(photos).alias("_psum"), F.count(photos).alias("_pcnt"),
+        F.sum(g).alias("_gsum"), F.count(g).alias("_gcnt"),
+        F.min("weight_kg").alias("vlMinPesoPortfolio"), F.max("weight_kg").alias("vlMaxPesoPortfolio"),
+    )
+    dh = d.groupBy(*KEY, "product_description_length").agg(F.count(F.lit(1)).alias("k")).groupBy(*KEY).agg(
+        F.percentile("product_description_length", 0.5, F.col("k")).alias("vlMedianaCaracteresDescricao"),
+        F.percentile("product_description_length", 0.25, F.col("k")).alias("vlP25CaracteresDescricao"),
+        F.percentile("product_description_length", 0.75, F.col("k")).alias("vlP75CaracteresDescricao"))
+    wh = d.groupBy(*KEY, "weight_kg").agg(F.count(F.lit(1)).alias("k")).groupBy(*KEY).agg(
+        F.percentile("weight_kg", 0.5, F.col("k")).alias("vlMedianaPesoPortfolio"),
+        F.percentile("weight_kg", 0.25, F.col("k")).alias("vlP25PesoPortfolio"),
+        F.percentile("weight_kg", 0.75, F.col("k")).alias("vlP75PesoPortfolio"))
+    a = sums.join(dh, KEY).join(wh, KEY).select(
+        *KEY,
+        mean_of(F.col("_dsum"), F.col("_dcnt")).alias("vlMediaCaracteresDescricao"),
+        "vlMedianaCaracteresDescricao", "vlP25CaracteresDescricao", "vlP75CaracteresDescricao",
+        "vlMinCaracteresDescricao", "vlMaxCaracteresDescricao",
+        mean_of(F.col("_psum"), F.col("_pcnt")).alias("vlMediaFotosProduto"),
+        (mean_of(F.col("_gsum"), F.col("_gcnt")) / 1000).alias("vlMediaPesoPortfolio"),
+        "vlMedianaPesoPortfolio", "vlP25PesoPortfolio", "vlP75PesoPortfolio",
+        "vlMinPesoPortfolio", "vlMaxPesoPortfolio",
+        (as_double(F.col("_gsum")) / 1000).alias("vlTotalPesoPortfolio"),
     )
     digits = {c: (3 if "Peso" in c else 1) for c in PORTFOLIO_COLS}
     return a.select(*KEY, *[F.round(as_double(F.col(c)), digits[c]).alias(c) for c in PORTFOLIO_COLS])
@@ -272,9 +339,9 @@ SNAPSHOT_COLS = (["dtRef", "idSeller"] + DIVERSITY_COLS + COMPETITOR_COLS + WEIG
                  + PER_KG_COLS + TOP_COLS + PORTFOLIO_COLS)
 
 
-def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = MATERIALIZE) -> DataFrame:
     """All 119 product features plus keys (dtRef, idSeller), one row per seller with items."""
-    items = sold_items(mk, refs)
+    items = sold_items(mk, refs, materialized)
     cat_flags = category_sale_flags(items)
     prod_flags = product_sale_flags(items)
     diversity = catalog_diversity(cat_flags, prod_flags)

@@ -39,6 +39,7 @@ def _mk(spark: SparkSession, sf_dir: str):
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sold items at the reference date (input of every product feature)."""
     return P.sold_items(_mk(spark, sf_dir), REF_DATE)
 
 

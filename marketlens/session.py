@@ -63,3 +63,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of a relation that many branches re-read.
+
+    The rows are computed once and written as a Parquet table under the
+    session's shared checkpoint folder, then read back: later stages neither
+    recompute the joins that built them nor lose them with an executor.
+    (``Dataset.checkpoint`` would compute the plan twice -- once to count,
+    once to write -- and store row objects instead of columns.)
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/marketlens/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -62,7 +62,7 @@ def load_testdata(spark: SparkSession, sf_dir: str) -> Marketplace:
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         price.alias("price"),
-        (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight_value"),
+        (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(12,4)").alias("freight_value"),
         _plus_days(F.col("o_orderdate"), 2 + F.col("l_linenumber")).alias("shipping_limit_date"),
     )
 
@@ -152,7 +152,8 @@ mk_orders AS (
 mk_items AS (
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS order_item_id, l.l_partkey AS product_id,
          l.l_suppkey AS seller_id, CAST(l.l_extendedprice AS DECIMAL(12,2)) AS price,
-         CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS freight_value,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(12,4))
+           AS freight_value,
          o.o_orderdate + to_days(CAST(2 + l.l_linenumber AS INTEGER)) AS shipping_limit_date
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
