@@ -42,3 +42,18 @@ def to_double(total: Column, scale: int | None) -> Column:
     """A unit sum back to the double value of the exact decimal sum."""
     d = total.cast("double")
     return d / float(10 ** scale) if scale else d
+
+
+def units_at(df: DataFrame, cols: list[str]) -> tuple[list[Column], int | None]:
+    """Several money columns as exact integer units on one common scale (or as they are)."""
+    types = [df.schema[c].dataType for c in cols]
+    scales = [unit_scale(t) for t in types]
+    if any(sc is None for sc in scales):
+        return [F.col(c) for c in cols], None
+    scale = max(scales)
+    if scale == 0:
+        return [F.col(c).cast("long") for c in cols], 0
+    # integer digits + common scale must stay within MAX_EXACT_DIGITS for an exact round trip
+    if any(isinstance(t, DecimalType) and t.precision - t.scale + scale > MAX_EXACT_DIGITS for t in types):
+        return [F.col(c) for c in cols], None
+    return [F.rint(F.col(c).cast("double") * float(10 ** scale)).cast("long") for c in cols], scale

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import horizons as H
 from marketlens.functions.dates import DateLike, as_of, snapshot_dates
 from marketlens.functions.horizons import REF, within
+from marketlens.functions.money import to_double, units
 from marketlens.functions.ratios import mean, safe_ratio, stddev_from_moments
 from marketlens.sources.marketplace import Marketplace
 
@@ -24,7 +25,11 @@ KEY = [REF, "seller_id"]
 def shipped_items(mk: Marketplace, refs: DateLike | list[DateLike], inclusive: bool = True) -> DataFrame:
     o = mk.orders.select("order_id", TS, "order_approved_at", "order_delivered_carrier_date",
                          "order_delivered_customer_date", "order_estimated_delivery_date")
-    i = mk.items.select("order_id", "seller_id", "price", "freight_value", "shipping_limit_date")
+    items = mk.items
+    price_u, _ = units(items, "price")
+    freight_u, _ = units(items, "freight_value")
+    i = items.select("order_id", "seller_id", price_u.alias("price_u"), freight_u.alias("freight_u"),
+                     "shipping_limit_date")
     base = as_of(o.join(i, "order_id"), TS, refs, inclusive=inclusive)
     return base.withColumn(
         "diff_days", F.datediff("order_estimated_delivery_date", "order_delivered_customer_date"))
@@ -38,21 +43,25 @@ def _days(end: str, start: str) -> Column:
     return mean(F.datediff(end, start))
 
 
-def freight_ratio_cols() -> list[Column]:
+def freight_ratio_cols(sc: dict) -> list[Column]:
     out = []
     for h in HORIZONS:
-        f = F.sum(within(h, TS, F.col("freight_value")))
-        p = F.sum(within(h, TS, F.col("price")))
+        f = to_double(F.sum(within(h, TS, F.col("freight_u"))), sc["freight"])
+        p = to_double(F.sum(within(h, TS, F.col("price_u"))), sc["price"])
         out.append(F.coalesce(safe_ratio(f, p) * 100, F.lit(0.0)).alias(f"pct_frete_ped_{h.name}"))
     return out
 
 
-def freight_avg_cols() -> list[Column]:
-    return [F.coalesce(mean(within(h, TS, F.col("freight_value"))), F.lit(0.0)).alias(f"avg_frete_{h.name}")
-            for h in HORIZONS]
+def freight_avg_cols(sc: dict) -> list[Column]:
+    out = []
+    for h in HORIZONS:
+        f = within(h, TS, F.col("freight_u"))
+        avg = F.try_divide(to_double(F.sum(f), sc["freight"]), F.count(f).cast("double"))
+        out.append(F.coalesce(avg, F.lit(0.0)).alias(f"avg_frete_{h.name}"))
+    return out
 
 
-def delivery_time_cols() -> list[Column]:
+def delivery_time_cols(sc: dict | None = None) -> list[Column]:
     return [
         F.coalesce(_days("order_estimated_delivery_date", "order_approved_at"), F.lit(0.0)).alias("avg_sla_entrega"),
         F.coalesce(_days("order_delivered_customer_date", "order_approved_at"), F.lit(0.0)).alias("avg_entrega"),
@@ -61,7 +70,7 @@ def delivery_time_cols() -> list[Column]:
     ]
 
 
-def early_late_cols() -> list[Column]:
+def early_late_cols(sc: dict | None = None) -> list[Column]:
     """F39, F40.  'Late' keeps the source rule: estimated minus delivered > 0."""
     out = [F.count(F.when(_late(), 1)).alias("n_ped_atrasados")]
     for h in HORIZONS:
@@ -74,11 +83,11 @@ def early_late_cols() -> list[Column]:
     return out
 
 
-def diff_percentile_cols() -> list[Column]:
+def diff_percentile_cols(sc: dict | None = None) -> list[Column]:
     return [F.percentile("diff_days", p).alias(f"diff_entrega_ped_{int(p * 100)}p") for p in (0.25, 0.5, 0.75)]
 
 
-def dispatch_time_cols() -> list[Column]:
+def dispatch_time_cols(sc: dict | None = None) -> list[Column]:
     return [
         F.coalesce(_days("shipping_limit_date", "order_approved_at"), F.lit(0.0)).alias("avg_tempo_limite_vendedor"),
         F.coalesce(_days("order_delivered_carrier_date", "shipping_limit_date"),
@@ -88,7 +97,7 @@ def dispatch_time_cols() -> list[Column]:
     ]
 
 
-def consistency_cols() -> list[Column]:
+def consistency_cols(sc: dict | None = None) -> list[Column]:
     """coefficient of variation of (estimated - delivered) days, exact moments."""
     x = F.col("diff_days")
     n, s1, s2 = F.count(x), F.sum(x), F.sum(x * x)
@@ -117,7 +126,8 @@ def _finish(df: DataFrame, refs, with_ref: bool | None) -> DataFrame:
 def delivery_features(mk: Marketplace, refs: DateLike | list[DateLike], families: list[str],
                       with_ref: bool | None = None, inclusive: bool = True) -> DataFrame:
     items = shipped_items(mk, refs, inclusive)
-    cols = [c for fam in families for c in FAMILIES[fam]()]
+    sc = {"price": units(mk.items, "price")[1], "freight": units(mk.items, "freight_value")[1]}
+    cols = [c for fam in families for c in FAMILIES[fam](sc)]
     return _finish(items.groupBy(*KEY).agg(*cols), refs, with_ref)
 
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.dates import DateLike, to_date
 from marketlens.functions.geo import haversine_km, zip_centroids
+from marketlens.functions.money import to_double, units_at
 from marketlens.functions.ratios import as_double, safe_ratio
 from marketlens.session import materialize
 from marketlens.sources.marketplace import Marketplace
@@ -73,14 +74,20 @@ def capital_flag(city: Column) -> Column:
 def seller_order_revenue(mk: Marketplace, ref: DateLike) -> DataFrame:
     """product, freight and total revenue per (seller, order) before ``ref``."""
     o = mk.orders.where(F.col(TS) < F.lit(to_date(ref))).select("order_id", "customer_id", TS)
-    i = mk.items.select("order_id", "seller_id", "price", "freight_value")
+    (price, freight), _ = units_at(mk.items, ["price", "freight_value"])
+    i = mk.items.select("order_id", "seller_id", price.alias("price_u"), freight.alias("freight_u"))
     return o.join(i, "order_id").groupBy("seller_id", "order_id", "customer_id", TS).agg(
-        F.sum("price").alias("receita_produto"),
-        F.sum("freight_value").alias("receita_frete"),
-        F.sum(F.col("price") + F.col("freight_value")).alias("receita_total"),
+        F.sum("price_u").alias("receita_produto"),
+        F.sum("freight_u").alias("receita_frete"),
+        F.sum(F.col("price_u") + F.col("freight_u")).alias("receita_total"),
     )
 
 
+def revenue_scale(mk: Marketplace) -> int | None:
+    """Scale of the exact units revenue is summed in (None: summed as they are)."""
+    return units_at(mk.items, ["price", "freight_value"])[1]
+
+
 def seller_attributes(sellers: DataFrame) -> DataFrame:
     """Seller place, region and capital flag (F46, F47).  Optional columns override the rules."""
     cols = set(sellers.columns)
@@ -330,6 +337,10 @@ def geo_snapshot(mk: Marketplace, ref: DateLike) -> DataFrame:
 
     c = F.col
     qtd = c("qtd_pedidos_seller")
+    scale = revenue_scale(mk)
+
+    def money(name: str) -> Column:
+        return to_double(c(name), scale)
 
     def per_order(x: Column) -> Column:
         return F.when(qtd == 0, F.lit(0.0)).otherwise(as_double(x) / as_double(qtd))
@@ -346,7 +357,7 @@ def geo_snapshot(mk: Marketplace, ref: DateLike) -> DataFrame:
         "volume_total_pedidos_estado_seller": F.coalesce(c("volume_total_pedidos_estado_seller"), F.lit(0)),
         "volume_total_pedidos_cidade_seller": F.coalesce(c("volume_total_pedidos_cidade_seller"), F.lit(0)),
         "qtd_pedidos_seller": qtd,
-        "receita_total_seller": as_double(F.coalesce(c("receita_total_seller"), F.lit(0))),
+        "receita_total_seller": to_double(F.coalesce(c("receita_total_seller"), F.lit(0)), scale),
         "qtd_ufs_atendidas": F.coalesce(c("qtd_ufs_atendidas"), F.lit(0)),
         "qtd_cidades_atendidas": F.coalesce(c("qtd_cidades_atendidas"), F.lit(0)),
         "qtd_pedidos_proprio_estado": c("qtd_pedidos_proprio_estado"),
@@ -357,10 +368,10 @@ def geo_snapshot(mk: Marketplace, ref: DateLike) -> DataFrame:
         "participacao_pedidos_seller_propria_cidade": share_of(c("qtd_pedidos_propria_cidade"), c("mkt_orders_city")),
         "rank_seller_pedidos_estado": c("rank_seller_pedidos_estado"),
         "rank_seller_pedidos_cidade": c("rank_seller_pedidos_cidade"),
-        "receita_proprio_estado": as_double(F.coalesce(c("receita_proprio_estado"), F.lit(0))),
-        "receita_propria_cidade": as_double(F.coalesce(c("receita_propria_cidade"), F.lit(0))),
-        "participacao_receita_proprio_estado": share_of(c("receita_proprio_estado"), c("mkt_revenue_state")),
-        "participacao_receita_propria_cidade": share_of(c("receita_propria_cidade"), c("mkt_revenue_city")),
+        "receita_proprio_estado": to_double(F.coalesce(c("receita_proprio_estado"), F.lit(0)), scale),
+        "receita_propria_cidade": to_double(F.coalesce(c("receita_propria_cidade"), F.lit(0)), scale),
+        "participacao_receita_proprio_estado": share_of(money("receita_proprio_estado"), money("mkt_revenue_state")),
+        "participacao_receita_propria_cidade": share_of(money("receita_propria_cidade"), money("mkt_revenue_city")),
         "estado_maior_qtd_pedidos_seller": c("principal_estado_pedidos_seller"),
         "cidade_maior_qtd_pedidos_seller": c("principal_cidade_pedidos_seller"),
         "principal_cidade_pedidos_seller": c("principal_cidade_pedidos_seller"),

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import DateLike, to_date
+from marketlens.functions.money import to_double, units
 from marketlens.functions.ratios import safe_ratio
 from marketlens.sources.marketplace import Marketplace
 
@@ -35,9 +36,18 @@ TS = "order_purchase_timestamp"
 EPOCH = "1970-01-01"
 
 
+def value_scale(payments: DataFrame) -> int | None:
+    """Scale of the exact units the payment values are summed in (None: summed as they are)."""
+    return units(payments, "payment_value")[1]
+
+
 def order_payment_rollup(payments: DataFrame) -> DataFrame:
-    """value and count by method per order, and the largest positive installment count."""
-    t, v = F.col("payment_type"), F.col("payment_value")
+    """value and count by method per order, and the largest positive installment count.
+
+    Values are exact integer units (see :func:`value_scale`); counts are longs.
+    """
+    t = F.col("payment_type")
+    v = units(payments, "payment_value")[0]
     is_m = {m: t == m for m in METHODS}
     is_m["outros"] = ~t.isin(*METHODS)  # NULL type: neither a method nor 'outros'
     aggs = [F.sum(F.when(is_m[m], v).otherwise(0)).alias(f"vlr_{m}") for m in ALL_METHODS]
@@ -112,14 +122,17 @@ def _c(m: str, w: str) -> Column:
     return F.col(f"{m}__{w}")
 
 
-def family_columns() -> dict[str, list[Column]]:
-    avg_value = [safe_ratio(_c(f"vlr_{m}", w), _c("n_paid", w)).alias(f"avg_vlr_{m}_{w}")
+def family_columns(scale: int | None) -> dict[str, list[Column]]:
+    def money(m: str, w: str) -> Column:
+        return to_double(_c(m, w), scale)
+
+    avg_value = [safe_ratio(money(f"vlr_{m}", w), _c("n_paid", w)).alias(f"avg_vlr_{m}_{w}")
                  for w, _ in WINDOWS for m in ALL_METHODS]
     installments = [safe_ratio(_c("inst_sum", w), _c("inst_cnt", w)).alias(f"avg_payment_installments_{w}")
                     for w, _ in WINDOWS]
     count_share = [safe_ratio(_c(f"qtde_{m}", w), _c("qtde_total", w)).alias(f"share_qtde_{m}_{w}")
                    for w, _ in WINDOWS for m in ALL_METHODS]
-    value_share = [safe_ratio(_c(f"vlr_{m}", w), _c("vlr_total", w)).alias(f"share_valor_{m}_{w}")
+    value_share = [safe_ratio(money(f"vlr_{m}", w), money("vlr_total", w)).alias(f"share_valor_{m}_{w}")
                    for w, _ in WINDOWS for m in ALL_METHODS]
     return {"payment_avg_value": avg_value, "payment_installments": installments,
             "payment_count_share": count_share, "payment_value_share": value_share}
@@ -130,7 +143,7 @@ SNAPSHOT_ORDER = ["payment_avg_value", "payment_installments", "payment_count_sh
 
 def payment_features(mk: Marketplace, cutoff: DateLike, families: list[str] | None = None) -> DataFrame:
     totals = windowed_totals(seller_orders(mk, cutoff))
-    fam = family_columns()
+    fam = family_columns(value_scale(mk.payments))
     return totals.select("seller_id", "ref_month", *[c for f in (families or SNAPSHOT_ORDER) for c in fam[f]])
 
 

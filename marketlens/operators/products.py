@@ -24,7 +24,7 @@ HORIZONS = H.make(("D14", 14), ("D28", 28), ("D56", 56), ("D365", 365), ("Vida",
 TS = "order_purchase_timestamp"
 KEY = [REF, "seller_id"]
 NA_CATEGORY = "NA"
-MATERIALIZE = True
+MATERIALIZE = False
 
 
 def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = False) -> DataFrame:
@@ -339,8 +339,13 @@ SNAPSHOT_COLS = (["dtRef", "idSeller"] + DIVERSITY_COLS + COMPETITOR_COLS + WEIG
                  + PER_KG_COLS + TOP_COLS + PORTFOLIO_COLS)
 
 
-def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = MATERIALIZE) -> DataFrame:
-    """All 119 product features plus keys (dtRef, idSeller), one row per seller with items."""
+def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = MATERIALIZE,
+                      seller_key: str = "idSeller", with_ref: bool = True) -> DataFrame:
+    """All 119 product features plus keys (dtRef, idSeller), one row per seller with items.
+
+    ``seller_key="seller_id", with_ref=False`` gives the earlier notebook form
+    of the same table (120 columns, no snapshot column).
+    """
     items = sold_items(mk, refs, materialized)
     cat_flags = category_sale_flags(items)
     prod_flags = product_sale_flags(items)
@@ -353,4 +358,5 @@ def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], material
         .join(top_categories(items, diversity.select(*KEY)), KEY, "left")
         .join(portfolio_attributes(items), KEY, "left")
     )
-    return out.withColumnRenamed("seller_id", "idSeller").select(*SNAPSHOT_COLS)
+    cols = [seller_key if c == "idSeller" else c for c in SNAPSHOT_COLS if with_ref or c != REF]
+    return out.withColumnRenamed("seller_id", seller_key).select(*cols)

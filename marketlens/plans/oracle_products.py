@@ -138,9 +138,10 @@ PORTFOLIO = ["vlMediaCaracteresDescricao", "vlMedianaCaracteresDescricao", "vlP2
              "vlP75PesoPortfolio", "vlMinPesoPortfolio", "vlMaxPesoPortfolio", "vlTotalPesoPortfolio"]
 
 
-def snapshot_select(ref, key="idSeller") -> str:
+def snapshot_select(ref, key="idSeller", with_ref=True) -> str:
     cols = DIVERSITY + CAT_COMP + PROD_COMP + WEIGHT + VOLUME + PER_KG + TOP + PORTFOLIO
-    return f"""SELECT {d(ref)} AS dtRef, pr_div.seller_id AS {key}, {", ".join(cols)}
+    head = f"{d(ref)} AS dtRef, " if with_ref else ""
+    return f"""SELECT {head}pr_div.seller_id AS {key}, {", ".join(cols)}
 FROM pr_div LEFT JOIN pr_catcomp USING (seller_id) LEFT JOIN pr_prodcomp USING (seller_id)
 LEFT JOIN pr_metrics USING (seller_id) LEFT JOIN pr_top USING (seller_id) LEFT JOIN pr_port USING (seller_id)"""
 
@@ -166,4 +167,5 @@ def selects(ref) -> dict[str, str]:
         "top_categories": f"SELECT {k}, {', '.join(TOP)} FROM pr_top",
         "portfolio_attributes": f"SELECT {k}, {', '.join(PORTFOLIO)} FROM pr_port",
         "products_snapshot": snapshot_select(ref),
+        "products_by_seller": snapshot_select(ref, key="seller_id", with_ref=False),
     }

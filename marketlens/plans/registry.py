@@ -20,6 +20,7 @@ from marketlens.operators import payments as PM
 from marketlens.operators import products as P
 from marketlens.operators import reputation as R
 from marketlens.functions.geo import zip_centroids
+from marketlens.functions.money import to_double
 from marketlens.plans import oracle_groups as OG
 from marketlens.plans import oracle_products as OP
 from marketlens.functions.dates import month_starts
@@ -58,6 +59,8 @@ def product_queries() -> dict[str, Query]:
         "top_categories": lambda s, sf: P.top_categories(_items(s, sf)),
         "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_items(s, sf)),
         "products_snapshot": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE),
+        "products_by_seller": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE, seller_key="seller_id",
+                                                                with_ref=False),
         "backfill_products": backfill_products,
         "snapshot_readback": snapshot_readback,
     }
@@ -100,8 +103,9 @@ def customer_queries() -> dict[str, Query]:
 
 
 def _rollup(s: SparkSession, sf: str) -> DataFrame:
-    r = PM.order_payment_rollup(_mk(s, sf).payments)
-    return r.select("order_id", *[F.col(f"vlr_{m}").cast("double").alias(f"vlr_{m}") for m in PM.ALL_METHODS],
+    payments = _mk(s, sf).payments
+    r, scale = PM.order_payment_rollup(payments), PM.value_scale(payments)
+    return r.select("order_id", *[to_double(F.col(f"vlr_{m}"), scale).alias(f"vlr_{m}") for m in PM.ALL_METHODS],
                     *[f"qtde_{m}" for m in PM.ALL_METHODS], "max_payment_installments")
 
 
