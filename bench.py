@@ -34,7 +34,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark(f"local[{cpus}]", app_name="marketlens-bench", shuffle_partitions=2 * cpus,
-                      extra_conf={"spark.driver.memory": "16g"})
+                      extra_conf={"spark.driver.memory": "16g",
+                                  # local[N]: aim for at least one shuffle partition per core
+                                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"})
     qs = registry.queries()
     # Warm-up: JVM, parquet footers, codegen caches (not timed).
     qs["delivery_snapshot"](spark, sf_dir).write.format("noop").mode("overwrite").save()
