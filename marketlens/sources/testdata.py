@@ -56,7 +56,10 @@ def load_testdata(spark: SparkSession, sf_dir: str) -> Marketplace:
     )
 
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    items = li.join(o.select("o_orderkey", "o_orderdate"), li.l_orderkey == o.o_orderkey, "left").select(
+    # Order date per order key (the key is unique): written as an aggregate on the key so
+    # Spark can prove uniqueness and drop this join wherever shipping_limit_date is unused.
+    order_day = o.groupBy("o_orderkey").agg(F.min("o_orderdate").alias("o_orderdate"))
+    items = li.join(order_day, li.l_orderkey == order_day.o_orderkey, "left").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),

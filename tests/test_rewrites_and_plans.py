@@ -112,3 +112,20 @@ def test_region_and_capital_rules(spark):
     got = df.select(G.region_of(F.col("st")).alias("r"), G.capital_flag(F.col("city")).alias("c")).collect()
     assert [(r.r, r.c) for r in got] == [("Sudeste", 1), ("Norte", 1), ("Não identificado", 0),
                                          ("Não identificado", 0)]
+
+
+@pytest.mark.parametrize("builder", [R.reputation_snapshot, C.customers_snapshot])
+def test_other_builders_many_dates_equal_single_builds(spark, mk_small, builder):
+    """Backfill any builder (Q21): one spine job equals the single-date builds."""
+    from marketlens.operators import delivery as D
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is None, str(v)) for v in t))
+
+    dates = [dt.date(1999, 12, 1), dt.date(2000, 1, 1)]
+    assert rows(builder(mk_small, dates)) == sorted(
+        (r for d in dates for r in rows(builder(mk_small, d))), key=lambda t: tuple((v is None, str(v)) for v in t))
+    dl_many = D.delivery_snapshot(mk_small, dates)
+    assert "dtRef" in dl_many.columns
+    for d in dates:
+        assert rows(dl_many.where(F.col("dtRef") == F.lit(d)).drop("dtRef")) == rows(D.delivery_snapshot(mk_small, d))
