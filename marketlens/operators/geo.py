@@ -107,9 +107,15 @@ def base_seller_orders(mk: Marketplace, ref: DateLike) -> DataFrame:
     cust = mk.customers.select(F.col("customer_id").alias("c_id"), "customer_zip_code_prefix", "customer_city",
                                "customer_state")
     so = seller_order_revenue(mk, ref)
+    sellers = seller_attributes(mk.sellers)
+    # sellers LEFT JOIN orders, written as (orders JOIN sellers) UNION (sellers without orders):
+    # the inner join can broadcast the seller dimension, so a seller holding a third of all
+    # orders is never gathered into one join partition; idle sellers come from an anti join
+    # against the distinct sellers that sold.
+    with_orders = so.join(sellers, "seller_id")
+    idle = sellers.join(so.select("seller_id").distinct(), "seller_id", "left_anti")
     base = (
-        seller_attributes(mk.sellers)
-        .join(so, "seller_id", "left")
+        with_orders.unionByName(idle, allowMissingColumns=True)
         .join(cust, F.col("customer_id") == F.col("c_id"), "left")
         .join(gs, F.col("seller_zip_code_prefix") == F.col("s_zip"), "left")
         .join(gc, F.col("customer_zip_code_prefix") == F.col("c_zip"), "left")
@@ -170,11 +176,17 @@ def destination_cities(base: DataFrame) -> DataFrame:
 
 
 def reach(states: DataFrame, cities: DataFrame) -> DataFrame:
-    """F51 distinct destination states and (state, city) pairs per seller."""
+    """F51 distinct destination states and distinct 'state|city' keys per seller.
+
+    Cities are counted by the concatenated key, as the source does (two
+    different pairs that concatenate to the same text count once); the
+    inputs are already one row per (seller, place), so these are small.
+    """
     st = states.groupBy("seller_id").agg(F.count(F.when(F.col("customer_state").isNotNull(), 1)).alias(
         "qtd_ufs_atendidas"))
-    ct = cities.groupBy("seller_id").agg(F.count(F.when(
-        F.col("customer_state").isNotNull() & F.col("customer_city").isNotNull(), 1)).alias("qtd_cidades_atendidas"))
+    key = F.when(F.col("customer_state").isNotNull(), F.concat("customer_state", F.lit("|"), "customer_city"))
+    ct = cities.select("seller_id", key.alias("city_key")).groupBy("seller_id").agg(
+        F.count_distinct("city_key").alias("qtd_cidades_atendidas"))
     return st.join(ct, "seller_id")
 
 
