@@ -131,13 +131,25 @@ def _total(h: Horizon, s: Column, n: Column, n_null: Column, n_all: Column) -> C
 
 
 def weight_histogram(items: DataFrame) -> DataFrame:
-    """Items per (seller, item weight) and horizon: the input of every weight statistic.
+    """Items per (seller, item weight) and horizon, with the money and volume partial sums.
 
-    A plain hash aggregate; the exact percentiles then run over distinct
-    weights of a seller (with counts as frequencies) instead of over items.
+    A plain hash aggregate and the only pass over items for :func:`item_metrics`:
+    the exact percentiles then run over distinct weights of a seller (counts
+    as frequencies) and the sums are rolled up to the seller.
     """
-    aggs = [(F.count(F.lit(1)) if h.lifetime else F.count(within(h, TS, F.lit(1)))).alias(f"c_{h.name}")
-            for h in HORIZONS]
+    vol = F.col("volume_cm3")
+    aggs = []
+    for h in HORIZONS:
+        n = h.name
+        vv = within(h, TS, vol)
+        aggs += [
+            (F.count(F.lit(1)) if h.lifetime else F.count(within(h, TS, F.lit(1)))).alias(f"c_{n}"),
+            F.sum(within(h, TS, F.col("price_u"), 0)).alias(f"_rev{n}"),
+            F.sum(within(h, TS, F.col("freight_u"), 0)).alias(f"_frt{n}"),
+            F.sum(vv).alias(f"_vsum{n}"),
+            F.count(vv).alias(f"_vcnt{n}"),
+            F.sum(within(h, TS, vol, 0)).alias(f"_vtot{n}"),
+        ]
     return items.groupBy(*KEY, "weight_g", "weight_kg").agg(*aggs)
 
 
@@ -158,30 +170,24 @@ def weight_stats(hist: DataFrame) -> DataFrame:
             F.percentile(sold, 0.25, c).alias(f"vlP25PesoProduto{n}"),
             F.percentile(sold, 0.5, c).alias(f"vlMedianaPesoProduto{n}"),
             F.percentile(sold, 0.75, c).alias(f"vlP75PesoProduto{n}"),
+            F.sum(f"_rev{n}").alias(f"_rev{n}"),
+            F.sum(f"_frt{n}").alias(f"_frt{n}"),
+            F.sum(f"_vsum{n}").alias(f"_vsum{n}"),
+            F.sum(f"_vcnt{n}").alias(f"_vcnt{n}"),
+            F.sum(f"_vtot{n}").alias(f"_vtot{n}"),  # NULL only if every partial is NULL, as at item level
         ]
     return hist.groupBy(*KEY).agg(*aggs)
 
 
+
 def item_metrics(items: DataFrame) -> DataFrame:
     """Revenue, freight, item weight and volume per horizon, unrounded (F5-F7 inputs).
 
-    Money and volume are summed straight from items; weight statistics come
-    from the (seller, weight) histogram.  Weight sums run on grams (exact)
+    One pass over items (:func:`weight_histogram`); weight statistics come
+    from the (seller, weight) histogram, sums are rolled up from it.  Weight sums run on grams (exact)
     and are scaled to kg at the end; percentiles are exact and interpolated.
     """
-    vol = F.col("volume_cm3")
-    aggs: list[Column] = []
-    for h in HORIZONS:
-        n = h.name
-        vv = within(h, TS, vol)
-        aggs += [
-            F.sum(within(h, TS, F.col("price_u"), 0)).alias(f"_rev{n}"),
-            F.sum(within(h, TS, F.col("freight_u"), 0)).alias(f"_frt{n}"),
-            F.sum(vv).alias(f"_vsum{n}"),
-            F.count(vv).alias(f"_vcnt{n}"),
-            F.sum(within(h, TS, vol, 0)).alias(f"_vtot{n}"),
-        ]
-    m = items.groupBy(*KEY).agg(*aggs).join(weight_stats(weight_histogram(items)), KEY)
+    m = weight_stats(weight_histogram(items))
     out = [F.col(c) for c in KEY]
     c = F.col
     for h in HORIZONS:
