@@ -150,3 +150,14 @@ def test_batch_job_writes_every_group(spark, mk_small, tmp_path):
             assert back.select("dtRef").distinct().count() == 3
             twice = back.groupBy("dtRef", *[c for c in back.columns if c in ("seller_id", "idSeller")]).count()
             assert twice.where("count > 1").count() == 0   # replaced, not appended
+
+
+def test_feature_views_for_sql_users(spark, mk_small):
+    from marketlens.plans.views import register_feature_views
+
+    names = register_feature_views(spark, mk_small, REF, ["fs_products", "fs_delivery"])
+    assert names == ["fs_products", "fs_delivery"]
+    top = spark.sql("SELECT idSeller, vlPrecoKgVida FROM fs_products ORDER BY vlPrecoKgVida DESC LIMIT 3")
+    assert len(top.collect()) == 3
+    plan = spark.sql("SELECT seller_id, avg_frete_vida FROM fs_delivery")._jdf.queryExecution().executedPlan()
+    assert "order_approved_at" not in plan.toString()   # unused feature inputs are pruned away
