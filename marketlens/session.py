@@ -48,22 +48,32 @@ def get_spark(
     return spark
 
 
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set -- local runs and tests -- a
-    private folder under the system temp dir is created and registered.
+    Read from the session: ``spark.checkpoint.dir``, else the context's
+    checkpoint dir.  Only when neither is set -- local runs and tests -- a
+    private folder under the system temp dir is created (and registered on
+    the context when there is one).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        return configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) sessions have no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    key = spark.conf.get("spark.app.id", "local")
+    if key not in _FALLBACK_DIRS:
+        _FALLBACK_DIRS[key] = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if sc is not None:
+            sc.setCheckpointDir(_FALLBACK_DIRS[key])
+    return (sc.getCheckpointDir() if sc is not None else None) or _FALLBACK_DIRS[key]
 
 
 def materialize(df, name: str = "stage"):
