@@ -24,24 +24,23 @@ HORIZONS = H.make(("D14", 14), ("D28", 28), ("D56", 56), ("D365", 365), ("Vida",
 TS = "order_purchase_timestamp"
 KEY = [REF, "seller_id"]
 NA_CATEGORY = "NA"
+# Writing the joined item stream once before the feature branches: measured no
+# gain at sf0.1 on one machine (the branches re-scan cheaply); an option for
+# clusters where the source joins are the expensive part.
 MATERIALIZE = False
 
 
-def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = False) -> DataFrame:
-    """Items of orders placed before each reference date, with product attributes.
+def item_base(mk: Marketplace) -> DataFrame:
+    """Every sold item with its purchase time and product attributes (no date attached yet).
 
     Money is carried as exact integer units (``price_u``, ``freight_u``; the
     scales are in the column metadata) so every sum below is a long sum.
-    ``materialized`` writes the joined (and, for many dates, exploded) items
-    once to the checkpoint folder so the feature branches scan it instead of
-    re-joining the sources.
     """
     orders = mk.orders.select("order_id", TS)
     items = mk.items.select("order_id", "seller_id", "product_id", "price", "freight_value")
     price_u, price_s = units(items, "price")
     freight_u, freight_s = units(items, "freight_value")
-    p = mk.products
-    products = p.select(
+    products = mk.products.select(
         "product_id", "product_category_name", "product_photos_qty",
         F.col("product_description_lenght").alias("product_description_length"),
         F.col("product_weight_g").alias("weight_g"),
@@ -51,15 +50,24 @@ def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: b
                          F.coalesce(price_u, F.lit(0)).alias("price_u", metadata={"scale": price_s}),
                          F.coalesce(freight_u, F.lit(0)).alias("freight_u", metadata={"scale": freight_s}))
     base = orders.join(items, "order_id").join(products, "product_id", "left")
-    base = as_of(base, TS, refs)
     # Left join keeps items of unknown products: their category is 'NA' too.
-    out = base.select(
-        REF, "seller_id", TS, "product_id", "price_u", "freight_u",
+    return base.select(
+        "seller_id", TS, "product_id", "price_u", "freight_u",
         F.coalesce(F.col("product_category_name"), F.lit(NA_CATEGORY)).alias("product_category_name"),
         F.coalesce(F.col("product_description_length"), F.lit(0)).alias("product_description_length"),
         F.coalesce(F.col("product_photos_qty"), F.lit(0)).alias("product_photos_qty"),
         "weight_g", (F.col("weight_g") / 1000).alias("weight_kg"), "volume_cm3",
     )
+
+
+def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = False) -> DataFrame:
+    """Items of orders placed before each reference date (``dtRef`` attached), with product attributes.
+
+    ``materialized`` writes the joined (and, for many dates, exploded) items
+    once to the checkpoint folder so the feature branches scan it instead of
+    re-joining the sources.
+    """
+    out = as_of(item_base(mk), TS, refs).select(REF, *item_base(mk).columns)
     return materialize(out, "sold_items") if materialized else out
 
 
@@ -298,14 +306,29 @@ PORTFOLIO_COLS = [
 ]
 
 
-def portfolio_attributes(items: DataFrame) -> DataFrame:
+PORTFOLIO_ATTRS = ["product_description_length", "product_photos_qty", "weight_g", "weight_kg"]
+
+
+def portfolio_products(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Distinct (dtRef, seller, product, attributes) sold before each reference date.
+
+    A product row belongs to every snapshot after its first sale, so items
+    are reduced to their first sale per (seller, product, attributes) before
+    the snapshot dates are attached -- no aggregation over the exploded items.
+    """
+    first = item_base(mk).groupBy("seller_id", "product_id", *PORTFOLIO_ATTRS).agg(F.min(TS).alias(TS))
+    return as_of(first, TS, refs).select(*KEY, "product_id", *PORTFOLIO_ATTRS)
+
+
+def portfolio_attributes(items: DataFrame, distinct_rows: DataFrame | None = None) -> DataFrame:
     """description, photo and weight statistics over distinct products sold.
 
-    Distinct (seller, product, attributes) first; the exact percentiles then
-    run over per-seller histograms of description length and of weight.
+    Distinct (seller, product, attributes) first (``distinct_rows`` when given,
+    see :func:`portfolio_products`); the exact percentiles then run over
+    per-seller histograms of description length and of weight.
     """
-    d = items.select(*KEY, "product_id", "product_description_length", "product_photos_qty",
-                     "weight_g", "weight_kg").distinct()
+    d = distinct_rows if distinct_rows is not None else items.select(
+        *KEY, "product_id", *PORTFOLIO_ATTRS).distinct()
     desc, photos, g = F.col("product_description_length"), F.col("product_photos_qty"), F.col("weight_g")
     sums = d.groupBy(*KEY).agg(
         F.sum(desc).alias("_dsum"), F.count(desc).alias("_dcnt"),
@@ -362,7 +385,7 @@ def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], material
         .join(product_competitors(prod_flags), KEY, "left")
         .join(_rounded_item_metrics(item_metrics(items)), KEY, "left")
         .join(top_categories(items, diversity.select(*KEY)), KEY, "left")
-        .join(portfolio_attributes(items), KEY, "left")
+        .join(portfolio_attributes(items, portfolio_products(mk, refs)), KEY, "left")
     )
     cols = [seller_key if c == "idSeller" else c for c in SNAPSHOT_COLS if with_ref or c != REF]
     return out.withColumnRenamed("seller_id", seller_key).select(*cols)
