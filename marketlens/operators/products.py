@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import horizons as H
-from marketlens.functions.dates import DateLike, as_of
+from marketlens.functions.dates import DateLike, as_of, snapshot_dates
 from marketlens.functions.horizons import REF, Horizon, within
 from marketlens.functions.money import to_double, units
 from marketlens.functions.ratios import as_double, mean_of, safe_ratio
@@ -88,6 +88,35 @@ def sale_flags(items: DataFrame, key: str, prefix: str) -> DataFrame:
     return items.groupBy(*KEY, key).agg(*aggs)
 
 
+def _day_in(lo: Column, hi: Column):
+    return lambda d: (d >= lo) & (d < hi)
+
+
+def product_sale_flags_from_days(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Product flags per (dtRef, seller, product) without aggregating the exploded items.
+
+    Items are reduced to the distinct sale days of each (seller, product)
+    (a set bounded by the calendar, not by volume), the snapshot dates are
+    attached after the first sale, and each horizon flag tests the day list
+    directly.  Used for multi-date builds, where aggregating the exploded
+    items to this grain was the costliest step.
+    """
+    last = snapshot_dates(refs)[-1]
+    sold = item_base(mk).where(F.col(TS) < F.lit(last))
+    days = sold.groupBy("seller_id", "product_id").agg(
+        F.min(TS).alias(TS), F.collect_set(F.to_date(TS)).alias("days"))
+    dated = as_of(days, TS, refs)
+    ref = F.col(REF)
+    flags = []
+    for h in HORIZONS:
+        name = _flag_name("hadProdSale", h)
+        if h.lifetime:
+            flags.append(F.lit(1).alias(name))
+        else:
+            flags.append(F.exists("days", _day_in(F.date_sub(ref, h.days), ref)).cast("int").alias(name))
+    return dated.select(*KEY, "product_id", *flags)
+
+
 def category_sale_flags(items: DataFrame) -> DataFrame:
     return sale_flags(items, "product_category_name", "hadCatSale")
 
@@ -316,7 +345,9 @@ def portfolio_products(mk: Marketplace, refs: DateLike | list[DateLike]) -> Data
     are reduced to their first sale per (seller, product, attributes) before
     the snapshot dates are attached -- no aggregation over the exploded items.
     """
-    first = item_base(mk).groupBy("seller_id", "product_id", *PORTFOLIO_ATTRS).agg(F.min(TS).alias(TS))
+    last = snapshot_dates(refs)[-1]
+    sold = item_base(mk).where(F.col(TS) < F.lit(last))  # cutoff below the aggregate: reaches the scan
+    first = sold.groupBy("seller_id", "product_id", *PORTFOLIO_ATTRS).agg(F.min(TS).alias(TS))
     return as_of(first, TS, refs).select(*KEY, "product_id", *PORTFOLIO_ATTRS)
 
 
@@ -377,7 +408,9 @@ def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], material
     """
     items = sold_items(mk, refs, materialized)
     cat_flags = category_sale_flags(items)
-    prod_flags = product_sale_flags(items)
+    # Many dates: flags from each product's sale days (no aggregation over the exploded items).
+    many = len(snapshot_dates(refs)) > 1
+    prod_flags = product_sale_flags_from_days(mk, refs) if many else product_sale_flags(items)
     diversity = catalog_diversity(cat_flags, prod_flags)
     out = (
         diversity
