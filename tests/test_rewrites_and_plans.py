@@ -161,3 +161,23 @@ def test_feature_views_for_sql_users(spark, mk_small):
     assert len(top.collect()) == 3
     plan = spark.sql("SELECT seller_id, avg_frete_vida FROM fs_delivery")._jdf.queryExecution().executedPlan()
     assert "order_approved_at" not in plan.toString()   # unused feature inputs are pruned away
+
+
+def test_as_of_invariance_and_review_leakage(spark, mk_small):
+    """Orders placed after ref change nothing; reviews written after ref do change reputation (Q6)."""
+    from dataclasses import replace
+
+    from marketlens.operators import delivery as D
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is None, str(v)) for v in t))
+
+    ts = F.col("order_purchase_timestamp")
+    cut = replace(mk_small, orders=mk_small.orders.where(ts < F.lit(REF)))
+    for build in (P.products_snapshot, R.reputation_snapshot, C.customers_snapshot, G.geo_snapshot,
+                  PM.payments_snapshot):
+        assert rows(build(mk_small, REF)) == rows(build(cut, REF))
+    cut_incl = replace(mk_small, orders=mk_small.orders.where(ts <= F.lit(REF)))
+    assert rows(D.delivery_snapshot(mk_small, REF)) == rows(D.delivery_snapshot(cut_incl, REF))
+    no_late_reviews = replace(mk_small, reviews=mk_small.reviews.where(F.col("review_creation_date") < F.lit(REF)))
+    assert rows(R.reputation_snapshot(mk_small, REF)) != rows(R.reputation_snapshot(no_late_reviews, REF))
