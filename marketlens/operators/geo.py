@@ -31,7 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.dates import DateLike, to_date
+from marketlens.functions.dates import DateLike, as_of, snapshot_dates
+from marketlens.functions.horizons import REF
 from marketlens.functions.geo import haversine_km, zip_centroids
 from marketlens.functions.money import to_double, units_at
 from marketlens.functions.ratios import as_double, safe_ratio
@@ -40,6 +41,7 @@ from marketlens.sources.marketplace import Marketplace
 
 TS = "order_purchase_timestamp"
 DEC = "decimal(38,0)"
+KEY = [REF, "seller_id"]
 UNKNOWN_REGION = "Não identificado"
 
 # State -> region, and state capitals (upper case, no accents).
@@ -71,12 +73,13 @@ def capital_flag(city: Column) -> Column:
     return F.when(F.upper(city).isin(*CAPITALS), 1).otherwise(0)
 
 
-def seller_order_revenue(mk: Marketplace, ref: DateLike) -> DataFrame:
-    """product, freight and total revenue per (seller, order) before ``ref``."""
-    o = mk.orders.where(F.col(TS) < F.lit(to_date(ref))).select("order_id", "customer_id", TS)
+def seller_order_revenue(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """product, freight and total revenue per (dtRef, seller, order) before each reference date."""
+    o = mk.orders.select("order_id", "customer_id", TS)
     (price, freight), _ = units_at(mk.items, ["price", "freight_value"])
     i = mk.items.select("order_id", "seller_id", price.alias("price_u"), freight.alias("freight_u"))
-    return o.join(i, "order_id").groupBy("seller_id", "order_id", "customer_id", TS).agg(
+    dated = as_of(o.join(i, "order_id"), TS, refs)
+    return dated.groupBy(REF, "seller_id", "order_id", "customer_id", TS).agg(
         F.sum("price_u").alias("receita_produto"),
         F.sum("freight_u").alias("receita_frete"),
         F.sum(F.col("price_u") + F.col("freight_u")).alias("receita_total"),
@@ -97,8 +100,9 @@ def seller_attributes(sellers: DataFrame) -> DataFrame:
                           region.alias("regiao_seller"), capital.cast("int").alias("flag_seller_capital"))
 
 
-def base_seller_orders(mk: Marketplace, ref: DateLike) -> DataFrame:
-    """Every seller x its orders (one NULL-order row for idle sellers), with places and distance."""
+def base_seller_orders(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Every seller x its orders per reference date (one NULL-order row for idle sellers), with places
+    and distance."""
     geo = zip_centroids(mk.geolocation)
     gs = geo.select(F.col("geolocation_zip_code_prefix").alias("s_zip"),
                     F.col("latitude").alias("seller_latitude"), F.col("longitude").alias("seller_longitude"))
@@ -106,14 +110,16 @@ def base_seller_orders(mk: Marketplace, ref: DateLike) -> DataFrame:
                     F.col("latitude").alias("customer_latitude"), F.col("longitude").alias("customer_longitude"))
     cust = mk.customers.select(F.col("customer_id").alias("c_id"), "customer_zip_code_prefix", "customer_city",
                                "customer_state")
-    so = seller_order_revenue(mk, ref)
+    so = seller_order_revenue(mk, refs)
+    dates = snapshot_dates(refs)
     sellers = seller_attributes(mk.sellers)
     # sellers LEFT JOIN orders, written as (orders JOIN sellers) UNION (sellers without orders):
     # the inner join can broadcast the seller dimension, so a seller holding a third of all
     # orders is never gathered into one join partition; idle sellers come from an anti join
     # against the distinct sellers that sold.
     with_orders = so.join(sellers, "seller_id")
-    idle = sellers.join(so.select("seller_id").distinct(), "seller_id", "left_anti")
+    every_date = sellers.withColumn(REF, F.explode(F.array(*[F.lit(d) for d in dates])))
+    idle = every_date.join(so.select(REF, "seller_id").distinct(), [REF, "seller_id"], "left_anti")
     base = (
         with_orders.unionByName(idle, allowMissingColumns=True)
         .join(cust, F.col("customer_id") == F.col("c_id"), "left")
@@ -126,7 +132,7 @@ def base_seller_orders(mk: Marketplace, ref: DateLike) -> DataFrame:
         known = known & c.isNotNull()
     dist = F.when(known, haversine_km(*coords))
     return base.select(
-        "seller_id", "seller_city", "seller_state", "regiao_seller", "flag_seller_capital",
+        REF, "seller_id", "seller_city", "seller_state", "regiao_seller", "flag_seller_capital",
         "order_id", "customer_city", "customer_state",
         F.coalesce(F.col("receita_total"), F.lit(0)).alias("receita_total"),
         dist.alias("distancia_km"),
@@ -145,7 +151,7 @@ def seller_summary(base: DataFrame) -> DataFrame:
     """Per-seller aggregates over its (seller, order) rows."""
     d = F.col("distancia_km")
     oid = F.col("order_id")
-    return base.groupBy("seller_id").agg(
+    return base.groupBy(REF, "seller_id").agg(
         F.max("seller_city").alias("seller_city"),
         F.max("seller_state").alias("seller_state"),
         F.max("regiao_seller").alias("regiao_seller"),
@@ -168,11 +174,11 @@ def seller_summary(base: DataFrame) -> DataFrame:
 
 def destination_states(base: DataFrame) -> DataFrame:
     """(seller, customer state) -> orders; the NULL state is a group of its own."""
-    return base.groupBy("seller_id", "customer_state").agg(F.count("order_id").alias("n"))
+    return base.groupBy(REF, "seller_id", "customer_state").agg(F.count("order_id").alias("n"))
 
 
 def destination_cities(base: DataFrame) -> DataFrame:
-    return base.groupBy("seller_id", "customer_state", "customer_city").agg(F.count("order_id").alias("n"))
+    return base.groupBy(REF, "seller_id", "customer_state", "customer_city").agg(F.count("order_id").alias("n"))
 
 
 def reach(states: DataFrame, cities: DataFrame) -> DataFrame:
@@ -182,48 +188,49 @@ def reach(states: DataFrame, cities: DataFrame) -> DataFrame:
     different pairs that concatenate to the same text count once); the
     inputs are already one row per (seller, place), so these are small.
     """
-    st = states.groupBy("seller_id").agg(F.count(F.when(F.col("customer_state").isNotNull(), 1)).alias(
+    st = states.groupBy(REF, "seller_id").agg(F.count(F.when(F.col("customer_state").isNotNull(), 1)).alias(
         "qtd_ufs_atendidas"))
     key = F.when(F.col("customer_state").isNotNull(), F.concat("customer_state", F.lit("|"), "customer_city"))
-    ct = cities.select("seller_id", key.alias("city_key")).groupBy("seller_id").agg(
+    ct = cities.select(REF, "seller_id", key.alias("city_key")).groupBy(REF, "seller_id").agg(
         F.count_distinct("city_key").alias("qtd_cidades_atendidas"))
-    return st.join(ct, "seller_id")
+    return st.join(ct, KEY)
 
 
 def main_destination(states: DataFrame, cities: DataFrame) -> DataFrame:
     """F56 top destination state and city by orders (ties: state, then city, ascending)."""
-    ms = states.where(F.col("n") > 0).groupBy("seller_id").agg(
+    ms = states.where(F.col("n") > 0).groupBy(*KEY).agg(
         F.min(F.struct((-F.col("n")).alias("neg"), "customer_state")).alias("top"))
-    mc = cities.where(F.col("n") > 0).groupBy("seller_id").agg(
+    mc = cities.where(F.col("n") > 0).groupBy(*KEY).agg(
         F.min(F.struct((-F.col("n")).alias("neg"), "customer_state", "customer_city")).alias("top"))
-    return ms.select("seller_id", F.col("top.customer_state").alias("principal_estado_pedidos_seller"),
+    return ms.select(*KEY, F.col("top.customer_state").alias("principal_estado_pedidos_seller"),
                      (-F.col("top.neg")).alias("qtd_pedidos_principal_estado")).join(
-        mc.select("seller_id", F.col("top.customer_city").alias("principal_cidade_pedidos_seller"),
-                  (-F.col("top.neg")).alias("qtd_pedidos_principal_cidade")), "seller_id", "full")
+        mc.select(*KEY, F.col("top.customer_city").alias("principal_cidade_pedidos_seller"),
+                  (-F.col("top.neg")).alias("qtd_pedidos_principal_cidade")), KEY, "full")
 
 
 def _distinct_orders(base: DataFrame, keys: list[str], revenue: bool = False) -> DataFrame:
     """Distinct orders (and summed revenue) per place; order counted once across sellers."""
     rows = base.where(F.col("order_id").isNotNull())
-    first = rows.groupBy(*keys, "order_id").agg(F.sum("receita_total").alias("r"))
+    first = rows.groupBy(REF, *keys, "order_id").agg(F.sum("receita_total").alias("r"))
     aggs = [F.count(F.lit(1)).alias("orders")]
     if revenue:
         aggs.append(F.sum("r").alias("revenue"))
-    return first.groupBy(*keys).agg(*aggs)
+    return first.groupBy(REF, *keys).agg(*aggs)
 
 
 def place_volume(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """distinct orders of all sellers located in the seller's state / city."""
     rows = base.where(F.col("order_id").isNotNull())
-    st = rows.select("seller_state", "order_id").distinct().groupBy("seller_state").agg(
+    st = rows.select(REF, "seller_state", "order_id").distinct().groupBy(REF, "seller_state").agg(
         F.count(F.lit(1)).alias("volume_total_pedidos_estado_seller"))
-    ct = rows.select("seller_state", "seller_city", "order_id").distinct().groupBy(
-        "seller_state", "seller_city").agg(F.count(F.lit(1)).alias("volume_total_pedidos_cidade_seller"))
+    ct = rows.select(REF, "seller_state", "seller_city", "order_id").distinct().groupBy(
+        REF, "seller_state", "seller_city").agg(F.count(F.lit(1)).alias("volume_total_pedidos_cidade_seller"))
     return st, ct
 
 
 def rank_within(summary: DataFrame, part: list[str], out: str) -> DataFrame:
     """RANK() OVER (PARTITION BY part ORDER BY qtd_pedidos_seller DESC), via a count histogram."""
+    part = [REF, *part]
     keys = [F.col(c).alias(f"_p{i}") for i, c in enumerate(part)]
     hist = summary.groupBy(*keys, F.col("qtd_pedidos_seller").alias("_q")).agg(F.count(F.lit(1)).alias("k"))
     above = Window.partitionBy(*[f"_p{i}" for i in range(len(part))]).orderBy(F.desc("_q")).rowsBetween(
@@ -232,42 +239,48 @@ def rank_within(summary: DataFrame, part: list[str], out: str) -> DataFrame:
     # RANK's window partitions NULL places together, hence the null-safe match.
     cond = [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(part)] + [
         F.col("qtd_pedidos_seller") == F.col("_q")]
-    return summary.select("seller_id", *part, "qtd_pedidos_seller").join(hist, cond, "left").select("seller_id", out)
+    return summary.select(*part, "seller_id", "qtd_pedidos_seller").join(hist, cond, "left").select(*KEY, out)
 
 
 def peers(summary: DataFrame, part: list[str], out: str) -> DataFrame:
     """F57 mean orders of the sellers located in the same place."""
-    return summary.groupBy(*part).agg(
+    return summary.groupBy(REF, *part).agg(
         safe_ratio(F.sum("qtd_pedidos_seller"), F.count("qtd_pedidos_seller")).alias(out))
 
 
 def coverage_gap(base: DataFrame, states: DataFrame) -> DataFrame:
-    """F58 per seller: positive gap sum, absolute gap sum, coverage score (exact rational form)."""
+    """F58 per seller: positive gap sum, absolute gap sum, coverage score (exact rational form).
+
+    Market totals per date (T, including the NULL state, and Dnn over the
+    other states) are a table with one row per snapshot date, joined on dtRef.
+    """
     market = _distinct_orders(base, ["customer_state"])
-    total = market.agg(F.sum("orders")).scalar()  # T, includes the NULL state
-    nonnull = market.where(F.col("customer_state").isNotNull()).agg(F.sum("orders")).scalar()  # Dnn
+    totals = market.groupBy(REF).agg(
+        F.sum("orders").alias("t_all"),
+        F.sum(F.when(F.col("customer_state").isNotNull(), F.col("orders"))).alias("d_nonnull"))
     present = states.where(F.col("customer_state").isNotNull() & (F.col("n") > 0)).join(
-        market.select("customer_state", F.col("orders").alias("d_mkt")), "customer_state")
-    per_seller = Window.partitionBy("seller_id")
-    present = present.withColumn("n_seller", F.sum("n").over(per_seller))
-    t = total.cast(DEC)
+        market.select(REF, "customer_state", F.col("orders").alias("d_mkt")), [REF, "customer_state"])
+    per_seller = Window.partitionBy(*KEY)
+    present = present.withColumn("n_seller", F.sum("n").over(per_seller)).join(totals, REF)
+    t = F.col("t_all").cast(DEC)
     diff = F.col("n").cast(DEC) * t - F.col("d_mkt").cast(DEC) * F.col("n_seller").cast(DEC)
-    g = present.groupBy("seller_id").agg(
+    g = present.groupBy(*KEY).agg(
         F.first("n_seller").alias("n_seller"),
         F.sum(F.abs(diff)).alias("abs_num"),
         F.sum(F.greatest(diff, F.lit(0).cast(DEC))).alias("pos_num"),
         F.sum("d_mkt").alias("d_present"),
     )
-    sellers = base.select("seller_id").distinct()
-    s = sellers.join(g, "seller_id", "left")
+    sellers = base.select(*KEY).distinct()
+    s = sellers.join(g, KEY, "left").join(totals, REF, "left")
+    total, nonnull = F.col("t_all"), F.col("d_nonnull")
     n_dec = F.col("n_seller").cast(DEC)
     served = F.col("n_seller") > 0
     abs_gap = F.when(served, as_double(F.col("abs_num") + (nonnull - F.col("d_present")).cast(DEC) * n_dec)
-                     / as_double(n_dec * t)).otherwise(as_double(nonnull) / as_double(total))
-    pos_gap = F.when(served, as_double(F.col("pos_num")) / as_double(n_dec * t)).otherwise(F.lit(0.0))
+                     / as_double(n_dec * total.cast(DEC))).otherwise(as_double(nonnull) / as_double(total))
+    pos_gap = F.when(served, as_double(F.col("pos_num")) / as_double(n_dec * total.cast(DEC))).otherwise(F.lit(0.0))
     any_state = F.coalesce(nonnull, F.lit(0)) > 0
     return s.select(
-        "seller_id",
+        *KEY,
         F.when(any_state, pos_gap).otherwise(0.0).alias("soma_gap_estado_positivo"),
         F.when(any_state, abs_gap).otherwise(0.0).alias("soma_abs_gap_estado"),
         F.when(any_state, 1 - abs_gap / 2).otherwise(0.0).alias("score_cobertura_estado"),
@@ -316,36 +329,36 @@ SNAPSHOT_COLS = [
 ]
 
 
-def geo_snapshot(mk: Marketplace, ref: DateLike) -> DataFrame:
+def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: bool | None = None) -> DataFrame:
     """All 50 location features plus seller_id, for every seller (idle ones included).
 
     The (seller, order) base feeds a dozen aggregates; it is checkpointed once
     instead of re-running its joins in every branch.
     """
-    base = materialize(base_seller_orders(mk, ref), "geo_base")
+    base = materialize(base_seller_orders(mk, refs), "geo_base")
     s = seller_summary(base)
     states, cities = destination_states(base), destination_cities(base)
     vol_state, vol_city = place_volume(base)
     mkt_state = _distinct_orders(base, ["customer_state"], revenue=True).select(
-        F.col("customer_state").alias("seller_state"), F.col("orders").alias("mkt_orders_state"),
+        REF, F.col("customer_state").alias("seller_state"), F.col("orders").alias("mkt_orders_state"),
         F.col("revenue").alias("mkt_revenue_state"))
     mkt_city = _distinct_orders(base, ["customer_state", "customer_city"], revenue=True).select(
-        F.col("customer_state").alias("seller_state"), F.col("customer_city").alias("seller_city"),
+        REF, F.col("customer_state").alias("seller_state"), F.col("customer_city").alias("seller_city"),
         F.col("orders").alias("mkt_orders_city"), F.col("revenue").alias("mkt_revenue_city"))
     peer_state = peers(s, ["seller_state"], "media_pedidos_sellers_mesmo_estado")
     peer_city = peers(s, ["seller_state", "seller_city"], "media_pedidos_sellers_mesma_cidade")
 
-    j = (s.join(vol_state, "seller_state", "left")
-         .join(vol_city, ["seller_state", "seller_city"], "left")
-         .join(reach(states, cities), "seller_id", "left")
-         .join(rank_within(s, ["seller_state"], "rank_seller_pedidos_estado"), "seller_id", "left")
-         .join(rank_within(s, ["seller_state", "seller_city"], "rank_seller_pedidos_cidade"), "seller_id", "left")
-         .join(main_destination(states, cities), "seller_id", "left")
-         .join(mkt_state, "seller_state", "left")
-         .join(mkt_city, ["seller_state", "seller_city"], "left")
-         .join(peer_state, "seller_state", "left")
-         .join(peer_city, ["seller_state", "seller_city"], "left")
-         .join(coverage_gap(base, states), "seller_id", "left"))
+    j = (s.join(vol_state, [REF, "seller_state"], "left")
+         .join(vol_city, [REF, "seller_state", "seller_city"], "left")
+         .join(reach(states, cities), KEY, "left")
+         .join(rank_within(s, ["seller_state"], "rank_seller_pedidos_estado"), KEY, "left")
+         .join(rank_within(s, ["seller_state", "seller_city"], "rank_seller_pedidos_cidade"), KEY, "left")
+         .join(main_destination(states, cities), KEY, "left")
+         .join(mkt_state, [REF, "seller_state"], "left")
+         .join(mkt_city, [REF, "seller_state", "seller_city"], "left")
+         .join(peer_state, [REF, "seller_state"], "left")
+         .join(peer_city, [REF, "seller_state", "seller_city"], "left")
+         .join(coverage_gap(base, states), KEY, "left"))
 
     c = F.col
     qtd = c("qtd_pedidos_seller")
@@ -413,7 +426,8 @@ def geo_snapshot(mk: Marketplace, ref: DateLike) -> DataFrame:
         "score_cobertura_estado": F.coalesce(c("score_cobertura_estado"), F.lit(0.0)),
         "flag_seller_sem_pedido": F.when(qtd == 0, 1).otherwise(0),
     }
-    return j.select(*[cols[name].alias(name) for name in SNAPSHOT_COLS])
+    keep_ref = len(snapshot_dates(refs)) > 1 if with_ref is None else with_ref
+    return j.select(*([F.col(REF)] if keep_ref else []), *[cols[name].alias(name) for name in SNAPSHOT_COLS])
 
 
 def geo_features(mk: Marketplace, ref: DateLike, family: str) -> DataFrame:

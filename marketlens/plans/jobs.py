@@ -6,11 +6,9 @@
     python -m marketlens.plans.jobs --group delivery --ref 2018-07-01 --parquet-root /data/olist \\
         --path /warehouse/fs_delivery
 
-Groups that accept many dates (products, reputation, customers, delivery)
-build the whole month spine in one job and replace exactly those ``dtRef``
-partitions.  Location is bound to one date per build; its dates are unioned
-into one plan.  Payments covers every month with a sale in one build and is
-overwritten as a whole table (S13).
+Every group but payments builds the whole month spine in one job and
+replaces exactly those snapshot partitions.  Payments covers every month
+with a sale in one build and is overwritten as a whole table (S13).
 """
 
 from __future__ import annotations
@@ -31,8 +29,9 @@ MULTI_DATE = {
     "reputation": reputation.reputation_snapshot,
     "customers": customers.customers_snapshot,
     "delivery": lambda mk, refs: delivery.delivery_snapshot(mk, refs, with_ref=True),
+    "geo": lambda mk, refs: geo.geo_snapshot(mk, refs, with_ref=True),
 }
-GROUPS = (*MULTI_DATE, "geo", "payments")
+GROUPS = (*MULTI_DATE, "payments")
 
 
 # Snapshot column each table is partitioned by.
@@ -42,8 +41,6 @@ PARTITION = {"customers": "dtSafra", "payments": None}
 def build(group: str, mk: Marketplace, dates: list) -> DataFrame:
     if group in MULTI_DATE:
         return MULTI_DATE[group](mk, dates)
-    if group == "geo":
-        return snapshots.build_each(geo.geo_snapshot, mk, dates)
     if group == "payments":
         return payments.payments_snapshot(mk, max(dates))
     raise ValueError(f"unknown group {group!r}; expected one of {GROUPS}")

@@ -114,7 +114,11 @@ def test_region_and_capital_rules(spark):
                                          ("Não identificado", 0)]
 
 
-@pytest.mark.parametrize("builder", [R.reputation_snapshot, C.customers_snapshot])
+def _geo_dated(mk, refs):
+    return G.geo_snapshot(mk, refs, with_ref=True)
+
+
+@pytest.mark.parametrize("builder", [R.reputation_snapshot, C.customers_snapshot, _geo_dated])
 def test_other_builders_many_dates_equal_single_builds(spark, mk_small, builder):
     """Backfill any builder (Q21): one spine job equals the single-date builds."""
     from marketlens.operators import delivery as D
