@@ -67,7 +67,8 @@ def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: b
     once to the checkpoint folder so the feature branches scan it instead of
     re-joining the sources.
     """
-    out = as_of(item_base(mk), TS, refs).select(REF, *item_base(mk).columns)
+    base = item_base(mk)
+    out = as_of(base, TS, refs).select(REF, *base.columns)
     return materialize(out, "sold_items") if materialized else out
 
 
