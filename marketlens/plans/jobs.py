@@ -1,9 +1,9 @@
 """Batch entry point: build and write feature snapshots (the monthly backfill job).
 
     spark-submit -m marketlens.plans.jobs --group products \\
-        --first 2017-01-01 --last 2018-07-01 --database olist --table fs.fs_products
+        --first 2017-01-01 --last 2018-07-01 --database marketplace --table fs.fs_products
 
-    python -m marketlens.plans.jobs --group delivery --ref 2018-07-01 --parquet-root /data/olist \\
+    python -m marketlens.plans.jobs --group delivery --ref 2018-07-01 --parquet-root /data/marketplace \\
         --path /warehouse/fs_delivery
 
 Every group but payments builds the whole month spine in one job and
