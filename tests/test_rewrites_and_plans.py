@@ -185,3 +185,16 @@ def test_as_of_invariance_and_review_leakage(spark, mk_small):
     assert rows(D.delivery_snapshot(mk_small, REF)) == rows(D.delivery_snapshot(cut_incl, REF))
     no_late_reviews = replace(mk_small, reviews=mk_small.reviews.where(F.col("review_creation_date") < F.lit(REF)))
     assert rows(R.reputation_snapshot(mk_small, REF)) != rows(R.reputation_snapshot(no_late_reviews, REF))
+
+
+def test_no_single_task_funnels(spark, mk_small):
+    """No snapshot plan gathers rows into one task (SinglePartition) or pairs rows (cartesian / nested loop)."""
+    from marketlens.operators import delivery as D
+
+    builds = [P.products_snapshot(mk_small, REF), R.reputation_snapshot(mk_small, REF),
+              PM.payments_snapshot(mk_small, REF), C.customers_snapshot(mk_small, REF),
+              D.delivery_snapshot(mk_small, REF), G.geo_snapshot(mk_small, REF),
+              P.products_snapshot(mk_small, [dt.date(1999, 12, 1), REF])]
+    for df in builds:
+        plan = physical(df)
+        assert "SinglePartition" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
