@@ -1,7 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 A lexicon of words and word stems is learned from a bounded sample of
-labelled rows, by greedy coverage of the toxic ones.  A text's features are
+labelled rows: terms of toxic texts of many families, and by greedy coverage
+of the rest.  A text's features are
 densities of lexicon hits, their proximity to second-person words, rates of
 capitals, punctuation and obfuscated words, and lengths.  Spark's
 gradient-boosted trees are fitted on one part of the sample, their margin is
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -35,6 +37,8 @@ THRESHOLD = 0.3
 STEMS = (4, 5, 6)
 MIN_TOXIC = 6
 MIN_PURITY = 0.75
+PURE = 0.9
+MIN_FAMILIES = 0.5
 MIN_GAIN = 4
 NEAR = 5
 FEATURES = 13
@@ -108,45 +112,54 @@ def _incidence(candidates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = candidates.value
         for batch in batches:
-            held = [[known[t] for t in {t for w in set(_WORD.findall(text.lower())) for t in terms_of(w)} if t in known]
-                    for text in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32()))], names=["held"])
+            words = [set(_WORD.findall(text.lower())) for text in batch.column("t").to_pylist()]
+            held = [[known[t] for t in {t for w in ws for t in terms_of(w)} if t in known] for ws in words]
+            family = [min((xxhash.xxh64_intdigest(w) >> 1 for w in ws), default=0) for ws in words]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32())), pa.array(family, pa.int64())],
+                                             names=["held", "family"])
     return run
 
 
 def learn_lexicon(sample: DataFrame) -> frozenset[str]:
-    """Terms of (t, y) rows that cover the toxic ones: each added term holds for ``MIN_GAIN`` toxic texts that no
-    earlier one covers, and ``MIN_PURITY`` of its texts are toxic.  The sample is bounded, and so is what the driver
-    gets of it."""
+    """Toxic terms of (t, y) rows.  The sample is bounded, and so is what the driver gets of it.
+
+    A term's texts must be toxic for a share of ``MIN_PURITY``.  Terms of
+    share ``PURE`` whose toxic texts are of many families are taken; a family
+    is texts with the same least word hash, such as near copies, all of whose
+    rare words would look toxic.  Of the others, a term is added while
+    ``MIN_GAIN`` toxic texts hold it and no earlier one.
+    """
     sums = sample.mapInArrow(_term_counts, "term string, n long, toxic long").groupBy("term").agg(
         F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     good = sums.where((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= F.col("n") * MIN_PURITY)).toArrow().to_pylist()
-    terms = sorted(r["term"] for r in good)
+    purity = {r["term"]: r["toxic"] / r["n"] for r in good}
+    terms = sorted(purity)
     if not terms:
         return frozenset()
     sent = sample.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
-    held = sample.where("y = 1").mapInArrow(_incidence(sent), "held array<int>").toArrow().column("held").to_pylist()
+    found = sample.where("y = 1").mapInArrow(_incidence(sent), "held array<int>, family long").toArrow()
     texts: list[set[int]] = [set() for _ in terms]
-    for i, ids in enumerate(held):
+    families: list[set[int]] = [set() for _ in terms]
+    for i, (ids, family) in enumerate(zip(found.column("held").to_pylist(), found.column("family").to_pylist())):
         for t in ids:
             texts[t].add(i)
-    chosen, covered = [], set()
-    order = {r["term"]: (r["toxic"] / r["n"], r["term"].endswith("-")) for r in good}
-    live = set(range(len(terms)))
+            families[t].add(family)
+    chosen = [t for t, term in enumerate(terms)
+              if purity[term] >= PURE and len(families[t]) >= max(MIN_TOXIC, MIN_FAMILIES * len(texts[t]))]
+    covered = set().union(*(texts[t] for t in chosen))
+    live = set(range(len(terms))) - set(chosen)
     while live:
         best, gain = None, ()
         for t in list(live):
             new = len(texts[t] - covered)
             if new < MIN_GAIN:
                 live.discard(t)
-            elif (g := (new * order[terms[t]][0] ** 4, order[terms[t]], terms[t])) > gain:
+            elif (g := (new * purity[terms[t]] ** 4, terms[t])) > gain:
                 best, gain = t, g
-        if best is None:
-            break
-        chosen.append(terms[best])
-        covered |= texts[best]
-        live.discard(best)
-    return frozenset(chosen)
+        if best is not None:
+            chosen.append(best)
+            covered |= texts[best]
+    return frozenset(terms[t] for t in chosen)
 
 
 def _features(lexicon, column: int, keep: list[int], schema: pa.Schema):
@@ -216,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     train, rest = rows.where(~apart), rows.where(apart)
     if train.select("y").distinct().count() < 2 or rest.isEmpty():
         train = rest = rows
-    booster = GBTClassifier(featuresCol="__vector", labelCol="y", maxIter=TREES, maxDepth=DEPTH, seed=seed,
+    booster = GBTClassifier(featuresCol="__vector", labelCol="y", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=10, seed=seed,
                             predictionCol="__prediction").setRawPredictionCol("__raw").setProbabilityCol("__probability")
     model = ToxicityModel(lexicon, booster.fit(train.withColumn("__vector", array_to_vector("__features"))), None)
     steps = IsotonicRegression(featuresCol="__margin", labelCol="y", predictionCol="__calibrated")
