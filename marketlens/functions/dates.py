@@ -7,9 +7,9 @@ folds the date into every horizon predicate and pushes ``ts < ref`` into
 the Parquet scan.  With many dates the dates are a literal array on each
 row: ``explode(dates)`` then ``ts < dtRef`` -- a generator in the same
 stage as the scan, no join and no shuffle, and the partial aggregation that
-follows runs before any exchange, so shuffle volume is per (date, group)
-rather than per fact.  The array is built from driver-side parameters, so
-its size is known up front and bounded by :data:`MAX_SNAPSHOTS`.
+follows runs before any exchange.  Builders reduce facts to a date-free grain
+first, where the features allow it, and attach the dates to that.  The array
+is built from driver-side parameters.
 """
 
 from __future__ import annotations
@@ -17,21 +17,23 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.horizons import REF
 
-MAX_SNAPSHOTS = 5000
 DateLike = str | dt.date | dt.datetime
 
 
 def to_date(d: DateLike) -> dt.date:
+    """A reference date is a day: a time of day other than midnight is an error, not cut off."""
+    if isinstance(d, str):
+        d = dt.datetime.fromisoformat(d.strip())
     if isinstance(d, dt.datetime):
+        if d.time() != dt.time.min:
+            raise ValueError(f"reference dates are days; {d} has a time")
         return d.date()
-    if isinstance(d, dt.date):
-        return d
-    return dt.date.fromisoformat(str(d)[:10])
+    return d
 
 
 def snapshot_dates(refs: DateLike | Iterable[DateLike]) -> tuple[dt.date, ...]:
@@ -40,8 +42,6 @@ def snapshot_dates(refs: DateLike | Iterable[DateLike]) -> tuple[dt.date, ...]:
     dates = tuple(sorted({to_date(r) for r in refs}))
     if not dates:
         raise ValueError("at least one reference date is required")
-    if len(dates) > MAX_SNAPSHOTS:
-        raise ValueError(f"{len(dates)} snapshot dates exceed the bound of {MAX_SNAPSHOTS}")
     return dates
 
 
@@ -69,9 +69,8 @@ def as_of(df: DataFrame, ts: str, refs: DateLike | Iterable[DateLike], inclusive
     return df.where(t <= ref if inclusive else t < ref)
 
 
-def ref_literal(refs: DateLike | Iterable[DateLike]) -> Column:
-    """The reference date as a literal when there is exactly one."""
-    dates = snapshot_dates(refs)
-    if len(dates) != 1:
-        raise ValueError("a single reference date is required here")
-    return F.lit(dates[0])
+def keep_ref(df: DataFrame, refs: DateLike | Iterable[DateLike], with_ref: bool) -> DataFrame:
+    """``df`` with ``dtRef`` or without; rows of several dates cannot go without."""
+    if not with_ref and len(snapshot_dates(refs)) > 1:
+        raise ValueError("several reference dates need with_ref=True")
+    return df if with_ref else df.drop(REF)

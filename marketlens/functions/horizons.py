@@ -56,7 +56,3 @@ def within(h: Horizon, ts: str | Column, value: Column, otherwise: Column | int
     if otherwise is not None:
         expr = expr.otherwise(otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
     return expr
-
-
-def names(stem: str, hs: Iterable[Horizon]) -> list[str]:
-    return [f"{stem}{h.name}" for h in hs]

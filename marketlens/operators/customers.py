@@ -24,7 +24,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.dates import DateLike, as_of
+from marketlens.functions.dates import DateLike, as_of, snapshot_dates
 from marketlens.functions.horizons import REF, ref_col
 from marketlens.functions.ratios import safe_ratio
 from marketlens.sources.marketplace import Marketplace
@@ -41,8 +41,10 @@ def seller_customer_orders(mk: Marketplace, refs: DateLike | list[DateLike]) ->
     o = mk.orders.select("order_id", "customer_id", TS)
     i = mk.items.select("order_id", "seller_id")
     c = mk.customers.select("customer_id", "customer_unique_id")
-    rows = o.join(i, "order_id").join(c, "customer_id")
-    return as_of(rows, TS, refs).select(*KEY, "order_id", "customer_unique_id", TS).distinct()
+    last = F.lit(snapshot_dates(refs)[-1])
+    rows = o.where(F.col(TS) < last).join(i, "order_id").join(c, "customer_id")
+    pairs = rows.select("seller_id", "order_id", "customer_unique_id", TS).distinct()  # date-free; dates come after
+    return as_of(pairs, TS, refs).select(*KEY, "order_id", "customer_unique_id", TS)
 
 
 def _lo(days: int | None) -> Column:

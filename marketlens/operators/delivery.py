@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import horizons as H
-from marketlens.functions.dates import DateLike, as_of, snapshot_dates
+from marketlens.functions.dates import DateLike, as_of, keep_ref
 from marketlens.functions.horizons import REF, within
 from marketlens.functions.money import to_double, units
 from marketlens.functions.ratios import mean, safe_ratio, stddev_from_moments
@@ -118,20 +118,15 @@ SNAPSHOT_ORDER = ["freight_ratio", "freight_avg", "delivery_times", "early_late_
                   "delivery_diff_percentiles", "seller_dispatch_times", "delivery_consistency"]
 
 
-def _finish(df: DataFrame, refs, with_ref: bool | None) -> DataFrame:
-    keep = len(snapshot_dates(refs)) > 1 if with_ref is None else with_ref
-    return df if keep else df.drop(REF)
-
-
 def delivery_features(mk: Marketplace, refs: DateLike | list[DateLike], families: list[str],
-                      with_ref: bool | None = None, inclusive: bool = True) -> DataFrame:
+                      with_ref: bool = False, inclusive: bool = True) -> DataFrame:
     items = shipped_items(mk, refs, inclusive)
     sc = {"price": units(mk.items, "price")[1], "freight": units(mk.items, "freight_value")[1]}
     cols = [c for fam in families for c in FAMILIES[fam](sc)]
-    return _finish(items.groupBy(*KEY).agg(*cols), refs, with_ref)
+    return keep_ref(items.groupBy(*KEY).agg(*cols), refs, with_ref)
 
 
-def delivery_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: bool | None = None,
+def delivery_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: bool = False,
                       inclusive: bool = True) -> DataFrame:
     """All 27 delivery features, one row per seller with items up to ``ref`` (inclusive)."""
     return delivery_features(mk, refs, SNAPSHOT_ORDER, with_ref, inclusive)

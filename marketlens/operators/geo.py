@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.dates import DateLike, as_of, snapshot_dates
+from marketlens.functions.dates import DateLike, as_of, keep_ref, snapshot_dates
 from marketlens.functions.horizons import REF
 from marketlens.functions.geo import haversine_km, zip_centroids
 from marketlens.functions.money import to_double, units_at
@@ -74,16 +74,19 @@ def capital_flag(city: Column) -> Column:
 
 
 def seller_order_revenue(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """product, freight and total revenue per (dtRef, seller, order) before each reference date."""
-    o = mk.orders.select("order_id", "customer_id", TS)
+    """product, freight and total revenue per (dtRef, seller, order) before each reference date.
+
+    Items are rolled up to the order once; the dates are attached to that.
+    """
+    o = mk.orders.select("order_id", "customer_id", TS).where(F.col(TS) < F.lit(snapshot_dates(refs)[-1]))
     (price, freight), _ = units_at(mk.items, ["price", "freight_value"])
     i = mk.items.select("order_id", "seller_id", price.alias("price_u"), freight.alias("freight_u"))
-    dated = as_of(o.join(i, "order_id"), TS, refs)
-    return dated.groupBy(REF, "seller_id", "order_id", "customer_id", TS).agg(
+    rolled = o.join(i, "order_id").groupBy("seller_id", "order_id", "customer_id", TS).agg(
         F.sum("price_u").alias("receita_produto"),
         F.sum("freight_u").alias("receita_frete"),
         F.sum(F.col("price_u") + F.col("freight_u")).alias("receita_total"),
     )
+    return as_of(rolled, TS, refs)
 
 
 def revenue_scale(mk: Marketplace) -> int | None:
@@ -94,6 +97,9 @@ def revenue_scale(mk: Marketplace) -> int | None:
 def seller_attributes(sellers: DataFrame) -> DataFrame:
     """Seller place, region and capital flag (F46, F47).  Optional columns override the rules."""
     cols = set(sellers.columns)
+    first = F.min(F.struct("seller_state", "seller_city", "seller_zip_code_prefix",
+                           *[c for c in ("seller_region", "seller_is_capital") if c in cols]))
+    sellers = sellers.groupBy("seller_id").agg(first.alias("p")).select("seller_id", "p.*")
     region = F.col("seller_region") if "seller_region" in cols else region_of(F.col("seller_state"))
     capital = F.col("seller_is_capital") if "seller_is_capital" in cols else capital_flag(F.col("seller_city"))
     return sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
@@ -102,30 +108,39 @@ def seller_attributes(sellers: DataFrame) -> DataFrame:
 
 def base_seller_orders(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
     """Every seller x its orders per reference date (one NULL-order row for idle sellers), with places
-    and distance."""
+    and distance.
+
+    Customers and sellers are one row per id: of repeated ids the smallest (state, city, zip) counts, so an
+    order is one row per seller and order counts are counts of distinct orders.
+    """
     geo = zip_centroids(mk.geolocation)
     gs = geo.select(F.col("geolocation_zip_code_prefix").alias("s_zip"),
                     F.col("latitude").alias("seller_latitude"), F.col("longitude").alias("seller_longitude"))
     gc = geo.select(F.col("geolocation_zip_code_prefix").alias("c_zip"),
                     F.col("latitude").alias("customer_latitude"), F.col("longitude").alias("customer_longitude"))
-    cust = mk.customers.select(F.col("customer_id").alias("c_id"), "customer_zip_code_prefix", "customer_city",
-                               "customer_state")
+    place = F.struct("customer_state", "customer_city", "customer_zip_code_prefix")
+    cust = mk.customers.groupBy(F.col("customer_id").alias("c_id")).agg(F.min(place).alias("p")).select(
+        "c_id", "p.customer_zip_code_prefix", "p.customer_city", "p.customer_state")
     so = seller_order_revenue(mk, refs)
     dates = snapshot_dates(refs)
     sellers = seller_attributes(mk.sellers)
     # sellers LEFT JOIN orders, written as (orders JOIN sellers) UNION (sellers without orders):
     # the inner join can broadcast the seller dimension, so a seller holding a third of all
     # orders is never gathered into one join partition; idle sellers come from an anti join
-    # against the distinct sellers that sold.
-    with_orders = so.join(sellers, "seller_id")
-    every_date = sellers.withColumn(REF, F.explode(F.array(*[F.lit(d) for d in dates])))
-    idle = every_date.join(so.select(REF, "seller_id").distinct(), [REF, "seller_id"], "left_anti")
-    base = (
-        with_orders.unionByName(idle, allowMissingColumns=True)
+    # against the first sale of each seller, and are added after the joins: without an order they
+    # have nothing to join.
+    joined = (
+        so.join(sellers, "seller_id")
         .join(cust, F.col("customer_id") == F.col("c_id"), "left")
         .join(gs, F.col("seller_zip_code_prefix") == F.col("s_zip"), "left")
         .join(gc, F.col("customer_zip_code_prefix") == F.col("c_zip"), "left")
     )
+    every_date = sellers.withColumn(REF, F.explode(F.array(*[F.lit(d) for d in dates])))
+    sold = mk.orders.join(mk.items.select("order_id", "seller_id"), "order_id").groupBy("seller_id").agg(
+        F.min(TS).alias("first_sale"))
+    idle = every_date.join(sold, "seller_id", "left").where(
+        F.col("first_sale").isNull() | (F.col("first_sale") >= F.col(REF))).drop("first_sale")
+    base = joined.unionByName(idle, allowMissingColumns=True)
     coords = [F.col(c) for c in ("seller_latitude", "seller_longitude", "customer_latitude", "customer_longitude")]
     known = F.col("order_id").isNotNull()
     for c in coords:
@@ -172,9 +187,9 @@ def seller_summary(base: DataFrame) -> DataFrame:
     )
 
 
-def destination_states(base: DataFrame) -> DataFrame:
-    """(seller, customer state) -> orders; the NULL state is a group of its own."""
-    return base.groupBy(REF, "seller_id", "customer_state").agg(F.count("order_id").alias("n"))
+def destination_states(cities: DataFrame) -> DataFrame:
+    """(seller, customer state) -> orders, from the cities; the NULL state is a group of its own."""
+    return cities.groupBy(REF, "seller_id", "customer_state").agg(F.sum("n").alias("n"))
 
 
 def destination_cities(base: DataFrame) -> DataFrame:
@@ -248,19 +263,20 @@ def peers(summary: DataFrame, part: list[str], out: str) -> DataFrame:
         safe_ratio(F.sum("qtd_pedidos_seller"), F.count("qtd_pedidos_seller")).alias(out))
 
 
-def coverage_gap(base: DataFrame, states: DataFrame) -> DataFrame:
+def coverage_gap(market: DataFrame, states: DataFrame, sellers: DataFrame) -> DataFrame:
     """F58 per seller: positive gap sum, absolute gap sum, coverage score (exact rational form).
 
-    Market totals per date (T, including the NULL state, and Dnn over the
-    other states) are a table with one row per snapshot date, joined on dtRef.
+    ``market`` has the distinct orders of each customer state.  Market totals
+    per date (T, including the NULL state, and Dnn over the other states) are
+    a table with one row per snapshot date, so it is broadcast.
     """
-    market = _distinct_orders(base, ["customer_state"])
     totals = market.groupBy(REF).agg(
         F.sum("orders").alias("t_all"),
         F.sum(F.when(F.col("customer_state").isNotNull(), F.col("orders"))).alias("d_nonnull"))
     present = states.where(F.col("customer_state").isNotNull() & (F.col("n") > 0)).join(
         market.select(REF, "customer_state", F.col("orders").alias("d_mkt")), [REF, "customer_state"])
     per_seller = Window.partitionBy(*KEY)
+    totals = F.broadcast(totals)
     present = present.withColumn("n_seller", F.sum("n").over(per_seller)).join(totals, REF)
     t = F.col("t_all").cast(DEC)
     diff = F.col("n").cast(DEC) * t - F.col("d_mkt").cast(DEC) * F.col("n_seller").cast(DEC)
@@ -270,8 +286,7 @@ def coverage_gap(base: DataFrame, states: DataFrame) -> DataFrame:
         F.sum(F.greatest(diff, F.lit(0).cast(DEC))).alias("pos_num"),
         F.sum("d_mkt").alias("d_present"),
     )
-    sellers = base.select(*KEY).distinct()
-    s = sellers.join(g, KEY, "left").join(totals, REF, "left")
+    s = sellers.select(*KEY).join(g, KEY, "left").join(totals, REF, "left")
     total, nonnull = F.col("t_all"), F.col("d_nonnull")
     n_dec = F.col("n_seller").cast(DEC)
     served = F.col("n_seller") > 0
@@ -329,7 +344,7 @@ SNAPSHOT_COLS = [
 ]
 
 
-def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: bool | None = None) -> DataFrame:
+def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: bool = False) -> DataFrame:
     """All 50 location features plus seller_id, for every seller (idle ones included).
 
     The (seller, order) base feeds a dozen aggregates; it is checkpointed once
@@ -337,9 +352,11 @@ def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: boo
     """
     base = materialize(base_seller_orders(mk, refs), "geo_base")
     s = seller_summary(base)
-    states, cities = destination_states(base), destination_cities(base)
+    cities = destination_cities(base)
+    states = destination_states(cities)
     vol_state, vol_city = place_volume(base)
-    mkt_state = _distinct_orders(base, ["customer_state"], revenue=True).select(
+    market = _distinct_orders(base, ["customer_state"], revenue=True)
+    mkt_state = market.select(
         REF, F.col("customer_state").alias("seller_state"), F.col("orders").alias("mkt_orders_state"),
         F.col("revenue").alias("mkt_revenue_state"))
     mkt_city = _distinct_orders(base, ["customer_state", "customer_city"], revenue=True).select(
@@ -358,7 +375,7 @@ def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: boo
          .join(mkt_city, [REF, "seller_state", "seller_city"], "left")
          .join(peer_state, [REF, "seller_state"], "left")
          .join(peer_city, [REF, "seller_state", "seller_city"], "left")
-         .join(coverage_gap(base, states), KEY, "left"))
+         .join(coverage_gap(market, states, s), KEY, "left"))
 
     c = F.col
     qtd = c("qtd_pedidos_seller")
@@ -426,8 +443,8 @@ def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: boo
         "score_cobertura_estado": F.coalesce(c("score_cobertura_estado"), F.lit(0.0)),
         "flag_seller_sem_pedido": F.when(qtd == 0, 1).otherwise(0),
     }
-    keep_ref = len(snapshot_dates(refs)) > 1 if with_ref is None else with_ref
-    return j.select(*([F.col(REF)] if keep_ref else []), *[cols[name].alias(name) for name in SNAPSHOT_COLS])
+    out = j.select(REF, *[cols[name].alias(name) for name in SNAPSHOT_COLS])
+    return keep_ref(out, refs, with_ref)
 
 
 def geo_features(mk: Marketplace, ref: DateLike, family: str) -> DataFrame:

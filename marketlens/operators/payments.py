@@ -87,9 +87,15 @@ MEASURES = (["n_paid", "vlr_total", "qtde_total", "inst_sum", "inst_cnt"]
             + [f"vlr_{m}" for m in ALL_METHODS] + [f"qtde_{m}" for m in ALL_METHODS])
 
 
-def windowed_totals(base: DataFrame) -> DataFrame:
+def windowed_totals(base: DataFrame, exact: bool = True) -> DataFrame:
     """Per (seller, month m): each measure summed over [m - n days, m) and over all days before m.
 
+    ``exact``: the measures are whole numbers, so differences of running sums
+    are exact.  Values summed as doubles are not: a difference would keep the
+    rounding of all earlier payments, and one infinite value would spoil every
+    later window.  They are summed window by window instead, each sum over its
+    own days only.
+
     One running sum per seller over its day axis (``rangeBetween(unbounded, -1)``,
     an incremental frame) evaluated at marker rows placed on day m and on the
     window starts m - n; a window total is ``run(m) - run(m - n)``.  Sliding
@@ -98,13 +104,20 @@ def windowed_totals(base: DataFrame) -> DataFrame:
     ratio over a count or a total -- is NULL exactly as with a NULL sum.
     """
     daily = _daily(base).withColumn("month", F.lit(None).cast("date")).withColumn("kind", F.lit(None).cast("string"))
-    grid = seller_month_grid(base)
-    starts = [("m", F.col("month"))] + [(name, F.date_sub("month", days)) for name, days in WINDOWS if days]
+    grid = seller_month_grid(daily.withColumnRenamed("day", TS))
+    starts = [("m", F.col("month"))] + [(name, F.date_sub("month", days)) for name, days in WINDOWS if days and exact]
     markers = grid.select("seller_id", "month", F.inline(F.array(*[
         F.struct(F.lit(kind).alias("kind"), day.alias("day")) for kind, day in starts])))
     markers = markers.select("seller_id", "day", *[F.lit(None).alias(m) for m in MEASURES], "month", "kind")
     rows = daily.unionByName(markers).withColumn("dayno", F.datediff("day", F.lit(EPOCH)))
-    before = Window.partitionBy("seller_id").orderBy("dayno").rangeBetween(Window.unboundedPreceding, -1)
+    per_seller = Window.partitionBy("seller_id").orderBy("dayno")
+    if not exact:
+        sums = [F.coalesce(F.sum(m).over(per_seller.rangeBetween(-days if days else Window.unboundedPreceding, -1)),
+                           F.lit(0)).alias(f"{m}__{name}") for name, days in WINDOWS for m in MEASURES]
+        run = rows.select("seller_id", "month", "kind", *sums).where("kind IS NOT NULL")
+        return run.select("seller_id", F.date_format("month", "yyyyMM").alias("ref_month"),
+                          *[f"{m}__{name}" for name, _ in WINDOWS for m in MEASURES])
+    before = per_seller.rangeBetween(Window.unboundedPreceding, -1)
     run = rows.select("seller_id", "month", "kind",
                       *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in MEASURES]).where("kind IS NOT NULL")
     aggs = []
@@ -142,8 +155,9 @@ SNAPSHOT_ORDER = ["payment_avg_value", "payment_installments", "payment_count_sh
 
 
 def payment_features(mk: Marketplace, cutoff: DateLike, families: list[str] | None = None) -> DataFrame:
-    totals = windowed_totals(seller_orders(mk, cutoff))
-    fam = family_columns(value_scale(mk.payments))
+    scale = value_scale(mk.payments)
+    totals = windowed_totals(seller_orders(mk, cutoff), exact=scale is not None)
+    fam = family_columns(scale)
     return totals.select("seller_id", "ref_month", *[c for f in (families or SNAPSHOT_ORDER) for c in fam[f]])
 
 

@@ -99,8 +99,7 @@ def product_sale_flags_from_days(mk: Marketplace, refs: DateLike | list[DateLike
     Items are reduced to the distinct sale days of each (seller, product)
     (a set bounded by the calendar, not by volume), the snapshot dates are
     attached after the first sale, and each horizon flag tests the day list
-    directly.  Used for multi-date builds, where aggregating the exploded
-    items to this grain was the costliest step.
+    directly.  The snapshot uses it for any number of dates.
     """
     last = snapshot_dates(refs)[-1]
     sold = item_base(mk).where(F.col(TS) < F.lit(last))
@@ -409,9 +408,7 @@ def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], material
     """
     items = sold_items(mk, refs, materialized)
     cat_flags = category_sale_flags(items)
-    # Many dates: flags from each product's sale days (no aggregation over the exploded items).
-    many = len(snapshot_dates(refs)) > 1
-    prod_flags = product_sale_flags_from_days(mk, refs) if many else product_sale_flags(items)
+    prod_flags = product_sale_flags_from_days(mk, refs)
     diversity = catalog_diversity(cat_flags, prod_flags)
     out = (
         diversity

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import horizons as H
-from marketlens.functions.dates import DateLike, as_of
+from marketlens.functions.dates import DateLike, as_of, snapshot_dates
 from marketlens.functions.horizons import REF, in_horizon, ref_col
 from marketlens.functions.ratios import safe_ratio, stddev_from_moments
 from marketlens.sources.marketplace import Marketplace
@@ -30,13 +30,17 @@ def review_rows(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
     o = mk.orders.select("order_id", TS)
     r = mk.reviews.select(F.col("order_id").alias("review_order_id"), "review_score", "review_creation_date")
     i = mk.items.select(F.col("order_id").alias("item_order_id"), "seller_id")
-    rows = (o.join(r, o.order_id == r.review_order_id, "left")
+    o = o.where(F.col(TS) < F.lit(snapshot_dates(refs)[-1]))
+    return (o.join(r, o.order_id == r.review_order_id, "left")
             .join(i, o.order_id == i.item_order_id, "left"))
-    return as_of(rows, TS, refs)
 
 
-def per_order(rows: DataFrame) -> DataFrame:
-    """One row per (dtRef, seller, order): flags and exact partial sums."""
+def per_order(rows: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    """One row per (dtRef, seller, order): flags and exact partial sums.
+
+    The rows are reduced to (seller, order), with the days of the order's
+    reviews, before the reference dates are attached.
+    """
     score = F.col("review_score")
     rdate = F.to_date("review_creation_date")
     aggs = [
@@ -47,10 +51,15 @@ def per_order(rows: DataFrame) -> DataFrame:
         F.sum(score * score).alias("s2"),
         *[F.sum(F.when(score == k, 1).otherwise(0)).alias(f"c{k}") for k in range(1, 6)],
         F.max(F.when(F.col("review_order_id").isNotNull(), 1).otherwise(0)).alias("has_review"),
-        *[F.max(F.when(rdate.between(F.date_sub(ref_col(), w.days), ref_col()), 1).otherwise(0)).alias(f"rv{w.name}")
-          for w in WINDOWS],
+        F.collect_set(rdate).alias("review_days"),
     ]
-    return rows.groupBy(*KEY, "order_id", TS).agg(*aggs)
+    orders = as_of(rows.groupBy("seller_id", "order_id", TS).agg(*aggs), TS, refs)
+
+    def reviewed(days: int) -> Column:
+        lo, hi = F.date_sub(ref_col(), days), ref_col()
+        return F.exists("review_days", lambda d: (d >= lo) & (d <= hi)).cast("int")
+
+    return orders.withColumns({f"rv{w.name}": reviewed(w.days) for w in WINDOWS})
 
 
 def _sum_in(w, c: Column | str) -> Column:
@@ -118,7 +127,7 @@ SNAPSHOT_ORDER = ["review_counts", "review_coverage", "review_score_stats", "rev
 
 def reputation_features(mk: Marketplace, refs: DateLike | list[DateLike], families: list[str],
                         seller_col: str = "seller_id") -> DataFrame:
-    sums = reputation_sums(per_order(review_rows(mk, refs)))
+    sums = reputation_sums(per_order(review_rows(mk, refs), refs))
     fam = family_columns()
     cols = [col for f in families for col in fam[f]]
     return sums.select(F.col(REF), F.col("seller_id").alias(seller_col), *cols)

@@ -8,47 +8,23 @@
 
 Every group but payments builds the whole month spine in one job and
 replaces exactly those snapshot partitions.  Payments covers every month
-with a sale in one build and is overwritten as a whole table (S13).
+with a sale before ``--ref`` in one build and is overwritten as a whole table
+(S13); a spine is refused for it.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame
-
 from marketlens.functions.dates import month_starts, snapshot_dates
-from marketlens.functions.horizons import REF
-from marketlens.operators import customers, delivery, geo, payments, products, reputation
 from marketlens.plans import snapshots
 from marketlens.session import get_spark
-from marketlens.sources.marketplace import Marketplace, from_catalog, from_parquet
-
-MULTI_DATE = {
-    "products": products.products_snapshot,
-    "reputation": reputation.reputation_snapshot,
-    "customers": customers.customers_snapshot,
-    "delivery": lambda mk, refs: delivery.delivery_snapshot(mk, refs, with_ref=True),
-    "geo": lambda mk, refs: geo.geo_snapshot(mk, refs, with_ref=True),
-}
-GROUPS = (*MULTI_DATE, "payments")
-
-
-# Snapshot column each table is partitioned by.
-PARTITION = {"customers": "dtSafra", "payments": None}
-
-
-def build(group: str, mk: Marketplace, dates: list) -> DataFrame:
-    if group in MULTI_DATE:
-        return MULTI_DATE[group](mk, dates)
-    if group == "payments":
-        return payments.payments_snapshot(mk, max(dates))
-    raise ValueError(f"unknown group {group!r}; expected one of {GROUPS}")
+from marketlens.sources.marketplace import from_catalog, from_parquet
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("--group", required=True, choices=GROUPS)
+    ap.add_argument("--group", required=True, choices=list(snapshots.GROUPS))
     ap.add_argument("--ref", help="one reference date (yyyy-mm-dd)")
     ap.add_argument("--first", help="first month start of the spine")
     ap.add_argument("--last", help="last month start of the spine")
@@ -67,14 +43,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         ap.error("give --ref or both --first and --last")
 
+    if snapshots.GROUPS[args.group].whole and not args.ref:
+        ap.error(f"{args.group} covers every month before one date: give --ref")
+
     spark = get_spark()
     mk = from_catalog(spark, args.database) if args.database else from_parquet(spark, args.parquet_root)
-    df = build(args.group, mk, dates)
-    part = PARTITION.get(args.group, REF)
-    if part is None:
-        snapshots.overwrite_table(df, path=args.path, table=args.table)
-    else:
-        snapshots.replace_snapshots(df, path=args.path, table=args.table, partition_col=part)
+    snapshots.write_group(args.group, mk, dates, path=args.path, table=args.table)
 
 
 if __name__ == "__main__":

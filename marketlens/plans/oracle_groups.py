@@ -324,28 +324,20 @@ ge_mkt_c AS (SELECT customer_state, customer_city, COUNT(DISTINCT order_id) AS n
 ge_peer_e AS (SELECT seller_state, AVG(qtd) AS m FROM ge_seller GROUP BY seller_state),
 ge_peer_c AS (SELECT seller_state, seller_city, AVG(qtd) AS m FROM ge_seller GROUP BY ALL),
 ge_tot AS (SELECT SUM(n) AS t_all, SUM(CASE WHEN customer_state IS NOT NULL THEN n END) AS d_nonnull FROM ge_mkt_e),
-ge_ps AS (
-  SELECT p.seller_id, p.n AS n_st, m.n AS d_mkt, SUM(p.n) OVER (PARTITION BY p.seller_id) AS n_seller
-  FROM ge_dest_e p JOIN ge_mkt_e m ON m.customer_state = p.customer_state
-  WHERE p.customer_state IS NOT NULL
+ge_grid AS (
+  SELECT s.seller_id, m.customer_state, m.n AS d_mkt, COALESCE(p.n, 0) AS n_st, t.t_all,
+         SUM(COALESCE(p.n, 0)) OVER (PARTITION BY s.seller_id) AS n_seller
+  FROM (SELECT DISTINCT seller_id FROM ge_base) s
+  CROSS JOIN (SELECT * FROM ge_mkt_e WHERE customer_state IS NOT NULL) m CROSS JOIN ge_tot t
+  LEFT JOIN ge_dest_e p ON p.seller_id = s.seller_id AND p.customer_state = m.customer_state
 ),
-ge_gapagg AS (
-  SELECT seller_id, MAX(n_seller) AS n_seller,
-         SUM(ABS(CAST(n_st AS HUGEINT) * t.t_all - CAST(d_mkt AS HUGEINT) * n_seller)) AS abs_num,
-         SUM(GREATEST(CAST(n_st AS HUGEINT) * t.t_all - CAST(d_mkt AS HUGEINT) * n_seller, 0)) AS pos_num,
-         SUM(d_mkt) AS d_present
-  FROM ge_ps, ge_tot t GROUP BY seller_id
+ge_cell AS (
+  SELECT *, CASE WHEN n_seller > 0 THEN CAST(n_st AS HUGEINT) * t_all - CAST(d_mkt AS HUGEINT) * n_seller ELSE -d_mkt END AS gap,
+         CASE WHEN n_seller > 0 THEN CAST(n_seller AS HUGEINT) * t_all ELSE t_all END AS den FROM ge_grid
 ),
 ge_gap AS (
-  SELECT s.seller_id,
-    CASE WHEN COALESCE(t.d_nonnull, 0) = 0 THEN 0.0
-         WHEN g.n_seller > 0 THEN {dbl('g.pos_num')} / {dbl('CAST(g.n_seller AS HUGEINT) * t.t_all')}
-         ELSE 0.0 END AS pos,
-    CASE WHEN COALESCE(t.d_nonnull, 0) = 0 THEN NULL
-         WHEN g.n_seller > 0 THEN {dbl('g.abs_num + CAST(t.d_nonnull - g.d_present AS HUGEINT) * g.n_seller')}
-                                  / {dbl('CAST(g.n_seller AS HUGEINT) * t.t_all')}
-         ELSE {dbl('t.d_nonnull')} / {dbl('t.t_all')} END AS absg
-  FROM (SELECT DISTINCT seller_id FROM ge_base) s CROSS JOIN ge_tot t LEFT JOIN ge_gapagg g USING (seller_id)
+  SELECT seller_id, {dbl('SUM(GREATEST(gap, 0))')} / {dbl('MAX(den)')} AS pos, {dbl('SUM(ABS(gap))')} / {dbl('MAX(den)')} AS absg
+  FROM ge_cell GROUP BY seller_id
 ),
 ge_final AS (
   SELECT s.seller_id, s.seller_city, s.seller_state, s.regiao_seller, CAST(s.flag_seller_capital AS INTEGER)

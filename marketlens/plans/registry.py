@@ -31,6 +31,13 @@ from marketlens.sources.testdata import load_testdata
 REF_DATE = dt.date(2000, 1, 1)
 # Backfill spine of the testdata: 19 month starts (FIXTURES.md section 3).
 SPINE_FIRST, SPINE_LAST = dt.date(1999, 1, 1), dt.date(2000, 7, 1)
+SHORT_SPINE = month_starts(dt.date(1999, 11, 1), REF_DATE)
+# A date at which many sellers have not sold yet.
+IDLE_DATE = dt.date(1995, 1, 5)
+BACKFILLS = ("reputation", "customers", "delivery", "geo")
+# Every state of the region rule, one that it does not know, and no state; capitals as they may be written, and others.
+RULE_STATES = (*(x for states in G.REGION_STATES.values() for x in states), "XX", None)
+RULE_CITIES = (*G.CAPITALS, "sao paulo", "Rio de Janeiro", "campinas", "SANTOS", None)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,21 +70,48 @@ def product_queries() -> dict[str, Query]:
                                                                 with_ref=False),
         "backfill_products": backfill_products,
         "snapshot_readback": snapshot_readback,
+        "payments_overwrite": payments_overwrite,
+        **{f"backfill_{g}": (lambda s, sf, g=g: backfill_group(s, sf, g)) for g in BACKFILLS},
     }
 
 
 def backfill_products(s: SparkSession, sf: str) -> DataFrame:
     """R3 + R6 + X6: every month snapshot of the spine in one job."""
-    return S.build_many(P.products_snapshot, _mk(s, sf), month_starts(SPINE_FIRST, SPINE_LAST))
+    return P.products_snapshot(_mk(s, sf), month_starts(SPINE_FIRST, SPINE_LAST))
+
+
+def backfill_group(s: SparkSession, sf: str, group: str) -> DataFrame:
+    """R3 + R6 + X6: three month snapshots of a group, built and written by ``backfill`` and read back."""
+    path = S.scratch_path(s, f"backfill_{group}/{uuid.uuid4().hex}")
+    S.backfill(group, _mk(s, sf), SHORT_SPINE[0], SHORT_SPINE[-1], path=path)
+    return S.read_snapshot(s, path=path)
 
 
 def snapshot_readback(s: SparkSession, sf: str) -> DataFrame:
-    """Replace the snapshot twice (idempotent), read the partition back in key order."""
+    """Write three snapshots, replace the last (idempotent, the others stay), read all in key order."""
     path = S.scratch_path(s, f"snapshot_readback/{uuid.uuid4().hex}")
-    snap = P.products_snapshot(_mk(s, sf), REF_DATE)
-    S.replace_snapshots(snap, path=path)
-    S.replace_snapshots(snap, path=path)
-    return S.read_snapshot(s, path=path, ref=REF_DATE, order_by=["idSeller"]).select(*P.SNAPSHOT_COLS)
+    S.write_group("products", _mk(s, sf), SHORT_SPINE, path=path)
+    S.write_group("products", _mk(s, sf), SHORT_SPINE[-1:], path=path)
+    return S.read_snapshot(s, path=path, order_by=["idSeller"]).select(*P.SNAPSHOT_COLS)
+
+
+def payments_overwrite(s: SparkSession, sf: str) -> DataFrame:
+    """S13 + S9: overwrite the whole payment table, first up to an earlier date; read one month back in key order."""
+    path = S.scratch_path(s, f"payments_overwrite/{uuid.uuid4().hex}")
+    for ref in (SHORT_SPINE[0], REF_DATE):
+        S.write_group("payments", _mk(s, sf), [ref], path=path)
+    return S.read_snapshot(s, path=path, ref=SHORT_SPINE[1], group="payments", order_by=["seller_id"])
+
+
+def seller_region_rules(s: SparkSession, sf: str) -> DataFrame:
+    """F46, F47 by their default rules, on sellers in the states and cities that the rules name."""
+    n = F.col("s_suppkey")
+    state = F.element_at(F.array(*[F.lit(x) for x in RULE_STATES]), (n % len(RULE_STATES) + 1).cast("int"))
+    city = F.element_at(F.array(*[F.lit(x) for x in RULE_CITIES]), (n % len(RULE_CITIES) + 1).cast("int"))
+    sellers = s.read.parquet(f"{sf}/supplier.parquet").select(
+        n.alias("seller_id"), F.col("s_nationkey").alias("seller_zip_code_prefix"), city.alias("seller_city"),
+        state.alias("seller_state"))
+    return G.seller_attributes(sellers).select("seller_id", "seller_city", "seller_state", "regiao_seller", "flag_seller_capital")
 
 
 def delivery_queries() -> dict[str, Query]:
@@ -121,6 +155,8 @@ def payment_queries() -> dict[str, Query]:
 def geo_queries() -> dict[str, Query]:
     out: dict[str, Query] = {k: (lambda s, sf, k=k: G.geo_features(_mk(s, sf), REF_DATE, k)) for k in G.FAMILIES}
     out["geo_snapshot"] = lambda s, sf: G.geo_snapshot(_mk(s, sf), REF_DATE)
+    out["geo_snapshot_idle"] = lambda s, sf: G.geo_snapshot(_mk(s, sf), IDLE_DATE)
+    out["seller_region_rules"] = seller_region_rules
     out["zip_centroids"] = lambda s, sf: zip_centroids(_mk(s, sf).geolocation)
     out["order_distance"] = lambda s, sf: G.order_distance(_mk(s, sf), REF_DATE)
     return out
@@ -144,19 +180,46 @@ def queries() -> dict[str, Query]:
     return out
 
 
-def _backfill_oracle() -> str:
-    parts = [f"SELECT * FROM ({with_adapter(OP.ctes(d), OP.snapshot_select(d))})"
-             for d in month_starts(SPINE_FIRST, SPINE_LAST)]
+def _products_oracle(dates: list[dt.date]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({with_adapter(OP.ctes(d), OP.snapshot_select(d))})" for d in dates)
+
+
+def _group_oracle(build, name: str, with_ref: bool) -> str:
+    """A group's snapshots of the short spine, each by its own query."""
+    parts = []
+    for d in SHORT_SPINE:
+        ctes, sel = build(d)
+        parts.append(f"SELECT {f'DATE {chr(39)}{d}{chr(39)} AS dtRef, ' if with_ref else ''}* FROM ({with_adapter(ctes, sel[name])})")
     return "\nUNION ALL\n".join(parts)
 
 
+def _region_rules_oracle() -> str:
+    def q(x):
+        return "NULL" if x is None else f"'{x}'"
+
+    regions = " ".join(f"WHEN seller_state IN ({', '.join(map(q, states))}) THEN {q(region)}"
+                       for region, states in G.REGION_STATES.items())
+    return f"""SELECT seller_id, seller_city, seller_state, CASE {regions} ELSE {q(G.UNKNOWN_REGION)} END AS regiao_seller,
+  CASE WHEN upper(seller_city) IN ({', '.join(map(q, G.CAPITALS))}) THEN 1 ELSE 0 END::INTEGER AS flag_seller_capital
+FROM (SELECT s_suppkey AS seller_id, ([{', '.join(map(q, RULE_CITIES))}])[s_suppkey % {len(RULE_CITIES)} + 1] AS seller_city,
+        ([{', '.join(map(q, RULE_STATES))}])[s_suppkey % {len(RULE_STATES)} + 1] AS seller_state FROM supplier)"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = _oracles(OP.ctes(REF_DATE), OP.selects(REF_DATE))
-    out["backfill_products"] = _backfill_oracle()
-    out["snapshot_readback"] = out["products_snapshot"]
+    out["backfill_products"] = _products_oracle(month_starts(SPINE_FIRST, SPINE_LAST))
+    out["snapshot_readback"] = _products_oracle(SHORT_SPINE)
     for build in (OG.delivery, OG.reputation, OG.customers, OG.payments, OG.geo):
         ctes, sel = build(REF_DATE)
         out.update(_oracles(ctes, sel))
     ctes, _ = OG.payments(REF_DATE)
     out["order_payment_rollup"] = _rollup_oracle(ctes)
+    month = S.GROUPS["payments"].label(SHORT_SPINE[1])
+    out["payments_overwrite"] = f"SELECT * FROM ({out['payments_snapshot']}) WHERE ref_month = '{month}'"
+    for group, build, with_ref in (("reputation", OG.reputation, False), ("customers", OG.customers, False),
+                                   ("delivery", OG.delivery, True), ("geo", OG.geo, True)):
+        out[f"backfill_{group}"] = _group_oracle(build, f"{group}_snapshot", with_ref)
+    ctes, sel = OG.geo(IDLE_DATE)
+    out["geo_snapshot_idle"] = with_adapter(ctes, sel["geo_snapshot"])
+    out["seller_region_rules"] = _region_rules_oracle()
     return out

@@ -4,49 +4,100 @@ The reference deletes one snapshot and appends it again, per date, in a
 sequential loop -- two commits per date and one full scan of the history per
 date.  Here:
 
-* ``replace_snapshots`` writes a DataFrame partitioned by ``dtRef`` with
-  dynamic partition overwrite: the partitions present in the frame are
-  replaced in one step, the others are kept.  Re-running gives the same
-  table, and the first run needs no existing table.
-* ``backfill`` builds every date of the spine in one Spark job (facts are
-  attached to all their reference dates by a generator, see
-  :func:`marketlens.functions.dates.as_of`) and writes it once.
-* Builders that take one date only are unioned per date into one plan.
+* ``replace_snapshots`` writes a DataFrame partitioned by its snapshot column
+  with dynamic partition overwrite, whatever the session's mode: the
+  partitions present in the frame are replaced, the others are kept.
+  Re-running gives the same table, and the first run needs no existing table.
+* ``backfill`` builds every date of the spine in one Spark job and writes it
+  once.  The payment mix has every month with a sale in one build and no
+  reference date of its own; its table is overwritten as a whole.
+* ``GROUPS`` says for each feature group how it is built and which column
+  names a snapshot; the batch job and ``read_snapshot`` use the same.
 
 Tables are Parquet folders (``path``) or catalog tables (``table``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import DateLike, month_starts, snapshot_dates
 from marketlens.functions.horizons import REF
+from marketlens.operators import customers, delivery, geo, payments, products, reputation
 from marketlens.session import checkpoint_dir
 from marketlens.sources.marketplace import Marketplace
 
 MultiBuilder = Callable[[Marketplace, list], DataFrame]
-SingleBuilder = Callable[[Marketplace, DateLike], DataFrame]
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@dataclass(frozen=True)
+class Group:
+    """A feature group: its builder for many dates, and the column that names a snapshot.
+
+    ``label`` turns a reference date into a value of that column; ``whole``
+    says that one build has all snapshots up to the last date.
+    """
+
+    build: MultiBuilder
+    column: str = REF
+    label: Callable[[DateLike], object] = lambda d: snapshot_dates(d)[0]
+    whole: bool = False
+
+
+def _one_a_month(build: MultiBuilder) -> MultiBuilder:
+    def run(mk: Marketplace, refs: list) -> DataFrame:
+        months = [d.strftime("%Y-%m") for d in snapshot_dates(refs)]
+        if len(set(months)) < len(months):
+            raise ValueError("two reference dates in one month would give two rows a seller and snapshot month")
+        return build(mk, refs)
+    return run
+
+
+GROUPS: dict[str, Group] = {
+    "products": Group(products.products_snapshot),
+    "reputation": Group(reputation.reputation_snapshot),
+    "customers": Group(_one_a_month(customers.customers_snapshot), "dtSafra",
+                       lambda d: snapshot_dates(d)[0].replace(day=1)),
+    "delivery": Group(lambda mk, refs: delivery.delivery_snapshot(mk, refs, with_ref=True)),
+    "geo": Group(lambda mk, refs: geo.geo_snapshot(mk, refs, with_ref=True)),
+    "payments": Group(lambda mk, refs: payments.payments_snapshot(mk, max(refs)), "ref_month",
+                      lambda d: snapshot_dates(d)[0].strftime("%Y%m"), whole=True),
+}
+
+
+@contextmanager
+def _dynamic(spark: SparkSession) -> Iterator[None]:
+    """Dynamic partition overwrite for one write: ``insertInto`` takes the mode from the session only."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def replace_snapshots(df: DataFrame, path: str | None = None, table: str | None = None,
                       partition_col: str = REF) -> None:
-    """Replace exactly the snapshots contained in ``df`` (S10 + S11 as one atomic S12)."""
-    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
-         .format("parquet"))
-    if table:
-        if df.sparkSession.catalog.tableExists(table):
-            df.select(*df.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
+    """Replace exactly the snapshots contained in ``df`` (S10 + S11 as one S12)."""
+    # One snapshot is one folder: spread its rows over a bounded number of files, not over every task.
+    df = df.repartition(partition_col, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+    w = df.write.mode("overwrite").partitionBy(partition_col).format("parquet")
+    with _dynamic(df.sparkSession):
+        if table:
+            if df.sparkSession.catalog.tableExists(table):
+                df.select(*df.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
+            else:
+                w.saveAsTable(table)
+        elif path:
+            w.save(path)
         else:
-            w.saveAsTable(table)
-    elif path:
-        w.save(path)
-    else:
-        raise ValueError("path or table is required")
+            raise ValueError("path or table is required")
 
 
 def overwrite_table(df: DataFrame, path: str | None = None, table: str | None = None) -> None:
@@ -61,32 +112,33 @@ def overwrite_table(df: DataFrame, path: str | None = None, table: str | None =
 
 
 def read_snapshot(spark: SparkSession, path: str | None = None, table: str | None = None,
-                  ref: DateLike | None = None, order_by: Iterable[str] = ()) -> DataFrame:
-    """Read a snapshot table back (S9); ``ref`` prunes to one partition."""
+                  ref: DateLike | None = None, order_by: Iterable[str] = (), group: str = "products") -> DataFrame:
+    """Read a snapshot table of a feature group back (S9); ``ref`` keeps one snapshot."""
     df = spark.table(table) if table else spark.read.parquet(path)
     if ref is not None:
-        df = df.where(F.col(REF) == F.lit(snapshot_dates(ref)[0]))
+        df = df.where(F.col(GROUPS[group].column) == F.lit(GROUPS[group].label(ref)))
     order_by = list(order_by)
     return df.orderBy(*order_by) if order_by else df
 
 
-def build_many(builder: MultiBuilder, mk: Marketplace, dates: Iterable[DateLike]) -> DataFrame:
-    """All dates of the spine as one plan, for builders that accept a list of dates."""
-    return builder(mk, list(snapshot_dates(list(dates))))
-
-
-def build_each(builder: SingleBuilder, mk: Marketplace, dates: Iterable[DateLike]) -> DataFrame:
-    """Union of single-date builds (one plan, one write), for builders bound to one date."""
-    parts = [builder(mk, d).withColumn(REF, F.lit(d)) for d in snapshot_dates(list(dates))]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def write_group(group: str, mk: Marketplace, dates: Iterable[DateLike], path: str | None = None,
+                table: str | None = None) -> DataFrame:
+    """Build a group's snapshots of ``dates`` in one job and replace those, or the whole table where one build is all."""
+    g = GROUPS[group]
+    df = g.build(mk, list(snapshot_dates(list(dates))))
+    if g.whole:
+        overwrite_table(df, path=path, table=table)
+    else:
+        replace_snapshots(df, path=path, table=table, partition_col=g.column)
+    return df
 
 
-def backfill(builder: MultiBuilder, mk: Marketplace, first: DateLike, last: DateLike,
+def backfill(group: str, mk: Marketplace, first: DateLike, last: DateLike,
              path: str | None = None, table: str | None = None) -> DataFrame:
-    """Build the monthly spine ``first..last`` (R3) in one job and replace those snapshots."""
-    df = build_many(builder, mk, month_starts(first, last))
-    replace_snapshots(df, path=path, table=table)
-    return df
+    """Build the monthly spine ``first..last`` (R3) of a feature group and write it."""
+    if GROUPS[group].whole:
+        raise ValueError(f"{group} has no spine: one build has every month before its cutoff; use write_group")
+    return write_group(group, mk, month_starts(first, last), path, table)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

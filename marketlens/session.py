@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,32 +48,23 @@ def get_spark(
     return spark
 
 
-_FALLBACK_DIRS: dict[str, str] = {}
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     Read from the session: ``spark.checkpoint.dir``, else the context's
-    checkpoint dir.  Only when neither is set -- local runs and tests -- a
-    private folder under the system temp dir is created (and registered on
-    the context when there is one).
+    checkpoint dir.  A local session, whose executors are this process, may go
+    without and gets a temporary folder; on a cluster that folder would be
+    another one on every machine, so none is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    try:
-        sc = spark.sparkContext
-    except Exception:  # remote (Connect) sessions have no SparkContext
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    key = spark.conf.get("spark.app.id", "local")
-    if key not in _FALLBACK_DIRS:
-        _FALLBACK_DIRS[key] = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        if sc is not None:
-            sc.setCheckpointDir(_FALLBACK_DIRS[key])
-    return (sc.getCheckpointDir() if sc is not None else None) or _FALLBACK_DIRS[key]
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="marketlens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df, name: str = "stage"):

@@ -22,8 +22,10 @@ def test_month_starts_and_bounds():
                                                           dt.date(2017, 2, 1)]
     assert D.snapshot_dates(["2018-02-01", "2018-01-01", "2018-02-01"]) == (dt.date(2018, 1, 1),
                                                                            dt.date(2018, 2, 1))
-    with pytest.raises(ValueError):
-        D.snapshot_dates([dt.date(2000, 1, 1) + dt.timedelta(days=i) for i in range(D.MAX_SNAPSHOTS + 1)])
+    assert D.snapshot_dates(["2018-02-01 00:00:00", dt.datetime(2018, 2, 1)]) == (dt.date(2018, 2, 1),)
+    for late in ("2018-07-01 12:00:00", dt.datetime(2018, 7, 1, 12)):
+        with pytest.raises(ValueError):  # a time of day is not cut off
+            D.snapshot_dates(late)
 
 
 def test_as_of_exclusive_inclusive_and_many(spark):

@@ -205,7 +205,7 @@ def test_m17_snapshot_replace_is_idempotent(spark, tmp_path):
         products=[("p", "cat", 10, 1, 1000, 1, 1, 1)],
     )
     path = str(tmp_path / "fs_products")
-    first = S.build_many(P.products_snapshot, mk, ["2018-06-01", "2018-07-01"])
+    first = P.products_snapshot(mk, ["2018-06-01", "2018-07-01"])
     S.replace_snapshots(first, path=path)                    # first write: table absent
     S.replace_snapshots(P.products_snapshot(mk, "2018-07-01"), path=path)   # replace one snapshot
     S.replace_snapshots(P.products_snapshot(mk, "2018-07-01"), path=path)   # and again

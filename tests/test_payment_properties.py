@@ -1,7 +1,7 @@
 """Payment-mix windows on random histories against the brute-force range-join definition."""
 
 import datetime as dt
-from collections import defaultdict
+from dataclasses import replace
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -71,3 +71,21 @@ def test_payment_windows_match_range_join(spark, hist):
             g = got[key][k]
             assert (g is None and v is None) or (g is not None and v is not None and abs(g - v) <= 1e-12 * max(1, abs(v))), \
                 (key, k, g, v)
+
+
+def test_windows_of_doubles_are_sums_of_their_own_days(spark):
+    """Doubles of very different size, and an infinite one: an early payment leaves no trace in later windows."""
+    pays = {"o1": (400, 1e9 + 0.1), "o2": (390, float("inf")), "o3": (45, 0.2), "o4": (20, 0.1), "o5": (-1, 0.3)}
+    ref = dt.datetime.combine(CUTOFF, dt.time())
+    when = {o: ref - dt.timedelta(days=back) for o, (back, _) in pays.items()}
+    mk = marketplace(spark, orders=[order(o, "c", t.isoformat(sep=" ")) for o, t in when.items()],
+                     items=[item(o, 1, "p", "s1", 1) for o in pays])
+    payments = spark.createDataFrame([(o, "boleto", 1, v) for o, (_, v) in pays.items()],
+                                     "order_id string, payment_type string, payment_installments int, payment_value double")
+    found = PM.payments_snapshot(replace(mk, payments=payments), CUTOFF + dt.timedelta(days=9)).collect()
+    assert {r.ref_month for r in found} == {t.strftime("%Y%m") for t in when.values()}
+    for r in found:
+        month = dt.datetime.strptime(r.ref_month, "%Y%m")
+        for w, days in (("d28", 28), ("d56", 56), ("d365", 365), ("vida", 10**4)):
+            own = [pays[o][1] for o, t in when.items() if month - dt.timedelta(days=days) <= t < month]
+            assert r[f"avg_vlr_boleto_{w}"] == (sum(own) / len(own) if own else None)
