@@ -48,16 +48,15 @@ def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
 
 def presence(text: str, out: np.ndarray) -> bool:
     """Set the buckets of the text's n-grams in ``out``; whether it has letters."""
-    found = False
-    for a in range(0, len(text), PIECE):  # long texts in pieces that overlap by the longest n-gram
-        letters = _NOT_LETTERS.sub(" ", text[max(0, a - MAX_N):a + PIECE].lower())
-        found |= bool(letters.strip())
-        data = np.frombuffer(f" {letters} ".encode("utf-8", "replace"), np.uint8).astype(np.uint32)
+    letters = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    whole = np.frombuffer(f" {letters} ".encode("utf-8", "replace"), np.uint8)
+    for a in range(0, len(whole), PIECE):  # long texts in pieces that overlap by all but one byte of the longest n-gram
+        data = whole[a:a + PIECE + MAX_N - 1].astype(np.uint32)
         gram = np.zeros(len(data), np.uint32)
-        for n in range(1, MAX_N + 1):
+        for n in range(1, min(MAX_N, len(data)) + 1):
             gram = (gram[:len(data) - n + 1] << np.uint32(8)) | data[n - 1:]
             out[((gram + np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(16)] = 1
-    return found
+    return bool(letters)
 
 
 def _presences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
