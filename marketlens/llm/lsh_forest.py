@@ -1,19 +1,21 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
 Texts become sets of ``k``-word shingles.  Equal sets form a class.  Every
-class has one MinHash label in each tree of the forest; documents that share
-a prefix of a tree's label lie in one region of the tree's sorted order, and
-the longer the prefix, the more alike they are.  The depth is adaptive: each
-region is looked at at several depths, and neighbours of the longest common
-prefix weigh most.
-
-Rounds: every region that still holds two components names two of its members
-from different ones; each other member proposes itself to the nearest named
-member of another component, over all trees and depths, and tests its best
-proposal on the full shingle sets.  Confirmed links unite components; the
-regions that hold one component only are done.  A round costs at most one test
-a class, whatever the size of a region, and no group's pairs are ever listed.
-Rounds go on until ``patience`` of them in a row find no further link.
+class has one MinHash label in each tree of the forest, and every tree is a
+sorted order of the labels: the longer the common prefix of two labels, the
+more alike their classes are likely to be, and neighbours in the order are
+the candidates.  Classes that share a prefix of the base depth with no other
+in any tree are left alone.
+
+Rounds: each tree's labels are dealt by range and sorted, ties in an order
+drawn anew for each round, and neighbours of different components that share
+the base prefix are candidates, which weigh more the deeper they meet.  The
+first rounds test the best candidate of every class, the later ones all
+candidates among the nearest ``window`` neighbours whose signatures agree
+nearly enough.  A test compares the full shingle sets.  Confirmed links unite
+components, regions that hold one component drop out, so the window reaches
+further in what is left, and rounds go on until one finds no link.  No region
+is one task, and no group's pairs are ever listed.
 
 A pair at the threshold similarity 0.8 shares no base region of any tree with
 probability (1 - 0.8**4)**24 = 3e-6.
@@ -36,7 +38,9 @@ SHINGLE = 5
 PERCENT = 80
 TREES = 24
 DEPTHS = (4, 6, 9)
-PATIENCE = 2
+BEST_ROUNDS = 2
+WINDOW = 32
+SLACK = 0.06  # of agreeing signature parts below the threshold; 2.2 standard deviations of 216 parts at 0.8
 BLOCK = 1 << 14
 U32 = np.uint32
 
@@ -54,8 +58,8 @@ def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
             (r.integers(0, 1 << 31, n, dtype=np.uint32) * U32(2) + U32(1))[:, None])
 
 
-def tree_keys(shingles: np.ndarray, trees: int, depths: tuple[int, ...], functions) -> np.ndarray:
-    """Keys of one set's regions: tree by tree, a 64-bit key for each depth."""
+def signature(shingles: np.ndarray, functions) -> np.ndarray:
+    """The least value of every hash function over a set that is not empty."""
     flip, factor = functions
     low = np.full(len(flip), 0xFFFFFFFF, np.uint32)
     narrow = (shingles >> U(32)).astype(np.uint32)
@@ -63,35 +67,39 @@ def tree_keys(shingles: np.ndarray, trees: int, depths: tuple[int, ...], functio
         h = (narrow[None, a:a + BLOCK] ^ flip) * factor
         h ^= h >> U32(15)
         np.minimum(low, h.min(axis=1), out=low)
-    labels = low.astype(np.uint64).reshape(trees, depths[-1])
-    out, key = np.empty((trees, len(depths)), np.uint64), np.arange(trees, dtype=np.uint64)
-    for j in range(depths[-1]):
+    return low
+
+
+def tree_keys(labels: np.ndarray, depths: tuple[int, ...]) -> np.ndarray:
+    """64-bit keys of the prefixes of each tree's label, tree by tree; ``labels`` has a row a tree."""
+    labels = labels.astype(np.uint64)
+    out, key = np.empty((len(labels), len(depths)), np.uint64), np.arange(len(labels), dtype=np.uint64)
+    for j in range(labels.shape[1]):
         key = mixed(key * U(0x9E3779B97F4A7C15) + labels[:, j] + U(1))
         if j + 1 in depths:
             out[:, depths.index(j + 1)] = key
-    return out.ravel()
+    return out
 
 
 def _describe(k: int, trees: int, depths: tuple[int, ...]):
+    """(id, hash of text, set size, class, base keys) of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        functions = _functions(trees * depths[-1])
-        width = trees * len(depths)
+        base = [f.reshape(trees, depths[-1])[:, :depths[0]].reshape(-1, 1) for f in _functions(trees * depths[-1])]
         for batch in batches:
-            sizes, ids, keys, has = [], [], [], []
+            sizes, ids, keys = [], [], []
             for _, _, data, offsets in chunks_of(batch.column(2)):
                 w = words_of(data, offsets, NONBLANK)
                 for t in range(len(offsets) - 1):
                     s = shingle_set(w.hash[w.first[t]:w.first[t + 1]], k)
                     sizes.append(len(s))
-                    has.append(len(s) > 0)
-                    if len(s):
-                        both = np.array([np.add.reduce(s), np.bitwise_xor.reduce(s)]) + U(len(s))
-                        ids.append(mixed(both[:1] ^ mixed(both[1:]))[0])
-                        keys.append(tree_keys(s, trees, depths, functions))
-                    else:
+                    if not len(s):
                         ids.append(U(0))
+                        continue
+                    both = np.array([np.add.reduce(s), np.bitwise_xor.reduce(s)]) + U(len(s))
+                    ids.append(mixed(both[:1] ^ mixed(both[1:]))[0])
+                    keys.append(tree_keys(signature(s, base).reshape(trees, -1), depths[:1]).ravel())
             flat = np.concatenate(keys).astype(np.int64) if keys else np.zeros(0, np.int64)
-            at = np.concatenate([[0], np.cumsum(np.array(has, np.int32) * width)]).astype(np.int32)
+            at = np.concatenate([[0], np.cumsum((np.array(sizes) > 0) * trees)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                  pa.array(np.array(ids, np.uint64).astype(np.int64)), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
@@ -99,6 +107,58 @@ def _describe(k: int, trees: int, depths: tuple[int, ...]):
     return run
 
 
+def _labels(k: int, trees: int, depths: tuple[int, ...]):
+    """(class, text, set size, keys of all depths tree by tree, a byte of each signature part) of active classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions = _functions(trees * depths[-1])
+        for batch in batches:
+            sizes, keys, parts = [], [], []
+            for _, _, data, offsets in chunks_of(batch.column(1)):
+                w = words_of(data, offsets, NONBLANK)
+                for t in range(len(offsets) - 1):
+                    s = shingle_set(w.hash[w.first[t]:w.first[t + 1]], k)
+                    low = signature(s, functions)
+                    sizes.append(len(s))
+                    keys.append(tree_keys(low.reshape(trees, -1), depths).astype(np.int64).ravel().tolist())
+                    parts.append((low * U32(0x9E3779B1) >> U32(24)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                                              pa.array(keys, pa.list_(pa.int64())), pa.array(parts, pa.binary())],
+                                             names=["__cid", "__text", "__n", "__keys", "__parts"])
+    return run
+
+
+def _neighbours(depths: int, percent: int, window: int, least: float | None):
+    """Candidates among the ``window`` nearest of a sorted stream of (class, size, component, keys, parts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3 + depths)]
+            if least is not None:
+                joined = b"".join(batch.column(3 + depths).to_pylist())
+                now.append(np.frombuffer(joined, np.uint8).reshape(len(batch), -1))
+            old = 0 if held is None else len(held[0])
+            rows = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            found: dict[tuple[int, int], float] = {}
+            cid, n, comp, keys = rows[0], rows[1], rows[2], rows[3:3 + depths]
+            for lag in range(1, min(window, len(cid) - 1) + 1):
+                b = np.arange(max(lag, old), len(cid))
+                b = b[(keys[0][b] == keys[0][b - lag]) & (comp[b] != comp[b - lag])
+                      & (100 * np.minimum(n[b], n[b - lag]) >= percent * np.maximum(n[b], n[b - lag]))]
+                if least is not None and len(b):
+                    b = b[(rows[-1][b] == rows[-1][b - lag]).mean(axis=1) >= least]
+                a = b - lag
+                weight = sum((key[a] == key[b]) * 8.0**d for d, key in enumerate(keys))
+                for x, y, v in zip(np.minimum(cid[a], cid[b]).tolist(), np.maximum(cid[a], cid[b]).tolist(), weight):
+                    found[x, y] = found.get((x, y), 0.0) + v
+            held = [x[-window:] for x in rows]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64()),
+                                                  pa.array(list(found.values()), pa.float64())], names=["a", "b", "v"])
+    return run
+
+
 def _confirm(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,29 +173,35 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _proposals(entries: DataFrame, tested: DataFrame | None, depths: int, percent: int, turn: int) -> DataFrame:
-    """(a, b): for every class its best untested partner in another component, over all regions."""
-    rows = entries.select("__cid", "__n", "__comp", F.posexplode("__tree").alias("d", "key"))
-    member = F.struct(F.xxhash64(F.lit(turn), "__comp").alias("o"), F.xxhash64(F.lit(turn), "__cid").alias("p"),
-                      F.col("__comp").alias("comp"), F.col("__cid").alias("cid"), F.col("__n").alias("n"))
-    named = (rows.groupBy("key").agg(F.min(member).alias("x"), F.max(member).alias("y"))
-             .where(F.col("x.comp") != F.col("y.comp")))
-    partner = F.when(F.col("__comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y"))
-    met = rows.join(named, "key").select("__cid", "__n", "d", partner.alias("z"))
-    met = met.where(F.least("__n", "z.n") * 100 >= F.greatest("__n", "z.n") * percent)
-    scored = met.groupBy("__cid", F.col("z.cid").alias("__partner")).agg(
-        F.sum(F.pow(F.lit(8.0), F.col("d"))).alias("__score"))
-    scored = scored.select("__cid", "__score", F.least("__cid", "__partner").alias("a"),
-                           F.greatest("__cid", "__partner").alias("b"))
+def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None, depths: int, percent: int, turn: int,
+                best_rounds: int, window: int) -> DataFrame:
+    """(a, b): untested pairs of classes in different components, near each other in some tree."""
+    wide = turn >= best_rounds
+    rows = entries.join(parts, "__cid") if wide else entries
+    keys = [f"__k{d}" for d in range(depths)]
+    order = [*keys, F.xxhash64(F.lit(turn), "__cid"), "__cid"]
+    rows = rows.select("__cid", "__n", "__comp", *keys, *["__parts"] * wide).repartitionByRange(*order).sortWithinPartitions(*order)
+    least = max(0.0, percent / 100 - SLACK) if wide else None
+    found = rows.mapInArrow(_neighbours(depths, percent, window if turn > best_rounds else 1, least), "a long, b long, v double")
+    found = found.groupBy("a", "b").agg(F.sum("v").alias("v"))
     if tested is not None:
-        scored = scored.join(tested, ["a", "b"], "left_anti")
-    best = scored.groupBy("__cid").agg(F.max(F.struct("__score", "a", "b")).alias("m"))
+        found = found.join(tested, ["a", "b"], "left_anti")
+    if wide:
+        return found.select("a", "b")
+    best = found.select(F.explode(F.array("a", "b")).alias("__cid"), "v", "a", "b").groupBy("__cid").agg(
+        F.max(F.struct("v", "a", "b")).alias("m"))
     return best.select("m.a", "m.b").distinct()
 
 
+def _several(entries: DataFrame) -> DataFrame:
+    """The entries in base regions that hold more than one component."""
+    many = entries.groupBy("__k0").agg(F.min("__comp").alias("x"), F.max("__comp").alias("y")).where("x <> y").select("__k0")
+    return entries.join(many, "__k0", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE,
                     percent: int = PERCENT, trees: int = TREES, depths: tuple[int, ...] = DEPTHS,
-                    patience: int = PATIENCE) -> DataFrame:
+                    best_rounds: int = BEST_ROUNDS, window: int = WINDOW) -> DataFrame:
     """(``doc_id``, n_shingles, component_id, kept, text_hash): one row per row of ``docs``.
 
     Documents are linked if the Jaccard similarity of their shingle sets is at
@@ -151,30 +217,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                          "__doc long, __th long, __n long, __cid long, __keys array<long>"), "described")
     nodes = described.where((F.col("__n") > 0) & F.col("__doc").isNotNull())
 
-    # Regions at the base depth that hold two classes, and the classes in them.
-    width = len(depths)
-    base = nodes.select("__cid", F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)),
-                                                       lambda t: F.get("__keys", t * width))).alias("key"))
+    # The classes that share a base region with another, and a text of each.
+    base = nodes.select("__cid", F.explode("__keys").alias("key"))
     shared = base.groupBy("key").agg(F.min("__cid").alias("x"), F.max("__cid").alias("y")).where("x <> y").select("key")
-    active = stored(base.join(shared, "key").select("__cid").distinct(), "active")
-    rep = F.min(F.struct("__doc", "__th", "__n", "__keys"))
-    reps = stored(nodes.join(active, "__cid").groupBy("__cid").agg(rep.alias("r")).select("__cid", "r.*"), "active-classes")
-    texts = stored(reps.select("__cid", "__doc", "__th").join(source, ["__doc", "__th"])
-                   .select("__cid", "__text").dropDuplicates(["__cid"]), "active-texts")
-    entries = stored(reps.select("__cid", "__n", F.col("__cid").alias("__comp"), F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.slice("__keys", t * width + 1, F.lit(width)))).alias("__tree")),
-        "entries-0")
-    comps, tested, idle, turn = reps.select("__cid", F.col("__cid").alias("__comp")), None, 0, 0
-    while idle < patience:
-        pairs = _proposals(entries, tested, width, percent, turn)
-        left = texts.select(F.col("__cid").alias("a"), F.col("__text").alias("text_a"))
-        right = texts.select(F.col("__cid").alias("b"), F.col("__text").alias("text_b"))
-        checked = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    active = base.join(shared, "key", "left_semi").select("__cid").distinct()
+    reps = stored(nodes.join(active, "__cid", "left_semi").groupBy("__cid").agg(F.min(F.struct("__doc", "__th")).alias("r"))
+                  .select("__cid", "r.*"), "active-classes")
+    classes = reps.join(source, ["__doc", "__th"]).select("__cid", "__text").dropDuplicates(["__cid"]).mapInArrow(
+        _labels(k, trees, depths), "__cid long, __text string, __n long, __keys array<long>, __parts binary")
+    classes = stored(classes, "active-texts")
+    parts, texts, width = classes.select("__cid", "__parts"), classes.select("__cid", "__text"), len(depths)
+    entries = classes.select("__cid", "__n", F.col("__cid").alias("__comp"), F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.struct(*[F.get("__keys", t * width + d).alias(f"__k{d}") for d in range(width)]))).alias("e"))
+    entries = stored(_several(entries.select("__cid", "__n", "__comp", "e.*")), "entries-0")
+    comps, tested, turn = classes.select("__cid", F.col("__cid").alias("__comp")), None, 0
+    while True:
+        pairs = _candidates(entries, parts, tested, width, percent, turn, best_rounds, window)
+        left, right = texts.toDF("a", "__text_a"), texts.toDF("b", "__text_b")
+        checked = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "__text_a", "__text_b")
                          .mapInArrow(_confirm(k, percent), "a long, b long, linked boolean"), f"checked-{turn}")
-        n, links = checked.agg(F.count(F.lit(1)), F.count_if("linked")).first()
-        if not n:
+        links = checked.where("linked").count()
+        turn += 1
+        if turn > best_rounds + 1 and not links:
             break
-        turn, idle = turn + 1, 0 if links else idle + 1
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
         if links:
             edges = (checked.where("linked").join(comps.toDF("a", "u"), "a").join(comps.toDF("b", "v"), "b").select("u", "v"))
@@ -182,11 +248,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             moved = lambda df: df.join(roots, "__comp", "left").withColumn(
                 "__comp", F.coalesce("__root", "__comp")).drop("__root")
             comps = stored(moved(comps).select("__cid", "__comp"), f"comps-{turn}")
-            entries = moved(entries)
-            many = entries.groupBy(F.get("__tree", F.lit(0)).alias("__key")).agg(
-                F.min("__comp").alias("x"), F.max("__comp").alias("y")).where("x <> y").select("__key")
-            entries = stored(entries.withColumn("__key", F.get("__tree", F.lit(0))).join(many, "__key", "left_semi")
-                             .select("__cid", "__n", "__comp", "__tree"), f"entries-{turn}")
+            entries = stored(_several(moved(entries)), f"entries-{turn}")
 
     first = nodes.groupBy("__cid").agg(F.min("__doc").alias("__first")).join(comps, "__cid", "left").withColumn(
         "__comp", F.coalesce("__comp", "__cid"))
