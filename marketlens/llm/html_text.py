@@ -42,7 +42,7 @@ _M = (1 << 64) - 1
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|textarea|template|noscript|iframe|svg|math|select|object|xmp|title)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
     r"|<[!?/][^>]*+>?|[^<]++|<", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)

@@ -47,7 +47,8 @@ FEATURES = 13
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine euch ihr "
                           "eure usted ustedes tus tuyo vosotros".split())
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[^\W\d_]+(?:[\d@$!|*+.\-_#%&]+[^\W\d_]+)+")
+# From the start of a run of letters only, and without backtracking: a text of one long word takes linear time.
+_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[\d@$!|*+.\-_#%&]++[^\W\d_]++)++")
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t"})
 _REPEATS = re.compile(r"(.)\1{2,}")
 _PUNCTUATION = np.array([33 <= b <= 47 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 126 for b in range(256)])
