@@ -123,7 +123,7 @@ def with_next(docs: DataFrame, doc_id: str, text: str, ranges: int, body: Callab
     rows = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     rows = rows.withColumn("__th", F.xxhash64("__text")).withColumn("__at", F.col("__doc").cast("double"))
     cuts = rows.select(F.percentile_approx("__at", [i / ranges for i in range(1, ranges)] or [0.5], 10 * ranges)).first()[0]
-    splits = [-float("inf"), *sorted(set(cuts or [])), float("inf")]
+    splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
     number = Bucketizer(splits=splits, inputCol="__at", outputCol="__range", handleInvalid="keep")
     rows = number.transform(rows.withColumn("__at", F.coalesce("__at", F.lit(float("nan"))))).withColumn(
         "__range", F.when(F.col("__doc").isNull(), -1).otherwise(F.col("__range").cast("int")) + 1).drop("__at")
