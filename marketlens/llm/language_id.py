@@ -132,11 +132,13 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     p /= np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))
     values, vectors = np.linalg.eigh((p @ p.T).astype(np.float64))
     good = values > 1e-6 * values[-1]
-    basis = (p.T @ (vectors[:, good] / np.sqrt(values[good]))).astype(np.float32)
+    basis = p.T @ (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
+    del p
     sent = spark.sparkContext.broadcast(basis)
     m, c = basis.shape[1], len(languages)
     # As many sums as tasks come to the driver, each landmarks x landmarks; the sample is bounded and so are they.
     sums = chosen.select("t", "y").repartition(6).mapInArrow(_gram(sent, languages), "l array<double>, r array<double>").toArrow()
+    sent.destroy()  # the driver needs the memory for later stages
     left = np.sum([np.array(v) for v in sums.column("l").to_pylist()], axis=0).reshape(m, m)
     right = np.sum([np.array(v) for v in sums.column("r").to_pylist()], axis=0).reshape(m, c)
     beta = np.linalg.solve(left + ridge * np.trace(left) / m * np.eye(m), right)
