@@ -223,7 +223,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     active = base.join(shared, "key", "left_semi").select("__cid").distinct()
     reps = stored(nodes.join(active, "__cid", "left_semi").groupBy("__cid").agg(F.min(F.struct("__doc", "__th")).alias("r"))
                   .select("__cid", "r.*"), "active-classes")
-    classes = reps.join(source, ["__doc", "__th"]).select("__cid", "__text").dropDuplicates(["__cid"]).mapInArrow(
+    # The texts are dealt by id at any size and not sorted: the classes of a task are its hash table.
+    classes = source.join(reps.hint("shuffle_hash"), ["__doc", "__th"]).select("__cid", "__text").dropDuplicates(
+        ["__cid"]).mapInArrow(
         _labels(k, trees, depths), "__cid long, __text string, __n long, __keys array<long>, __parts binary")
     classes = stored(classes, "active-texts")
     parts, texts, width = classes.select("__cid", "__parts"), classes.select("__cid", "__text"), len(depths)
