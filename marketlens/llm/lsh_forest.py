@@ -14,8 +14,15 @@ first rounds test the best candidate of every class, the later ones all
 candidates among the nearest ``window`` neighbours whose signatures agree
 nearly enough.  A test compares the full shingle sets.  Confirmed links unite
 components, regions that hold one component drop out, so the window reaches
-further in what is left, and rounds go on until one finds no link.  No region
-is one task, and no group's pairs are ever listed.
+further in what is left, and rounds go on until one finds no link.
+
+The last step leaves nothing of the remaining regions out.  Regions of at most
+``window`` + 1 classes are whole in one task and all their pairs are looked at.
+The classes of larger regions are joined exactly: sets that are alike enough
+share a shingle among the rarest of each, and a join on these with a bound on
+the overlap that their places allow lists the candidates.  Only pairs of
+different components are joined, and common shingles are dealt over cells of
+at most ``CELL`` by ``CELL`` rows.  No region is one task.
 
 A pair at the threshold similarity 0.8 shares no base region of any tree with
 probability (1 - 0.8**4)**24 = 3e-6.
@@ -41,6 +48,8 @@ DEPTHS = (4, 6, 9)
 BEST_ROUNDS = 2
 WINDOW = 32
 SLACK = 0.06  # of agreeing signature parts below the threshold; 2.2 standard deviations of 216 parts at 0.8
+BUCKETS = 20  # bits of a shingle's hash by which its frequency is counted
+CELL = 1000
 BLOCK = 1 << 14
 U32 = np.uint32
 
@@ -173,6 +182,88 @@ def _confirm(k: int, percent: int):
     return run
 
 
+def _frequencies(k: int):
+    """(bucket, count): in how many sets the shingles of a bucket occur, as far as one task sees."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKETS, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in chunks_of(batch.column(2)):
+                w = words_of(data, offsets, NONBLANK)
+                for t in range(len(offsets) - 1):
+                    s = shingle_set(w.hash[w.first[t]:w.first[t + 1]], k)
+                    np.add.at(total, (s >> U(64 - BUCKETS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
+    return run
+
+
+def _rarest(k: int, percent: int, frequency):
+    """(shingle, place, class, component, set size, short) of each set's rarest shingles in one order of all shingles.
+
+    A set has as many as it takes to share one with any set that is alike
+    enough; ``short`` are those it takes with sets of its size or more.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, comps = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            for first, _, data, offsets in chunks_of(batch.column(2)):
+                w = words_of(data, offsets, NONBLANK)
+                found, sizes, places = [], [], []
+                for t in range(len(offsets) - 1):
+                    s = shingle_set(w.hash[w.first[t]:w.first[t + 1]], k)
+                    order = np.lexsort((s, frequency.value[(s >> U(64 - BUCKETS)).astype(np.int64)]))
+                    found.append(s[order[:len(s) + 1 + -percent * len(s) // 100]])
+                    sizes.append(len(s))
+                    places.append(np.arange(len(found[-1])))
+                each = np.array([len(f) for f in found])
+                n, place = np.repeat(sizes, each), np.concatenate(places)
+                short = (n - place) * (100 + percent) >= 2 * percent * n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found).astype(np.int64)), pa.array(place, pa.int64()),
+                     pa.array(np.repeat(ids[first:first + len(each)], each), pa.int64()),
+                     pa.array(np.repeat(comps[first:first + len(each)], each), pa.int64()), pa.array(n, pa.int64()), pa.array(short)],
+                    names=["s", "i", "cid", "comp", "n", "short"])
+    return run
+
+
+def _joined(crowd: DataFrame, k: int, percent: int, cell: int = CELL) -> DataFrame:
+    """(a, b): every pair of (class, component, text) of different components that can be alike enough.
+
+    Of each shingle's rows, the component with the most of them is joined with
+    the others only, so rows of one component meet no oftener than rows of
+    different ones.
+    """
+    spark = crowd.sparkSession
+    counts = np.zeros(1 << BUCKETS, np.int64)
+    seen = crowd.mapInArrow(_frequencies(k), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts[seen["bucket"].to_numpy()] = seen["n"].to_numpy()
+    frequency = spark.sparkContext.broadcast(counts)
+    rows = stored(crowd.mapInArrow(_rarest(k, percent, frequency), "s long, i long, cid long, comp long, n long, short boolean"), "rarest")
+    frequency.destroy()
+    held = rows.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("all"), F.count_if("short").alias("few"))
+    held = held.groupBy("s").agg(F.max(F.struct("all", "few", "comp")).alias("m"), F.sum("all").alias("all"),
+                                 F.sum("few").alias("few"), F.count(F.lit(1)).alias("comps")).where("comps > 1 and few > 0")
+    cells = lambda n: F.greatest(F.ceil(n / cell), F.lit(1)).cast("int")
+    # Join 0: rows of the lesser components with all; join 1: the largest component's with the lesser ones'.
+    held = held.select("s", F.col("m.comp").alias("main"), F.array(cells(F.expr("few - m.few")), cells(F.expr("m.few"))).alias("x"),
+                       F.array(cells(F.col("all")), cells(F.expr("all - m.all"))).alias("y"))
+    rows = rows.join(held, "s")
+    other = F.col("comp") != F.col("main")
+    left = rows.where("short").withColumn("j", F.when(other, 0).otherwise(1))
+    right = rows.withColumn("j", F.explode(F.when(other, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    for_each = lambda c: F.explode(F.sequence(F.lit(0), F.get(c, F.col("j")) - 1))
+    dealt = lambda c: F.pmod(F.xxhash64("cid"), F.get(c, F.col("j"))).cast("int")
+    left = left.withColumn("p", dealt("x")).withColumn("q", for_each("y"))
+    right = right.withColumn("q", dealt("y")).withColumn("p", for_each("x"))
+    key = ["s", "j", "p", "q"]
+    left = left.select(*key, F.col("i").alias("i1"), F.col("cid").alias("c1"), F.col("comp").alias("m1"), F.col("n").alias("n1"))
+    right = right.select(*key, F.col("i").alias("i2"), F.col("cid").alias("c2"), F.col("comp").alias("m2"), F.col("n").alias("n2"))
+    found = left.join(right.hint("merge"), key).where(
+        f"m1 <> m2 and n1 <= n2 and 100 * n1 >= {percent} * n2 and (n1 - i1) * {100 + percent} >= {percent} * (n1 + n2) "
+        f"and (n2 - i2) * {100 + percent} >= {percent} * (n1 + n2)")
+    return found.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+
+
 def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None, depths: int, percent: int, turn: int,
                 best_rounds: int, window: int) -> DataFrame:
     """(a, b): untested pairs of classes in different components, near each other in some tree."""
@@ -193,6 +284,23 @@ def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None,
     return best.select("m.a", "m.b").distinct()
 
 
+def _rest(entries: DataFrame, parts: DataFrame, texts: DataFrame, tested: DataFrame, depths: int, k: int, percent: int,
+          window: int) -> DataFrame:
+    """(a, b): all untested pairs of the remaining regions that can be alike enough."""
+    held = entries.groupBy("__k0").agg(F.count(F.lit(1)).alias("held"))
+    small, large = (held.where(w).select("__k0") for w in (f"held <= {window + 1}", f"held > {window + 1}"))
+    keys = [f"__k{d}" for d in range(depths)]
+    rows = entries.join(small, "__k0", "left_semi").join(parts, "__cid").select("__cid", "__n", "__comp", *keys, "__parts")
+    least = max(0.0, percent / 100 - SLACK)
+    found = rows.repartition("__k0").sortWithinPartitions("__k0").mapInArrow(
+        _neighbours(depths, percent, window, least), "a long, b long, v double").select("a", "b").distinct()
+    crowd = stored(entries.join(large, "__k0", "left_semi").select("__cid", "__comp").distinct(), "crowded")
+    if not crowd.isEmpty():
+        crowd = crowd.join(texts, "__cid").select("__cid", "__comp", "__text")
+        found = found.unionByName(_joined(crowd, k, percent)).distinct()
+    return found.join(tested, ["a", "b"], "left_anti")
+
+
 def _several(entries: DataFrame) -> DataFrame:
     """The entries in base regions that hold more than one component."""
     many = entries.groupBy("__k0").agg(F.min("__comp").alias("x"), F.max("__comp").alias("y")).where("x <> y").select("__k0")
@@ -234,15 +342,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         lambda t: F.struct(*[F.get("__keys", t * width + d).alias(f"__k{d}") for d in range(width)]))).alias("e"))
     entries = stored(_several(entries.select("__cid", "__n", "__comp", "e.*")), "entries-0")
     comps, tested, turn = classes.select("__cid", F.col("__cid").alias("__comp")), None, 0
+    last = False
     while True:
-        pairs = _candidates(entries, parts, tested, width, percent, turn, best_rounds, window)
+        pairs = (_rest(entries, parts, texts, tested, width, k, percent, window) if last else
+                 _candidates(entries, parts, tested, width, percent, turn, best_rounds, window))
         left, right = texts.toDF("a", "__text_a"), texts.toDF("b", "__text_b")
         checked = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "__text_a", "__text_b")
                          .mapInArrow(_confirm(k, percent), "a long, b long, linked boolean"), f"checked-{turn}")
         links = checked.where("linked").count()
         turn += 1
-        if turn > best_rounds + 1 and not links:
-            break
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
         if links:
             edges = (checked.where("linked").join(comps.toDF("a", "u"), "a").join(comps.toDF("b", "v"), "b").select("u", "v"))
@@ -250,7 +358,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             moved = lambda df: df.join(roots, "__comp", "left").withColumn(
                 "__comp", F.coalesce("__root", "__comp")).drop("__root")
             comps = stored(moved(comps).select("__cid", "__comp"), f"comps-{turn}")
-            entries = stored(_several(moved(entries)), f"entries-{turn}")
+            if not last:
+                entries = stored(_several(moved(entries)), f"entries-{turn}")
+        if last:
+            break
+        last = turn > best_rounds + 1 and not links
 
     first = nodes.groupBy("__cid").agg(F.min("__doc").alias("__first")).join(comps, "__cid", "left").withColumn(
         "__comp", F.coalesce("__comp", "__cid"))

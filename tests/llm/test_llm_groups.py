@@ -61,6 +61,24 @@ def test_one_row_of_each_component_stays(spark, hard):
     assert ids.count(1) == 1 and not {2, 3, 8} & set(ids) and {4, 5, 6} <= set(ids) and ids.count(None) == 3
 
 
+def alike_texts(shared, own, singles, pairs, pair_shared):
+    """Texts of ``shared`` common words and ``own`` others, and pairs that have further words in common."""
+    common = [f"c{j}" for j in range(shared)]
+    rows = [(i, " ".join(common + [f"s{i}x{j}" for j in range(own)])) for i in range(singles)]
+    for p in range(pairs):
+        both = common + [f"p{p}x{j}" for j in range(pair_shared - shared)]
+        rows += [(singles + 2 * p + e, " ".join(both + [f"q{p}e{e}x{j}" for j in range(shared + own - pair_shared)])) for e in (0, 1)]
+    return rows
+
+
+def test_pairs_in_crowded_regions(spark):
+    """Texts alike by 0.695 share regions with hundreds of others; the pairs are alike by 0.802."""
+    rows = alike_texts(82, 18, 1600, 250, 89)
+    found = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), k=1)
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    assert got == {i: i if i < 1600 else i - (i - 1600) % 2 for i in range(2100)}
+
+
 def test_components_of_paths_and_stars(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (900, 901), (901, 900)]
