@@ -24,8 +24,10 @@ the overlap that their places allow lists the candidates.  Only pairs of
 different components are joined, and common shingles are dealt over cells of
 at most ``CELL`` by ``CELL`` rows.  No region is one task.
 
-A pair at the threshold similarity 0.8 shares no base region of any tree with
-probability (1 - 0.8**4)**24 = 3e-6.
+What a pair at the threshold similarity 0.8 can be missed by: it shares no base
+region of any tree with probability (1 - 0.8**4)**24 = 3e-6, and where it meets
+in small regions only, its signatures agree in less than the last step asks
+for, 5 standard deviations below the threshold, with 1.5e-6 (binomial).
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ DEPTHS = (4, 6, 9)
 BEST_ROUNDS = 2
 WINDOW = 32
 SLACK = 0.06  # of agreeing signature parts below the threshold; 2.2 standard deviations of 216 parts at 0.8
+SURE = 5.0  # standard deviations of the agreeing parts below the threshold that the last step allows
 BUCKETS = 20  # bits of a shingle's hash by which its frequency is counted
 CELL = 1000
 BLOCK = 1 << 14
@@ -285,13 +288,14 @@ def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None,
 
 
 def _rest(entries: DataFrame, parts: DataFrame, texts: DataFrame, tested: DataFrame, depths: int, k: int, percent: int,
-          window: int) -> DataFrame:
+          signed: int, window: int) -> DataFrame:
     """(a, b): all untested pairs of the remaining regions that can be alike enough."""
     held = entries.groupBy("__k0").agg(F.count(F.lit(1)).alias("held"))
     small, large = (held.where(w).select("__k0") for w in (f"held <= {window + 1}", f"held > {window + 1}"))
     keys = [f"__k{d}" for d in range(depths)]
     rows = entries.join(small, "__k0", "left_semi").join(parts, "__cid").select("__cid", "__n", "__comp", *keys, "__parts")
-    least = max(0.0, percent / 100 - SLACK)
+    share = percent / 100
+    least = max(0.0, share - SURE * (share * (1 - share) / signed) ** 0.5)
     found = rows.repartition("__k0").sortWithinPartitions("__k0").mapInArrow(
         _neighbours(depths, percent, window, least), "a long, b long, v double").select("a", "b").distinct()
     crowd = stored(entries.join(large, "__k0", "left_semi").select("__cid", "__comp").distinct(), "crowded")
@@ -344,7 +348,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     comps, tested, turn = classes.select("__cid", F.col("__cid").alias("__comp")), None, 0
     last = False
     while True:
-        pairs = (_rest(entries, parts, texts, tested, width, k, percent, window) if last else
+        pairs = (_rest(entries, parts, texts, tested, width, k, percent, trees * depths[-1], window) if last else
                  _candidates(entries, parts, tested, width, percent, turn, best_rounds, window))
         left, right = texts.toDF("a", "__text_a"), texts.toDF("b", "__text_b")
         checked = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "__text_a", "__text_b")

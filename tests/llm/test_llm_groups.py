@@ -79,6 +79,13 @@ def test_pairs_in_crowded_regions(spark):
     assert got == {i: i if i < 1600 else i - (i - 1600) % 2 for i in range(2100)}
 
 
+def test_threshold_pairs_whose_signatures_agree_less(spark):
+    """Of 500 pairs alike by exactly 0.8, a few agree in less than 0.74 of the signature; no round is without the filter."""
+    rows = alike_texts(0, 90, 0, 500, 80)
+    found = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), k=1, best_rounds=0)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 2 for i in range(1000)}
+
+
 def test_components_of_paths_and_stars(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (900, 901), (901, 900)]
