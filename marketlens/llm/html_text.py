@@ -41,10 +41,14 @@ _M = (1 << 64) - 1
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|template|noscript|iframe|svg|math|select|object|xmp|title)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
     r"|<[!?/][^>]*+>?|[^<]++|<", re.S | re.I)
+#: Elements whose content is no text; the end tag of each.
+_RAW_ENDS = {t: re.compile(rf"</{t}\s*+>", re.I) for t in
+             "script style textarea template noscript iframe svg math select object xmp title".split()}
+#: Of these, those that run to the end of the page without an end tag; others are ordinary elements then.
+_TO_THE_END = frozenset("script style textarea title iframe".split())
 _NAMES = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)
 _CLASS = re.compile(r"\bclass\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)
 _PIECES = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -112,8 +116,11 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
             linked = total = 0
 
     where = stack[0]
-    for m in _TOKEN.finditer(page):
-        tag = m[3] or m[6]
+    at, unclosed = 0, set()
+    while at < len(page):
+        m = _TOKEN.match(page, at)
+        at = m.end()
+        tag = m[2] or m[5]
         if tag is None:
             text = m[0]
             if text[0] != "<" or text == "<":
@@ -125,7 +132,7 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
                     linked += len(text)
             continue
         tag = tag.lower()
-        if m[2] or m[5]:
+        if m[1] or m[4]:
             if tag not in INLINE:
                 flush()
             for i in range(len(stack) - 1, 0, -1):
@@ -133,7 +140,15 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
                     del stack[i:]
                     break
             continue
-        attributes = m[4] if m[3] else m[7]
+        attributes = m[3] if m[2] else m[6]
+        if tag in _RAW_ENDS and tag not in unclosed:
+            if tag in ("svg", "math") and attributes.endswith("/"):
+                continue
+            end = _RAW_ENDS[tag].search(page, at)
+            if end or tag in _TO_THE_END:
+                at = end.end() if end else len(page)
+                continue
+            unclosed.add(tag)
         if tag == "br":
             parts.append(" ")
         if tag in VOID:

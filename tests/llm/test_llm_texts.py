@@ -73,6 +73,17 @@ def test_regions_outside_the_article():
     assert html_text.main_text(page, frozenset()) == "Title & more One two bold x. Last é"
 
 
+@pytest.mark.parametrize("between", [
+    "<svg class='i'/>", "<math/>", "<object-list></object-list>", "<select-box>", "<template-part/>", "<noscript>", "<object>",
+    "<select>", "<svg>gone</svg>", "<script>var p = '<p>';</script>", "<TITLE>gone</title>"])
+def test_raw_elements_end_where_they_end(between):
+    assert html_text.main_text(f"<p>one</p>{between}<p>two</p>", frozenset()) == "one two"
+
+
+def test_unclosed_elements_take_linear_time():
+    assert html_text.main_text("<object><p>x</p>" * 20_000 + "<script>rest", frozenset()).count("x") == 20_000
+
+
 def test_template_text_goes_and_copies_stay(spark, hard):
     found = {r.page_id: r.text for r in html_text.op1_html_text(spark, hard).collect()}
     assert found[3] == f"T3 {prose(3, 30)}"  # "Share this" is on every page of the host
