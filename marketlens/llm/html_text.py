@@ -68,6 +68,22 @@ OUTSIDE = frozenset("nav navbar navigation menu menubar header masthead footer f
 INSIDE = frozenset("article main content post entry story body page wrapper container layout".split())
 #: Of the outside names, those that count even so.
 ALWAYS = frozenset("comment comments disqus replies ad ads advert adverts sidebar related newsletter share cookie".split())
+#: Of the outside names, those that an article's own parts have too.
+IN_ARTICLE = frozenset("alert notice banner form foot overlay header rail".split())
+#: Pieces that go with an outside name without another meaning.
+PLAIN = frozenset("a and bar block bottom box button buttons container count group icon icons inline inner item items left link "
+                  "links list outer primary right section the title top widget widgets wrap wrapper".split())
+
+
+def _tokens(attributes: str) -> list[frozenset[str]]:
+    """The pieces of each class, id and role name."""
+    return [frozenset(p.lower() for p in _PIECES.findall(t)) for m in _NAMES.finditer(attributes)
+            for t in (m[1] or m[2] or m[3] or "").split()]
+
+
+def _names_outside(tokens: list[frozenset[str]]) -> bool:
+    """Whether a name of an element inside an article as a whole, not one piece of it, says that it is no part of it."""
+    return any(t & ALWAYS or t & OUTSIDE - IN_ARTICLE and t <= OUTSIDE | PLAIN for t in tokens)
 
 
 def _names(attributes: str) -> frozenset[str]:
@@ -91,17 +107,52 @@ def _region(tag: str, names: frozenset[str], inside: bool) -> tuple[bool, bool]:
 class Block:
     """A run of text without a block boundary: its path, words, and where it stands."""
 
-    __slots__ = ("path", "words", "outside", "inside", "linked")
+    __slots__ = ("path", "words", "outside", "inside", "linked", "named")
 
-    def __init__(self, path, words, outside, inside, linked):
+    def __init__(self, path, words, outside, inside, linked, named):
         self.path, self.words, self.outside, self.inside, self.linked = path, words, outside, inside, linked
+        self.named = named
+
+
+class Named:
+    """An element that its names put outside: the one around it, its words, whether an article is in it or is it, and
+    whether a whole name of it says that the article is in it."""
+
+    __slots__ = ("around", "n", "main", "own", "holds")
+
+    def __init__(self, around, main, holds):
+        self.around, self.n, self.main, self.own, self.holds = around, 0, False, main, holds
+
+
+def _put_outside(blocks: list[Block], named: list[Named]) -> None:
+    """Blocks in named elements are outside, but an element with most of the page's words and the article is not."""
+    open_blocks = [b for b in blocks if not b.outside]
+    total = sum(len(b.words) for b in open_blocks)
+    for b in open_blocks:
+        if b.named >= 0:
+            named[b.named].n += len(b.words)
+    out = [True] * len(named)
+    for i in range(len(named) - 1, -1, -1):  # inner ones first
+        e = named[i]
+        out[i] = not (2 * e.n > total and (e.main or e.own or e.holds))
+        if e.around >= 0:
+            named[e.around].n += e.n
+            named[e.around].main |= e.main or e.own and not out[i]
+    if total and all(b.named >= 0 for b in open_blocks) and all(out[b.named] for b in open_blocks):
+        # nothing is left: the largest of the outermost ones stays
+        out[max((i for i, e in enumerate(named) if e.around < 0), key=lambda i: named[i].n)] = False
+    for i, e in enumerate(named):  # outer ones first
+        out[i] |= e.around >= 0 and out[e.around]
+    for b in open_blocks:
+        b.outside = b.named >= 0 and out[b.named]
 
 
 def parse(page: str) -> tuple[list[str], list[Block]]:
     """The paths of all opened tags and the text blocks, in page order."""
     paths: list[str] = []
     blocks: list[Block] = []
-    stack = [("", "", False, False, False)]  # tag, path, outside, inside, link
+    named: list[Named] = []
+    stack = [("", "", False, False, False, -1)]  # tag, path, outside, inside, link, element named as outside
     parts: list[str] = []
     linked = total = 0
 
@@ -110,8 +161,8 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                _, path, outside, inside, _ = where
-                blocks.append(Block(path, words, outside, inside, linked > 0.5 * total))
+                _, path, outside, inside, _, around = where
+                blocks.append(Block(path, words, outside, inside, linked > 0.5 * total, around))
             parts.clear()
             linked = total = 0
 
@@ -165,15 +216,25 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
                     break
                 if stack[i][0] not in INLINE and stack[i][0] != "p":
                     break
-        _, path, outside, inside, link = stack[-1]
+        _, path, outside, inside, link, around = stack[-1]
         names = _names(attributes) if attributes else frozenset()
         c = _CLASS.search(attributes) if names else None
         path = f"{path}/{tag}.{c[1] or c[2] or c[3]}" if c else f"{path}/{tag}"
         out, main = _region(tag, names, inside)
         if not attributes.endswith("/"):
-            stack.append((tag, path, outside or out, inside or main, link or tag == "a"))
+            main = main or tag in MAIN
+            if out and names & OUTSIDE and not (tag in NO_CONTENT or tag == "header" and not inside):
+                tokens = _tokens(attributes)
+                out = False
+                if not inside or tag in MAIN or _names_outside(tokens):
+                    named.append(Named(around, tag in MAIN, any(t and t <= INSIDE for t in tokens)))
+                    around = len(named) - 1
+            elif main and not out and around >= 0:
+                named[around].main = True
+            stack.append((tag, path, outside or out, inside or main, link or tag == "a", around))
         paths.append(path)
     flush()
+    _put_outside(blocks, named)
     return paths, blocks
 
 

@@ -73,6 +73,23 @@ def test_regions_outside_the_article():
     assert html_text.main_text(page, frozenset()) == "Title & more One two bold x. Last é"
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='page has-comments'><article><p>{}</p></article></div>", "<article class='post comments-open'><p>{}</p></article>",
+    "<div class='content ad-free'><p>{}</p></div>", "<div class='social-science'><p>{}</p></div>",
+    "<article><p>A</p><div class='social-science'><p>{}</p></div></article>",
+    "<article><p>{}</p><div class='alert'><p>B</p></div><div id='form-of-government'><p>C</p></div></article>"])
+def test_one_piece_of_a_name_loses_no_article(page):
+    rest = "<div class='comments'><p>First!</p></div><div class='share-links'>Share</div>"
+    want = re.sub("<[^>]*>", " ", page).format(prose(4, 30)).split()
+    assert html_text.main_text(page.format(prose(4, 30)) + rest, frozenset()).split() == want
+
+
+def test_names_keep_comments_out():
+    comments = "<article class='comment'><p>First comment!</p></article>" * 40
+    page = f"<main><article><p>Short article.</p><div class='share-links'>Share</div></article><div class='comments'>{comments}</div></main>"
+    assert html_text.main_text(page, frozenset()) == "Short article."
+
+
 @pytest.mark.parametrize("between", [
     "<svg class='i'/>", "<math/>", "<object-list></object-list>", "<select-box>", "<template-part/>", "<noscript>", "<object>",
     "<select>", "<svg>gone</svg>", "<script>var p = '<p>';</script>", "<TITLE>gone</title>"])
