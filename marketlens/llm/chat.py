@@ -7,7 +7,13 @@ anti-join retains those that are not, equal ones once, and these are rendered.
 
 DataFrame and SQL functions only.  The rolling hash is a running XOR of turn
 hashes that hold the turn's rank, so it can be put together from blocks of
-turns: a conversation with a third of all turns is many windows, not one.
+turns: a conversation with a third of all turns is many windows, not one, if
+its turn numbers differ.  Null and repeated numbers of a conversation are
+ordered in one window.
+
+``chunks`` renders a conversation in pieces of a bounded number of turns.
+``collapse`` returns it as one text, which is made in one task and must stay
+under 2 GB, the size of a cell.
 """
 
 from __future__ import annotations
@@ -54,16 +60,8 @@ def ranked_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
                          put(F.col("__x2"), F.col("__b2")).alias("__h2"))
 
 
-def collapse(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-             block: int = BLOCK) -> DataFrame:
-    """(``conv_id``, n_turns, n_collapsed, rendered): the maximal conversations.
-
-    ``n_collapsed`` is the number of equal conversations it stands for, itself
-    included; among them the smallest id stays.  Null roles and texts are
-    values of their own and render as empty.  Rows with a null conversation id
-    are one conversation, smallest of all.  Rows that repeat a turn are turns
-    of their own, in order of role and text.
-    """
+def _maximal(turns: DataFrame, conv_id: str, turn: str, role: str, text: str, block: int) -> DataFrame:
+    """(__conv, n_turns, n_collapsed, __rank, line): the rendered turns of the maximal conversations."""
     rows = stored(ranked_turns(turns, conv_id, turn, role, text, block), "turns")
     key = ["__rank", "__h1", "__h2"]
     whole = rows.groupBy("__conv").agg(F.max_by(F.struct(*key), "__rank").alias("k")).select("__conv", "k.*")
@@ -76,11 +74,39 @@ def collapse(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
     kept = stored(distinct.join(prefixes, key, "left_anti").select(
         F.col("__first.c").alias("__kept"), F.col("__rank").alias("n_turns"), "n_collapsed"), "kept-conversations")
     line = F.concat(F.lit(OPEN), F.coalesce("__role", F.lit("")), F.lit(MIDDLE), F.coalesce("__text", F.lit("")), F.lit(CLOSE))
-    said = rows.join(kept, F.col("__conv").eqNullSafe(F.col("__kept")))
-    turns_of = said.groupBy("__conv", "n_turns", "n_collapsed").agg(
-        F.array_sort(F.collect_list(F.struct("__rank", line.alias("line")))).alias("__lines"))
-    return turns_of.select(F.col("__conv").alias(conv_id), "n_turns", "n_collapsed",
-                           F.array_join(F.transform("__lines", lambda x: x.line), "").alias("rendered"))
+    return rows.join(kept, F.col("__conv").eqNullSafe(F.col("__kept"))).withColumn("line", line)
+
+
+def _texts(said: DataFrame, *by: str) -> DataFrame:
+    """The lines of each group in one text, by rank."""
+    lines = said.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("__rank", "line"))).alias("__lines"))
+    return lines.withColumn("rendered", F.array_join(F.transform("__lines", lambda x: x.line), "")).drop("__lines")
+
+
+def chunks(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+           block: int = BLOCK) -> DataFrame:
+    """(``conv_id``, chunk, n_turns, n_collapsed, rendered): the maximal conversations in pieces of ``block`` turns.
+
+    The pieces of a conversation, joined in order from chunk 0 on, are the
+    text of ``collapse``.
+    """
+    said = _maximal(turns, conv_id, turn, role, text, block).withColumn("chunk", F.expr(f"(__rank - 1) div {block}"))
+    found = _texts(said, "__conv", "chunk", "n_turns", "n_collapsed")
+    return found.select(F.col("__conv").alias(conv_id), "chunk", "n_turns", "n_collapsed", "rendered")
+
+
+def collapse(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+             block: int = BLOCK) -> DataFrame:
+    """(``conv_id``, n_turns, n_collapsed, rendered): the maximal conversations.
+
+    ``n_collapsed`` is the number of equal conversations it stands for, itself
+    included; among them the smallest id stays.  Null roles and texts are
+    values of their own and render as empty.  Rows with a null conversation id
+    are one conversation, smallest of all.  Rows that repeat a turn are turns
+    of their own, in order of role and text.
+    """
+    found = _texts(_maximal(turns, conv_id, turn, role, text, block), "__conv", "n_turns", "n_collapsed")
+    return found.select(F.col("__conv").alias(conv_id), "n_turns", "n_collapsed", "rendered")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,6 +181,18 @@ def test_conversations_by_brute_force(spark, hard):
             assert r.rendered == "".join(f"<|{a or ''}|>\n{b or ''}\n" for a, b in said[r.conv_id])
 
 
+def test_chunks_join_to_the_whole_text(spark, hard):
+    rows = [(1, i, "user", f"turn {i}") for i in range(25)] + [(2, None, "user", f"late {i:02}") for i in range(9)]
+    turns = spark.read.parquet(f"{hard}/conversations.parquet").select("conv_id", "turn", "role", "text").where("conv_id > 2")
+    turns = turns.unionByName(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    pieces = {}
+    for r in sorted(chat.chunks(turns, block=4).collect(), key=lambda r: (r.conv_id, r.chunk)):
+        assert r.rendered.count("<|") <= 4 and r.chunk == len(pieces.setdefault(r.conv_id, []))
+        pieces[r.conv_id].append(r.rendered)
+    assert {k: "".join(v) for k, v in pieces.items()} == {r.conv_id: r.rendered for r in chat.collapse(turns).collect()}
+    assert len(pieces[1]) == 7 and len(pieces[2]) == 3
+
+
 def test_rollup_counts_every_batch_once(spark):
     def rows(*r):
         return spark.createDataFrame([(s, "en", "t", n) for s, n in r], "source string, lang string, tokenizer string, n_tokens long")
