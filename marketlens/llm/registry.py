@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm import (chat, decontaminate, html_text, language_id, line_dedup, lsh_forest, mixing, order_minhash,
-                            token_rollup, toxicity)
+                            packing, prefix_trie, repair, token_rollup, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1_html_text,
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_near_duplicates": lsh_forest.op9_near_duplicates,
     "op10_order_minhash": order_minhash.op10_order_minhash,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_repair": repair.op12_repair,
+    "op13_pack": packing.op13_pack,
 }
 
 # Where SQL cannot express the result, the tests hold the query against a brute-force version.
@@ -30,6 +33,8 @@ SQL: dict[str, str] = {
     "op6_token_rollup": token_rollup.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op9_near_duplicates": lsh_forest.OP9_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_repair": repair.OP12_SQL,
 }
 
 
