@@ -38,6 +38,25 @@ def units(df: DataFrame, col: str) -> tuple[Column, int | None]:
     return F.rint(c.cast("double") * float(10 ** scale)).cast("long"), scale
 
 
+#: Decimal places that doubles are carried with where sums must be whole numbers.
+DOUBLE_SCALE = 6
+
+
+def whole_units(df: DataFrame, col: str) -> tuple[Column, int]:
+    """(column of whole-number units, scale) of any numeric money column.
+
+    Doubles are taken to ``DOUBLE_SCALE`` decimal places, which is exact for
+    money below 9e9; long decimals keep their own scale.
+    """
+    c, scale = units(df, col)
+    if scale is not None:
+        return c, scale
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, DecimalType):
+        return (F.col(col).cast(DecimalType(38, dtype.scale)) * F.lit(10 ** dtype.scale)).cast("long"), dtype.scale
+    return F.rint(F.col(col).cast("double") * float(10 ** DOUBLE_SCALE)).cast("long"), DOUBLE_SCALE
+
+
 def to_double(total: Column, scale: int | None) -> Column:
     """A unit sum back to the double value of the exact decimal sum."""
     d = total.cast("double")

@@ -1,22 +1,29 @@
 """Product, portfolio and competition features (F1-F11), one row per seller and dtRef.
 
-Grain of the fact relation is the sold item.  Every aggregate below is a
-``groupBy`` with map-side partial aggregation, so a seller holding a third
-of all items still shuffles only its partial rows; the only windows are
-per (seller, horizon) over that seller's categories (bounded by the
-category dimension).
+Items are added up once, by (seller, product) and day, and that table's
+trailing sums at every reference date (:mod:`marketlens.functions.timeline`)
+are the one relation that every feature below is made from: a row a (date,
+seller, product) with the items, revenue and freight of each horizon.  It is
+written once, joined with the product attributes; items are scanned once for
+any number of dates and never copied for a date.
+
+Every aggregate is a ``groupBy`` with map-side partial aggregation, so a
+seller holding a third of all items still shuffles only its partial rows.
+Medians and top categories are taken from histograms by attribute value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import horizons as H
-from marketlens.functions.dates import DateLike, as_of, snapshot_dates
-from marketlens.functions.horizons import REF, Horizon, within
-from marketlens.functions.money import to_double, units
+from marketlens.functions.dates import DateLike, snapshot_dates
+from marketlens.functions.horizons import REF, Horizon
+from marketlens.functions.money import to_double, whole_units
 from marketlens.functions.ratios import as_double, mean_of, safe_ratio
+from marketlens.functions.skew import join_totals
+from marketlens.functions.timeline import dated_sums, sum_name
 from marketlens.session import materialize
 from marketlens.sources.marketplace import Marketplace
 
@@ -24,136 +31,117 @@ HORIZONS = H.make(("D14", 14), ("D28", 28), ("D56", 56), ("D365", 365), ("Vida",
 TS = "order_purchase_timestamp"
 KEY = [REF, "seller_id"]
 NA_CATEGORY = "NA"
-# Writing the joined item stream once before the feature branches: measured no
-# gain at sf0.1 on one machine (the branches re-scan cheaply); an option for
-# clusters where the source joins are the expensive part.
-MATERIALIZE = False
+MEASURES = ("items", "price", "freight")
 
 
-def item_base(mk: Marketplace) -> DataFrame:
-    """Every sold item with its purchase time and product attributes (no date attached yet).
+def sold_items(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Items sold before the last reference date: (seller, product, day) and the measures in whole units."""
+    orders = mk.orders.where(F.col(TS) < F.lit(snapshot_dates(refs)[-1])).select("order_id", F.to_date(TS).alias("day"))
+    price, freight = (F.coalesce(whole_units(mk.items, c)[0], F.lit(0)) for c in ("price", "freight_value"))
+    items = mk.items.select("order_id", "seller_id", "product_id", price.alias("price"), freight.alias("freight"))
+    return orders.join(items, "order_id").select("seller_id", "product_id", "day", F.lit(1).alias("items"), "price", "freight")
 
-    Money is carried as exact integer units (``price_u``, ``freight_u``; the
-    scales are in the column metadata) so every sum below is a long sum.
+
+def product_sales(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """A row a (dtRef, seller, product) sold before it: each measure by horizon, and the product's attributes.
+
+    The base of every product feature.  Sales of unknown products stay, with
+    category 'NA'.
     """
-    orders = mk.orders.select("order_id", TS)
-    items = mk.items.select("order_id", "seller_id", "product_id", "price", "freight_value")
-    price_u, price_s = units(items, "price")
-    freight_u, freight_s = units(items, "freight_value")
+    sales = dated_sums(sold_items(mk, refs), ["seller_id", "product_id"], MEASURES, HORIZONS, refs)
     products = mk.products.select(
         "product_id", "product_category_name", "product_photos_qty",
         F.col("product_description_lenght").alias("product_description_length"),
         F.col("product_weight_g").alias("weight_g"),
-        (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"),
-    )
-    items = items.select("order_id", "seller_id", "product_id",
-                         F.coalesce(price_u, F.lit(0)).alias("price_u", metadata={"scale": price_s}),
-                         F.coalesce(freight_u, F.lit(0)).alias("freight_u", metadata={"scale": freight_s}))
-    base = orders.join(items, "order_id").join(products, "product_id", "left")
-    # Left join keeps items of unknown products: their category is 'NA' too.
-    return base.select(
-        "seller_id", TS, "product_id", "price_u", "freight_u",
-        F.coalesce(F.col("product_category_name"), F.lit(NA_CATEGORY)).alias("product_category_name"),
-        F.coalesce(F.col("product_description_length"), F.lit(0)).alias("product_description_length"),
-        F.coalesce(F.col("product_photos_qty"), F.lit(0)).alias("product_photos_qty"),
-        "weight_g", (F.col("weight_g") / 1000).alias("weight_kg"), "volume_cm3",
-    )
-
-
-def sold_items(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = False) -> DataFrame:
-    """Items of orders placed before each reference date (``dtRef`` attached), with product attributes.
-
-    ``materialized`` writes the joined (and, for many dates, exploded) items
-    once to the checkpoint folder so the feature branches scan it instead of
-    re-joining the sources.
-    """
-    base = item_base(mk)
-    out = as_of(base, TS, refs).select(REF, *base.columns)
-    return materialize(out, "sold_items") if materialized else out
+        (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"))
+    sales = sales.join(products, "product_id", "left").withColumns({
+        "product_category_name": F.coalesce("product_category_name", F.lit(NA_CATEGORY)),
+        "product_description_length": F.coalesce("product_description_length", F.lit(0)),
+        "product_photos_qty": F.coalesce("product_photos_qty", F.lit(0))})
+    return sales
+
+
+def money_scales(mk: Marketplace) -> dict[str, int]:
+    return {"price": whole_units(mk.items, "price")[1], "freight": whole_units(mk.items, "freight_value")[1]}
+
 
+def _sums(h: Horizon, *measures: str) -> list[Column]:
+    return [F.sum(sum_name(m, h)).alias(sum_name(m, h)) for m in measures]
 
-def _money(items: DataFrame, col: str, agg: Column) -> Column:
-    return to_double(agg, items.schema[col].metadata.get("scale"))
+
+def seller_revenue_horizons(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+    """Revenue and freight per seller and horizon (minimum slice, X2 over P1/P3)."""
+    totals = sales.groupBy(*KEY).agg(*[c for h in HORIZONS for c in _sums(h, "price", "freight")])
+    return totals.select(*KEY, *[to_double(F.col(sum_name(m, h)), scales[m]).alias(f"vl{stem}Tot{h.name}")
+                                 for m, stem in (("price", "Receita"), ("freight", "Frete")) for h in HORIZONS])
 
 
 def _flag_name(prefix: str, h: Horizon) -> str:
     return f"{prefix}{h.name[1:]}d" if not h.lifetime else f"{prefix}Vida"
 
 
-def sale_flags(items: DataFrame, key: str, prefix: str) -> DataFrame:
+def _flags(prefix: str, rows: DataFrame, key: str) -> DataFrame:
     """1 if the seller sold ``key`` inside the horizon, else 0 (X3); lifetime is always 1."""
-    aggs = [
-        (F.lit(1) if h.lifetime else F.max(within(h, TS, F.lit(1), 0))).alias(_flag_name(prefix, h))
-        for h in HORIZONS
-    ]
-    return items.groupBy(*KEY, key).agg(*aggs)
+    return rows.select(*KEY, key, *[(F.lit(1) if h.lifetime else (F.col(sum_name("items", h)) > 0).cast("int"))
+                                    .alias(_flag_name(prefix, h)) for h in HORIZONS])
+
+
+def category_sales(sales: DataFrame) -> DataFrame:
+    """Items and revenue by (dtRef, seller, category) and horizon."""
+    return sales.groupBy(*KEY, "product_category_name").agg(*[c for h in HORIZONS for c in _sums(h, "items", "price")])
+
+
+def category_sale_flags(sales: DataFrame) -> DataFrame:
+    return _flags("hadCatSale", category_sales(sales), "product_category_name")
 
 
-def _day_in(lo: Column, hi: Column):
-    return lambda d: (d >= lo) & (d < hi)
+def product_sale_flags(sales: DataFrame) -> DataFrame:
+    return _flags("hadProdSale", sales, "product_id")
 
 
-def product_sale_flags_from_days(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """Product flags per (dtRef, seller, product) without aggregating the exploded items.
+def rivals(flags: DataFrame, key: str, prefix: str, distinct_stem: str, rivals_stem: str) -> DataFrame:
+    """Distinct keys sold per horizon, and the sum over the seller's keys of (sellers active on it - own flag).
 
-    Items are reduced to the distinct sale days of each (seller, product)
-    (a set bounded by the calendar, not by volume), the snapshot dates are
-    attached after the first sale, and each horizon flag tests the day list
-    directly.  The snapshot uses it for any number of dates.
+    The sellers of a key are a partial-aggregated ``groupBy``; they come back
+    to its sellers by :func:`join_totals`, which spreads keys that very many
+    sellers share.
     """
-    last = snapshot_dates(refs)[-1]
-    sold = item_base(mk).where(F.col(TS) < F.lit(last))
-    days = sold.groupBy("seller_id", "product_id").agg(
-        F.min(TS).alias(TS), F.collect_set(F.to_date(TS)).alias("days"))
-    dated = as_of(days, TS, refs)
-    ref = F.col(REF)
-    flags = []
-    for h in HORIZONS:
-        name = _flag_name("hadProdSale", h)
-        if h.lifetime:
-            flags.append(F.lit(1).alias(name))
-        else:
-            flags.append(F.exists("days", _day_in(F.date_sub(ref, h.days), ref)).cast("int").alias(name))
-    return dated.select(*KEY, "product_id", *flags)
+    cols = [_flag_name(prefix, h) for h in HORIZONS]
+    joined = join_totals(flags, [REF, key], {f"ct_{c}": F.sum(c) for c in cols})
+    aggs = [F.sum(c).alias(f"{distinct_stem}{h.name}") for c, h in zip(cols, HORIZONS)]
+    aggs += [F.sum(F.col(f"ct_{c}") - F.col(c)).alias(f"{rivals_stem}{h.name}") for c, h in zip(cols, HORIZONS)]
+    return joined.groupBy(*KEY).agg(*aggs)
+
 
+def category_rivals(sales: DataFrame) -> DataFrame:
+    return rivals(category_sale_flags(sales), "product_category_name", "hadCatSale", "vlCategoriasDistintas",
+                  "vlContagemCategoriaConcorrentes")
 
-def category_sale_flags(items: DataFrame) -> DataFrame:
-    return sale_flags(items, "product_category_name", "hadCatSale")
 
+def product_rivals(sales: DataFrame) -> DataFrame:
+    return rivals(product_sale_flags(sales), "product_id", "hadProdSale", "vlProdutosDistintos",
+                  "vlContagemProdutosConcorrentes")
 
-def product_sale_flags(items: DataFrame) -> DataFrame:
-    return sale_flags(items, "product_id", "hadProdSale")
 
+def _by_horizon(*stems: str) -> list[str]:
+    return [f"{stem}{h.name}" for stem in stems for h in HORIZONS]
 
-def catalog_diversity(cat_flags: DataFrame, prod_flags: DataFrame) -> DataFrame:
+
+def catalog_diversity(sales: DataFrame) -> DataFrame:
     """Distinct categories / products sold per horizon (F1, F2)."""
-    cats = cat_flags.groupBy(*KEY).agg(
+    cats = category_sale_flags(sales).groupBy(*KEY).agg(
         *[F.sum(_flag_name("hadCatSale", h)).alias(f"vlCategoriasDistintas{h.name}") for h in HORIZONS])
-    prods = prod_flags.groupBy(*KEY).agg(
+    prods = product_sale_flags(sales).groupBy(*KEY).agg(
         *[F.sum(_flag_name("hadProdSale", h)).alias(f"vlProdutosDistintos{h.name}") for h in HORIZONS])
     return cats.join(prods, KEY)
 
 
-def competitors(flags: DataFrame, key: str, prefix: str, out_stem: str) -> DataFrame:
-    """Sum over the seller's keys of (sellers active on the key - own flag).
-
-    Active-seller counts per key are a partial-aggregated ``groupBy``; joining
-    them back is a broadcast when the key dimension is small and a
-    sort-merge join (AQE splits skewed keys) when it is not.
-    """
-    cols = [_flag_name(prefix, h) for h in HORIZONS]
-    per_key = flags.groupBy(REF, key).agg(*[F.sum(c).alias(f"ct_{c}") for c in cols])
-    joined = flags.join(per_key, [REF, key], "left")
-    return joined.groupBy(*KEY).agg(
-        *[F.sum(F.col(f"ct_{c}") - F.col(c)).alias(f"{out_stem}{h.name}") for c, h in zip(cols, HORIZONS)])
-
-
-def category_competitors(cat_flags: DataFrame) -> DataFrame:
-    return competitors(cat_flags, "product_category_name", "hadCatSale", "vlContagemCategoriaConcorrentes")
+def category_competitors(sales: DataFrame) -> DataFrame:
+    return category_rivals(sales).select(*KEY, *_by_horizon("vlContagemCategoriaConcorrentes"))
 
 
-def product_competitors(prod_flags: DataFrame) -> DataFrame:
-    return competitors(prod_flags, "product_id", "hadProdSale", "vlContagemProdutosConcorrentes")
+def product_competitors(sales: DataFrame) -> DataFrame:
+    return product_rivals(sales).select(*KEY, *_by_horizon("vlContagemProdutosConcorrentes"))
 
 
 def _total(h: Horizon, s: Column, n: Column, n_null: Column, n_all: Column) -> Column:
@@ -167,164 +155,119 @@ def _total(h: Horizon, s: Column, n: Column, n_null: Column, n_all: Column) -> C
     return F.when(n_null == n_all, F.lit(None)).otherwise(F.coalesce(s, F.lit(0)))
 
 
-def weight_histogram(items: DataFrame) -> DataFrame:
-    """Items per (seller, item weight) and horizon, with the money and volume partial sums.
 
-    A plain hash aggregate and the only pass over items for :func:`item_metrics`:
-    the exact percentiles then run over distinct weights of a seller (counts
-    as frequencies) and the sums are rolled up to the seller.
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def weight_histogram(sales: DataFrame) -> DataFrame:
+    """By (dtRef, seller, weight): items, money and volume of each horizon, and the products of that weight.
+
+    Percentiles run over a seller's distinct weights with counts as
+    frequencies; the sums are rolled up to the seller.
     """
     vol = F.col("volume_cm3")
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("products")]
     for h in HORIZONS:
-        n = h.name
-        vv = within(h, TS, vol)
-        aggs += [
-            (F.count(F.lit(1)) if h.lifetime else F.count(within(h, TS, F.lit(1)))).alias(f"c_{n}"),
-            F.sum(within(h, TS, F.col("price_u"), 0)).alias(f"_rev{n}"),
-            F.sum(within(h, TS, F.col("freight_u"), 0)).alias(f"_frt{n}"),
-            F.sum(vv).alias(f"_vsum{n}"),
-            F.count(vv).alias(f"_vcnt{n}"),
-            F.sum(within(h, TS, vol, 0)).alias(f"_vtot{n}"),
-        ]
-    return items.groupBy(*KEY, "weight_g", "weight_kg").agg(*aggs)
+        n, c = h.name, F.col(sum_name("items", h))
+        aggs += [*_sums(h, *MEASURES), F.sum(c * vol).alias(f"vsum_{n}"),
+                 F.sum(F.when(vol.isNotNull(), c).otherwise(0)).alias(f"vcnt_{n}"),
+                 F.sum(F.when(vol.isNull(), c).otherwise(0)).alias(f"vnull_{n}")]
+    return sales.groupBy(*KEY, "weight_g").agg(*aggs).withColumn("weight_kg", F.col("weight_g") / 1000)
 
 
-def weight_stats(hist: DataFrame) -> DataFrame:
-    g, kg = F.col("weight_g"), F.col("weight_kg")
+def item_metrics(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+    """Revenue, freight, item weight and volume per horizon, unrounded (F5-F7 inputs), and the portfolio's weights.
+
+    Weight sums run on grams (exact) and are scaled to kg at the end;
+    percentiles are exact and interpolated.
+    """
+    g, kg, k = F.col("weight_g"), F.col("weight_kg"), F.col("products")
     known = g.isNotNull()
-    aggs = [F.sum("c_Vida").alias("_n_all")]
+    aggs = [F.sum(sum_name("items", HORIZONS[-1])).alias("n_all"),
+            F.sum(g * k).alias("gsum"), F.sum(F.when(known, k)).alias("gcnt"), F.min(kg).alias("kg_min"),
+            F.max(kg).alias("kg_max"), F.percentile(kg, QUARTILES, k).alias("kg_quartiles")]
     for h in HORIZONS:
-        n = h.name
-        c = F.col(f"c_{n}")
+        n, c = h.name, F.col(sum_name("items", h))
         sold = F.when(c > 0, kg)
-        aggs += [
-            F.sum(F.when(known, g * c)).alias(f"_wsum{n}"),
-            F.sum(F.when(known, c)).alias(f"_wcnt{n}"),
-            F.sum(F.when(~known, c)).alias(f"_wnull{n}"),
-            F.min(sold).alias(f"vlMinPesoProduto{n}"),
-            F.max(sold).alias(f"vlMaxPesoProduto{n}"),
-            F.percentile(sold, 0.25, c).alias(f"vlP25PesoProduto{n}"),
-            F.percentile(sold, 0.5, c).alias(f"vlMedianaPesoProduto{n}"),
-            F.percentile(sold, 0.75, c).alias(f"vlP75PesoProduto{n}"),
-            F.sum(f"_rev{n}").alias(f"_rev{n}"),
-            F.sum(f"_frt{n}").alias(f"_frt{n}"),
-            F.sum(f"_vsum{n}").alias(f"_vsum{n}"),
-            F.sum(f"_vcnt{n}").alias(f"_vcnt{n}"),
-            F.sum(f"_vtot{n}").alias(f"_vtot{n}"),  # NULL only if every partial is NULL, as at item level
-        ]
-    return hist.groupBy(*KEY).agg(*aggs)
-
-
-
-def item_metrics(items: DataFrame) -> DataFrame:
-    """Revenue, freight, item weight and volume per horizon, unrounded (F5-F7 inputs).
-
-    One pass over items (:func:`weight_histogram`); weight statistics come
-    from the (seller, weight) histogram, sums are rolled up from it.  Weight sums run on grams (exact)
-    and are scaled to kg at the end; percentiles are exact and interpolated.
-    """
-    m = weight_stats(weight_histogram(items))
-    out = [F.col(c) for c in KEY]
+        aggs += [F.sum(F.when(known, g * c)).alias(f"wsum_{n}"), F.sum(F.when(known, c)).alias(f"wcnt_{n}"),
+                 F.sum(F.when(~known, c)).alias(f"wnull_{n}"), F.min(sold).alias(f"wmin_{n}"), F.max(sold).alias(f"wmax_{n}"),
+                 F.percentile(sold, QUARTILES, c).alias(f"wq_{n}"), *_sums(h, "price", "freight"),
+                 *[F.sum(f"{v}_{n}").alias(f"{v}_{n}") for v in ("vsum", "vcnt", "vnull")]]
+    m = weight_histogram(sales).groupBy(*KEY).agg(*aggs)
     c = F.col
+    out = [*KEY, "gsum", "gcnt", "kg_min", "kg_max", "kg_quartiles"]
     for h in HORIZONS:
         n = h.name
-        w_total = _total(h, c(f"_wsum{n}"), c(f"_wcnt{n}"), c(f"_wnull{n}"), c("_n_all"))
-        total_kg = as_double(w_total) / 1000
-        revenue = _money(items, "price_u", c(f"_rev{n}"))
-        freight = _money(items, "freight_u", c(f"_frt{n}"))
+        total_kg = as_double(_total(h, c(f"wsum_{n}"), c(f"wcnt_{n}"), c(f"wnull_{n}"), c("n_all"))) / 1000
+        revenue = to_double(c(sum_name("price", h)), scales["price"])
+        freight = to_double(c(sum_name("freight", h)), scales["freight"])
         out += [
-            revenue.alias(f"vlReceitaTot{n}"), freight.alias(f"vlFreteTot{n}"),
-            (mean_of(c(f"_wsum{n}"), c(f"_wcnt{n}")) / 1000).alias(f"vlMediaPesoProduto{n}"),
-            c(f"vlMedianaPesoProduto{n}"), c(f"vlP25PesoProduto{n}"), c(f"vlP75PesoProduto{n}"),
-            c(f"vlMinPesoProduto{n}"), c(f"vlMaxPesoProduto{n}"),
-            total_kg.alias(f"vlTotalPesoProduto{n}"),
-            mean_of(c(f"_vsum{n}"), c(f"_vcnt{n}")).alias(f"vlMediaCubagemProduto{n}"),
-            as_double(c(f"_vtot{n}")).alias(f"vlTotalCubagemProduto{n}"),
-            safe_ratio(revenue, total_kg).alias(f"vlPrecoKg{n}"),
-            safe_ratio(freight, total_kg).alias(f"vlFreteKg{n}"),
+            (mean_of(c(f"wsum_{n}"), c(f"wcnt_{n}")) / 1000).alias(f"vlMediaPesoProduto{n}"),
+            c(f"wq_{n}")[1].alias(f"vlMedianaPesoProduto{n}"), c(f"wq_{n}")[0].alias(f"vlP25PesoProduto{n}"),
+            c(f"wq_{n}")[2].alias(f"vlP75PesoProduto{n}"), c(f"wmin_{n}").alias(f"vlMinPesoProduto{n}"),
+            c(f"wmax_{n}").alias(f"vlMaxPesoProduto{n}"), total_kg.alias(f"vlTotalPesoProduto{n}"),
+            mean_of(c(f"vsum_{n}"), c(f"vcnt_{n}")).alias(f"vlMediaCubagemProduto{n}"),
+            as_double(_total(h, c(f"vsum_{n}"), c(f"vcnt_{n}"), c(f"vnull_{n}"), c("n_all"))).alias(f"vlTotalCubagemProduto{n}"),
+            safe_ratio(revenue, total_kg).alias(f"vlPrecoKg{n}"), safe_ratio(freight, total_kg).alias(f"vlFreteKg{n}"),
         ]
     return m.select(*out)
 
 
-def seller_revenue_horizons(items: DataFrame) -> DataFrame:
-    """Revenue and freight per seller and horizon (minimum slice, X2 over P1/P3)."""
-    aggs = []
-    for h in HORIZONS:
-        aggs.append(_money(items, "price_u", F.sum(within(h, TS, F.col("price_u"), 0))).alias(f"vlReceitaTot{h.name}"))
-    for h in HORIZONS:
-        aggs.append(_money(items, "freight_u", F.sum(within(h, TS, F.col("freight_u"), 0))).alias(
-            f"vlFreteTot{h.name}"))
-    return items.groupBy(*KEY).agg(*aggs)
-
-
 WEIGHT_COLS = [f"vl{s}PesoProduto{h.name}" for s in ("Media", "Mediana", "P25", "P75", "Min", "Max", "Total")
                for h in HORIZONS]
 VOLUME_COLS = [f"vl{s}CubagemProduto{h.name}" for s in ("Media", "Total") for h in HORIZONS]
 PER_KG_COLS = [f"vl{s}Kg{h.name}" for s in ("Preco", "Frete") for h in HORIZONS]
 
 
-def _rounded_item_metrics(m: DataFrame) -> DataFrame:
-    out = [F.col(c) for c in KEY]
+def _rounded_item_metrics() -> list[Column]:
+    out = []
     for c in WEIGHT_COLS:
         col = F.col(c)
         out.append((col if ("Min" in c or "Max" in c) else F.round(col, 3)).alias(c))
     out += [F.round(F.col(c), 1).alias(c) for c in VOLUME_COLS]
     out += [F.round(F.col(c), 2).alias(c) for c in PER_KG_COLS]
-    return m.select(*out)
+    return out
 
 
-def item_weight_stats(items: DataFrame) -> DataFrame:
+def item_weight_stats(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
     """item weight statistics in kg per horizon."""
-    return _rounded_item_metrics(item_metrics(items)).select(*KEY, *WEIGHT_COLS)
+    return item_metrics(sales, scales).select(*KEY, *_rounded_item_metrics()).select(*KEY, *WEIGHT_COLS)
 
 
-def item_volume_stats(items: DataFrame) -> DataFrame:
+def item_volume_stats(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
     """item volume mean and total per horizon."""
-    return _rounded_item_metrics(item_metrics(items)).select(*KEY, *VOLUME_COLS)
+    return item_metrics(sales, scales).select(*KEY, *_rounded_item_metrics()).select(*KEY, *VOLUME_COLS)
 
 
-def price_freight_per_kg(items: DataFrame) -> DataFrame:
+def price_freight_per_kg(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
     """revenue and freight per kg sold."""
-    return _rounded_item_metrics(item_metrics(items)).select(*KEY, *PER_KG_COLS)
+    return item_metrics(sales, scales).select(*KEY, *_rounded_item_metrics()).select(*KEY, *PER_KG_COLS)
 
 
 TOP_N = 3
-TOP_COLS = ([f"descTopCategoria{k}{h.name}" for k in range(1, TOP_N + 1) for h in HORIZONS]
-            + [f"shareTopCategoria{k}{h.name}" for k in range(1, TOP_N + 1) for h in HORIZONS])
+TOP_COLS = (_by_horizon(*[f"descTopCategoria{k}" for k in range(1, TOP_N + 1)])
+            + _by_horizon(*[f"shareTopCategoria{k}" for k in range(1, TOP_N + 1)]))
 
 
-def top_categories(items: DataFrame, sellers: DataFrame | None = None) -> DataFrame:
-    """Top-3 categories by revenue per horizon and their revenue share.
+def top_categories(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+    """Top-3 categories by revenue per horizon and their revenue share, ties by name.
 
-    Revenue per (seller, category) is aggregated once for all horizons, then
-    unpivoted to (horizon, revenue) in one Expand; the rank window is per
-    (seller, horizon) over that seller's categories only.
+    One aggregate a seller over its categories; a seller's list is bounded by
+    the category dimension.
     """
-    cat = items.groupBy(*KEY, "product_category_name").agg(
-        *[F.sum(within(h, TS, F.col("price_u"), 0)).alias(h.name) for h in HORIZONS])
-    long = cat.unpivot([*KEY, "product_category_name"], [h.name for h in HORIZONS], "janela", "revenue")
-    long = long.where(F.col("revenue") > 0)
-    part = Window.partitionBy(*KEY, "janela")
-    ranked = long.select(
-        *KEY, "janela", "product_category_name",
-        (_money(items, "price_u", F.col("revenue"))
-         / _money(items, "price_u", F.sum("revenue").over(part))).alias("share"),
-        F.row_number().over(part.orderBy(F.desc("revenue"), F.asc("product_category_name"))).alias("rk"),
-    ).where(F.col("rk") <= TOP_N)
     aggs = []
-    for k in range(1, TOP_N + 1):
-        for h in HORIZONS:
-            hit = (F.col("janela") == h.name) & (F.col("rk") == k)
-            aggs.append(F.max(F.when(hit, F.col("product_category_name"))).alias(f"descTopCategoria{k}{h.name}"))
-    for k in range(1, TOP_N + 1):
-        for h in HORIZONS:
-            hit = (F.col("janela") == h.name) & (F.col("rk") == k)
-            aggs.append(F.round(F.max(F.when(hit, F.col("share"))), 3).alias(f"shareTopCategoria{k}{h.name}"))
-    top = ranked.groupBy(*KEY).agg(*aggs)
-    if sellers is None:
-        sellers = items.select(*KEY).distinct()
-    return sellers.join(top, KEY, "left")
+    for h in HORIZONS:
+        revenue = F.col(sum_name("price", h))
+        ranked = F.when(revenue > 0, F.struct((-revenue).alias("minus"), F.col("product_category_name").alias("name")))
+        aggs += [F.slice(F.array_sort(F.collect_list(ranked)), 1, TOP_N).alias(f"top_{h.name}"),
+                 F.sum(F.when(revenue > 0, revenue)).alias(f"all_{h.name}")]
+    top = category_sales(sales).groupBy(*KEY).agg(*aggs)
+    at = lambda h, k: F.get(f"top_{h.name}", F.lit(k - 1))
+    money = lambda c: to_double(c, scales["price"])
+    names = [at(h, k)["name"].alias(f"descTopCategoria{k}{h.name}") for k in range(1, TOP_N + 1) for h in HORIZONS]
+    shares = [F.round(money(-at(h, k)["minus"]) / money(F.col(f"all_{h.name}")), 3).alias(f"shareTopCategoria{k}{h.name}")
+              for k in range(1, TOP_N + 1) for h in HORIZONS]
+    return top.select(*KEY, *names, *shares)
 
 
 PORTFOLIO_COLS = [
@@ -335,60 +278,34 @@ PORTFOLIO_COLS = [
 ]
 
 
-PORTFOLIO_ATTRS = ["product_description_length", "product_photos_qty", "weight_g", "weight_kg"]
 
 
-def portfolio_products(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """Distinct (dtRef, seller, product, attributes) sold before each reference date.
+def description_stats(sales: DataFrame) -> DataFrame:
+    """Description lengths and photos over distinct products sold, from a (seller, length) histogram."""
+    desc, k = F.col("product_description_length"), F.col("products")
+    hist = sales.groupBy(*KEY, "product_description_length").agg(
+        F.count(F.lit(1)).alias("products"), F.sum("product_photos_qty").alias("photos"))
+    return hist.groupBy(*KEY).agg(
+        F.sum(desc * k).alias("dsum"), F.sum(k).alias("pcnt"), F.sum("photos").alias("psum"), F.min(desc).alias("dmin"),
+        F.max(desc).alias("dmax"), F.percentile(desc, QUARTILES, k).alias("d_quartiles"))
 
-    A product row belongs to every snapshot after its first sale, so items
-    are reduced to their first sale per (seller, product, attributes) before
-    the snapshot dates are attached -- no aggregation over the exploded items.
-    """
-    last = snapshot_dates(refs)[-1]
-    sold = item_base(mk).where(F.col(TS) < F.lit(last))  # cutoff below the aggregate: reaches the scan
-    first = sold.groupBy("seller_id", "product_id", *PORTFOLIO_ATTRS).agg(F.min(TS).alias(TS))
-    return as_of(first, TS, refs).select(*KEY, "product_id", *PORTFOLIO_ATTRS)
 
+def _portfolio_columns() -> list[Column]:
+    c = F.col
+    found = {
+        "vlMediaCaracteresDescricao": mean_of(c("dsum"), c("pcnt")), "vlMedianaCaracteresDescricao": c("d_quartiles")[1],
+        "vlP25CaracteresDescricao": c("d_quartiles")[0], "vlP75CaracteresDescricao": c("d_quartiles")[2],
+        "vlMinCaracteresDescricao": c("dmin"), "vlMaxCaracteresDescricao": c("dmax"),
+        "vlMediaFotosProduto": mean_of(c("psum"), c("pcnt")), "vlMediaPesoPortfolio": mean_of(c("gsum"), c("gcnt")) / 1000,
+        "vlMedianaPesoPortfolio": c("kg_quartiles")[1], "vlP25PesoPortfolio": c("kg_quartiles")[0],
+        "vlP75PesoPortfolio": c("kg_quartiles")[2], "vlMinPesoPortfolio": c("kg_min"), "vlMaxPesoPortfolio": c("kg_max"),
+        "vlTotalPesoPortfolio": as_double(c("gsum")) / 1000}
+    return [F.round(as_double(x), 3 if "Peso" in name else 1).alias(name) for name, x in found.items()]
 
-def portfolio_attributes(items: DataFrame, distinct_rows: DataFrame | None = None) -> DataFrame:
-    """description, photo and weight statistics over distinct products sold.
 
-    Distinct (seller, product, attributes) first (``distinct_rows`` when given,
-    see :func:`portfolio_products`); the exact percentiles then run over
-    per-seller histograms of description length and of weight.
-    """
-    d = distinct_rows if distinct_rows is not None else items.select(
-        *KEY, "product_id", *PORTFOLIO_ATTRS).distinct()
-    desc, photos, g = F.col("product_description_length"), F.col("product_photos_qty"), F.col("weight_g")
-    sums = d.groupBy(*KEY).agg(
-        F.sum(desc).alias("_dsum"), F.count(desc).alias("_dcnt"),
-        F.min(desc).alias("vlMinCaracteresDescricao"), F.max(desc).alias("vlMaxCaracteresDescricao"),
-        F.sum(photos).alias("_psum"), F.count(photos).alias("_pcnt"),
-        F.sum(g).alias("_gsum"), F.count(g).alias("_gcnt"),
-        F.min("weight_kg").alias("vlMinPesoPortfolio"), F.max("weight_kg").alias("vlMaxPesoPortfolio"),
-    )
-    dh = d.groupBy(*KEY, "product_description_length").agg(F.count(F.lit(1)).alias("k")).groupBy(*KEY).agg(
-        F.percentile("product_description_length", 0.5, F.col("k")).alias("vlMedianaCaracteresDescricao"),
-        F.percentile("product_description_length", 0.25, F.col("k")).alias("vlP25CaracteresDescricao"),
-        F.percentile("product_description_length", 0.75, F.col("k")).alias("vlP75CaracteresDescricao"))
-    wh = d.groupBy(*KEY, "weight_kg").agg(F.count(F.lit(1)).alias("k")).groupBy(*KEY).agg(
-        F.percentile("weight_kg", 0.5, F.col("k")).alias("vlMedianaPesoPortfolio"),
-        F.percentile("weight_kg", 0.25, F.col("k")).alias("vlP25PesoPortfolio"),
-        F.percentile("weight_kg", 0.75, F.col("k")).alias("vlP75PesoPortfolio"))
-    a = sums.join(dh, KEY).join(wh, KEY).select(
-        *KEY,
-        mean_of(F.col("_dsum"), F.col("_dcnt")).alias("vlMediaCaracteresDescricao"),
-        "vlMedianaCaracteresDescricao", "vlP25CaracteresDescricao", "vlP75CaracteresDescricao",
-        "vlMinCaracteresDescricao", "vlMaxCaracteresDescricao",
-        mean_of(F.col("_psum"), F.col("_pcnt")).alias("vlMediaFotosProduto"),
-        (mean_of(F.col("_gsum"), F.col("_gcnt")) / 1000).alias("vlMediaPesoPortfolio"),
-        "vlMedianaPesoPortfolio", "vlP25PesoPortfolio", "vlP75PesoPortfolio",
-        "vlMinPesoPortfolio", "vlMaxPesoPortfolio",
-        (as_double(F.col("_gsum")) / 1000).alias("vlTotalPesoPortfolio"),
-    )
-    digits = {c: (3 if "Peso" in c else 1) for c in PORTFOLIO_COLS}
-    return a.select(*KEY, *[F.round(as_double(F.col(c)), digits[c]).alias(c) for c in PORTFOLIO_COLS])
+def portfolio_attributes(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+    """description, photo and weight statistics over distinct products sold."""
+    return description_stats(sales).join(item_metrics(sales, scales), KEY).select(*KEY, *_portfolio_columns())
 
 
 DIVERSITY_COLS = ([f"vlCategoriasDistintas{h.name}" for h in HORIZONS]
@@ -399,24 +316,19 @@ SNAPSHOT_COLS = (["dtRef", "idSeller"] + DIVERSITY_COLS + COMPETITOR_COLS + WEIG
                  + PER_KG_COLS + TOP_COLS + PORTFOLIO_COLS)
 
 
-def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], materialized: bool = MATERIALIZE,
-                      seller_key: str = "idSeller", with_ref: bool = True) -> DataFrame:
+def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], seller_key: str = "idSeller",
+                      with_ref: bool = True) -> DataFrame:
     """All 119 product features plus keys (dtRef, idSeller), one row per seller with items.
 
     ``seller_key="seller_id", with_ref=False`` gives the earlier notebook form
     of the same table (120 columns, no snapshot column).
     """
-    items = sold_items(mk, refs, materialized)
-    cat_flags = category_sale_flags(items)
-    prod_flags = product_sale_flags_from_days(mk, refs)
-    diversity = catalog_diversity(cat_flags, prod_flags)
-    out = (
-        diversity
-        .join(category_competitors(cat_flags), KEY, "left")
-        .join(product_competitors(prod_flags), KEY, "left")
-        .join(_rounded_item_metrics(item_metrics(items)), KEY, "left")
-        .join(top_categories(items, diversity.select(*KEY)), KEY, "left")
-        .join(portfolio_attributes(items, portfolio_products(mk, refs)), KEY, "left")
-    )
+    sales, scales = materialize(product_sales(mk, refs), "product_sales"), money_scales(mk)
+    out = category_rivals(sales)
+    for part in (product_rivals(sales), item_metrics(sales, scales), top_categories(sales, scales), description_stats(sales)):
+        out = out.join(part, KEY)
+    computed = {c for cols in (WEIGHT_COLS, VOLUME_COLS, PER_KG_COLS, PORTFOLIO_COLS) for c in cols}
+    out = out.select(*KEY, *[c for c in SNAPSHOT_COLS if c not in computed and c not in (REF, "idSeller")],
+                     *_rounded_item_metrics(), *_portfolio_columns())
     cols = [seller_key if c == "idSeller" else c for c in SNAPSHOT_COLS if with_ref or c != REF]
     return out.withColumnRenamed("seller_id", seller_key).select(*cols)

@@ -46,25 +46,27 @@ def _mk(spark: SparkSession, sf_dir: str):
     return load_testdata(spark, sf_dir)
 
 
-def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sold items at the reference date (input of every product feature)."""
-    return P.sold_items(_mk(spark, sf_dir), REF_DATE)
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product sales at the reference date (input of every product feature)."""
+    return P.product_sales(_mk(spark, sf_dir), REF_DATE)
 
 
 def product_queries() -> dict[str, Query]:
+    def scales(s, sf):
+        return P.money_scales(_mk(s, sf))
+
     return {
-        "seller_revenue_horizons": lambda s, sf: P.seller_revenue_horizons(_items(s, sf)),
-        "category_sale_flags": lambda s, sf: P.category_sale_flags(_items(s, sf)),
-        "product_sale_flags": lambda s, sf: P.product_sale_flags(_items(s, sf)),
-        "catalog_diversity": lambda s, sf: P.catalog_diversity(
-            P.category_sale_flags(_items(s, sf)), P.product_sale_flags(_items(s, sf))),
-        "category_competitors": lambda s, sf: P.category_competitors(P.category_sale_flags(_items(s, sf))),
-        "product_competitors": lambda s, sf: P.product_competitors(P.product_sale_flags(_items(s, sf))),
-        "item_weight_stats": lambda s, sf: P.item_weight_stats(_items(s, sf)),
-        "item_volume_stats": lambda s, sf: P.item_volume_stats(_items(s, sf)),
-        "price_freight_per_kg": lambda s, sf: P.price_freight_per_kg(_items(s, sf)),
-        "top_categories": lambda s, sf: P.top_categories(_items(s, sf)),
-        "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_items(s, sf)),
+        "seller_revenue_horizons": lambda s, sf: P.seller_revenue_horizons(_sales(s, sf), scales(s, sf)),
+        "category_sale_flags": lambda s, sf: P.category_sale_flags(_sales(s, sf)),
+        "product_sale_flags": lambda s, sf: P.product_sale_flags(_sales(s, sf)),
+        "catalog_diversity": lambda s, sf: P.catalog_diversity(_sales(s, sf)),
+        "category_competitors": lambda s, sf: P.category_competitors(_sales(s, sf)),
+        "product_competitors": lambda s, sf: P.product_competitors(_sales(s, sf)),
+        "item_weight_stats": lambda s, sf: P.item_weight_stats(_sales(s, sf), scales(s, sf)),
+        "item_volume_stats": lambda s, sf: P.item_volume_stats(_sales(s, sf), scales(s, sf)),
+        "price_freight_per_kg": lambda s, sf: P.price_freight_per_kg(_sales(s, sf), scales(s, sf)),
+        "top_categories": lambda s, sf: P.top_categories(_sales(s, sf), scales(s, sf)),
+        "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_sales(s, sf), scales(s, sf)),
         "products_snapshot": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE),
         "products_by_seller": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE, seller_key="seller_id",
                                                                 with_ref=False),

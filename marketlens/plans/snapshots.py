@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.dates import DateLike, month_starts, snapshot_dates
 from marketlens.functions.horizons import REF
 from marketlens.operators import customers, delivery, geo, payments, products, reputation
-from marketlens.session import checkpoint_dir
+from marketlens.session import checkpoint_dir, scratch_of
 from marketlens.sources.marketplace import Marketplace
 
 MultiBuilder = Callable[[Marketplace, list], DataFrame]
@@ -125,11 +125,13 @@ def write_group(group: str, mk: Marketplace, dates: Iterable[DateLike], path: st
                 table: str | None = None) -> DataFrame:
     """Build a group's snapshots of ``dates`` in one job and replace those, or the whole table where one build is all."""
     g = GROUPS[group]
-    df = g.build(mk, list(snapshot_dates(list(dates))))
-    if g.whole:
-        overwrite_table(df, path=path, table=table)
-    else:
-        replace_snapshots(df, path=path, table=table, partition_col=g.column)
+    spark = mk.orders.sparkSession
+    with scratch_of(spark):  # what the build writes on its way goes when the snapshots are written
+        df = g.build(mk, list(snapshot_dates(list(dates))))
+        if g.whole:
+            overwrite_table(df, path=path, table=table)
+        else:
+            replace_snapshots(df, path=path, table=table, partition_col=g.column)
     return df
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def materialize(df, name: str = "stage"):
     """Cut the lineage of a relation that many branches re-read.
 
@@ -75,10 +81,31 @@ def materialize(df, name: str = "stage"):
     recompute the joins that built them nor lose them with an executor.
     (``Dataset.checkpoint`` would compute the plan twice -- once to count,
     once to write -- and store row objects instead of columns.)
-    """
-    import uuid
 
+    The table stays until :func:`release_scratch`; the snapshot writers, whose
+    results no longer need it, release theirs (:func:`scratch_of`).
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/marketlens/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that ``materialize`` wrote in this session (from the ``since``-th on); frames on them end."""
+    paths = _scratch.get(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(paths) > since:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch_of(spark: SparkSession) -> Iterator[None]:
+    """Release what ``materialize`` writes inside; for work whose result is written out inside, too."""
+    since = len(_scratch.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release_scratch(spark, since)
