@@ -76,3 +76,10 @@ def units_at(df: DataFrame, cols: list[str]) -> tuple[list[Column], int | None]:
     if any(isinstance(t, DecimalType) and t.precision - t.scale + scale > MAX_EXACT_DIGITS for t in types):
         return [F.col(c) for c in cols], None
     return [F.rint(F.col(c).cast("double") * float(10 ** scale)).cast("long") for c in cols], scale
+
+
+def whole_units_at(df: DataFrame, cols: list[str]) -> tuple[list[Column], int]:
+    """Several money columns as whole-number units on one common scale, as of ``whole_units``."""
+    found = [whole_units(df, c) for c in cols]
+    scale = max(s for _, s in found)
+    return [u * F.lit(10 ** (scale - s)) if s < scale else u for u, s in found], scale

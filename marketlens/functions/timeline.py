@@ -52,10 +52,14 @@ class Spine:
         at = F.least(F.greatest(F.datediff(day, F.lit(first)), F.lit(0)), F.lit(len(days) - 1))
         return (F.when(day < F.lit(first), 0).when(day >= F.lit(last), n).otherwise(F.element_at(numbers, at + 1)))
 
+    def all(self) -> Column:
+        """Every date, in an array."""
+        return _literal(self.dates, "date")
+
     def date(self, number: Column) -> Column:
         if len(self.dates) == 1:
             return F.lit(self.dates[0])
-        return F.element_at(_literal(self.dates, "date"), (number + 1).cast("int"))
+        return F.element_at(self.all(), (number + 1).cast("int"))
 
 
 def sum_name(measure: str, h: Horizon) -> str:
@@ -64,7 +68,7 @@ def sum_name(measure: str, h: Horizon) -> str:
 
 def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | Mapping[str, Sequence[Horizon]],
                horizons: Sequence[Horizon], refs: DateLike | Iterable[DateLike], day: str = "day",
-               after: str | None = None) -> DataFrame:
+               after: str | None = None, days_before: Sequence[Horizon] | None = None) -> DataFrame:
     """(dtRef, ``key``, ``measure_horizon``...): sums of whole-number measures at every date after a key's first fact.
 
     ``day`` is the fact's day: horizon h of date r holds days >= r - h.
@@ -79,26 +83,38 @@ def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | M
     facts = facts.where(F.col(after) < F.lit(spine.dates[-1]))
     names = [sum_name(m, h) for m, own in wanted.items() for h in own]
     value = lambda m: F.coalesce(F.col(m), F.lit(0))
+    edges = [h for h in days_before or () if not h.lifetime]
+    ends = [] if days_before is None else ["first", "last", *(f"before_{h.name}" for h in edges)]
     if len(spine.dates) == 1:
         ref = F.lit(spine.dates[0])
         sums = [F.sum(value(m) if h.lifetime else F.when(F.col(day) >= F.date_sub(ref, h.days), value(m)).otherwise(0))
                 .cast("long").alias(sum_name(m, h)) for m, own in wanted.items() for h in own]
-        return facts.groupBy(*key).agg(*sums).select(ref.alias(REF), *key, *names)
+        if ends:
+            sums += [F.min(day).alias("first"), F.max(day).alias("last")]
+            sums += [F.max(F.when(F.col(day) < F.date_sub(ref, h.days), F.col(day))).alias(f"before_{h.name}") for h in edges]
+        return facts.groupBy(*key).agg(*sums).select(ref.alias(REF), *key, *names, *ends)
     days = [day] if after == day else [day, after]
     daily = facts.groupBy(*key, *days).agg(*[F.sum(value(m)).cast("long").alias(m) for m in wanted])
     move = lambda number, horizon: F.struct(number.cast("int").alias("__number"), F.lit(horizon).alias("__horizon"))
-    lengths = sorted({h.days for own in wanted.values() for h in own if not h.lifetime})
+    lengths = sorted({h.days for own in (*wanted.values(), edges) for h in own if not h.lifetime})
     moves = F.array(move(spine.first_after(F.col(after)), -1),
                     *[move(spine.first_after(F.date_add(day, n)), n) for n in lengths])
-    events = daily.select(*key, *wanted, F.inline(moves)).where(F.col("__number") < len(spine.dates))
+    events = daily.select(*key, *wanted, *([day] if ends else []), F.inline(moves)).where(F.col("__number") < len(spine.dates))
 
     def change(m: str, h: Horizon) -> Column:
         found = F.when(F.col("__horizon") == -1, F.col(m))
         return (found if h.lifetime else found.when(F.col("__horizon") == h.days, -F.col(m))).otherwise(0)
 
-    events = events.groupBy(*key, "__number").agg(*[F.sum(change(m, h)).alias(sum_name(m, h)) for m, own in wanted.items() for h in own])
+    sums = [F.sum(change(m, h)).alias(sum_name(m, h)) for m, own in wanted.items() for h in own]
     line = Window.partitionBy(*key).orderBy("__number")
+    running = [F.sum(n).over(line).alias(n) for n in names]
+    if ends:
+        at = lambda n: F.when(F.col("__horizon") == n, F.col(day))
+        sums += [F.min(at(-1)).alias("first"), F.max(at(-1)).alias("last")]
+        sums += [F.max(at(h.days)).alias(f"before_{h.name}") for h in edges]
+        running += [F.min("first").over(line).alias("first"), *[F.max(n).over(line).alias(n) for n in ends[1:]]]
+    events = events.groupBy(*key, "__number").agg(*sums)
     until = F.coalesce(F.lead("__number").over(line), F.lit(len(spine.dates)))
-    states = events.select(*key, "__number", until.alias("__until"), *[F.sum(n).over(line).alias(n) for n in names])
+    states = events.select(*key, "__number", until.alias("__until"), *running)
     found = states.withColumn("__number", F.explode(F.sequence("__number", F.col("__until") - 1)))
-    return found.select(spine.date(F.col("__number")).alias(REF), *key, *names)
+    return found.select(spine.date(F.col("__number")).alias(REF), *key, *names, *ends)

@@ -3,10 +3,12 @@
 Periods are [ref - n days, ref) for n = 28, 56, 365 and all history
 ('full'); churn compares with the equal-length period just before.
 
-No range join and no LAG window: everything comes from one conditional
-``groupBy`` per (seller, customer) followed by one per seller, both with
-map-side partial aggregation, so a seller or a customer holding a third
-of the orders never sits whole in one task.
+Orders are added up by (seller, customer, day); the trailing sums of that
+table at every reference date (:mod:`marketlens.functions.timeline`) hold, for
+each pair and date, the orders of each period and of twice its length, the
+first and last order day and the last day before each period.  Pairs are
+shuffled once for any number of dates, without a range join or LAG window, and
+the rows of a date are added up to the seller in the task that makes them.
 
 Repurchase interval (F33): consecutive purchase dates telescope.  For the
 orders of one (seller, customer) inside a period, sorted by time, the sum
@@ -24,12 +26,17 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.functions import horizons as H
 from marketlens.functions.dates import DateLike, as_of, snapshot_dates
 from marketlens.functions.horizons import REF, ref_col
 from marketlens.functions.ratios import safe_ratio
+from marketlens.functions.timeline import dated_sums, sum_name
 from marketlens.sources.marketplace import Marketplace
 
 PERIODS = (("28d", 28), ("56d", 56), ("365d", 365), ("full", None))
+#: The periods, and those of twice the length, from which the previous one follows.
+HORIZONS = H.make(*PERIODS)
+DOUBLE = H.make(*((f"2x{name}", 2 * days) for name, days in PERIODS if days))
 FULL_START = dt.date(1900, 1, 1)
 TS = "order_purchase_timestamp"
 KEY = [REF, "seller_id"]
@@ -37,70 +44,50 @@ DEC = "decimal(38,0)"
 
 
 def seller_customer_orders(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """Distinct (seller, order, person, purchase time) before each reference date."""
-    o = mk.orders.select("order_id", "customer_id", TS)
+    """Distinct (seller, order, person, purchase day) before the last reference date."""
+    o = mk.orders.where(F.col(TS) < F.lit(snapshot_dates(refs)[-1])).select("order_id", "customer_id", TS)
     i = mk.items.select("order_id", "seller_id")
     c = mk.customers.select("customer_id", "customer_unique_id")
-    last = F.lit(snapshot_dates(refs)[-1])
-    rows = o.where(F.col(TS) < last).join(i, "order_id").join(c, "customer_id")
-    pairs = rows.select("seller_id", "order_id", "customer_unique_id", TS).distinct()  # date-free; dates come after
-    return as_of(pairs, TS, refs).select(*KEY, "order_id", "customer_unique_id", TS)
+    pairs = o.join(i, "order_id").join(c, "customer_id").select("seller_id", "order_id", "customer_unique_id", TS).distinct()
+    return pairs.select("seller_id", "customer_unique_id", F.to_date(TS).alias("day"), F.lit(1).alias("orders"))
 
 
-def _lo(days: int | None) -> Column:
-    return F.lit(FULL_START) if days is None else F.date_sub(ref_col(), days)
-
-
-def period_base(orders: DataFrame) -> DataFrame:
+def period_base(orders: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
     """period definitions per seller (dt_inicio, dt_fim, prev_dt_fim)."""
-    sellers = orders.select(*KEY).distinct()
+    sellers = as_of(orders.groupBy("seller_id").agg(F.min("day").alias("first")), "first", refs)
+    start = lambda days: F.lit(FULL_START) if days is None else F.date_sub(ref_col(), days)
     periods = F.array(*[
-        F.struct(F.lit(name).alias("periodo"), _lo(days).alias("dt_fim"),
-                 (F.lit(FULL_START) if days is None else F.date_sub(ref_col(), 2 * days)).alias("prev_dt_fim"))
+        F.struct(F.lit(name).alias("periodo"), start(days).alias("dt_fim"), start(days and 2 * days).alias("prev_dt_fim"))
         for name, days in PERIODS])
     return sellers.select(
         "seller_id", F.col(REF).alias("safra_mes"), F.inline(periods)
     ).select("seller_id", "safra_mes", "periodo", F.col("safra_mes").alias("dt_inicio"), "dt_fim", "prev_dt_fim")
 
 
-def per_customer(orders: DataFrame) -> DataFrame:
-    ts = F.col(TS)
-    aggs = [F.min(ts).alias("first_ever")]
-    for name, days in PERIODS:
-        inside = ts >= _lo(days)
-        aggs += [
-            F.count(F.when(inside, 1)).alias(f"n_{name}"),
-            F.min(F.when(inside, ts)).alias(f"first_{name}"),
-            F.max(F.when(inside, ts)).alias(f"last_{name}"),
-        ]
-        if days is not None:
-            aggs += [
-                F.max(F.when(~inside, ts)).alias(f"pred_{name}"),
-                F.max(F.when(~inside & (ts >= F.date_sub(ref_col(), 2 * days)), 1).otherwise(0)).alias(
-                    f"prev_{name}"),
-            ]
-    return orders.groupBy(*KEY, "customer_unique_id").agg(*aggs)
+def per_customer(orders: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    """A row a (dtRef, seller, customer) with an order before it."""
+    return dated_sums(orders, ["seller_id", "customer_unique_id"], ["orders"], (*HORIZONS, *DOUBLE), refs, days_before=HORIZONS)
 
 
 def per_seller(cust: DataFrame) -> DataFrame:
     aggs = []
-    for name, days in PERIODS:
-        n = F.col(f"n_{name}")
+    for h in HORIZONS:
+        n, name = F.col(sum_name("orders", h)), h.name
         active = n > 0
-        pred = F.col(f"pred_{name}") if days is not None else F.lit(None).cast("timestamp_ntz")
-        start = F.coalesce(pred, F.col(f"first_{name}"))
-        gaps = F.when(pred.isNotNull(), n).otherwise(n - 1)
+        before = F.lit(None).cast("date") if h.lifetime else F.col(f"before_{name}")
+        gaps = F.when(before.isNotNull(), n).otherwise(n - 1)
+        new = F.lit(True) if h.lifetime else F.col("first") >= F.date_sub(ref_col(), h.days)
         aggs += [
             F.count(F.when(active, 1)).alias(f"qtd_{name}"),
             F.sum(n).alias(f"tot_{name}"),
             F.count(F.when(n >= 2, 1)).alias(f"rep_{name}"),
             F.sum((n * n).cast(DEC)).alias(f"sq_{name}"),
-            F.sum(F.when(active, F.datediff(F.col(f"last_{name}"), start))).alias(f"gsum_{name}"),
+            F.sum(F.when(active, F.datediff("last", F.coalesce(before, F.col("first"))))).alias(f"gsum_{name}"),
             F.sum(F.when(active, gaps)).alias(f"gcnt_{name}"),
-            F.max(F.when(F.col("first_ever") >= _lo(days), F.col("first_ever"))).alias(f"lastnew_{name}"),
+            F.max(F.when(new, F.col("first"))).alias(f"lastnew_{name}"),
         ]
-        if days is not None:
-            aggs.append(F.sum(f"prev_{name}").alias(f"prev_{name}"))
+        if not h.lifetime:
+            aggs.append(F.count(F.when(F.col(f"orders_2x{name}") > n, 1)).alias(f"prev_{name}"))
     return cust.groupBy(*KEY).agg(*aggs)
 
 
@@ -151,7 +138,7 @@ def _keys() -> list[Column]:
 
 def customer_features(mk: Marketplace, refs: DateLike | list[DateLike], key: str | None = None) -> DataFrame:
     """Loyalty features of one family (a FAMILY_KEYS key), or all 27 when ``key`` is None."""
-    sums = per_seller(per_customer(seller_customer_orders(mk, refs)))
+    sums = per_seller(per_customer(seller_customer_orders(mk, refs), refs))
     fam = FAMILY_KEYS.get(key)
     cols = [col for f, col in _metric_columns().values() if fam is None or f == fam]
     return sums.select(*_keys(), *cols)
@@ -163,4 +150,4 @@ def customers_snapshot(mk: Marketplace, refs: DateLike | list[DateLike]) -> Data
 
 
 def customer_period_base(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    return period_base(seller_customer_orders(mk, refs))
+    return period_base(seller_customer_orders(mk, refs), refs)

@@ -2,11 +2,18 @@
 
 Sellers with no order before the reference date are kept (flagged).
 
+Items are rolled up to (seller, order) once, with both places and the distance,
+and no date.  That table is written and read three times, whatever the number
+of dates: for the orders by place, for each seller's destinations and for its
+distances, each as trailing sums at every date
+(:mod:`marketlens.functions.timeline`).
+
 Scale notes:
-* Distinct counts across sellers (state volume, market size) are
-  ``groupBy(place, order)`` then ``groupBy(place)`` -- fine-grained first
-  level, map-side partial aggregation on the second, so a state holding a
-  third of all orders is still split across tasks.
+* Distinct orders across sellers (state volume, market size) are one distinct
+  of (kind of place, place, order), so a state holding a third of all orders
+  is spread over tasks, and then counted.
+* The median distance is the first element of the (seller, km) histogram whose
+  running count reaches half of the orders.
 * Seller rank inside its state (RANK() OVER state ORDER BY orders DESC) is
   computed from a per-state histogram of order counts: rank = 1 + number of
   sellers with a larger count.  The window then runs over distinct count
@@ -31,14 +38,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.dates import DateLike, as_of, keep_ref, snapshot_dates
+from marketlens.functions import horizons as H
+from marketlens.functions.dates import DateLike, keep_ref, snapshot_dates
 from marketlens.functions.horizons import REF
 from marketlens.functions.geo import haversine_km, zip_centroids
-from marketlens.functions.money import to_double, units_at
+from marketlens.functions.money import to_double, whole_units_at
 from marketlens.functions.ratios import as_double, safe_ratio
+from marketlens.functions.timeline import Spine, dated_sums
 from marketlens.session import materialize
 from marketlens.sources.marketplace import Marketplace
 
+LIFETIME = H.make(("all", None))
 TS = "order_purchase_timestamp"
 DEC = "decimal(38,0)"
 KEY = [REF, "seller_id"]
@@ -74,24 +84,16 @@ def capital_flag(city: Column) -> Column:
 
 
 def seller_order_revenue(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """product, freight and total revenue per (dtRef, seller, order) before each reference date.
-
-    Items are rolled up to the order once; the dates are attached to that.
-    """
+    """total revenue per (seller, order) before the last reference date, in whole units."""
     o = mk.orders.select("order_id", "customer_id", TS).where(F.col(TS) < F.lit(snapshot_dates(refs)[-1]))
-    (price, freight), _ = units_at(mk.items, ["price", "freight_value"])
-    i = mk.items.select("order_id", "seller_id", price.alias("price_u"), freight.alias("freight_u"))
-    rolled = o.join(i, "order_id").groupBy("seller_id", "order_id", "customer_id", TS).agg(
-        F.sum("price_u").alias("receita_produto"),
-        F.sum("freight_u").alias("receita_frete"),
-        F.sum(F.col("price_u") + F.col("freight_u")).alias("receita_total"),
-    )
-    return as_of(rolled, TS, refs)
+    (price, freight), _ = whole_units_at(mk.items, ["price", "freight_value"])
+    i = mk.items.select("order_id", "seller_id", (price + freight).alias("revenue"))
+    return o.join(i, "order_id").groupBy("seller_id", "order_id", "customer_id", TS).agg(F.sum("revenue").alias("revenue"))
 
 
-def revenue_scale(mk: Marketplace) -> int | None:
-    """Scale of the exact units revenue is summed in (None: summed as they are)."""
-    return units_at(mk.items, ["price", "freight_value"])[1]
+def revenue_scale(mk: Marketplace) -> int:
+    """Scale of the whole units revenue is summed in."""
+    return whole_units_at(mk.items, ["price", "freight_value"])[1]
 
 
 def seller_attributes(sellers: DataFrame) -> DataFrame:
@@ -106,187 +108,103 @@ def seller_attributes(sellers: DataFrame) -> DataFrame:
                           region.alias("regiao_seller"), capital.cast("int").alias("flag_seller_capital"))
 
 
-def base_seller_orders(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """Every seller x its orders per reference date (one NULL-order row for idle sellers), with places
-    and distance.
+def seller_orders(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Every (seller, order) before the last reference date with its day, places, revenue and distance in whole km.
 
     Customers and sellers are one row per id: of repeated ids the smallest (state, city, zip) counts, so an
-    order is one row per seller and order counts are counts of distinct orders.
+    order is one row per seller and order counts are counts of distinct orders.  The seller dimension can be
+    broadcast, so a seller holding a third of all orders is never gathered into one join partition.
     """
     geo = zip_centroids(mk.geolocation)
-    gs = geo.select(F.col("geolocation_zip_code_prefix").alias("s_zip"),
-                    F.col("latitude").alias("seller_latitude"), F.col("longitude").alias("seller_longitude"))
-    gc = geo.select(F.col("geolocation_zip_code_prefix").alias("c_zip"),
-                    F.col("latitude").alias("customer_latitude"), F.col("longitude").alias("customer_longitude"))
+    gs, gc = (geo.select(F.col("geolocation_zip_code_prefix").alias(f"{x}_zip"), F.col("latitude").alias(f"{x}_lat"),
+                         F.col("longitude").alias(f"{x}_lng")) for x in "sc")
     place = F.struct("customer_state", "customer_city", "customer_zip_code_prefix")
     cust = mk.customers.groupBy(F.col("customer_id").alias("c_id")).agg(F.min(place).alias("p")).select(
         "c_id", "p.customer_zip_code_prefix", "p.customer_city", "p.customer_state")
-    so = seller_order_revenue(mk, refs)
-    dates = snapshot_dates(refs)
-    sellers = seller_attributes(mk.sellers)
-    # sellers LEFT JOIN orders, written as (orders JOIN sellers) UNION (sellers without orders):
-    # the inner join can broadcast the seller dimension, so a seller holding a third of all
-    # orders is never gathered into one join partition; idle sellers come from an anti join
-    # against the first sale of each seller, and are added after the joins: without an order they
-    # have nothing to join.
     joined = (
-        so.join(sellers, "seller_id")
+        seller_order_revenue(mk, refs).join(seller_attributes(mk.sellers), "seller_id")
         .join(cust, F.col("customer_id") == F.col("c_id"), "left")
         .join(gs, F.col("seller_zip_code_prefix") == F.col("s_zip"), "left")
         .join(gc, F.col("customer_zip_code_prefix") == F.col("c_zip"), "left")
     )
-    every_date = sellers.withColumn(REF, F.explode(F.array(*[F.lit(d) for d in dates])))
-    sold = mk.orders.join(mk.items.select("order_id", "seller_id"), "order_id").groupBy("seller_id").agg(
-        F.min(TS).alias("first_sale"))
-    idle = every_date.join(sold, "seller_id", "left").where(
-        F.col("first_sale").isNull() | (F.col("first_sale") >= F.col(REF))).drop("first_sale")
-    base = joined.unionByName(idle, allowMissingColumns=True)
-    coords = [F.col(c) for c in ("seller_latitude", "seller_longitude", "customer_latitude", "customer_longitude")]
-    known = F.col("order_id").isNotNull()
-    for c in coords:
-        known = known & c.isNotNull()
-    dist = F.when(known, haversine_km(*coords))
-    return base.select(
-        REF, "seller_id", "seller_city", "seller_state", "regiao_seller", "flag_seller_capital",
-        "order_id", "customer_city", "customer_state",
-        F.coalesce(F.col("receita_total"), F.lit(0)).alias("receita_total"),
-        dist.alias("distancia_km"),
-    )
-
-
-def _same_state() -> Column:
-    return F.col("customer_state") == F.col("seller_state")
-
-
-def _same_city() -> Column:
-    return _same_state() & (F.col("customer_city") == F.col("seller_city"))
-
-
-def seller_summary(base: DataFrame) -> DataFrame:
-    """Per-seller aggregates over its (seller, order) rows."""
-    d = F.col("distancia_km")
-    oid = F.col("order_id")
-    return base.groupBy(REF, "seller_id").agg(
-        F.max("seller_city").alias("seller_city"),
-        F.max("seller_state").alias("seller_state"),
-        F.max("regiao_seller").alias("regiao_seller"),
-        F.max("flag_seller_capital").alias("flag_seller_capital"),
-        F.count(oid).alias("qtd_pedidos_seller"),
-        F.sum("receita_total").alias("receita_total_seller"),
-        F.count(F.when(_same_state(), oid)).alias("qtd_pedidos_proprio_estado"),
-        F.count(F.when(_same_city(), oid)).alias("qtd_pedidos_propria_cidade"),
-        F.sum(F.when(_same_state(), F.col("receita_total")).otherwise(0)).alias("receita_proprio_estado"),
-        F.sum(F.when(_same_city(), F.col("receita_total")).otherwise(0)).alias("receita_propria_cidade"),
-        safe_ratio(F.sum(d), F.count(d)).alias("media_distancia_km"),
-        F.percentile_approx(d, 0.5).alias("mediana_distancia_km"),
-        F.max(d).alias("max_distancia_km"),
-        F.min(d).alias("min_distancia_km"),
-        F.count(F.when(d <= 100, oid)).alias("qtd_pedidos_curta_distancia"),
-        F.count(F.when((d > 100) & (d <= 500), oid)).alias("qtd_pedidos_media_distancia"),
-        F.count(F.when(d > 500, oid)).alias("qtd_pedidos_longa_distancia"),
-    )
+    coords = [F.col(c) for c in ("s_lat", "s_lng", "c_lat", "c_lng")]
+    return joined.select("seller_id", "seller_city", "seller_state", "order_id", F.to_date(TS).alias("day"), "customer_city",
+                         "customer_state", F.coalesce("revenue", F.lit(0)).alias("revenue"), haversine_km(*coords).alias("km"),
+                         F.lit(1).alias("orders"))
 
 
-def destination_states(cities: DataFrame) -> DataFrame:
-    """(seller, customer state) -> orders, from the cities; the NULL state is a group of its own."""
-    return cities.groupBy(REF, "seller_id", "customer_state").agg(F.sum("n").alias("n"))
+def place_orders(orders: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    """(dtRef, kind, state, city, orders, revenue): distinct orders of each place and, for the market, their revenue.
 
-
-def destination_cities(base: DataFrame) -> DataFrame:
-    return base.groupBy(REF, "seller_id", "customer_state", "customer_city").agg(F.count("order_id").alias("n"))
-
-
-def reach(states: DataFrame, cities: DataFrame) -> DataFrame:
-    """F51 distinct destination states and distinct 'state|city' keys per seller.
-
-    Cities are counted by the concatenated key, as the source does (two
-    different pairs that concatenate to the same text count once); the
-    inputs are already one row per (seller, place), so these are small.
+    Kinds: ``state`` and ``city`` of the sellers (F54), ``market``, the customers' city (F53, F58).
     """
-    st = states.groupBy(REF, "seller_id").agg(F.count(F.when(F.col("customer_state").isNotNull(), 1)).alias(
-        "qtd_ufs_atendidas"))
-    key = F.when(F.col("customer_state").isNotNull(), F.concat("customer_state", F.lit("|"), "customer_city"))
-    ct = cities.select(REF, "seller_id", key.alias("city_key")).groupBy(REF, "seller_id").agg(
-        F.count_distinct("city_key").alias("qtd_cidades_atendidas"))
-    return st.join(ct, KEY)
-
-
-def main_destination(states: DataFrame, cities: DataFrame) -> DataFrame:
-    """F56 top destination state and city by orders (ties: state, then city, ascending)."""
-    ms = states.where(F.col("n") > 0).groupBy(*KEY).agg(
-        F.min(F.struct((-F.col("n")).alias("neg"), "customer_state")).alias("top"))
-    mc = cities.where(F.col("n") > 0).groupBy(*KEY).agg(
-        F.min(F.struct((-F.col("n")).alias("neg"), "customer_state", "customer_city")).alias("top"))
-    return ms.select(*KEY, F.col("top.customer_state").alias("principal_estado_pedidos_seller"),
-                     (-F.col("top.neg")).alias("qtd_pedidos_principal_estado")).join(
-        mc.select(*KEY, F.col("top.customer_city").alias("principal_cidade_pedidos_seller"),
-                  (-F.col("top.neg")).alias("qtd_pedidos_principal_cidade")), KEY, "full")
-
-
-def _distinct_orders(base: DataFrame, keys: list[str], revenue: bool = False) -> DataFrame:
-    """Distinct orders (and summed revenue) per place; order counted once across sellers."""
-    rows = base.where(F.col("order_id").isNotNull())
-    first = rows.groupBy(REF, *keys, "order_id").agg(F.sum("receita_total").alias("r"))
-    aggs = [F.count(F.lit(1)).alias("orders")]
-    if revenue:
-        aggs.append(F.sum("r").alias("revenue"))
-    return first.groupBy(REF, *keys).agg(*aggs)
-
-
-def place_volume(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """distinct orders of all sellers located in the seller's state / city."""
-    rows = base.where(F.col("order_id").isNotNull())
-    st = rows.select(REF, "seller_state", "order_id").distinct().groupBy(REF, "seller_state").agg(
-        F.count(F.lit(1)).alias("volume_total_pedidos_estado_seller"))
-    ct = rows.select(REF, "seller_state", "seller_city", "order_id").distinct().groupBy(
-        REF, "seller_state", "seller_city").agg(F.count(F.lit(1)).alias("volume_total_pedidos_cidade_seller"))
-    return st, ct
-
-
-def rank_within(summary: DataFrame, part: list[str], out: str) -> DataFrame:
-    """RANK() OVER (PARTITION BY part ORDER BY qtd_pedidos_seller DESC), via a count histogram."""
-    part = [REF, *part]
-    keys = [F.col(c).alias(f"_p{i}") for i, c in enumerate(part)]
-    hist = summary.groupBy(*keys, F.col("qtd_pedidos_seller").alias("_q")).agg(F.count(F.lit(1)).alias("k"))
-    above = Window.partitionBy(*[f"_p{i}" for i in range(len(part))]).orderBy(F.desc("_q")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    hist = hist.withColumn(out, (F.coalesce(F.sum("k").over(above), F.lit(0)) + 1).cast("int"))
-    # RANK's window partitions NULL places together, hence the null-safe match.
-    cond = [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(part)] + [
-        F.col("qtd_pedidos_seller") == F.col("_q")]
-    return summary.select(*part, "seller_id", "qtd_pedidos_seller").join(hist, cond, "left").select(*KEY, out)
-
-
-def peers(summary: DataFrame, part: list[str], out: str) -> DataFrame:
-    """F57 mean orders of the sellers located in the same place."""
-    return summary.groupBy(REF, *part).agg(
-        safe_ratio(F.sum("qtd_pedidos_seller"), F.count("qtd_pedidos_seller")).alias(out))
-
-
-def coverage_gap(market: DataFrame, states: DataFrame, sellers: DataFrame) -> DataFrame:
-    """F58 per seller: positive gap sum, absolute gap sum, coverage score (exact rational form).
-
-    ``market`` has the distinct orders of each customer state.  Market totals
-    per date (T, including the NULL state, and Dnn over the other states) are
-    a table with one row per snapshot date, so it is broadcast.
+    place = lambda kind, state, city: F.struct(F.lit(kind).alias("kind"), state.alias("state"), city.alias("city"))
+    c = F.col
+    kinds = F.array(place("state", c("seller_state"), F.lit(None).cast("string")),
+                    place("city", c("seller_state"), c("seller_city")), place("market", c("customer_state"), c("customer_city")))
+    rows = orders.select("order_id", "day", "revenue", F.inline(kinds))
+    once = rows.groupBy("kind", "state", "city", "order_id", "day").agg(F.sum("revenue").alias("revenue"))
+    found = dated_sums(once.withColumn("orders", F.lit(1)), ["kind", "state", "city"], ["orders", "revenue"], LIFETIME, refs)
+    return found.withColumnsRenamed({"orders_all": "orders", "revenue_all": "revenue"})
+
+
+def distances(orders: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    """F49, F50 from the (seller, km) histogram of every date; the median is an element of it."""
+    hist = dated_sums(orders.where(F.col("km").isNotNull()), ["seller_id", "km"], ["orders"], LIFETIME, refs)
+    n, km = F.col("orders_all"), F.col("km")
+    line = Window.partitionBy(*KEY).orderBy("km")
+    hist = hist.withColumns({"upto": F.sum(n).over(line), "all": F.sum(n).over(Window.partitionBy(*KEY))})
+    between = lambda a, b: F.sum(F.when((km > a) & (km <= b), n).otherwise(0))
+    return hist.groupBy(*KEY).agg(
+        safe_ratio(F.sum(km * n), F.sum(n)).alias("media_distancia_km"),
+        F.min(F.when(2 * F.col("upto") >= F.col("all"), km)).alias("mediana_distancia_km"),
+        F.max(km).alias("max_distancia_km"), F.min(km).alias("min_distancia_km"),
+        F.sum(F.when(km <= 100, n).otherwise(0)).alias("qtd_pedidos_curta_distancia"),
+        between(100, 500).alias("qtd_pedidos_media_distancia"),
+        F.sum(F.when(km > 500, n).otherwise(0)).alias("qtd_pedidos_longa_distancia"))
+
+
+def destinations(orders: DataFrame, market: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Totals, reach, local sales, main destinations and coverage of every seller with an order.
+
+    ``market``: (dtRef, customer_state, d_mkt), the distinct orders of each
+    customer state.  Cities are counted by the concatenated key 'state|city',
+    as the source does (pairs that concatenate to the same text count once).
     """
-    totals = market.groupBy(REF).agg(
-        F.sum("orders").alias("t_all"),
-        F.sum(F.when(F.col("customer_state").isNotNull(), F.col("orders"))).alias("d_nonnull"))
-    present = states.where(F.col("customer_state").isNotNull() & (F.col("n") > 0)).join(
-        market.select(REF, "customer_state", F.col("orders").alias("d_mkt")), [REF, "customer_state"])
-    per_seller = Window.partitionBy(*KEY)
-    totals = F.broadcast(totals)
-    present = present.withColumn("n_seller", F.sum("n").over(per_seller)).join(totals, REF)
-    t = F.col("t_all").cast(DEC)
-    diff = F.col("n").cast(DEC) * t - F.col("d_mkt").cast(DEC) * F.col("n_seller").cast(DEC)
-    g = present.groupBy(*KEY).agg(
-        F.first("n_seller").alias("n_seller"),
-        F.sum(F.abs(diff)).alias("abs_num"),
-        F.sum(F.greatest(diff, F.lit(0).cast(DEC))).alias("pos_num"),
-        F.sum("d_mkt").alias("d_present"),
-    )
-    s = sellers.select(*KEY).join(g, KEY, "left").join(totals, REF, "left")
+    n, revenue = F.col("orders_all"), F.col("revenue_all")
+    state, city = F.col("customer_state"), F.col("customer_city")
+    same_state = state == F.col("seller_state")
+    same_city = same_state & (city == F.col("seller_city"))
+    key = ["seller_id", "seller_state", "seller_city", "customer_state", "customer_city"]
+    cities = dated_sums(orders, key, ["orders", "revenue"], LIFETIME, refs)
+    only = lambda c, x: F.sum(F.when(c, x).otherwise(0))
+    states = cities.groupBy(*KEY, "customer_state").agg(
+        F.sum(n).alias("n"), F.sum(revenue).alias("revenue"), only(same_state, n).alias("n_state"),
+        only(same_city, n).alias("n_city"), only(same_state, revenue).alias("r_state"), only(same_city, revenue).alias("r_city"),
+        F.min(F.struct((-n).alias("minus"), "customer_state", "customer_city")).alias("top"),
+        F.collect_set(F.concat(state, F.lit("|"), city)).alias("cities"))
+    # Market totals: a row a date (T with the NULL state, Dnn without).
+    totals = F.broadcast(market.groupBy(REF).agg(F.sum("d_mkt").alias("t_all"),
+                                                 F.sum(F.when(state.isNotNull(), F.col("d_mkt"))).alias("d_nonnull")))
+    in_market = market.where(state.isNotNull())
+    present = F.when(state.isNotNull(), F.col("n"))
+    states = states.join(in_market, [REF, "customer_state"], "left").join(totals, REF)
+    states = states.withColumn("n_seller", F.sum(present).over(Window.partitionBy(*KEY)))
+    diff = F.when(state.isNotNull(), F.col("n").cast(DEC) * F.col("t_all").cast(DEC)
+                  - F.col("d_mkt").cast(DEC) * F.col("n_seller").cast(DEC))
+    return states.groupBy(*KEY).agg(
+        F.sum("n").alias("qtd_pedidos_seller"), F.sum("revenue").alias("receita_total_seller"),
+        F.sum("n_state").alias("qtd_pedidos_proprio_estado"), F.sum("n_city").alias("qtd_pedidos_propria_cidade"),
+        F.sum("r_state").alias("receita_proprio_estado"), F.sum("r_city").alias("receita_propria_cidade"),
+        F.count("customer_state").alias("qtd_ufs_atendidas"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("cities")))).cast("long").alias("qtd_cidades_atendidas"),
+        F.min(F.struct((-F.col("n")).alias("minus"), "customer_state")).alias("top_state"), F.min("top").alias("top_city"),
+        F.first("n_seller").alias("n_seller"), F.sum(F.abs(diff)).alias("abs_num"),
+        F.sum(F.greatest(diff, F.lit(0).cast(DEC))).alias("pos_num"), F.sum("d_mkt").alias("d_present"))
+
+
+def coverage_columns() -> list[Column]:
+    """positive gap sum, absolute gap sum, coverage score (exact rational form)."""
     total, nonnull = F.col("t_all"), F.col("d_nonnull")
     n_dec = F.col("n_seller").cast(DEC)
     served = F.col("n_seller") > 0
@@ -294,12 +212,24 @@ def coverage_gap(market: DataFrame, states: DataFrame, sellers: DataFrame) -> Da
                      / as_double(n_dec * total.cast(DEC))).otherwise(as_double(nonnull) / as_double(total))
     pos_gap = F.when(served, as_double(F.col("pos_num")) / as_double(n_dec * total.cast(DEC))).otherwise(F.lit(0.0))
     any_state = F.coalesce(nonnull, F.lit(0)) > 0
-    return s.select(
-        *KEY,
-        F.when(any_state, pos_gap).otherwise(0.0).alias("soma_gap_estado_positivo"),
-        F.when(any_state, abs_gap).otherwise(0.0).alias("soma_abs_gap_estado"),
-        F.when(any_state, 1 - abs_gap / 2).otherwise(0.0).alias("score_cobertura_estado"),
-    )
+    return [F.when(any_state, pos_gap).otherwise(0.0).alias("soma_gap_estado_positivo"),
+            F.when(any_state, abs_gap).otherwise(0.0).alias("soma_abs_gap_estado"),
+            F.when(any_state, 1 - abs_gap / 2).otherwise(0.0).alias("score_cobertura_estado")]
+
+
+def rank_within(summary: DataFrame, part: list[str], out: str) -> DataFrame:
+    """(part, orders, RANK() of that number of orders in its place, mean orders of the place's sellers), via a histogram.
+
+    RANK's window partitions NULL places together; so does this one.
+    """
+    part = [REF, *part]
+    n = F.col("qtd_pedidos_seller")
+    hist = summary.groupBy(*part, n).agg(F.count(F.lit(1)).alias("k"))
+    line = Window.partitionBy(*part)
+    above = line.orderBy(n.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return hist.select(*[F.col(c).alias(f"__{c}") for c in (*part, "qtd_pedidos_seller")],
+                       (F.coalesce(F.sum("k").over(above), F.lit(0)) + 1).cast("int").alias(f"rank_seller_pedidos_{out[0]}"),
+                       safe_ratio(F.sum(n * F.col("k")).over(line), F.sum("k").over(line)).alias(f"media_pedidos_sellers_{out[1]}"))
 
 
 FAMILIES = {
@@ -344,38 +274,57 @@ SNAPSHOT_COLS = [
 ]
 
 
+def seller_rows(mk: Marketplace, orders: DataFrame, places: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    """Every seller at every reference date with what is its own; idle ones have no order."""
+    market = places.where("kind = 'market'").groupBy(REF, F.col("state").alias("customer_state")).agg(
+        F.sum("orders").alias("d_mkt"))
+    spine = Spine.of(refs)
+    sellers = seller_attributes(mk.sellers).drop("seller_zip_code_prefix").withColumn(REF, F.explode(spine.all()))
+    found = (sellers.join(destinations(orders, market, refs), KEY, "left").join(distances(orders, refs), KEY, "left"))
+    zero = [c for c in found.columns if c.startswith(("qtd_", "receita_"))]
+    return found.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero})
+
+
 def geo_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], with_ref: bool = False) -> DataFrame:
     """All 50 location features plus seller_id, for every seller (idle ones included).
 
-    The (seller, order) base feeds a dozen aggregates; it is checkpointed once
-    instead of re-running its joins in every branch.
+    Written on the way: the (seller, order) table, the orders by place and the
+    sellers' own numbers (:func:`marketlens.session.materialize`).
     """
-    base = materialize(base_seller_orders(mk, refs), "geo_base")
-    s = seller_summary(base)
-    cities = destination_cities(base)
-    states = destination_states(cities)
-    vol_state, vol_city = place_volume(base)
-    market = _distinct_orders(base, ["customer_state"], revenue=True)
-    mkt_state = market.select(
-        REF, F.col("customer_state").alias("seller_state"), F.col("orders").alias("mkt_orders_state"),
-        F.col("revenue").alias("mkt_revenue_state"))
-    mkt_city = _distinct_orders(base, ["customer_state", "customer_city"], revenue=True).select(
-        REF, F.col("customer_state").alias("seller_state"), F.col("customer_city").alias("seller_city"),
-        F.col("orders").alias("mkt_orders_city"), F.col("revenue").alias("mkt_revenue_city"))
-    peer_state = peers(s, ["seller_state"], "media_pedidos_sellers_mesmo_estado")
-    peer_city = peers(s, ["seller_state", "seller_city"], "media_pedidos_sellers_mesma_cidade")
-
-    j = (s.join(vol_state, [REF, "seller_state"], "left")
-         .join(vol_city, [REF, "seller_state", "seller_city"], "left")
-         .join(reach(states, cities), KEY, "left")
-         .join(rank_within(s, ["seller_state"], "rank_seller_pedidos_estado"), KEY, "left")
-         .join(rank_within(s, ["seller_state", "seller_city"], "rank_seller_pedidos_cidade"), KEY, "left")
-         .join(main_destination(states, cities), KEY, "left")
-         .join(mkt_state, [REF, "seller_state"], "left")
-         .join(mkt_city, [REF, "seller_state", "seller_city"], "left")
-         .join(peer_state, [REF, "seller_state"], "left")
-         .join(peer_city, [REF, "seller_state", "seller_city"], "left")
-         .join(coverage_gap(market, states, s), KEY, "left"))
+    orders = materialize(seller_orders(mk, refs), "geo_orders")
+    places = materialize(place_orders(orders, refs), "geo_places")
+    s = materialize(seller_rows(mk, orders, places, refs), "geo_sellers")
+
+    def placed(kind: str, keys: list[str], **cols: Column) -> DataFrame:
+        rows = places.where(F.col("kind") == kind).withColumnsRenamed({"state": "seller_state", "city": "seller_city"})
+        return rows.groupBy(REF, *keys).agg(*[c.alias(n) for n, c in cols.items()])
+
+    n, revenue = F.sum("orders"), F.sum("revenue")
+    by_state, by_city = ["seller_state"], ["seller_state", "seller_city"]
+    totals = places.where("kind = 'market'").groupBy(REF).agg(
+        n.alias("t_all"), F.sum(F.when(F.col("state").isNotNull(), F.col("orders"))).alias("d_nonnull"))
+    j = s
+    for keys, part in (
+            (by_state, placed("state", by_state, volume_total_pedidos_estado_seller=n)),
+            (by_city, placed("city", by_city, volume_total_pedidos_cidade_seller=n)),
+            (by_state, placed("market", by_state, mkt_orders_state=n, mkt_revenue_state=revenue)),
+            (by_city, placed("market", by_city, mkt_orders_city=n, mkt_revenue_city=revenue))):
+        j = j.join(part, [REF, *keys], "left")
+    j = j.join(F.broadcast(totals), REF, "left")
+    for keys, out in ((by_state, ("estado", "mesmo_estado")), (by_city, ("cidade", "mesma_cidade"))):
+        ranks = rank_within(s, keys, out)
+        on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (REF, *keys, "qtd_pedidos_seller")]
+        j = j.join(ranks, on, "left").drop(*[f"__{c}" for c in (REF, *keys, "qtd_pedidos_seller")])
+    # A place without a state (or city) has no peers to compare with.
+    alone = F.col("seller_state").isNull()
+    j = j.withColumns({
+        "media_pedidos_sellers_mesmo_estado": F.when(~alone, F.col("media_pedidos_sellers_mesmo_estado")),
+        "media_pedidos_sellers_mesma_cidade": F.when(~alone & F.col("seller_city").isNotNull(), F.col("media_pedidos_sellers_mesma_cidade"))})
+    top = lambda c, f: F.col(c).getField(f)
+    j = j.select("*", *coverage_columns(), top("top_state", "customer_state").alias("principal_estado_pedidos_seller"),
+                 (-top("top_state", "minus")).alias("qtd_pedidos_principal_estado"),
+                 top("top_city", "customer_city").alias("principal_cidade_pedidos_seller"),
+                 (-top("top_city", "minus")).alias("qtd_pedidos_principal_cidade"))
 
     c = F.col
     qtd = c("qtd_pedidos_seller")
@@ -453,7 +402,9 @@ def geo_features(mk: Marketplace, ref: DateLike, family: str) -> DataFrame:
 
 def order_distance(mk: Marketplace, ref: DateLike) -> DataFrame:
     """distance in whole km per (seller, order); NULL order rows are idle sellers."""
-    return base_seller_orders(mk, ref).select("seller_id", "order_id", "distancia_km")
+    orders = seller_orders(mk, ref).select("seller_id", "order_id", F.col("km").alias("distancia_km"))
+    ids = seller_attributes(mk.sellers).select("seller_id")
+    return ids.join(orders, "seller_id", "left")
 
 
 __all__ = ["geo_snapshot", "geo_features", "order_distance", "zip_centroids"]

@@ -24,14 +24,13 @@ def physical(df) -> str:
 
 def test_coverage_gap_equals_dense_grid(spark, mk_small):
     """The exact rational form equals the reference's seller x state grid, brute force in Python."""
-    base = G.base_seller_orders(mk_small, REF).select("seller_id", "order_id", "customer_state").collect()
-    sellers = {r.seller_id for r in base}
+    base = G.seller_orders(mk_small, REF).collect()
+    sellers = {r.seller_id for r in mk_small.sellers.collect()}
     per_seller_state = defaultdict(set)
     market = defaultdict(set)
     for r in base:
-        if r.order_id is not None:
-            per_seller_state[(r.seller_id, r.customer_state)].add(r.order_id)
-            market[r.customer_state].add(r.order_id)
+        per_seller_state[(r.seller_id, r.customer_state)].add(r.order_id)
+        market[r.customer_state].add(r.order_id)
     total = sum(len(v) for v in market.values())
     states = sorted(s for s in market if s is not None)
     expected = {}
@@ -40,10 +39,7 @@ def test_coverage_gap_equals_dense_grid(spark, mk_small):
         n = sum(counts.values())
         gaps = [(counts[st] / n if n else 0.0) - len(market[st]) / total for st in states]
         expected[s] = (sum(g for g in gaps if g > 0), sum(abs(g) for g in gaps))
-    rows = G.base_seller_orders(mk_small, REF)
-    states_df = G.destination_states(G.destination_cities(rows))
-    market_df = G._distinct_orders(rows, ["customer_state"])
-    got = {r.seller_id: r for r in G.coverage_gap(market_df, states_df, G.seller_summary(rows)).collect()}
+    got = {r.seller_id: r for r in G.geo_snapshot(mk_small, REF).collect()}
     assert set(got) == sellers
     for s, (pos, ab) in expected.items():
         assert got[s].soma_gap_estado_positivo == pytest.approx(pos, abs=1e-12)
@@ -252,6 +248,42 @@ def test_items_are_scanned_once_and_never_copied_for_a_date(spark, mk_small):
     assert "l_orderkey" not in physical(snapshot)  # everything comes from the written sales
 
 
+def test_location_reads_its_base_three_times(spark, mk_small, monkeypatch):
+    """The (seller, order) table is written once and read for places, destinations and distances; no object or sort
+    aggregate over its rows but the sets of cities."""
+    written = {}
+
+    def keep(df, name):
+        written[name] = df
+        return spark.createDataFrame([], df.schema)  # the plans only
+
+    monkeypatch.setattr(G, "materialize", keep)
+    for dates in ([REF], S.month_starts(dt.date(1999, 9, 1), REF)):
+        G.geo_snapshot(mk_small, dates, with_ref=True)
+        assert len([x for x in nodes(written["geo_orders"], "Relation") if "l_suppkey" in x]) == 1
+        orders = spark.createDataFrame([], written["geo_orders"].schema)
+        for df in (G.place_orders(orders, dates), G.distances(orders, dates)):
+            plan = physical(df)
+            assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "SinglePartition" not in plan
+    places = spark.createDataFrame([], written["geo_places"].schema)
+    plan = physical(G.seller_rows(mk_small, orders, places, dates))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("LogicalRDD") + plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 4  # destinations, distances, market twice
+
+
+def test_customer_pairs_are_shuffled_once_for_any_number_of_dates(spark, mk_small):
+    """The rows of the dates are made above the last exchange by pair: as many pair rows are dealt for 19 dates as for one run's events."""
+    dates = S.month_starts(dt.date(1998, 7, 1), REF)
+    orders = C.seller_customer_orders(mk_small, dates)
+    pairs = C.per_customer(orders, dates)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    top = plan[:plan.index("Window")]
+    assert "Generate explode" in top and "Aggregate" not in top  # dates after the last aggregate and window
+    last = {(r.seller_id, r.customer_unique_id) for r in pairs.where(F.col("dtRef") == F.lit(REF)).select(
+        "seller_id", "customer_unique_id").collect()}
+    assert len(last) == orders.select("seller_id", "customer_unique_id").distinct().count()
+
+
 def test_five_thousand_dates_plan_in_seconds(spark, mk_small):
     import time
 
@@ -316,7 +348,8 @@ def test_a_product_of_every_seller_is_spread(spark, mk_small):
 def test_dates_are_attached_below_no_fact_exchange(spark, mk_small):
     """The reference dates are generated after the roll-up to (seller, order), not on items or reviews."""
     dates = [dt.date(1999, 12, 1), dt.date(2000, 1, 1)]
-    for df in (R.reputation_snapshot(mk_small, dates), C.customers_snapshot(mk_small, dates), G.seller_order_revenue(mk_small, dates)):
+    for df in (R.reputation_snapshot(mk_small, dates), C.customers_snapshot(mk_small, dates),
+               G.distances(G.seller_orders(mk_small, dates), dates)):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate" in plan[plan.index("Generate explode"):]
 
