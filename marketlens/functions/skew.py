@@ -24,3 +24,11 @@ def join_totals(rows: DataFrame, key: list[str], totals: dict[str, Column], freq
     kept = [*rows.columns, *totals]
     hot = rows.join(F.broadcast(other.where(often)), on).select(*kept)
     return hot.unionByName(rows.join(other.where(seldom), on).select(*kept))
+
+
+def split_frequent(rows: DataFrame, key: str, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose key has fewer than ``frequent`` rows, and the others; the list of frequent keys is broadcast."""
+    counts = rows.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") >= frequent)
+    keys = F.broadcast(counts.select("__key"))
+    on = F.col(key).eqNullSafe(F.col("__key"))
+    return rows.join(keys, on, "left_anti"), rows.join(keys, on, "left_semi")

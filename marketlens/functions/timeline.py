@@ -68,7 +68,7 @@ def sum_name(measure: str, h: Horizon) -> str:
 
 def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | Mapping[str, Sequence[Horizon]],
                horizons: Sequence[Horizon], refs: DateLike | Iterable[DateLike], day: str = "day",
-               after: str | None = None, days_before: Sequence[Horizon] | None = None) -> DataFrame:
+               after: str | None = None, days_before: Sequence[Horizon] | None = None, dealt: bool = False) -> DataFrame:
     """(dtRef, ``key``, ``measure_horizon``...): sums of whole-number measures at every date after a key's first fact.
 
     ``day`` is the fact's day: horizon h of date r holds days >= r - h.
@@ -94,23 +94,34 @@ def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | M
             sums += [F.max(F.when(F.col(day) < F.date_sub(ref, h.days), F.col(day))).alias(f"before_{h.name}") for h in edges]
         return facts.groupBy(*key).agg(*sums).select(ref.alias(REF), *key, *names, *ends)
     days = [day] if after == day else [day, after]
+    if not ends:  # older days are alike at every date
+        oldest = F.date_sub(F.lit(spine.dates[0]), max((h.days for own in wanted.values() for h in own if not h.lifetime), default=0) + 1)
+        facts = facts.withColumns({c: F.greatest(F.col(c), oldest) for c in days})
     daily = facts.groupBy(*key, *days).agg(*[F.sum(value(m)).cast("long").alias(m) for m in wanted])
-    move = lambda number, horizon: F.struct(number.cast("int").alias("__number"), F.lit(horizon).alias("__horizon"))
     lengths = sorted({h.days for own in (*wanted.values(), edges) for h in own if not h.lifetime})
-    moves = F.array(move(spine.first_after(F.col(after)), -1),
-                    *[move(spine.first_after(F.date_add(day, n)), n) for n in lengths])
-    events = daily.select(*key, *wanted, *([day] if ends else []), F.inline(moves)).where(F.col("__number") < len(spine.dates))
-
-    def change(m: str, h: Horizon) -> Column:
-        found = F.when(F.col("__horizon") == -1, F.col(m))
-        return (found if h.lifetime else found.when(F.col("__horizon") == h.days, -F.col(m))).otherwise(0)
-
-    sums = [F.sum(change(m, h)).alias(sum_name(m, h)) for m, own in wanted.items() for h in own]
+    if not dealt:  # into all partitions: a few bytes here are rows for many dates above
+        daily = daily.repartition(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    # Numbers of the date at which a fact comes, and of those at which it goes from the horizons of each length.  It
+    # never counts in horizons that it leaves before a date has seen it: those shorter than ``__least``.
+    numbered = daily.select(*key, *wanted, *([day] if ends else []), spine.first_after(F.col(after)).cast("int").alias("__come"),
+                            *[spine.first_after(F.date_add(day, n)).cast("int").alias(f"__go_{n}") for n in lengths])
+    least = F.coalesce(*[F.when(F.col(f"__go_{n}") > F.col("__come"), n) for n in lengths], F.lit(1 << 30))
+    move = lambda number, length: F.struct(F.col(number).alias("__number"), F.lit(length).alias("__length"))
+    moves = F.array(move("__come", 0), *[move(f"__go_{n}", n) for n in lengths])
+    events = numbered.select("*", least.alias("__least")).select(
+        *key, *wanted, *([day] if ends else []), "__least", F.inline(moves)).where(F.col("__number") < len(spine.dates))
+    comes, length = F.col("__length") == 0, F.col("__length")
+    if not ends:
+        events = events.where(comes | (length >= F.col("__least")))
+    sign = {n: F.when(comes, (F.col("__least") <= n).cast("int")).when((length == n) & (F.col("__least") <= n), -1).otherwise(0)
+            for n in lengths}
+    events = events.select("*", comes.cast("int").alias("__sign_None"), *[c.alias(f"__sign_{n}") for n, c in sign.items()])
+    sums = [F.sum(F.col(f"__sign_{h.days}") * F.col(m)).alias(sum_name(m, h)) for m, own in wanted.items() for h in own]
     line = Window.partitionBy(*key).orderBy("__number")
     running = [F.sum(n).over(line).alias(n) for n in names]
     if ends:
-        at = lambda n: F.when(F.col("__horizon") == n, F.col(day))
-        sums += [F.min(at(-1)).alias("first"), F.max(at(-1)).alias("last")]
+        at = lambda n: F.when(length == n, F.col(day))
+        sums += [F.min(at(0)).alias("first"), F.max(at(0)).alias("last")]
         sums += [F.max(at(h.days)).alias(f"before_{h.name}") for h in edges]
         running += [F.min("first").over(line).alias("first"), *[F.max(n).over(line).alias(n) for n in ends[1:]]]
     events = events.groupBy(*key, "__number").agg(*sums)

@@ -1,11 +1,11 @@
 """Product, portfolio and competition features (F1-F11), one row per seller and dtRef.
 
-Items are added up once, by (seller, product) and day, and that table's
-trailing sums at every reference date (:mod:`marketlens.functions.timeline`)
-are the one relation that every feature below is made from: a row a (date,
-seller, product) with the items, revenue and freight of each horizon.  It is
-written once, joined with the product attributes; items are scanned once for
-any number of dates and never copied for a date.
+Items are added up once, by (seller, product) and day.  The snapshot writes
+that table, joined with the product attributes, and every feature is made from
+its trailing sums at the reference dates (:mod:`marketlens.functions.timeline`)
+by the coarsest key that holds it: weight, category, description length, or
+the product for its sellers.  Items are scanned once for any number of dates
+and never copied for a date.
 
 Every aggregate is a ``groupBy`` with map-side partial aggregation, so a
 seller holding a third of all items still shuffles only its partial rows.
@@ -14,7 +14,7 @@ Medians and top categories are taken from histograms by attribute value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import horizons as H
@@ -22,7 +22,7 @@ from marketlens.functions.dates import DateLike, snapshot_dates
 from marketlens.functions.horizons import REF, Horizon
 from marketlens.functions.money import to_double, whole_units
 from marketlens.functions.ratios import as_double, mean_of, safe_ratio
-from marketlens.functions.skew import join_totals
+from marketlens.functions.skew import FREQUENT, join_totals, split_frequent
 from marketlens.functions.timeline import dated_sums, sum_name
 from marketlens.session import materialize
 from marketlens.sources.marketplace import Marketplace
@@ -43,35 +43,35 @@ def sold_items(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
 
 
 def product_sales(mk: Marketplace, refs: DateLike | list[DateLike]) -> DataFrame:
-    """A row a (dtRef, seller, product) sold before it: each measure by horizon, and the product's attributes.
+    """A row a (seller, product, day) with the measures and the product's attributes; ``new`` marks a pair's first day.
 
-    The base of every product feature.  Sales of unknown products stay, with
-    category 'NA'.
+    The base of every product feature.  Days before all horizons of the first
+    date are one day.  Sales of unknown products stay, with category 'NA'.
     """
-    sales = dated_sums(sold_items(mk, refs), ["seller_id", "product_id"], MEASURES, HORIZONS, refs)
+    longest = max(h.days for h in HORIZONS if not h.lifetime)
+    oldest = F.date_sub(F.lit(snapshot_dates(refs)[0]), longest + 1)
+    daily = sold_items(mk, refs).withColumn("day", F.greatest("day", oldest)).groupBy("seller_id", "product_id", "day").agg(
+        *[F.sum(m).alias(m) for m in MEASURES])
+    pair = Window.partitionBy("seller_id", "product_id")
+    daily = daily.withColumn("new", (F.col("day") == F.min("day").over(pair)).cast("int"))
     products = mk.products.select(
         "product_id", "product_category_name", "product_photos_qty",
         F.col("product_description_lenght").alias("product_description_length"),
         F.col("product_weight_g").alias("weight_g"),
         (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("volume_cm3"))
-    sales = sales.join(products, "product_id", "left").withColumns({
+    return daily.join(products, "product_id", "left").withColumns({
         "product_category_name": F.coalesce("product_category_name", F.lit(NA_CATEGORY)),
         "product_description_length": F.coalesce("product_description_length", F.lit(0)),
         "product_photos_qty": F.coalesce("product_photos_qty", F.lit(0))})
-    return sales
 
 
 def money_scales(mk: Marketplace) -> dict[str, int]:
     return {"price": whole_units(mk.items, "price")[1], "freight": whole_units(mk.items, "freight_value")[1]}
 
 
-def _sums(h: Horizon, *measures: str) -> list[Column]:
-    return [F.sum(sum_name(m, h)).alias(sum_name(m, h)) for m in measures]
-
-
-def seller_revenue_horizons(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+def seller_revenue_horizons(sales: DataFrame, scales: dict[str, int], refs: DateLike | list[DateLike]) -> DataFrame:
     """Revenue and freight per seller and horizon (minimum slice, X2 over P1/P3)."""
-    totals = sales.groupBy(*KEY).agg(*[c for h in HORIZONS for c in _sums(h, "price", "freight")])
+    totals = dated_sums(sales, ["seller_id"], ["price", "freight"], HORIZONS, refs)
     return totals.select(*KEY, *[to_double(F.col(sum_name(m, h)), scales[m]).alias(f"vl{stem}Tot{h.name}")
                                  for m, stem in (("price", "Receita"), ("freight", "Frete")) for h in HORIZONS])
 
@@ -86,62 +86,76 @@ def _flags(prefix: str, rows: DataFrame, key: str) -> DataFrame:
                                     .alias(_flag_name(prefix, h)) for h in HORIZONS])
 
 
-def category_sales(sales: DataFrame) -> DataFrame:
+def category_sales(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
     """Items and revenue by (dtRef, seller, category) and horizon."""
-    return sales.groupBy(*KEY, "product_category_name").agg(*[c for h in HORIZONS for c in _sums(h, "items", "price")])
+    return dated_sums(sales, ["seller_id", "product_category_name"], ["items", "price"], HORIZONS, refs)
 
 
-def category_sale_flags(sales: DataFrame) -> DataFrame:
-    return _flags("hadCatSale", category_sales(sales), "product_category_name")
+def category_sale_flags(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    return _flags("hadCatSale", category_sales(sales, refs), "product_category_name")
 
 
-def product_sale_flags(sales: DataFrame) -> DataFrame:
-    return _flags("hadProdSale", sales, "product_id")
+def product_sale_flags(sales: DataFrame, refs: DateLike | list[DateLike], dealt: bool = False) -> DataFrame:
+    return _flags("hadProdSale", dated_sums(sales, ["seller_id", "product_id"], ["items"], HORIZONS, refs, dealt=dealt), "product_id")
 
 
-def rivals(flags: DataFrame, key: str, prefix: str, distinct_stem: str, rivals_stem: str) -> DataFrame:
+def _rivals(rows: DataFrame, prefix: str, distinct_stem: str, rivals_stem: str) -> DataFrame:
     """Distinct keys sold per horizon, and the sum over the seller's keys of (sellers active on it - own flag).
 
-    The sellers of a key are a partial-aggregated ``groupBy``; they come back
-    to its sellers by :func:`join_totals`, which spreads keys that very many
-    sellers share.
+    ``rows``: the flags, and as ``ct_`` their totals over the sellers of the key.
     """
     cols = [_flag_name(prefix, h) for h in HORIZONS]
-    joined = join_totals(flags, [REF, key], {f"ct_{c}": F.sum(c) for c in cols})
     aggs = [F.sum(c).alias(f"{distinct_stem}{h.name}") for c, h in zip(cols, HORIZONS)]
     aggs += [F.sum(F.col(f"ct_{c}") - F.col(c)).alias(f"{rivals_stem}{h.name}") for c, h in zip(cols, HORIZONS)]
-    return joined.groupBy(*KEY).agg(*aggs)
+    return rows.groupBy(*KEY).agg(*aggs)
+
 
+def category_rivals(flags: DataFrame) -> DataFrame:
+    """From ``category_sale_flags``; every category has very many sellers, so its totals come back to them by a join."""
+    totals = {f"ct_{c}": F.sum(c) for c in (_flag_name("hadCatSale", h) for h in HORIZONS)}
+    return _rivals(join_totals(flags, [REF, "product_category_name"], totals), "hadCatSale", "vlCategoriasDistintas",
+                   "vlContagemCategoriaConcorrentes")
 
-def category_rivals(sales: DataFrame) -> DataFrame:
-    return rivals(category_sale_flags(sales), "product_category_name", "hadCatSale", "vlCategoriasDistintas",
-                  "vlContagemCategoriaConcorrentes")
 
+def product_rivals(sales: DataFrame, refs: DateLike | list[DateLike], frequent: int = FREQUENT) -> DataFrame:
+    """From ``product_sales``.
 
-def product_rivals(sales: DataFrame) -> DataFrame:
-    return rivals(product_sale_flags(sales), "product_id", "hadProdSale", "vlProdutosDistintos",
-                  "vlContagemProdutosConcorrentes")
+    The sales of a product are dealt to one task, which makes the rows of the
+    dates and counts the product's sellers without another exchange.  Products
+    with ``frequent`` rows or more, a list of at most one in ``frequent`` rows,
+    are dealt by (seller, product) instead, and their totals come back by a
+    broadcast.
+    """
+    cols = [_flag_name("hadProdSale", h) for h in HORIZONS]
+    seldom, often = split_frequent(sales.select("seller_id", "product_id", "day", "items"), "product_id", frequent)
+    partitions = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flags = product_sale_flags(seldom.repartition(partitions, "product_id"), refs, dealt=True)
+    sellers = Window.partitionBy(REF, "product_id")
+    flags = flags.select("*", *[F.sum(c).over(sellers).alias(f"ct_{c}") for c in cols])
+    hot = join_totals(product_sale_flags(often, refs), [REF, "product_id"], {f"ct_{c}": F.sum(c) for c in cols}, 1)
+    return _rivals(flags.unionByName(hot), "hadProdSale", "vlProdutosDistintos", "vlContagemProdutosConcorrentes")
 
 
 def _by_horizon(*stems: str) -> list[str]:
     return [f"{stem}{h.name}" for stem in stems for h in HORIZONS]
 
 
-def catalog_diversity(sales: DataFrame) -> DataFrame:
+def catalog_diversity(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
     """Distinct categories / products sold per horizon (F1, F2)."""
-    cats = category_sale_flags(sales).groupBy(*KEY).agg(
+    cats = category_sale_flags(sales, refs).groupBy(*KEY).agg(
         *[F.sum(_flag_name("hadCatSale", h)).alias(f"vlCategoriasDistintas{h.name}") for h in HORIZONS])
-    prods = product_sale_flags(sales).groupBy(*KEY).agg(
+    prods = product_sale_flags(sales, refs).groupBy(*KEY).agg(
         *[F.sum(_flag_name("hadProdSale", h)).alias(f"vlProdutosDistintos{h.name}") for h in HORIZONS])
     return cats.join(prods, KEY)
 
 
-def category_competitors(sales: DataFrame) -> DataFrame:
-    return category_rivals(sales).select(*KEY, *_by_horizon("vlContagemCategoriaConcorrentes"))
+def category_competitors(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    found = category_rivals(category_sale_flags(sales, refs))
+    return found.select(*KEY, *_by_horizon("vlContagemCategoriaConcorrentes"))
 
 
-def product_competitors(sales: DataFrame) -> DataFrame:
-    return product_rivals(sales).select(*KEY, *_by_horizon("vlContagemProdutosConcorrentes"))
+def product_competitors(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
+    return product_rivals(sales, refs).select(*KEY, *_by_horizon("vlContagemProdutosConcorrentes"))
 
 
 def _total(h: Horizon, s: Column, n: Column, n_null: Column, n_all: Column) -> Column:
@@ -159,29 +173,26 @@ def _total(h: Horizon, s: Column, n: Column, n_null: Column, n_all: Column) -> C
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def weight_histogram(sales: DataFrame) -> DataFrame:
+def weight_histogram(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
     """By (dtRef, seller, weight): items, money and volume of each horizon, and the products of that weight.
 
     Percentiles run over a seller's distinct weights with counts as
     frequencies; the sums are rolled up to the seller.
     """
-    vol = F.col("volume_cm3")
-    aggs = [F.count(F.lit(1)).alias("products")]
-    for h in HORIZONS:
-        n, c = h.name, F.col(sum_name("items", h))
-        aggs += [*_sums(h, *MEASURES), F.sum(c * vol).alias(f"vsum_{n}"),
-                 F.sum(F.when(vol.isNotNull(), c).otherwise(0)).alias(f"vcnt_{n}"),
-                 F.sum(F.when(vol.isNull(), c).otherwise(0)).alias(f"vnull_{n}")]
-    return sales.groupBy(*KEY, "weight_g").agg(*aggs).withColumn("weight_kg", F.col("weight_g") / 1000)
+    vol, n = F.col("volume_cm3"), F.col("items")
+    rows = sales.withColumns({"vsum": n * vol, "vcnt": F.when(vol.isNotNull(), n), "vnull": F.when(vol.isNull(), n),
+                              "products": F.col("new")})
+    measures = {m: HORIZONS for m in (*MEASURES, "vsum", "vcnt", "vnull")} | {"products": HORIZONS[-1:]}
+    return dated_sums(rows, ["seller_id", "weight_g"], measures, HORIZONS, refs).withColumn("weight_kg", F.col("weight_g") / 1000)
 
 
-def item_metrics(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+def item_metrics(sales: DataFrame, scales: dict[str, int], refs: DateLike | list[DateLike]) -> DataFrame:
     """Revenue, freight, item weight and volume per horizon, unrounded (F5-F7 inputs), and the portfolio's weights.
 
     Weight sums run on grams (exact) and are scaled to kg at the end;
     percentiles are exact and interpolated.
     """
-    g, kg, k = F.col("weight_g"), F.col("weight_kg"), F.col("products")
+    g, kg, k = F.col("weight_g"), F.col("weight_kg"), F.col(sum_name("products", HORIZONS[-1]))
     known = g.isNotNull()
     aggs = [F.sum(sum_name("items", HORIZONS[-1])).alias("n_all"),
             F.sum(g * k).alias("gsum"), F.sum(F.when(known, k)).alias("gcnt"), F.min(kg).alias("kg_min"),
@@ -191,9 +202,9 @@ def item_metrics(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
         sold = F.when(c > 0, kg)
         aggs += [F.sum(F.when(known, g * c)).alias(f"wsum_{n}"), F.sum(F.when(known, c)).alias(f"wcnt_{n}"),
                  F.sum(F.when(~known, c)).alias(f"wnull_{n}"), F.min(sold).alias(f"wmin_{n}"), F.max(sold).alias(f"wmax_{n}"),
-                 F.percentile(sold, QUARTILES, c).alias(f"wq_{n}"), *_sums(h, "price", "freight"),
-                 *[F.sum(f"{v}_{n}").alias(f"{v}_{n}") for v in ("vsum", "vcnt", "vnull")]]
-    m = weight_histogram(sales).groupBy(*KEY).agg(*aggs)
+                 F.percentile(sold, QUARTILES, c).alias(f"wq_{n}"),
+                 *[F.sum(sum_name(m, h)).alias(sum_name(m, h)) for m in ("price", "freight", "vsum", "vcnt", "vnull")]]
+    m = weight_histogram(sales, refs).groupBy(*KEY).agg(*aggs)
     c = F.col
     out = [*KEY, "gsum", "gcnt", "kg_min", "kg_max", "kg_quartiles"]
     for h in HORIZONS:
@@ -229,19 +240,19 @@ def _rounded_item_metrics() -> list[Column]:
     return out
 
 
-def item_weight_stats(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+def item_weight_stats(sales: DataFrame, scales: dict[str, int], refs: DateLike | list[DateLike]) -> DataFrame:
     """item weight statistics in kg per horizon."""
-    return item_metrics(sales, scales).select(*KEY, *_rounded_item_metrics()).select(*KEY, *WEIGHT_COLS)
+    return item_metrics(sales, scales, refs).select(*KEY, *_rounded_item_metrics()).select(*KEY, *WEIGHT_COLS)
 
 
-def item_volume_stats(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+def item_volume_stats(sales: DataFrame, scales: dict[str, int], refs: DateLike | list[DateLike]) -> DataFrame:
     """item volume mean and total per horizon."""
-    return item_metrics(sales, scales).select(*KEY, *_rounded_item_metrics()).select(*KEY, *VOLUME_COLS)
+    return item_metrics(sales, scales, refs).select(*KEY, *_rounded_item_metrics()).select(*KEY, *VOLUME_COLS)
 
 
-def price_freight_per_kg(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+def price_freight_per_kg(sales: DataFrame, scales: dict[str, int], refs: DateLike | list[DateLike]) -> DataFrame:
     """revenue and freight per kg sold."""
-    return item_metrics(sales, scales).select(*KEY, *_rounded_item_metrics()).select(*KEY, *PER_KG_COLS)
+    return item_metrics(sales, scales, refs).select(*KEY, *_rounded_item_metrics()).select(*KEY, *PER_KG_COLS)
 
 
 TOP_N = 3
@@ -249,8 +260,8 @@ TOP_COLS = (_by_horizon(*[f"descTopCategoria{k}" for k in range(1, TOP_N + 1)])
             + _by_horizon(*[f"shareTopCategoria{k}" for k in range(1, TOP_N + 1)]))
 
 
-def top_categories(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
-    """Top-3 categories by revenue per horizon and their revenue share, ties by name.
+def top_categories(categories: DataFrame, scales: dict[str, int]) -> DataFrame:
+    """Top-3 categories by revenue per horizon and their revenue share, ties by name, from ``category_sales``.
 
     One aggregate a seller over its categories; a seller's list is bounded by
     the category dimension.
@@ -261,7 +272,7 @@ def top_categories(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
         ranked = F.when(revenue > 0, F.struct((-revenue).alias("minus"), F.col("product_category_name").alias("name")))
         aggs += [F.slice(F.array_sort(F.collect_list(ranked)), 1, TOP_N).alias(f"top_{h.name}"),
                  F.sum(F.when(revenue > 0, revenue)).alias(f"all_{h.name}")]
-    top = category_sales(sales).groupBy(*KEY).agg(*aggs)
+    top = categories.groupBy(*KEY).agg(*aggs)
     at = lambda h, k: F.get(f"top_{h.name}", F.lit(k - 1))
     money = lambda c: to_double(c, scales["price"])
     names = [at(h, k)["name"].alias(f"descTopCategoria{k}{h.name}") for k in range(1, TOP_N + 1) for h in HORIZONS]
@@ -280,13 +291,14 @@ PORTFOLIO_COLS = [
 
 
 
-def description_stats(sales: DataFrame) -> DataFrame:
+def description_stats(sales: DataFrame, refs: DateLike | list[DateLike]) -> DataFrame:
     """Description lengths and photos over distinct products sold, from a (seller, length) histogram."""
-    desc, k = F.col("product_description_length"), F.col("products")
-    hist = sales.groupBy(*KEY, "product_description_length").agg(
-        F.count(F.lit(1)).alias("products"), F.sum("product_photos_qty").alias("photos"))
+    life = HORIZONS[-1:]
+    rows = sales.where("new = 1").withColumns({"products": F.col("new"), "photos": F.col("product_photos_qty")})
+    hist = dated_sums(rows, ["seller_id", "product_description_length"], ["products", "photos"], life, refs)
+    desc, k, photos = F.col("product_description_length"), F.col(sum_name("products", life[0])), F.col(sum_name("photos", life[0]))
     return hist.groupBy(*KEY).agg(
-        F.sum(desc * k).alias("dsum"), F.sum(k).alias("pcnt"), F.sum("photos").alias("psum"), F.min(desc).alias("dmin"),
+        F.sum(desc * k).alias("dsum"), F.sum(k).alias("pcnt"), F.sum(photos).alias("psum"), F.min(desc).alias("dmin"),
         F.max(desc).alias("dmax"), F.percentile(desc, QUARTILES, k).alias("d_quartiles"))
 
 
@@ -303,9 +315,9 @@ def _portfolio_columns() -> list[Column]:
     return [F.round(as_double(x), 3 if "Peso" in name else 1).alias(name) for name, x in found.items()]
 
 
-def portfolio_attributes(sales: DataFrame, scales: dict[str, int]) -> DataFrame:
+def portfolio_attributes(sales: DataFrame, scales: dict[str, int], refs: DateLike | list[DateLike]) -> DataFrame:
     """description, photo and weight statistics over distinct products sold."""
-    return description_stats(sales).join(item_metrics(sales, scales), KEY).select(*KEY, *_portfolio_columns())
+    return description_stats(sales, refs).join(item_metrics(sales, scales, refs), KEY).select(*KEY, *_portfolio_columns())
 
 
 DIVERSITY_COLS = ([f"vlCategoriasDistintas{h.name}" for h in HORIZONS]
@@ -324,8 +336,10 @@ def products_snapshot(mk: Marketplace, refs: DateLike | list[DateLike], seller_k
     of the same table (120 columns, no snapshot column).
     """
     sales, scales = materialize(product_sales(mk, refs), "product_sales"), money_scales(mk)
-    out = category_rivals(sales)
-    for part in (product_rivals(sales), item_metrics(sales, scales), top_categories(sales, scales), description_stats(sales)):
+    categories = materialize(category_sales(sales, refs), "category_sales")
+    out = category_rivals(_flags("hadCatSale", categories, "product_category_name"))
+    for part in (product_rivals(sales, refs), item_metrics(sales, scales, refs), top_categories(categories, scales),
+                 description_stats(sales, refs)):
         out = out.join(part, KEY)
     computed = {c for cols in (WEIGHT_COLS, VOLUME_COLS, PER_KG_COLS, PORTFOLIO_COLS) for c in cols}
     out = out.select(*KEY, *[c for c in SNAPSHOT_COLS if c not in computed and c not in (REF, "idSeller")],

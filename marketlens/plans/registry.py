@@ -56,17 +56,17 @@ def product_queries() -> dict[str, Query]:
         return P.money_scales(_mk(s, sf))
 
     return {
-        "seller_revenue_horizons": lambda s, sf: P.seller_revenue_horizons(_sales(s, sf), scales(s, sf)),
-        "category_sale_flags": lambda s, sf: P.category_sale_flags(_sales(s, sf)),
-        "product_sale_flags": lambda s, sf: P.product_sale_flags(_sales(s, sf)),
-        "catalog_diversity": lambda s, sf: P.catalog_diversity(_sales(s, sf)),
-        "category_competitors": lambda s, sf: P.category_competitors(_sales(s, sf)),
-        "product_competitors": lambda s, sf: P.product_competitors(_sales(s, sf)),
-        "item_weight_stats": lambda s, sf: P.item_weight_stats(_sales(s, sf), scales(s, sf)),
-        "item_volume_stats": lambda s, sf: P.item_volume_stats(_sales(s, sf), scales(s, sf)),
-        "price_freight_per_kg": lambda s, sf: P.price_freight_per_kg(_sales(s, sf), scales(s, sf)),
-        "top_categories": lambda s, sf: P.top_categories(_sales(s, sf), scales(s, sf)),
-        "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_sales(s, sf), scales(s, sf)),
+        "seller_revenue_horizons": lambda s, sf: P.seller_revenue_horizons(_sales(s, sf), scales(s, sf), REF_DATE),
+        "category_sale_flags": lambda s, sf: P.category_sale_flags(_sales(s, sf), REF_DATE),
+        "product_sale_flags": lambda s, sf: P.product_sale_flags(_sales(s, sf), REF_DATE),
+        "catalog_diversity": lambda s, sf: P.catalog_diversity(_sales(s, sf), REF_DATE),
+        "category_competitors": lambda s, sf: P.category_competitors(_sales(s, sf), REF_DATE),
+        "product_competitors": lambda s, sf: P.product_competitors(_sales(s, sf), REF_DATE),
+        "item_weight_stats": lambda s, sf: P.item_weight_stats(_sales(s, sf), scales(s, sf), REF_DATE),
+        "item_volume_stats": lambda s, sf: P.item_volume_stats(_sales(s, sf), scales(s, sf), REF_DATE),
+        "price_freight_per_kg": lambda s, sf: P.price_freight_per_kg(_sales(s, sf), scales(s, sf), REF_DATE),
+        "top_categories": lambda s, sf: P.top_categories(P.category_sales(_sales(s, sf), REF_DATE), scales(s, sf)),
+        "portfolio_attributes": lambda s, sf: P.portfolio_attributes(_sales(s, sf), scales(s, sf), REF_DATE),
         "products_snapshot": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE),
         "products_by_seller": lambda s, sf: P.products_snapshot(_mk(s, sf), REF_DATE, seller_key="seller_id",
                                                                 with_ref=False),

@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Percentiles keep one small histogram a group: hash up to so many groups a task before sorting the rows.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -33,7 +33,7 @@ def test_m1_cutoff_and_horizon_bounds(spark):
                item("before_d14", 1, "p", "s", 40, 3)],
         products=[("p", "cat", 10, 1, 1000, 1, 1, 1)],
     )
-    rev = one(P.seller_revenue_horizons(P.product_sales(mk, REF), P.money_scales(mk)), seller_id="s")
+    rev = one(P.seller_revenue_horizons(P.product_sales(mk, REF), P.money_scales(mk), REF), seller_id="s")
     assert rev["vlReceitaTotD14"] == 20.0        # ts >= ref - 14 days, midnight bound
     assert rev["vlReceitaTotVida"] == 60.0       # the order at ref midnight is excluded (ts < ref)
     dl = one(D.delivery_snapshot(mk, REF), seller_id="s")
