@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ REF_DATE = dt.date(2000, 1, 1)
 # Backfill spine of the testdata: 19 month starts (FIXTURES.md section 3).
 SPINE_FIRST, SPINE_LAST = dt.date(1999, 1, 1), dt.date(2000, 7, 1)
 SHORT_SPINE = month_starts(dt.date(1999, 11, 1), REF_DATE)
+# The days whose orders come late in the refresh query.
+LATE_DAYS = (dt.date(1999, 11, 10), dt.date(1999, 11, 20))
 # A date at which many sellers have not sold yet.
 IDLE_DATE = dt.date(1995, 1, 5)
 BACKFILLS = ("reputation", "customers", "delivery", "geo")
@@ -72,6 +75,8 @@ def product_queries() -> dict[str, Query]:
                                                                 with_ref=False),
         "backfill_products": backfill_products,
         "snapshot_readback": snapshot_readback,
+        "snapshot_positions": snapshot_positions,
+        "refresh_delivery": refresh_delivery,
         "payments_overwrite": payments_overwrite,
         **{f"backfill_{g}": (lambda s, sf, g=g: backfill_group(s, sf, g)) for g in BACKFILLS},
     }
@@ -97,6 +102,23 @@ def snapshot_readback(s: SparkSession, sf: str) -> DataFrame:
     return S.read_snapshot(s, path=path, order_by=["idSeller"]).select(*P.SNAPSHOT_COLS)
 
 
+def snapshot_positions(s: SparkSession, sf: str) -> DataFrame:
+    """S9 + O1: one written snapshot read in key order, with each row's place in it."""
+    path = S.scratch_path(s, f"snapshot_positions/{uuid.uuid4().hex}")
+    S.write_group("delivery", _mk(s, sf), SHORT_SPINE, path=path)
+    return S.read_positions(s, ["seller_id"], path=path, ref=REF_DATE, group="delivery")
+
+
+def refresh_delivery(s: SparkSession, sf: str) -> DataFrame:
+    """Three snapshots built before the orders of some days came, refreshed when they are there."""
+    path = S.scratch_path(s, f"refresh_delivery/{uuid.uuid4().hex}")
+    mk = _mk(s, sf)
+    early = replace(mk, orders=mk.orders.where(~F.to_date("order_purchase_timestamp").between(*map(F.lit, LATE_DAYS))))
+    S.refresh("delivery", early, SHORT_SPINE, path)
+    S.refresh("delivery", mk, SHORT_SPINE, path)
+    return S.read_snapshot(s, path=path)
+
+
 def payments_overwrite(s: SparkSession, sf: str) -> DataFrame:
     """S13 + S9: overwrite the whole payment table, first up to an earlier date; read one month back in key order."""
     path = S.scratch_path(s, f"payments_overwrite/{uuid.uuid4().hex}")
@@ -221,6 +243,9 @@ def oracle_sql() -> dict[str, str]:
     for group, build, with_ref in (("reputation", OG.reputation, False), ("customers", OG.customers, False),
                                    ("delivery", OG.delivery, True), ("geo", OG.geo, True)):
         out[f"backfill_{group}"] = _group_oracle(build, f"{group}_snapshot", with_ref)
+    out["refresh_delivery"] = out["backfill_delivery"]
+    out["snapshot_positions"] = (f"SELECT *, row_number() OVER (ORDER BY seller_id) AS position FROM ({out['backfill_delivery']}) "
+                                 f"WHERE dtRef = DATE '{REF_DATE}'")
     ctes, sel = OG.geo(IDLE_DATE)
     out["geo_snapshot_idle"] = with_adapter(ctes, sel["geo_snapshot"])
     out["seller_region_rules"] = _region_rules_oracle()

@@ -155,7 +155,7 @@ def test_batch_job_writes_every_group(spark, mk_small, tmp_path):
             continue
         jobs.main(args + ["--first", "1999-11-01", "--last", "2000-01-01"])
         jobs.main(args + ["--first", "1999-12-01", "--last", "2000-01-01"])
-        back = spark.read.parquet(str(out))
+        back = S.read_snapshot(spark, path=str(out))
         assert back.count() > 0
         if group in ("products", "reputation", "delivery", "geo"):
             assert back.select("dtRef").distinct().count() == 3
@@ -209,17 +209,18 @@ def test_no_single_task_funnels(spark, mk_small):
 
 def test_replacing_in_a_table_made_by_sql_keeps_the_others(spark):
     """The write asks for dynamic overwrite itself: a session's default mode would empty the table."""
-    before = spark.conf.get(S.OVERWRITE_MODE)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
     spark.sql("DROP TABLE IF EXISTS made_by_sql")
     spark.sql("CREATE TABLE made_by_sql (v INT, dtRef DATE) USING parquet PARTITIONED BY (dtRef)")
     try:
-        spark.conf.set(S.OVERWRITE_MODE, "static")
+        spark.conf.set(mode, "static")
         for day, v in (("2018-01-01", 1), ("2018-02-01", 2), ("2018-02-01", 3)):
             S.replace_snapshots(spark.createDataFrame([(v, dt.date.fromisoformat(day))], "v int, dtRef date"), table="made_by_sql")
         assert sorted((str(r.dtRef), r.v) for r in spark.table("made_by_sql").collect()) == [("2018-01-01", 1), ("2018-02-01", 3)]
-        assert spark.conf.get(S.OVERWRITE_MODE) == "static"
+        assert spark.conf.get(mode) == "static"  # asked for by the write, not by the session
     finally:
-        spark.conf.set(S.OVERWRITE_MODE, before)
+        spark.conf.set(mode, before)
         spark.sql("DROP TABLE IF EXISTS made_by_sql")
 
 
