@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.horizons import REF
@@ -55,6 +55,11 @@ def month_starts(first: DateLike, last: DateLike) -> list[dt.date]:
     return out
 
 
+def literal_array(values: Iterable, kind: str) -> Column:
+    """An array in one literal, folded once when the plan is optimised, whatever its length."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def as_of(df: DataFrame, ts: str, refs: DateLike | Iterable[DateLike], inclusive: bool = False) -> DataFrame:
     dates = snapshot_dates(refs)
     t = F.col(ts)
@@ -65,7 +70,7 @@ def as_of(df: DataFrame, ts: str, refs: DateLike | Iterable[DateLike], inclusive
     # explode the literal array, then filter: both stay in generated code (a
     # lambda inside filter() would be interpreted per element).
     ref = F.col(REF)
-    df = df.withColumn(REF, F.explode(F.array(*[F.lit(d) for d in dates])))
+    df = df.withColumn(REF, F.explode(literal_array(dates, "date")))
     return df.where(t <= ref if inclusive else t < ref)
 
 

@@ -23,15 +23,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.dates import DateLike, snapshot_dates
+from marketlens.functions.dates import DateLike, literal_array, snapshot_dates
 from marketlens.functions.horizons import REF, Horizon
 
 
-def _literal(values: Iterable, kind: str) -> Column:
-    """An array as one literal, folded once when the plan is optimised."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
-
-
 @dataclass(frozen=True)
 class Spine:
     """Sorted reference dates, numbered from 0."""
@@ -48,13 +43,13 @@ class Spine:
         if n == 1:
             return F.when(day < F.lit(first), 0).otherwise(1)
         days = range((last - first).days)
-        numbers = _literal((bisect.bisect_right(self.dates, first + dt.timedelta(d)) for d in days), "int")
+        numbers = literal_array((bisect.bisect_right(self.dates, first + dt.timedelta(d)) for d in days), "int")
         at = F.least(F.greatest(F.datediff(day, F.lit(first)), F.lit(0)), F.lit(len(days) - 1))
         return (F.when(day < F.lit(first), 0).when(day >= F.lit(last), n).otherwise(F.element_at(numbers, at + 1)))
 
     def all(self) -> Column:
         """Every date, in an array."""
-        return _literal(self.dates, "date")
+        return literal_array(self.dates, "date")
 
     def date(self, number: Column) -> Column:
         if len(self.dates) == 1:

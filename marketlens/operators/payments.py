@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import DateLike, to_date
-from marketlens.functions.money import to_double, units
+from marketlens.functions.money import to_double, whole_units
 from marketlens.functions.ratios import safe_ratio
 from marketlens.sources.marketplace import Marketplace
 
@@ -36,22 +36,37 @@ TS = "order_purchase_timestamp"
 EPOCH = "1970-01-01"
 
 
-def value_scale(payments: DataFrame) -> int | None:
-    """Scale of the exact units the payment values are summed in (None: summed as they are)."""
-    return units(payments, "payment_value")[1]
+def value_scale(payments: DataFrame) -> int:
+    """Scale of the whole units the payment values are summed in."""
+    return whole_units(payments, "payment_value")[1]
+
+
+def _is_double(payments: DataFrame) -> bool:
+    return payments.schema["payment_value"].dataType.typeName() in ("double", "float")
 
 
 def order_payment_rollup(payments: DataFrame) -> DataFrame:
     """value and count by method per order, and the largest positive installment count.
 
-    Values are exact integer units (see :func:`value_scale`); counts are longs.
+    Values are whole units (see :func:`value_scale`), so their sums do not
+    depend on an order; counts are longs.  Doubles that are no number or
+    infinite cannot be units: they are counted apart, in ``up_`` (infinite or
+    no number) and ``down_`` (minus infinite or no number), and spoil only the
+    windows that hold them.
     """
     t = F.col("payment_type")
-    v = units(payments, "payment_value")[0]
+    v, odd = F.col("payment_value"), {}
+    if _is_double(payments):
+        infinite = F.lit(float("inf"))
+        odd = {"up": F.isnan(v) | (v == infinite), "down": F.isnan(v) | (v == -infinite)}
+        finite = F.when(~(odd["up"] | odd["down"]), v)
+        payments = payments.withColumns({"payment_value": finite, **{f"__{k}": c for k, c in odd.items()}})
+    v = whole_units(payments, "payment_value")[0]
     is_m = {m: t == m for m in METHODS}
     is_m["outros"] = ~t.isin(*METHODS)  # NULL type: neither a method nor 'outros'
     aggs = [F.sum(F.when(is_m[m], v).otherwise(0)).alias(f"vlr_{m}") for m in ALL_METHODS]
     aggs += [F.sum(F.when(is_m[m], 1).otherwise(0)).alias(f"qtde_{m}") for m in ALL_METHODS]
+    aggs += [F.sum(F.when(is_m[m] & F.col(f"__{k}"), 1).otherwise(0)).alias(f"{k}_{m}") for k in odd for m in ALL_METHODS]
     inst = F.col("payment_installments")
     aggs.append(F.max(F.when(inst > 0, inst)).alias("max_payment_installments"))
     return payments.groupBy("order_id").agg(*aggs)
@@ -77,6 +92,7 @@ def _daily(base: DataFrame) -> DataFrame:
     aggs = [F.count(f"vlr_{METHODS[0]}").alias("n_paid")]
     aggs += [F.sum(f"vlr_{m}").alias(f"vlr_{m}") for m in ALL_METHODS]
     aggs += [F.sum(f"qtde_{m}").alias(f"qtde_{m}") for m in ALL_METHODS]
+    aggs += [F.sum(c).alias(c) for c in base.columns if c.startswith(("up_", "down_"))]
     aggs += [F.sum(vlr_total).alias("vlr_total"), F.sum(qtd_total).alias("qtde_total"),
              F.sum("max_payment_installments").alias("inst_sum"),
              F.count("max_payment_installments").alias("inst_cnt")]
@@ -87,15 +103,9 @@ MEASURES = (["n_paid", "vlr_total", "qtde_total", "inst_sum", "inst_cnt"]
             + [f"vlr_{m}" for m in ALL_METHODS] + [f"qtde_{m}" for m in ALL_METHODS])
 
 
-def windowed_totals(base: DataFrame, exact: bool = True) -> DataFrame:
+def windowed_totals(base: DataFrame) -> DataFrame:
     """Per (seller, month m): each measure summed over [m - n days, m) and over all days before m.
 
-    ``exact``: the measures are whole numbers, so differences of running sums
-    are exact.  Values summed as doubles are not: a difference would keep the
-    rounding of all earlier payments, and one infinite value would spoil every
-    later window.  They are summed window by window instead, each sum over its
-    own days only.
-
     One running sum per seller over its day axis (``rangeBetween(unbounded, -1)``,
     an incremental frame) evaluated at marker rows placed on day m and on the
     window starts m - n; a window total is ``run(m) - run(m - n)``.  Sliding
@@ -103,41 +113,43 @@ def windowed_totals(base: DataFrame, exact: bool = True) -> DataFrame:
     windows give 0 here and their counts are 0 too, so every feature -- a
     ratio over a count or a total -- is NULL exactly as with a NULL sum.
     """
-    daily = _daily(base).withColumn("month", F.lit(None).cast("date")).withColumn("kind", F.lit(None).cast("string"))
+    daily = _daily(base)
+    measures = [c for c in daily.columns if c not in ("seller_id", "day")]
+    daily = daily.withColumn("month", F.lit(None).cast("date")).withColumn("kind", F.lit(None).cast("string"))
     grid = seller_month_grid(daily.withColumnRenamed("day", TS))
-    starts = [("m", F.col("month"))] + [(name, F.date_sub("month", days)) for name, days in WINDOWS if days and exact]
+    starts = [("m", F.col("month"))] + [(name, F.date_sub("month", days)) for name, days in WINDOWS if days]
     markers = grid.select("seller_id", "month", F.inline(F.array(*[
         F.struct(F.lit(kind).alias("kind"), day.alias("day")) for kind, day in starts])))
-    markers = markers.select("seller_id", "day", *[F.lit(None).alias(m) for m in MEASURES], "month", "kind")
+    markers = markers.select("seller_id", "day", *[F.lit(None).alias(m) for m in measures], "month", "kind")
     rows = daily.unionByName(markers).withColumn("dayno", F.datediff("day", F.lit(EPOCH)))
     per_seller = Window.partitionBy("seller_id").orderBy("dayno")
-    if not exact:
-        sums = [F.coalesce(F.sum(m).over(per_seller.rangeBetween(-days if days else Window.unboundedPreceding, -1)),
-                           F.lit(0)).alias(f"{m}__{name}") for name, days in WINDOWS for m in MEASURES]
-        run = rows.select("seller_id", "month", "kind", *sums).where("kind IS NOT NULL")
-        return run.select("seller_id", F.date_format("month", "yyyyMM").alias("ref_month"),
-                          *[f"{m}__{name}" for name, _ in WINDOWS for m in MEASURES])
     before = per_seller.rangeBetween(Window.unboundedPreceding, -1)
     run = rows.select("seller_id", "month", "kind",
-                      *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in MEASURES]).where("kind IS NOT NULL")
+                      *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures]).where("kind IS NOT NULL")
     aggs = []
     for name, days in WINDOWS:
-        for m in MEASURES:
+        for m in measures:
             at_m = F.max(F.when(F.col("kind") == "m", F.col(m)))
             total = at_m if days is None else at_m - F.max(F.when(F.col("kind") == name, F.col(m)))
             aggs.append(total.alias(f"{m}__{name}"))
     out = run.groupBy("seller_id", "month").agg(*aggs)
     return out.select("seller_id", F.date_format("month", "yyyyMM").alias("ref_month"),
-                      *[f"{m}__{name}" for name, _ in WINDOWS for m in MEASURES])
+                      *[f"{m}__{name}" for name, _ in WINDOWS for m in measures])
 
 
 def _c(m: str, w: str) -> Column:
     return F.col(f"{m}__{w}")
 
 
-def family_columns(scale: int | None) -> dict[str, list[Column]]:
+def family_columns(scale: int, double: bool = False) -> dict[str, list[Column]]:
     def money(m: str, w: str) -> Column:
-        return to_double(_c(m, w), scale)
+        value = to_double(_c(m, w), scale)
+        if not double:
+            return value
+        methods = ALL_METHODS if m == "vlr_total" else (m.removeprefix("vlr_"),)
+        up, down = (sum((_c(f"{k}_{x}", w) for x in methods), F.lit(0)) > 0 for k in ("up", "down"))
+        infinite = float("inf")
+        return (F.when(up & down, F.lit(float("nan"))).when(up, F.lit(infinite)).when(down, F.lit(-infinite)).otherwise(value))
 
     avg_value = [safe_ratio(money(f"vlr_{m}", w), _c("n_paid", w)).alias(f"avg_vlr_{m}_{w}")
                  for w, _ in WINDOWS for m in ALL_METHODS]
@@ -156,8 +168,8 @@ SNAPSHOT_ORDER = ["payment_avg_value", "payment_installments", "payment_count_sh
 
 def payment_features(mk: Marketplace, cutoff: DateLike, families: list[str] | None = None) -> DataFrame:
     scale = value_scale(mk.payments)
-    totals = windowed_totals(seller_orders(mk, cutoff), exact=scale is not None)
-    fam = family_columns(scale)
+    totals = windowed_totals(seller_orders(mk, cutoff))
+    fam = family_columns(scale, _is_double(mk.payments))
     return totals.select("seller_id", "ref_month", *[c for f in (families or SNAPSHOT_ORDER) for c in fam[f]])
 
 

@@ -167,10 +167,18 @@ def _rollup(s: SparkSession, sf: str) -> DataFrame:
                     *[f"qtde_{m}" for m in PM.ALL_METHODS], "max_payment_installments")
 
 
+def payments_of_doubles(s: SparkSession, sf: str) -> DataFrame:
+    """The payment mix of values that are doubles; the sums are those of the decimals they were made from."""
+    mk = _mk(s, sf)
+    doubles = mk.payments.withColumn("payment_value", F.col("payment_value").cast("double"))
+    return PM.payments_snapshot(replace(mk, payments=doubles), REF_DATE)
+
+
 def payment_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         k: (lambda s, sf, k=k: PM.payment_features(_mk(s, sf), REF_DATE, [k])) for k in PM.SNAPSHOT_ORDER}
     out["payments_snapshot"] = lambda s, sf: PM.payments_snapshot(_mk(s, sf), REF_DATE)
+    out["payments_snapshot_double"] = payments_of_doubles
     out["order_payment_rollup"] = _rollup
     out["seller_month_grid"] = lambda s, sf: PM.seller_month_grid(PM.seller_orders(_mk(s, sf), REF_DATE))
     return out
@@ -238,6 +246,7 @@ def oracle_sql() -> dict[str, str]:
         out.update(_oracles(ctes, sel))
     ctes, _ = OG.payments(REF_DATE)
     out["order_payment_rollup"] = _rollup_oracle(ctes)
+    out["payments_snapshot_double"] = out["payments_snapshot"]
     month = S.GROUPS["payments"].label(SHORT_SPINE[1])
     out["payments_overwrite"] = f"SELECT * FROM ({out['payments_snapshot']}) WHERE ref_month = '{month}'"
     for group, build, with_ref in (("reputation", OG.reputation, False), ("customers", OG.customers, False),
