@@ -297,39 +297,35 @@ ge_seller AS (
          COUNT(DISTINCT CASE WHEN dist > 500 THEN order_id END) AS longa
   FROM ge_base GROUP BY seller_id
 ),
-ge_vol_e AS (SELECT seller_state, COUNT(DISTINCT order_id) AS v FROM ge_base GROUP BY seller_state),
-ge_vol_c AS (SELECT seller_state, seller_city, COUNT(DISTINCT order_id) AS v FROM ge_base GROUP BY ALL),
-ge_rank_e AS (SELECT seller_id, RANK() OVER (PARTITION BY seller_state ORDER BY qtd DESC) AS r FROM ge_seller),
-ge_rank_c AS (SELECT seller_id, RANK() OVER (PARTITION BY seller_state, seller_city ORDER BY qtd DESC) AS r
-              FROM ge_seller),
-ge_dest_e AS (SELECT seller_id, customer_state, COUNT(DISTINCT order_id) AS n FROM ge_base
-              WHERE order_id IS NOT NULL GROUP BY ALL),
-ge_dest_c AS (SELECT seller_id, customer_state, customer_city, COUNT(DISTINCT order_id) AS n FROM ge_base
-              WHERE order_id IS NOT NULL GROUP BY ALL),
-ge_main_e AS (
-  SELECT seller_id, customer_state AS st, n FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY seller_id ORDER BY n DESC, customer_state ASC NULLS FIRST) AS rn
-    FROM ge_dest_e) WHERE rn = 1
+ge_at AS (  -- every order at each place that it touches
+  SELECT order_id, receita_total, unnest([
+    {{'kind': 'from_state', 'state': seller_state, 'city': NULL}}, {{'kind': 'from_city', 'state': seller_state, 'city': seller_city}},
+    {{'kind': 'to_state', 'state': customer_state, 'city': NULL}}, {{'kind': 'to_city', 'state': customer_state, 'city': customer_city}}],
+    recursive := true)
+  FROM ge_base WHERE order_id IS NOT NULL
 ),
-ge_main_c AS (
-  SELECT seller_id, customer_city AS ct, n FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY seller_id
-                                 ORDER BY n DESC, customer_state ASC NULLS FIRST, customer_city ASC NULLS FIRST) AS rn
-    FROM ge_dest_c) WHERE rn = 1
+ge_place AS (SELECT kind, state, city, COUNT(DISTINCT order_id) AS n, SUM(receita_total) AS r FROM ge_at GROUP BY ALL),
+ge_standing AS (  -- a seller among those of its state, and of its city
+  SELECT seller_id, RANK() OVER (in_state ORDER BY qtd DESC) AS state_rank, RANK() OVER (in_city ORDER BY qtd DESC) AS city_rank,
+         CASE WHEN seller_state IS NOT NULL THEN AVG(qtd) OVER in_state END AS state_mean,
+         CASE WHEN seller_state IS NOT NULL AND seller_city IS NOT NULL THEN AVG(qtd) OVER in_city END AS city_mean
+  FROM ge_seller WINDOW in_state AS (PARTITION BY seller_state), in_city AS (PARTITION BY seller_state, seller_city)
 ),
-ge_mkt_e AS (SELECT customer_state, COUNT(DISTINCT order_id) AS n, SUM(receita_total) AS r FROM ge_base
-             WHERE order_id IS NOT NULL GROUP BY customer_state),
-ge_mkt_c AS (SELECT customer_state, customer_city, COUNT(DISTINCT order_id) AS n, SUM(receita_total) AS r
-             FROM ge_base WHERE order_id IS NOT NULL GROUP BY ALL),
-ge_peer_e AS (SELECT seller_state, AVG(qtd) AS m FROM ge_seller GROUP BY seller_state),
-ge_peer_c AS (SELECT seller_state, seller_city, AVG(qtd) AS m FROM ge_seller GROUP BY ALL),
-ge_tot AS (SELECT SUM(n) AS t_all, SUM(CASE WHEN customer_state IS NOT NULL THEN n END) AS d_nonnull FROM ge_mkt_e),
+ge_dest AS (
+  SELECT seller_id, customer_state, customer_city, GROUPING(customer_city) AS whole_state, COUNT(DISTINCT order_id) AS n
+  FROM ge_base WHERE order_id IS NOT NULL
+  GROUP BY GROUPING SETS ((seller_id, customer_state), (seller_id, customer_state, customer_city))
+),
+ge_main AS (
+  SELECT * FROM ge_dest QUALIFY ROW_NUMBER() OVER (
+    PARTITION BY seller_id, whole_state ORDER BY n DESC, customer_state NULLS FIRST, customer_city NULLS FIRST) = 1
+),
+ge_tot AS (SELECT SUM(n) AS t_all, SUM(n) FILTER (state IS NOT NULL) AS d_nonnull FROM ge_place WHERE kind = 'to_state'),
 ge_grid AS (
-  SELECT s.seller_id, m.customer_state, m.n AS d_mkt, COALESCE(p.n, 0) AS n_st, t.t_all,
+  SELECT s.seller_id, m.state, m.n AS d_mkt, COALESCE(p.n, 0) AS n_st, t.t_all,
          SUM(COALESCE(p.n, 0)) OVER (PARTITION BY s.seller_id) AS n_seller
-  FROM (SELECT DISTINCT seller_id FROM ge_base) s
-  CROSS JOIN (SELECT * FROM ge_mkt_e WHERE customer_state IS NOT NULL) m CROSS JOIN ge_tot t
-  LEFT JOIN ge_dest_e p ON p.seller_id = s.seller_id AND p.customer_state = m.customer_state
+  FROM ge_seller s CROSS JOIN (SELECT * FROM ge_place WHERE kind = 'to_state' AND state IS NOT NULL) m CROSS JOIN ge_tot t
+  LEFT JOIN ge_dest p ON p.seller_id = s.seller_id AND p.customer_state = m.state AND p.whole_state = 1
 ),
 ge_cell AS (
   SELECT *, CASE WHEN n_seller > 0 THEN CAST(n_st AS HUGEINT) * t_all - CAST(d_mkt AS HUGEINT) * n_seller ELSE -d_mkt END AS gap,
@@ -342,8 +338,8 @@ ge_gap AS (
 ge_final AS (
   SELECT s.seller_id, s.seller_city, s.seller_state, s.regiao_seller, CAST(s.flag_seller_capital AS INTEGER)
            AS flag_seller_capital,
-    CAST(COALESCE(ve.v, 0) AS BIGINT) AS volume_total_pedidos_estado_seller,
-    CAST(COALESCE(vc.v, 0) AS BIGINT) AS volume_total_pedidos_cidade_seller,
+    CAST(COALESCE(ve.n, 0) AS BIGINT) AS volume_total_pedidos_estado_seller,
+    CAST(COALESCE(vc.n, 0) AS BIGINT) AS volume_total_pedidos_cidade_seller,
     CAST(s.qtd AS BIGINT) AS qtd_pedidos_seller, {dbl('COALESCE(s.receita, 0)')} AS receita_total_seller,
     CAST(s.ufs AS BIGINT) AS qtd_ufs_atendidas, CAST(s.cidades AS BIGINT) AS qtd_cidades_atendidas,
     CAST(s.qpe AS BIGINT) AS qtd_pedidos_proprio_estado, CAST(s.qpc AS BIGINT) AS qtd_pedidos_propria_cidade,
@@ -353,14 +349,14 @@ ge_final AS (
       AS participacao_pedidos_seller_proprio_estado,
     CASE WHEN mc.n IS NULL OR mc.n = 0 THEN 0.0 ELSE {dbl('s.qpc')} / {dbl('mc.n')} END
       AS participacao_pedidos_seller_propria_cidade,
-    CAST(re.r AS INTEGER) AS rank_seller_pedidos_estado, CAST(rc.r AS INTEGER) AS rank_seller_pedidos_cidade,
+    CAST(o.state_rank AS INTEGER) AS rank_seller_pedidos_estado, CAST(o.city_rank AS INTEGER) AS rank_seller_pedidos_cidade,
     {dbl('COALESCE(s.rpe, 0)')} AS receita_proprio_estado, {dbl('COALESCE(s.rpc, 0)')} AS receita_propria_cidade,
     CASE WHEN me.r IS NULL OR me.r = 0 THEN 0.0 ELSE {dbl('s.rpe')} / {dbl('me.r')} END
       AS participacao_receita_proprio_estado,
     CASE WHEN mc.r IS NULL OR mc.r = 0 THEN 0.0 ELSE {dbl('s.rpc')} / {dbl('mc.r')} END
       AS participacao_receita_propria_cidade,
-    pe.st AS estado_maior_qtd_pedidos_seller, pc.ct AS cidade_maior_qtd_pedidos_seller,
-    pc.ct AS principal_cidade_pedidos_seller, pe.st AS principal_estado_pedidos_seller,
+    pe.customer_state AS estado_maior_qtd_pedidos_seller, pc.customer_city AS cidade_maior_qtd_pedidos_seller,
+    pc.customer_city AS principal_cidade_pedidos_seller, pe.customer_state AS principal_estado_pedidos_seller,
     CAST(COALESCE(pe.n, 0) AS BIGINT) AS qtd_pedidos_principal_estado,
     CAST(COALESCE(pc.n, 0) AS BIGINT) AS qtd_pedidos_principal_cidade,
     CASE WHEN s.qtd = 0 THEN 0.0 ELSE {dbl('pe.n')} / {dbl('s.qtd')} END AS pct_pedidos_principal_estado_destino,
@@ -372,22 +368,21 @@ ge_final AS (
     CASE WHEN s.qtd = 0 THEN 0.0 ELSE {dbl('s.curta')} / {dbl('s.qtd')} END AS pct_pedidos_curta_distancia,
     CASE WHEN s.qtd = 0 THEN 0.0 ELSE {dbl('s.media_d')} / {dbl('s.qtd')} END AS pct_pedidos_media_distancia,
     CASE WHEN s.qtd = 0 THEN 0.0 ELSE {dbl('s.longa')} / {dbl('s.qtd')} END AS pct_pedidos_longa_distancia,
-    pce.m AS media_pedidos_sellers_mesmo_estado, pcc.m AS media_pedidos_sellers_mesma_cidade,
-    s.qtd - pce.m AS dif_pedidos_vs_media_estado, s.qtd - pcc.m AS dif_pedidos_vs_media_cidade,
-    CASE WHEN pce.m = 0 THEN NULL ELSE {dbl('s.qtd')} / pce.m END AS razao_pedidos_vs_media_estado,
-    CASE WHEN pcc.m = 0 THEN NULL ELSE {dbl('s.qtd')} / pcc.m END AS razao_pedidos_vs_media_cidade,
+    o.state_mean AS media_pedidos_sellers_mesmo_estado, o.city_mean AS media_pedidos_sellers_mesma_cidade,
+    s.qtd - o.state_mean AS dif_pedidos_vs_media_estado, s.qtd - o.city_mean AS dif_pedidos_vs_media_cidade,
+    CASE WHEN o.state_mean = 0 THEN NULL ELSE {dbl('s.qtd')} / o.state_mean END AS razao_pedidos_vs_media_estado,
+    CASE WHEN o.city_mean = 0 THEN NULL ELSE {dbl('s.qtd')} / o.city_mean END AS razao_pedidos_vs_media_cidade,
     COALESCE(gp.pos, 0.0) AS soma_gap_estado_positivo, COALESCE(gp.absg, 0.0) AS soma_abs_gap_estado,
     COALESCE(1 - gp.absg / 2, 0.0) AS score_cobertura_estado,
     CASE WHEN s.qtd = 0 THEN 1 ELSE 0 END AS flag_seller_sem_pedido
   FROM ge_seller s
-  LEFT JOIN ge_vol_e ve ON ve.seller_state = s.seller_state
-  LEFT JOIN ge_vol_c vc ON vc.seller_state = s.seller_state AND vc.seller_city = s.seller_city
-  LEFT JOIN ge_rank_e re ON re.seller_id = s.seller_id LEFT JOIN ge_rank_c rc ON rc.seller_id = s.seller_id
-  LEFT JOIN ge_main_e pe ON pe.seller_id = s.seller_id LEFT JOIN ge_main_c pc ON pc.seller_id = s.seller_id
-  LEFT JOIN ge_mkt_e me ON me.customer_state = s.seller_state
-  LEFT JOIN ge_mkt_c mc ON mc.customer_state = s.seller_state AND mc.customer_city = s.seller_city
-  LEFT JOIN ge_peer_e pce ON pce.seller_state = s.seller_state
-  LEFT JOIN ge_peer_c pcc ON pcc.seller_state = s.seller_state AND pcc.seller_city = s.seller_city
+  JOIN ge_standing o ON o.seller_id = s.seller_id
+  LEFT JOIN ge_place ve ON ve.kind = 'from_state' AND ve.state = s.seller_state
+  LEFT JOIN ge_place vc ON vc.kind = 'from_city' AND vc.state = s.seller_state AND vc.city = s.seller_city
+  LEFT JOIN ge_place me ON me.kind = 'to_state' AND me.state = s.seller_state
+  LEFT JOIN ge_place mc ON mc.kind = 'to_city' AND mc.state = s.seller_state AND mc.city = s.seller_city
+  LEFT JOIN ge_main pe ON pe.seller_id = s.seller_id AND pe.whole_state = 1
+  LEFT JOIN ge_main pc ON pc.seller_id = s.seller_id AND pc.whole_state = 0
   LEFT JOIN ge_gap gp ON gp.seller_id = s.seller_id
 )"""
     from marketlens.operators.geo import FAMILIES

@@ -138,6 +138,27 @@ def seller_region_rules(s: SparkSession, sf: str) -> DataFrame:
     return G.seller_attributes(sellers).select("seller_id", "seller_city", "seller_state", "regiao_seller", "flag_seller_capital")
 
 
+def customers_of_several_ids(s: SparkSession, sf: str) -> DataFrame:
+    """Three customer ids are one person, whose orders count together."""
+    mk = _mk(s, sf)
+    person = F.floor(F.col("customer_id") / 3).cast("long")
+    return C.customers_snapshot(replace(mk, customers=mk.customers.withColumn("customer_unique_id", person)), REF_DATE)
+
+
+def reputation_of_several_reviews(s: SparkSession, sf: str) -> DataFrame:
+    """Orders with an even key have a second review, three days later and of the opposite score."""
+    mk = _mk(s, sf)
+    second = mk.reviews.where(F.col("order_id") % 2 == 0).select(
+        "order_id", (6 - F.col("review_score")).alias("review_score"),
+        F.timestamp_add("DAY", F.lit(3), "review_creation_date").alias("review_creation_date"))
+    return R.reputation_snapshot(replace(mk, reviews=mk.reviews.unionByName(second)), REF_DATE)
+
+
+PERSONS_SQL = "SELECT * REPLACE (customer_id // 3 AS customer_unique_id) FROM mk_customers"
+REVIEWS_SQL = """SELECT * FROM mk_reviews UNION ALL
+  SELECT order_id, 6 - review_score, review_creation_date + to_days(3) FROM mk_reviews WHERE order_id % 2 = 0"""
+
+
 def delivery_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         k: (lambda s, sf, k=k: D.delivery_features(_mk(s, sf), REF_DATE, [k])) for k in D.FAMILIES}
@@ -148,6 +169,7 @@ def delivery_queries() -> dict[str, Query]:
 def reputation_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         k: (lambda s, sf, k=k: R.reputation_features(_mk(s, sf), REF_DATE, [k])) for k in R.SNAPSHOT_ORDER}
+    out["reputation_snapshot_reviews"] = reputation_of_several_reviews
     out["reputation_snapshot"] = lambda s, sf: R.reputation_snapshot(_mk(s, sf), REF_DATE)
     return out
 
@@ -155,6 +177,7 @@ def reputation_queries() -> dict[str, Query]:
 def customer_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         k: (lambda s, sf, k=k: C.customer_features(_mk(s, sf), REF_DATE, k)) for k in C.FAMILY_KEYS}
+    out["customers_snapshot_persons"] = customers_of_several_ids
     out["customers_snapshot"] = lambda s, sf: C.customers_snapshot(_mk(s, sf), REF_DATE)
     out["customer_period_base"] = lambda s, sf: C.customer_period_base(_mk(s, sf), REF_DATE)
     return out
@@ -252,6 +275,10 @@ def oracle_sql() -> dict[str, str]:
     for group, build, with_ref in (("reputation", OG.reputation, False), ("customers", OG.customers, False),
                                    ("delivery", OG.delivery, True), ("geo", OG.geo, True)):
         out[f"backfill_{group}"] = _group_oracle(build, f"{group}_snapshot", with_ref)
+    ctes, sel = OG.customers(REF_DATE)
+    out["customers_snapshot_persons"] = with_adapter(ctes, sel["customers_snapshot"], customers=PERSONS_SQL)
+    ctes, sel = OG.reputation(REF_DATE)
+    out["reputation_snapshot_reviews"] = with_adapter(ctes, sel["reputation_snapshot"], reviews=REVIEWS_SQL)
     out["refresh_delivery"] = out["backfill_delivery"]
     out["snapshot_positions"] = (f"SELECT *, row_number() OVER (ORDER BY seller_id) AS position FROM ({out['backfill_delivery']}) "
                                  f"WHERE dtRef = DATE '{REF_DATE}'")

@@ -44,7 +44,10 @@ def moments_stddev(n: str, s1: str, s2: str) -> str:
             f"{dbl(f'{nn} * ({nn} - 1)')}) END")
 
 
-def with_adapter(body_ctes: str, select: str) -> str:
+def with_adapter(body_ctes: str, select: str, **relations: str) -> str:
+    """``select`` over the adapter's relations; ``relations`` are queries that replace some (``mk_x`` is then the one before)."""
     from marketlens.sources.testdata import ADAPTER_SQL
 
+    for name, query in relations.items():
+        body_ctes = f"other_{name} AS ({query}),\n" + body_ctes.replace(f"mk_{name}", f"other_{name}")
     return f"WITH {ADAPTER_SQL},\n{body_ctes}\n{select}"
