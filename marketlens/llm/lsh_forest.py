@@ -10,9 +10,9 @@ in any tree are left alone.
 Rounds: each tree's labels are dealt by range and sorted, ties in an order
 drawn anew for each round, and neighbours of different components that share
 the base prefix are candidates, which weigh more the deeper they meet.  The
-first rounds test the best candidate of every class, the later ones all
-candidates among the nearest ``window`` neighbours whose signatures agree
-nearly enough.  A test compares the full shingle sets.  Confirmed links unite
+first rounds test the best candidate of every class, the later ones the
+``MOST`` of a class and tree, among its nearest ``window`` neighbours of other
+components, whose signatures agree best and nearly enough.  A test compares the full shingle sets.  Confirmed links unite
 components, regions that hold one component drop out, so the window reaches
 further in what is left, and rounds go on until one finds no link.
 
@@ -53,6 +53,7 @@ SLACK = 0.06  # of agreeing signature parts below the threshold; 2.2 standard de
 SURE = 5.0  # standard deviations of the agreeing parts below the threshold that the last step allows
 BUCKETS = 20  # bits of a shingle's hash by which its frequency is counted
 CELL = 1000
+MOST = 2  # candidates of a class in one tree and round, beyond the first rounds
 BLOCK = 1 << 14
 U32 = np.uint32
 
@@ -139,8 +140,23 @@ def _labels(k: int, trees: int, depths: tuple[int, ...]):
     return run
 
 
-def _neighbours(depths: int, percent: int, window: int, least: float | None):
-    """Candidates among the ``window`` nearest of a sorted stream of (class, size, component, keys, parts)."""
+def _best(pairs: dict[tuple[int, int], float], most: int) -> dict[tuple[int, int], float]:
+    """The pairs that are among the ``most`` of largest value of either side."""
+    a, b = (np.fromiter((p[i] for p in pairs), np.int64, len(pairs)) for i in (0, 1))
+    v = np.fromiter(pairs.values(), np.float64, len(pairs))
+    side, at = np.concatenate([a, b]), np.tile(np.arange(len(pairs)), 2)
+    order = np.lexsort((at, -v[at], side))
+    side, at = side[order], at[order]
+    rank = np.arange(len(side)) - np.searchsorted(side, side)
+    return {(x, y): w for x, y, w in zip(*(z[np.unique(at[rank < most])].tolist() for z in (a, b, v)))}
+
+
+def _neighbours(depths: int, percent: int, window: int, least: float | None, most: int | None = None):
+    """Candidates among the ``window`` nearest of a sorted stream of (class, size, component, keys, parts).
+
+    With ``most``, only those in which one side is among the other's so many
+    most alike by their signatures.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
@@ -159,12 +175,15 @@ def _neighbours(depths: int, percent: int, window: int, least: float | None):
                 b = b[(keys[0][b] == keys[0][b - lag]) & (comp[b] != comp[b - lag])
                       & (100 * np.minimum(n[b], n[b - lag]) >= percent * np.maximum(n[b], n[b - lag]))]
                 if least is not None and len(b):
-                    b = b[(rows[-1][b] == rows[-1][b - lag]).mean(axis=1) >= least]
+                    alike = (rows[-1][b] == rows[-1][b - lag]).mean(axis=1)
+                    b, alike = b[alike >= least], alike[alike >= least]
                 a = b - lag
-                weight = sum((key[a] == key[b]) * 8.0**d for d, key in enumerate(keys))
+                weight = alike if most and len(b) else sum((key[a] == key[b]) * 8.0**d for d, key in enumerate(keys))
                 for x, y, v in zip(np.minimum(cid[a], cid[b]).tolist(), np.maximum(cid[a], cid[b]).tolist(), weight):
                     found[x, y] = found.get((x, y), 0.0) + v
             held = [x[-window:] for x in rows]
+            if found and most:
+                found = _best(found, most)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64()),
                                                   pa.array(list(found.values()), pa.float64())], names=["a", "b", "v"])
@@ -276,7 +295,8 @@ def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None,
     order = [*keys, F.xxhash64(F.lit(turn), "__cid"), "__cid"]
     rows = rows.select("__cid", "__n", "__comp", *keys, *["__parts"] * wide).repartitionByRange(*order).sortWithinPartitions(*order)
     least = max(0.0, percent / 100 - SLACK) if wide else None
-    found = rows.mapInArrow(_neighbours(depths, percent, window if turn > best_rounds else 1, least), "a long, b long, v double")
+    found = rows.mapInArrow(_neighbours(depths, percent, window if turn > best_rounds else 1, least, MOST if wide else None),
+                            "a long, b long, v double")
     found = found.groupBy("a", "b").agg(F.sum("v").alias("v"))
     if tested is not None:
         found = found.join(tested, ["a", "b"], "left_anti")
