@@ -8,9 +8,9 @@ the k-mers and their order agree, so the share of equal parts falls with edit
 distance, moves included.
 
 ``with_next`` pairs every row with the next one in a total order without a
-global sort in one task: quantiles of the id cut the rows into ranges, each
-range is sorted by itself, and the first row of the following range is handed
-to it as a guest.
+global sort in one task: sampled places in that order cut the rows into
+ranges, each range is sorted by itself, and the first row of the following
+range is handed to it as a guest.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,28 +116,31 @@ def with_next(docs: DataFrame, doc_id: str, text: str, ranges: int, body: Callab
     """Apply ``body`` to the stream of (id, text, next text) in descending order of id.
 
     Nulls come last, equal ids by hash of the text; after the last comes the
-    first.  ``body`` maps an iterator of such triples to record batches.
+    first.  A range is cut at an id and a hash, so many rows of one id, or
+    without one, span many ranges; only equal texts of one id stay together.
+    ``body`` maps an iterator of such triples to record batches.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    rows = rows.withColumn("__th", F.xxhash64("__text")).withColumn("__at", F.col("__doc").cast("double"))
-    cuts = rows.select(F.percentile_approx("__at", [i / ranges for i in range(1, ranges)] or [0.5], 10 * ranges)).first()[0]
-    splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    number = Bucketizer(splits=splits, inputCol="__at", outputCol="__range", handleInvalid="keep")
-    rows = number.transform(rows.withColumn("__at", F.coalesce("__at", F.lit(float("nan"))))).withColumn(
-        "__range", F.when(F.col("__doc").isNull(), -1).otherwise(F.col("__range").cast("int")) + 1).drop("__at")
-    # One row a range comes to the driver: ids and hashes of the first rows, to hand each to the range before.
-    first = F.max(F.struct(F.coalesce("__doc", F.lit(0)).alias("d"), "__th"))
-    firsts = sorted((r for r in rows.groupBy("__range").agg(first.alias("f")).collect()), key=lambda r: -r["__range"])
+    rows = rows.withColumn("__th", F.xxhash64("__text"))
+    at = F.struct(F.col("__doc").isNotNull().alias("known"), F.coalesce("__doc", F.lit(0)).alias("doc"), F.col("__th").alias("th"))
+    # One row a range comes to the driver: id and hash of its first row, where it is cut and what the range before gets.
+    firsts = [r["f"] for r in rows.select(at.alias("__at")).repartitionByRange(ranges, F.col("__at").desc())
+              .groupBy(F.spark_partition_id()).agg(F.max("__at").alias("f")).collect()]
     if not firsts:
         return spark.createDataFrame([], schema)
-    handed = [(firsts[i - 1]["__range"], r["__range"], r["f"]["d"], r["f"]["__th"]) for i, r in enumerate(firsts)]
-    handed = spark.createDataFrame(handed, "__to int, __range int, __d long, __th long")
-    guests = (rows.join(F.broadcast(handed), ["__range", "__th"]).where(F.coalesce("__doc", F.lit(0)) == F.col("__d"))
+    firsts.sort(reverse=True)
+    known = F.array(*[F.struct(F.lit(f["known"]).alias("known"), F.lit(f["doc"]).cast("long").alias("doc"),
+                               F.lit(f["th"]).cast("long").alias("th")) for f in firsts])
+    rows = rows.withColumn("__range", F.size(F.filter(known, lambda f: f >= at)) - 1)
+    handed = [((i - 1) % len(firsts), i, *f) for i, f in enumerate(firsts)]
+    handed = spark.createDataFrame(handed, "__to int, __range int, __known boolean, __d long, __th long")
+    guests = (rows.join(F.broadcast(handed), ["__range", "__th"])
+              .where((F.col("__doc").isNotNull() == F.col("__known")) & (F.coalesce("__doc", F.lit(0)) == F.col("__d")))
               .dropDuplicates(["__range"])
               .select(F.col("__to").alias("__range"), F.lit(1).alias("__guest"), "__doc", "__th", "__text"))
     dealt = rows.select("__range", F.lit(0).alias("__guest"), "__doc", "__th", "__text").unionByName(guests)
-    dealt = dealt.repartitionById(len(splits) + 1, F.col("__range")).sortWithinPartitions(
+    dealt = dealt.repartitionById(len(firsts), F.col("__range")).sortWithinPartitions(
         "__range", "__guest", F.col("__doc").desc_nulls_last(), F.col("__th").desc())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

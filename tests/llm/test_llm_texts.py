@@ -218,3 +218,28 @@ def test_neighbours_with_ties_and_null_ids(spark, hard):
     docs = spark.read.parquet(f"{hard}/documents.parquet")
     for ranges in (1, 3, 50):
         assert order_minhash.fingerprints(docs, ranges=ranges).count() == docs.count()
+
+
+def _next_of(rows):
+    """Literal reading: the next text of every row in descending order of id, nulls last, equal ids by hash of the text."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2]), reverse=True)
+    return sorted((r[0] is not None, r[0] or 0, r[1], n[1]) for r, n in zip(rows, rows[1:] + rows[:1]))
+
+
+@pytest.mark.parametrize("ids", ["one id", "no id", "a third", "all"])
+def test_rows_of_one_id_span_ranges(spark, ids):
+    doc = {"one id": lambda i: 7, "no id": lambda i: None, "a third": lambda i: None if i % 3 == 0 else 7 if i % 3 == 1 else i,
+           "all": lambda i: (1 << 62) + i}[ids]
+    docs = spark.createDataFrame([(doc(i), f"text number {i % 290}") for i in range(300)], "doc_id long, text string").repartition(4)
+
+    def pairs(triples):
+        found = list(triples)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found]),
+                                              pa.array([f[2] for f in found]), pa.array([len(found)] * len(found), pa.int64())],
+                                             names=["doc", "text", "following", "n"])
+
+    got = order_minhash.with_next(docs, "doc_id", "text", 6, pairs, "doc long, text string, following string, n long").collect()
+    rows = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+    assert sorted((r.doc is not None, r.doc or 0, r.text, r.following) for r in got) == _next_of(rows)
+    assert max(r.n for r in got) <= 150
