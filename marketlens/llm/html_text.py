@@ -8,7 +8,8 @@ classes on many pages are what the site's template prints.  Classes that nest
 in one another's gaps make up the host's template; its fixed text is removed
 and the slots between remain.  Of these, the slots of the article are
 extracted: regions that their tag or their class, id or role names as menu,
-header, footer, sidebar, notice, advert, form or comments are not.
+header, footer, sidebar, notice, advert, form or comments are not.  Where
+no element says that it is the article, the template alone tells fixed text.
 
 Occurrence vectors are never collected: a vector is represented by its support,
 total and two commutative hashes over (page, count), all of which add up
@@ -34,6 +35,7 @@ from marketlens.llm.shared import stored, table
 SHORT_BLOCK = 12
 MIN_SHARE = 0.6
 MIN_PAGES = 10
+FEW_PAGES = 3
 MIN_CLASS = 2
 BROADCAST_TOKENS = 500_000
 FLUSH = 100_000
@@ -147,12 +149,18 @@ def _put_outside(blocks: list[Block], named: list[Named]) -> None:
         b.outside = b.named >= 0 and out[b.named]
 
 
-def parse(page: str) -> tuple[list[str], list[Block]]:
-    """The paths of all opened tags and the text blocks, in page order."""
-    paths: list[str] = []
+def parse(page: str) -> tuple[list[int], list[Block]]:
+    """The paths of all opened tags and the text blocks, in page order.
+
+    A path is a hash of the path around it, the tag and its class, and end tags
+    without an open element are told by a count, so time and memory are linear.
+    """
+    paths: list[int] = []
     blocks: list[Block] = []
     named: list[Named] = []
-    stack = [("", "", False, False, False, -1)]  # tag, path, outside, inside, link, element named as outside
+    # tag, hash of the path, outside, inside, link, element named as outside, place of the innermost block element
+    stack = [("", 0, False, False, False, -1, 0)]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = total = 0
 
@@ -161,11 +169,15 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                _, path, outside, inside, _, around = where
+                _, path, outside, inside, _, around, _ = where
                 blocks.append(Block(path, words, outside, inside, linked > 0.5 * total, around))
             parts.clear()
             linked = total = 0
 
+    def close(i):
+        opened.subtract(e[0] for e in stack[i:])
+        del stack[i:]
+
     where = stack[0]
     at, unclosed = 0, set()
     while at < len(page):
@@ -186,10 +198,8 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         if m[1] or m[4]:
             if tag not in INLINE:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if opened[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
             continue
         attributes = m[3] if m[2] else m[6]
         if tag in _RAW_ENDS and tag not in unclosed:
@@ -210,16 +220,18 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
             flush()
             closes = ("li",) if tag == "li" else ("dt", "dd") if tag in ("dt", "dd") else ("tr",) if tag == "tr" else \
                 ("td", "th") if tag in ("td", "th") else ("p",)
-            for i in range(len(stack) - 1, 0, -1):  # ends that may be left out
+            i = stack[-1][6]
+            while i and any(opened[t] > 0 for t in closes):  # ends that may be left out
                 if stack[i][0] in closes:
-                    del stack[i:]
+                    close(i)
                     break
-                if stack[i][0] not in INLINE and stack[i][0] != "p":
+                if stack[i][0] != "p":
                     break
-        _, path, outside, inside, link, around = stack[-1]
+                i = stack[i - 1][6]
+        _, path, outside, inside, link, around, block = stack[-1]
         names = _names(attributes) if attributes else frozenset()
         c = _CLASS.search(attributes) if names else None
-        path = f"{path}/{tag}.{c[1] or c[2] or c[3]}" if c else f"{path}/{tag}"
+        path = _hash(f"{path:x}/{tag}.{c[1] or c[2] or c[3]}" if c else f"{path:x}/{tag}")
         out, main = _region(tag, names, inside)
         if not attributes.endswith("/"):
             main = main or tag in MAIN
@@ -231,7 +243,9 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
                     around = len(named) - 1
             elif main and not out and around >= 0:
                 named[around].main = True
-            stack.append((tag, path, outside or out, inside or main, link or tag == "a", around))
+            stack.append((tag, path, outside or out, inside or main, link or tag == "a", around,
+                          block if tag in INLINE else len(stack)))
+            opened[tag] += 1
         paths.append(path)
     flush()
     _put_outside(blocks, named)
@@ -241,7 +255,7 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
 def block_tokens(b: Block) -> list[int]:
     """The block's tokens: its words, or for a longer block the block."""
     texts = b.words if len(b.words) <= SHORT_BLOCK else [" ".join(b.words)]
-    return [_hash(f"{b.path}\0{w}") for w in texts]
+    return [_hash(f"{b.path:x}\0{w}") for w in texts]
 
 
 def _hash(token: str) -> int:
@@ -267,7 +281,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, key, page in zip(*(batch.column(c).to_pylist() for c in ("__host", "__page", "__html"))):
             paths, blocks = parse(page)
             texts = [t for b in blocks for t in block_tokens(b)]
-            tokens = [_hash(p) for p in paths] + texts
+            tokens = paths + texts
             place: dict[int, int] = {}
             for i, t in enumerate(tokens):
                 place.setdefault(t, i)
@@ -304,15 +318,20 @@ def nested(classes: list[dict]) -> list[dict]:
 
 def _templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fixed = [[t["token"] for c in nested(classes) for t in c["tokens"] if t["text"]]
-                 for classes in batch.column("classes").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("__host"), pa.array(fixed, pa.list_(pa.int64()))],
-                                         names=["__host", "__fixed"])
+        fixed, always = [], []
+        for pages, classes in zip(batch.column("pages").to_pylist(), batch.column("classes").to_pylist()):
+            template = [(c["support"], t["token"]) for c in nested(classes) for t in c["tokens"] if t["text"]]
+            fixed.append([t for _, t in template])
+            always.append([t for n, t in template if n == pages])
+        yield pa.RecordBatch.from_arrays([batch.column("__host"), batch.column("pages"),
+                                          *(pa.array(c, pa.list_(pa.int64())) for c in (fixed, always))],
+                                         names=["__host", "__pages", "__fixed", "__always"])
 
 
 def host_templates(pages: DataFrame, min_share: float = MIN_SHARE, min_pages: int = MIN_PAGES,
                    min_class: int = MIN_CLASS) -> DataFrame:
-    """(__host, __fixed): the fixed text tokens of the hosts' templates, from (__host, __page, __html).
+    """(__host, __pages, __fixed, __always): the hosts' numbers of pages, the fixed text tokens of their templates and,
+    of these, the ones that all pages have equally often, from (__host, __page, __html).
 
     A token counts from ``min_share`` of its host's pages on, a class from
     ``min_class`` tokens and a host from ``min_pages`` pages on.  At most
@@ -328,21 +347,33 @@ def host_templates(pages: DataFrame, min_share: float = MIN_SHARE, min_pages: in
     hosts = sums.where("__token = 0").select("__host", F.col("support").alias("pages")).where(F.col("pages") >= min_pages)
     often = sums.where("__token <> 0").join(hosts, "__host").where(F.col("support") >= F.col("pages") * min_share)
     token = F.struct(F.col("__token").alias("token"), (F.col("place") / F.col("support")).alias("place"), "text")
-    classes = often.groupBy("__host", "support", "total", "x", "s").agg(F.collect_list(token).alias("tokens"))
+    classes = often.groupBy("__host", "support", "total", "x", "s").agg(
+        F.max("pages").alias("pages"), F.collect_list(token).alias("tokens"))
     classes = classes.where(F.size("tokens") >= min_class)
-    per_host = classes.groupBy("__host").agg(F.collect_list(F.struct("support", "tokens")).alias("classes"))
-    return per_host.mapInArrow(_templates, "__host string, __fixed array<long>")
+    per_host = classes.groupBy("__host").agg(F.max("pages").alias("pages"),
+                                             F.collect_list(F.struct("support", "tokens")).alias("classes"))
+    return per_host.mapInArrow(_templates, "__host string, __pages long, __fixed array<long>, __always array<long>")
 
 
-def main_text(page: str, fixed: frozenset[int]) -> str:
-    """The article's slots, blocks joined by one space."""
+def main_text(page: str, fixed: frozenset[int], always: frozenset[int] = frozenset()) -> str:
+    """The article's slots, blocks joined by one space.
+
+    ``fixed`` is the text of the host's template, ``always`` the part of it
+    that all pages have.  Where an element says that it is the article, its
+    blocks are slots but for fixed text.  Elsewhere the template says which
+    blocks are: all but those of ``always``, and of the other fixed text.
+    Other fixed text stays where it is most of a page, and all of a page's
+    text where nothing else is left: copies of an article are no template.
+    """
     _, blocks = parse(page)
     open_blocks = [b for b in blocks if not b.outside]
-    inside = [b for b in open_blocks if b.inside]
-    chosen = inside or [b for b in open_blocks if not b.linked]
+    chosen = [b for b in open_blocks if b.inside]
+    if not chosen:
+        chosen = [b for b in open_blocks if not b.linked]
+        if always:
+            chosen = [b for b in chosen if not all(t in always for t in block_tokens(b))] or chosen
     if fixed:
         slots = [b for b in chosen if not all(t in fixed for t in block_tokens(b))]
-        # copies of one article on a host are not its template
         if 2 * sum(len(b.words) for b in slots) >= sum(len(b.words) for b in chosen):
             chosen = slots
     return " ".join(w for b in chosen for w in b.words)
@@ -350,15 +381,21 @@ def main_text(page: str, fixed: frozenset[int]) -> str:
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fixed = [frozenset(t & _M for t in f) if f else frozenset() for f in batch.column("__fixed").to_pylist()]
-        texts = [main_text(p, f) for p, f in zip(batch.column("__html").to_pylist(), fixed)]
+        fixed, always = ([frozenset(t & _M for t in f) if f else frozenset() for f in batch.column(c).to_pylist()]
+                         for c in ("__fixed", "__always"))
+        texts = [main_text(p, f, a) for p, f, a in zip(batch.column("__html").to_pylist(), fixed, always)]
         yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__url"), pa.array(texts, pa.string())],
                                          names=["__id", "__url", "__text"])
 
 
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", **settings) -> DataFrame:
+def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES,
+            few_pages: int = FEW_PAGES, **settings) -> DataFrame:
     """(``page_id``, ``url``, text): one row per page.
 
+    Text on all pages of a host of ``few_pages`` or more is template where
+    no element says that it is the article; the rest of a template counts from
+    ``min_pages`` pages on, since a few pages may share a passage.
+
     Null and empty html give an empty text.  Pages whose url is null or names
     no host are one host of their own.  Repeated rows are pages of their own.
     A page without any article element gives all its text outside other
@@ -368,11 +405,13 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     rows = pages.select(F.col(page_id).alias("__id"), F.col(url).alias("__url"), host.alias("__host"),
                         F.coalesce(F.col(page), F.lit("")).alias("__html"))
     key = F.xxhash64("__id", "__url", "__html").alias("__page")
-    templates = stored(host_templates(rows.select("__host", key, "__html"), **settings), "templates")
-    known = templates.agg(F.sum(F.size("__fixed") + 1)).first()[0] or 0
+    templates = host_templates(rows.select("__host", key, "__html"), min_pages=min(few_pages, min_pages), **settings)
+    templates = stored(templates.select("__host", F.when(F.col("__pages") >= min_pages, F.col("__fixed")).alias("__fixed"),
+                                        "__always"), "templates")
+    known = templates.agg(F.sum(F.coalesce(F.size("__fixed"), F.lit(0)) + F.size("__always") + 1)).first()[0] or 0
     if known <= BROADCAST_TOKENS:  # else a join that deals the pages by host and splits large hosts
         templates = F.broadcast(templates)
-    found = rows.join(templates, "__host", "left").select("__id", "__url", "__html", "__fixed")
+    found = rows.join(templates, "__host", "left").select("__id", "__url", "__html", "__fixed", "__always")
     id_type = pages.schema[page_id].dataType.simpleString()
     return found.mapInArrow(_extract, f"__id {id_type}, __url string, __text string").toDF(page_id, url, "text")
 

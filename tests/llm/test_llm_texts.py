@@ -4,6 +4,8 @@ import hashlib
 import html
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -101,6 +103,31 @@ def test_unclosed_elements_take_linear_time():
     assert html_text.main_text("<object><p>x</p>" * 20_000 + "<script>rest", frozenset()).count("x") == 20_000
 
 
+def test_deep_and_unmatched_tags_take_linear_time():
+    start, text = time.process_time(), "<p>one</p>"
+    pages = ("<b>x</i>" * 40_000 + text, "<div>" * 100_000 + text, "<p><div>" + "<b>" * 40_000 + "<p></p>" * 40_000 + text)
+    assert [html_text.main_text(p, frozenset()).count("one") for p in pages] == [1, 1, 1]
+    assert time.process_time() - start < 6
+    tracemalloc.start()
+    html_text.parse(pages[1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+@pytest.mark.parametrize("n", [4, 12])
+def test_template_alone_finds_the_article(spark, n):
+    """A host without article elements or telling names; the article may be the shorter part of the page."""
+    menu = "<div>Home</div><div>World news</div><div>Weather and traffic</div>"
+    notice = "<div>" + prose(900, 60) + "</div>"
+    want = {i: f"Headline number {i} {prose(i, 8 if i % 2 else 80)}" for i in range(n)}
+    pages = [(i, f"http://plain.example/{i}", f"<html><body>{menu}<div><div>Headline number {i}</div><p>{prose(i, 8 if i % 2 else 80)}"
+              f"</p></div>{notice}</body></html>") for i in range(n)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == want
+    assert all(html_text.main_text(p, frozenset()) != want[i] for i, _, p in pages)
+
+
 def test_template_text_goes_and_copies_stay(spark, hard):
     found = {r.page_id: r.text for r in html_text.op1_html_text(spark, hard).collect()}
     assert found[3] == f"T3 {prose(3, 30)}"  # "Share this" is on every page of the host
