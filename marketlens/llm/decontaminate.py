@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.llm.shared import stored, table
+from marketlens.llm.shared import any_names, stored, table
 from marketlens.llm.words import ALNUM, chunks_of, runs_of, words_of
 
 WINDOW = 10
@@ -127,6 +127,7 @@ def _hits(docs: DataFrame, text: str, block, keep_text: bool) -> DataFrame:
     return docs.mapInArrow(_scan(block, docs.columns.index(text), [docs.columns.index(c) for c in kept], arrow), schema)
 
 
+@any_names
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                item_text: str = "text", n: int = WINDOW, max_windows: int = MAX_WINDOWS,
                keep_text: bool = True) -> DataFrame:
@@ -176,6 +177,7 @@ def _united(spans):
     return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), add)
 
 
+@any_names
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", mode: str = "documents",
                  **options) -> DataFrame:
     """``mode="documents"``: the rows without any hit.  ``mode="spans"``: all rows, the hit spans cut out of

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.llm.shared import stored, table
+from marketlens.llm.shared import any_names, stored, table
 
 MAX_N = 4
 BUCKETS = 1 << 16
@@ -157,6 +157,7 @@ def _predict(model, column: int, keep: list[int], schema: pa.Schema):
     return run
 
 
+@any_names
 def identify(docs: DataFrame, model: KernelModel, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Every row of ``docs`` with ``__lang`` and ``__score``.
 

@@ -2,29 +2,34 @@
 
 Every document line of a minimal length is reduced to a 128-bit hash of its
 key (the line stripped of ASCII white space, A-Z lower-cased).  A batch of
-documents becomes a *run*: one row per hash with the number of documents that
-hold it and the largest of their ids, sorted by hash.  ``LineRuns`` keeps runs
-in levels; when a level has ``fanout`` runs they are merged into one run of
-the next level.  ``fresh_lines`` anti-joins a new batch with the runs, and
-``drop_shared_lines`` applies the corpus rule: a line found in at least
-``min_docs`` documents stays in the largest id only.
+documents is one row per hash, with the number of documents that hold it and
+the largest of their ids.  The batch merge-anti-joins the runs: hashes that no
+run holds are written as a new *run*, those that one holds as a *delta* to
+its counts.  ``LineRuns`` keeps runs in levels; when a level has ``fanout``
+runs they and their deltas are compacted into one run of the next level.
+Batches, runs and deltas are tables bucketed and sorted by the hash, so the
+joins merge them bucket by bucket without moving a row.  ``drop_shared_lines``
+applies the corpus rule: a line found in at least ``min_docs`` documents stays
+in the largest id only.
 
 DataFrame and SQL functions only.  Hot lines are counted by partial
-aggregates, and the joins on the hash are sort-merge joins whose skewed
-partitions adaptive execution splits.
+aggregates; a hash has one row in a table, so no bucket is skewed by one.  The
+join that finds the lines to drop is split by adaptive execution.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.shared import ascii_lower, fresh_path, stored, table
+from marketlens.llm.shared import any_names, ascii_lower, fresh_path, stored, table
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
-FANOUT = 4
+FANOUT = 3
 BLANKS = " \t\n\x0b\x0c\r"
 HASH = ["__h1", "__h2"]
 
@@ -52,60 +57,92 @@ def eligible_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 class LineRuns:
-    """Levelled sorted runs of line hashes in one folder of the shared store.
+    """Levelled sorted runs of line hashes, tables in one folder of the shared store.
 
-    A run's rows are (__h1, __h2, n_docs, last_doc).  Batches must not share
-    documents: the counts of runs are added.  A run is written whole before
-    it is listed, so a lost executor or a repeated write leaves no half run.
+    Rows are (__h1, __h2, n_docs, last_doc).  Batches must not share
+    documents: counts are added.  A table is written whole before it is listed,
+    so a lost executor or a repeated write leaves no half run.  ``buckets`` is
+    the session's number of shuffle partitions, with which a batch is grouped.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
         self.path = path or fresh_path(spark, "line-runs")
-        self.levels: list[list[str]] = [[]]
-        self.written = 0
+        self.name = f"line_runs_{uuid.uuid4().hex}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        #: Of every level its runs; of every run its table and that of the delta that came with it; the path of every table.
+        self.levels: list[list[tuple[str, ...]]] = [[]]
+        self.tables: dict[str, str] = {}
+
+    def _write(self, rows: DataFrame) -> str:
+        name = f"{self.name}_{len(self.tables)}"
+        self.tables[name] = f"{self.path}/{len(self.tables)}"
+        (rows.write.format("parquet").option("path", self.tables[name]).option("compression", "zstd")
+         .bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(name))
+        return name
+
+    def _rows(self, runs: list[tuple[str, ...]]) -> DataFrame | None:
+        # By path: a union of bucketed tables is taken for one bucketed table by some releases, and not grouped anew.
+        paths = [self.tables[name] for run in runs for name in run]
+        return self.spark.read.parquet(*paths) if paths else None
 
-    def _write(self, run: DataFrame, level: int) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        path = f"{self.path}/level={level}/run={self.written}"
-        self.written += 1
-        run.sortWithinPartitions(*HASH).write.mode("overwrite").option("compression", "zstd").parquet(path)
-        self.levels[level].append(path)
+    def _unseen(self, rows: DataFrame) -> DataFrame:
+        """The rows whose hash no run holds: a merge-anti-join with each of them."""
+        for level in self.levels:
+            for run, *_ in level:
+                rows = rows.join(self.spark.table(run).select(*HASH).hint("merge"), HASH, "left_anti")
+        return rows
 
     def rows(self) -> DataFrame | None:
-        """The rows of all runs; a hash has one row per run that holds it."""
-        paths = [p for level in self.levels for p in level]
-        return self.spark.read.parquet(*paths) if paths else None
+        """The rows of all runs and deltas."""
+        return self._rows([run for level in self.levels for run in level])
 
     def add(self, lines: DataFrame) -> None:
-        """Add a batch of ``eligible_lines`` as a run of level 0 and merge the levels that are full."""
+        """Add a batch of ``eligible_lines``: new hashes as a run of level 0, known ones as its delta; compact the levels
+        that are full."""
         per_doc = lines.select(*HASH, "__doc").distinct()
-        self._write(per_doc.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"),
-                                               F.max("__doc").alias("last_doc")), 0)
+        batch = per_doc.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"), F.max("__doc").alias("last_doc"))
+        name = self._write(batch)
+        if any(self.levels):
+            whole = self.spark.table(name)
+            run = self._write(self._unseen(whole))
+            known = whole.join(self.spark.table(run).select(*HASH).hint("merge"), HASH, "left_anti")
+            self.levels[0].append((run, self._write(known)))
+            self._forget(name)
+        else:
+            self.levels[0].append((name,))
         level = 0
         while len(self.levels[level]) >= self.fanout:
+            if level + 1 == len(self.levels):
+                self.levels.append([])
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merged(self.spark.read.parquet(*full)), level + 1)
+            self.levels[level + 1].append((self._write(self._merged(self._rows(full))),))
+            for name in (name for run in full for name in run):
+                self._forget(name)
             level += 1
 
+    def _forget(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def forget(self) -> None:
+        """Take the tables out of the catalog; their files stay in the shared folder."""
+        for name in self.tables:
+            self._forget(name)
+
     @staticmethod
     def _merged(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def fresh_lines(self, lines: DataFrame) -> DataFrame:
-        """Lines of a batch that no run holds yet: one anti-join with the sorted runs."""
-        runs = self.rows()
-        return lines if runs is None else lines.join(runs.select(*HASH), HASH, "left_anti")
+        """Lines of a batch that no run holds yet."""
+        return self._unseen(lines)
 
     def shared(self, min_docs: int = MIN_DOCS) -> DataFrame:
-        """Hashes found in at least ``min_docs`` documents, over all runs."""
-        runs = self.rows()
-        if sum(map(len, self.levels)) > 1:
-            runs = self._merged(runs)
-        return runs.where(F.col("n_docs") >= min_docs)
+        """Hashes found in at least ``min_docs`` documents, over all runs and deltas."""
+        return self._merged(self.rows()).where(F.col("n_docs") >= min_docs)
 
 
+@any_names
 def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                       min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """Drop the lines that many documents share, except in the largest id holding each.
@@ -117,7 +154,8 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Null or empty texts are one empty line.  Rows with the same id are one
     document for counting.  Null ids are one document, and never the largest
     where another id holds the line.  Repeated rows stay and lose the same
-    lines.  An empty table gives an empty result.
+    lines.  An empty table gives an empty result.  Columns of any name pass,
+    but one named as a result column is replaced by it.
     """
     lines = eligible_lines(docs, doc_id, text, min_chars)
     lines = lines.withColumn("__batch", F.pmod(F.xxhash64("__doc"), F.lit(batches)).cast("int"))
@@ -125,8 +163,10 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     runs = LineRuns(docs.sparkSession, fanout=fanout)
     for k in range(batches):
         runs.add(lines.where(F.col("__batch") == k))
+    shared = stored(runs.shared(min_docs).select(*HASH, "last_doc"), "shared-lines")
+    runs.forget()
     loses = ~F.col("__doc").eqNullSafe(F.col("last_doc"))
-    drops = (lines.join(runs.shared(min_docs).select(*HASH, "last_doc"), HASH).where(loses)
+    drops = (lines.join(shared, HASH).where(loses)
              .groupBy(F.col("__doc").alias("__drop_doc"), F.col("__th").alias("__drop_th"))
              .agg(F.collect_set("__pos").alias("__drop")))
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))

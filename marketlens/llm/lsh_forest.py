@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm.graph import components
-from marketlens.llm.shared import stored, table
+from marketlens.llm.shared import any_names, stored, table
 from marketlens.llm.words import NONBLANK, U, chunks_of, mixed, runs_of, words_of
 
 SHINGLE = 5
@@ -331,6 +331,7 @@ def _several(entries: DataFrame) -> DataFrame:
     return entries.join(many, "__k0", "left_semi")
 
 
+@any_names
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE,
                     percent: int = PERCENT, trees: int = TREES, depths: tuple[int, ...] = DEPTHS,
                     best_rounds: int = BEST_ROUNDS, window: int = WINDOW) -> DataFrame:
@@ -400,6 +401,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.col("__th").alias("text_hash"))
 
 
+@any_names
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, one for each component; same columns.
 

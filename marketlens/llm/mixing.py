@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.shared import stored, table
+from marketlens.llm.shared import any_names, stored, table
 
 SEED = 17
 MAX_EPOCHS = 3
@@ -57,6 +57,7 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
             .withColumn("__den", F.when(above, F.lit(1)).otherwise(F.lit(share or 1)).cast("long")))
 
 
+@any_names
 def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
         size: Column | None = None, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """How much of every document the mix takes.

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.shared import table
+from marketlens.llm.shared import any_names, table
 from marketlens.llm.words import U, mixed
 
 K = 5
@@ -187,6 +187,7 @@ def _compare(settings: tuple, size: int = 512):
     return body
 
 
+@any_names
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, sketches: int = SKETCHES,
                  pick: int = PICK, ranges: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness.

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +47,25 @@ def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
         F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def any_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let the first argument of ``operator`` have columns whose names begin with two underscores, as the library's own do.
+
+    They pass under other names and get their own back; one named as a
+    column that the operator adds is replaced by it.
+    """
+    @functools.wraps(operator)
+    def called(docs: DataFrame, *args, **options) -> DataFrame:
+        away = {c: f"in_{uuid.uuid4().hex}" for c in docs.columns if c.startswith("__")}
+        if not away:
+            return operator(docs, *args, **options)
+
+        def named(value):
+            return away.get(value, value) if isinstance(value, str) else value
+
+        found = operator(docs.withColumnsRenamed(away), *map(named, args), **{k: named(v) for k, v in options.items()})
+        added = {c.lower() for c in found.columns}
+        found = found.drop(*(new for old, new in away.items() if old.lower() in added))
+        return found.withColumnsRenamed({new: old for old, new in away.items()})
+    return called

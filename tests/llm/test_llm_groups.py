@@ -6,6 +6,7 @@ import re
 
 import pytest
 from conftest import SF, duck_over, prose
+from pyspark.sql import functions as F
 
 from marketlens.llm import chat, line_dedup, lsh_forest, mixing, token_rollup
 from marketlens.llm.graph import components
@@ -109,6 +110,26 @@ def test_line_runs_merge_and_anti_join(spark):
     assert fresh == [3, 1, 1, 1] and [len(level) for level in runs.levels] == [0, 0, 1]
     shared = {(r.n_docs, r.last_doc) for r in runs.shared(2).collect()}
     assert shared == {(4, 6), (2, 5)}
+    runs.add(batch((7, "aaa\nfff\neee")))
+    (run, delta), = runs.levels[0]
+    assert spark.table(run).count() == 1 and {(r.n_docs, r.last_doc) for r in spark.table(delta).collect()} == {(1, 7)}
+    assert {(r.n_docs, r.last_doc) for r in runs.shared(2).collect()} == {(5, 7), (2, 5), (2, 7)}
+    plan = runs._unseen(spark.table(run))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Exchange" not in plan  # runs are merged where they lie
+    runs.forget()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(runs.name)]
+
+
+def test_columns_of_any_name_pass(spark, hard):
+    docs = spark.read.parquet(f"{hard}/documents.parquet").where("doc_id < 30")
+    odd = docs.withColumn("__th", F.col("doc_id")).withColumn("__doc", F.lit("x")).withColumn("__n_lines", F.lit("y"))
+    plain, found = line_dedup.drop_shared_lines(docs), line_dedup.drop_shared_lines(odd)
+    assert set(found.columns) == set(plain.columns) | {"__th", "__doc"}
+    assert sorted(map(str, found.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert found.where("__th = doc_id and __doc = 'x'").count() == docs.count()
+    kept = lsh_forest.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns and kept.count() == lsh_forest.drop_near_duplicates(docs).count()
+    assert mixing.mix(odd, mixing.cycled_weights(docs)).count() == docs.count()
 
 
 def test_shared_lines(spark, hard):
