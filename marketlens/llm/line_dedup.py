@@ -84,7 +84,7 @@ class LineRuns:
     def _rows(self, runs: list[tuple[str, ...]]) -> DataFrame | None:
         # By path: a union of bucketed tables is taken for one bucketed table by some releases, and not grouped anew.
         paths = [self.tables[name] for run in runs for name in run]
-        return self.spark.read.parquet(*paths) if paths else None
+        return self.spark.read.schema(self.spark.table(runs[0][0]).schema).parquet(*paths) if paths else None
 
     def _unseen(self, rows: DataFrame) -> DataFrame:
         """The rows whose hash no run holds: a merge-anti-join with each of them."""
