@@ -1,4 +1,4 @@
-"""Joins on keys of which some hold very many rows."""
+"""How rows are dealt to tasks: many rows of few bytes, and keys of which some hold very many rows."""
 
 from __future__ import annotations
 
@@ -9,6 +9,20 @@ from pyspark.sql import functions as F
 FREQUENT = 500_000
 
 
+def shuffle_partitions(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def deal(rows: DataFrame, *key: str) -> DataFrame:
+    """``rows`` dealt by ``key`` into all shuffle partitions.
+
+    Adaptive execution joins partitions up to a number of shuffled bytes.
+    Where a few bytes a row become a wide row of a hash table, a task's memory
+    would follow from that number; here it is its share of the input.
+    """
+    return rows.repartition(shuffle_partitions(rows), *key)
+
+
 def join_totals(rows: DataFrame, key: list[str], totals: dict[str, Column], frequent: int = FREQUENT) -> DataFrame:
     """``rows`` with the ``totals`` of their key, whatever the number of rows of a key; null is a key.
 

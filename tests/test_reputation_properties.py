@@ -76,3 +76,24 @@ def test_reputation_matches_count_distinct_definition(spark, data):
                 assert g is None and v is None, (s, k, g, v)
             else:
                 assert math.isclose(g, v, rel_tol=1e-12, abs_tol=1e-12), (s, k, g, v)
+
+
+def test_reviews_and_items_meet_as_sums(spark):
+    """An order's reviews and items are dealt by order and reduced before they are joined: no product of their rows."""
+    from pyspark.sql import functions as F
+
+    ref = dt.datetime.combine(REF, dt.time())
+    when = ref - dt.timedelta(days=9)
+    mk = marketplace(spark, orders=[order("o1", "c", when.isoformat(sep=" "))],
+                     items=[item("o1", k, "p", "s1" if k % 3 else None, 1) for k in range(30)],
+                     reviews=[("o1", 1 + k % 5, when) for k in range(20)])
+    rows = R.review_rows(mk, REF)
+    assert rows.count() == 2
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 3
+    found = {r.idSeller: r for r in R.reputation_snapshot(mk, REF).collect()}
+    sums = {r.seller_id: r for r in R.reputation_sums(R.per_order(rows, REF)).collect()}
+    assert {s: (r.n_orders, r.rows_all, r.c5_L, r.n_28) for s, r in sums.items()} == {
+        "s1": (1, 400, 80, 400), None: (1, 200, 40, 200)}
+    assert found["s1"].percNota5Lifetime == 0.2 and found["s1"].reviews28d == 1
+    assert R.per_order(rows, REF).agg(F.sum("n_item_rows")).first()[0] == 400
