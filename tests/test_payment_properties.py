@@ -97,3 +97,9 @@ def test_windows_of_doubles_are_sums_of_their_own_days(spark):
                 assert r[f"avg_vlr_boleto_{w}"] == (float(sum(Decimal(str(v)) for v in own)) / len(own) if own else None)
             else:
                 assert repr(r[f"avg_vlr_boleto_{w}"]) == repr(sum(own) / len(own))
+
+
+def test_the_grid_deals_orders_once(spark, mk_small):
+    """Pairs of seller and order are dealt by order into all partitions, where they become distinct and are joined."""
+    plan = PM.seller_month_grid(PM.seller_orders(mk_small, CUTOFF))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
