@@ -9,12 +9,13 @@ history, which copies each order into every later month of its seller.
 Here every feature is a ratio of sums, so:
 
 1. payments are rolled up per order (one pass over payments);
-2. orders are reduced to exact partial sums per (seller, day);
-3. marker rows are added on each grid month m and on its window starts
-   m - n; one running sum over the seller's day axis gives every window
-   total as a difference of two running sums.
+2. orders are reduced to exact partial sums per (seller, month), parted by
+   the windows of a later month that begin inside it;
+3. a window of month m is made of whole months before m and the part of one
+   month, so a frame over the seller's months with a sale gives its total.
+   Those months are the grid: no row is made for a window.
 
-A window partition holds one seller's *days*, not orders, so its size is
+A window partition holds one seller's *months*, not orders, so its size is
 bounded by the calendar whatever the seller's volume.
 """
 
@@ -33,8 +34,9 @@ from marketlens.sources.marketplace import Marketplace
 METHODS = ("credit_card", "boleto", "voucher", "debit_card")
 ALL_METHODS = (*METHODS, "outros")
 WINDOWS = (("d28", 28), ("d56", 56), ("d365", 365), ("vida", None))
+# So many months before its own a window begins: n days are more than any one month less, and no more than so many.
+MONTHS_BACK = {28: 1, 56: 2, 365: 12}
 TS = "order_purchase_timestamp"
-EPOCH = "1970-01-01"
 
 
 def value_scale(payments: DataFrame) -> int:
@@ -87,17 +89,18 @@ def seller_month_grid(base: DataFrame) -> DataFrame:
     ).distinct().select("seller_id", "month", F.date_format("month", "yyyyMM").alias("ref_month"))
 
 
-def _daily(base: DataFrame) -> DataFrame:
-    vlr_total = sum((F.col(f"vlr_{m}") for m in ALL_METHODS[1:]), F.col(f"vlr_{ALL_METHODS[0]}"))
-    qtd_total = sum((F.col(f"qtde_{m}") for m in ALL_METHODS[1:]), F.col(f"qtde_{ALL_METHODS[0]}"))
+def _parts(base: DataFrame) -> DataFrame:
+    """Sums by (seller, month) and, for each window length n, whether a day is in the window that begins in its month.
+
+    That window is the one of ``MONTHS_BACK[n]`` months later.
+    """
     aggs = [F.count(f"vlr_{METHODS[0]}").alias("n_paid")]
-    aggs += [F.sum(f"vlr_{m}").alias(f"vlr_{m}") for m in ALL_METHODS]
-    aggs += [F.sum(f"qtde_{m}").alias(f"qtde_{m}") for m in ALL_METHODS]
-    aggs += [F.sum(c).alias(c) for c in base.columns if c.startswith(("up_", "down_"))]
-    aggs += [F.sum(vlr_total).alias("vlr_total"), F.sum(qtd_total).alias("qtde_total"),
-             F.sum("max_payment_installments").alias("inst_sum"),
-             F.count("max_payment_installments").alias("inst_cnt")]
-    return base.groupBy("seller_id", F.to_date(TS).alias("day")).agg(*aggs)
+    aggs += [F.sum(c).alias(c) for c in base.columns if c.startswith(("vlr_", "qtde_", "up_", "down_"))]
+    aggs += [F.sum("max_payment_installments").alias("inst_sum"), F.count("max_payment_installments").alias("inst_cnt")]
+    day = F.to_date(TS)
+    month = F.trunc(day, "month").cast("date")
+    late = [(day >= F.date_sub(F.add_months(month, back), n)).alias(f"in_{n}") for n, back in MONTHS_BACK.items()]
+    return base.groupBy("seller_id", month.alias("month"), *late).agg(*aggs)
 
 
 MEASURES = (["n_paid", "vlr_total", "qtde_total", "inst_sum", "inst_cnt"]
@@ -107,35 +110,35 @@ MEASURES = (["n_paid", "vlr_total", "qtde_total", "inst_sum", "inst_cnt"]
 def windowed_totals(base: DataFrame) -> DataFrame:
     """Per (seller, month m): each measure summed over [m - n days, m) and over all days before m.
 
-    One running sum per seller over its day axis (``rangeBetween(unbounded, -1)``,
-    an incremental frame) evaluated at marker rows placed on day m and on the
-    window starts m - n; a window total is ``run(m) - run(m - n)``.  Sliding
-    RANGE frames would re-aggregate the whole frame for every row.  Empty
-    windows give 0 here and their counts are 0 too, so every feature -- a
-    ratio over a count or a total -- is NULL exactly as with a NULL sum.
+    A window's total is the sum of the whole months between its first and m,
+    and of the part of its first month that it holds.  Frames of months hold
+    12 rows at most, the lifetime's grows by a row.  Empty windows give 0 here
+    and their counts are 0 too, so every feature -- a ratio over a count or a
+    total -- is NULL exactly as with a NULL sum.  The rows come in ranges of
+    sellers, each in order.
     """
-    daily = _daily(base)
-    measures = [c for c in daily.columns if c not in ("seller_id", "day")]
-    daily = daily.withColumn("month", F.lit(None).cast("date")).withColumn("kind", F.lit(None).cast("string"))
-    grid = seller_month_grid(daily.withColumnRenamed("day", TS))
-    starts = [("m", F.col("month"))] + [(name, F.date_sub("month", days)) for name, days in WINDOWS if days]
-    markers = grid.select("seller_id", "month", F.inline(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), day.alias("day")) for kind, day in starts])))
-    markers = markers.select("seller_id", "day", *[F.lit(None).alias(m) for m in measures], "month", "kind")
-    rows = daily.unionByName(markers).withColumn("dayno", F.datediff("day", F.lit(EPOCH)))
-    per_seller = Window.partitionBy("seller_id").orderBy("dayno")
-    before = per_seller.rangeBetween(Window.unboundedPreceding, -1)
-    run = rows.select("seller_id", "month", "kind",
-                      *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures]).where("kind IS NOT NULL")
-    aggs = []
-    for name, days in WINDOWS:
-        for m in measures:
-            at_m = F.max(F.when(F.col("kind") == "m", F.col(m)))
-            total = at_m if days is None else at_m - F.max(F.when(F.col("kind") == name, F.col(m)))
-            aggs.append(total.alias(f"{m}__{name}"))
-    out = run.groupBy("seller_id", "month").agg(*aggs)
-    return out.select("seller_id", F.date_format("month", "yyyyMM").alias("ref_month"),
-                      *[f"{m}__{name}" for name, _ in WINDOWS for m in measures])
+    parts = _parts(base)
+    measures = [c for c in parts.columns if c not in ("seller_id", "month") and not c.startswith("in_")]
+    parts = parts.repartitionByRange("seller_id")
+    sums = [F.sum(m).alias(m) for m in measures]
+    sums += [F.sum(F.when(F.col(f"in_{n}"), F.col(m))).alias(f"{m}_in_{n}") for n in MONTHS_BACK for m in measures]
+    months = parts.groupBy("seller_id", "month").agg(*sums).withColumn("number", F.year("month") * 12 + F.month("month"))
+    line = Window.partitionBy("seller_id").orderBy("number")
+
+    def over(m: str, first: int, last: int) -> Column:
+        return F.coalesce(F.sum(m).over(line.rangeBetween(first, last)), F.lit(0))
+
+    def total(m: str, days: int | None) -> Column:
+        if days is None:
+            return over(m, Window.unboundedPreceding, -1)
+        back = MONTHS_BACK[days]
+        first = over(f"{m}_in_{days}", -back, -back)
+        return first if back == 1 else first + over(m, 1 - back, -1)
+
+    out = months.select("seller_id", F.date_format("month", "yyyyMM").alias("ref_month"),
+                        *[total(m, days).alias(f"{m}__{name}") for name, days in WINDOWS for m in measures])
+    of_methods = lambda stem, w: sum((_c(f"{stem}_{m}", w) for m in ALL_METHODS[1:]), _c(f"{stem}_{ALL_METHODS[0]}", w))
+    return out.withColumns({f"{stem}_total__{w}": of_methods(stem, w) for w, _ in WINDOWS for stem in ("vlr", "qtde")})
 
 
 def _c(m: str, w: str) -> Column:

@@ -79,16 +79,18 @@ def latest(spark: SparkSession, path: str) -> dict | None:
     return _record(folder, versions[-1]) if versions else None
 
 
-def publish(df: DataFrame, path: str, column: str | None, order: list[str] = (), notes: dict | None = None) -> int:
+def publish(df: DataFrame, path: str, column: str | None, order: list[str] = (), notes: dict | None = None,
+            ranged: bool = False) -> int:
     """Replace the snapshots in ``df``, values of ``column``, and return the new version; without a column the whole table.
 
-    Files hold ranges of (``column``, ``order``), sorted.  ``notes`` are kept in the record on top of earlier ones.
+    Files hold ranges of (``column``, ``order``), sorted.  The rows of a frame that is ``ranged`` are dealt so already
+    and only sorted.  ``notes`` are kept in the record on top of earlier ones.
     """
     spark = df.sparkSession
     folder, name = _Folder(spark, path), f"{DATA}/{uuid.uuid4().hex}"
     keys = [F.col(c) for c in ([column] if column else []) + list(order)]
     if keys:
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        df = (df if ranged else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     writer = df.write.partitionBy(column) if column else df.write
     writer.parquet(f"{folder.path}/{name}")
     new = {x: name for x in folder.names(name) if "=" in x} if column else {WHOLE: name}

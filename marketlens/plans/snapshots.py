@@ -42,13 +42,15 @@ class Group:
     """A feature group: its builder for many dates, and the column that names a snapshot.
 
     ``label`` turns a reference date into a value of that column; ``whole``
-    says that one build has all snapshots up to the last date.
+    says that one build has all snapshots up to the last date, ``ranged`` that
+    its rows come dealt in ranges of the seller.
     """
 
     build: MultiBuilder
     column: str = REF
     label: Callable[[DateLike], object] = lambda d: snapshot_dates(d)[0]
     whole: bool = False
+    ranged: bool = False
 
 
 def _one_a_month(build: MultiBuilder) -> MultiBuilder:
@@ -68,7 +70,7 @@ GROUPS: dict[str, Group] = {
     "delivery": Group(lambda mk, refs: delivery.delivery_snapshot(mk, refs, with_ref=True)),
     "geo": Group(lambda mk, refs: geo.geo_snapshot(mk, refs, with_ref=True)),
     "payments": Group(lambda mk, refs: payments.payments_snapshot(mk, max(refs)), "ref_month",
-                      lambda d: snapshot_dates(d)[0].strftime("%Y%m"), whole=True),
+                      lambda d: snapshot_dates(d)[0].strftime("%Y%m"), whole=True, ranged=True),
 }
 
 
@@ -101,12 +103,12 @@ def replace_snapshots(df: DataFrame, path: str | None = None, table: str | None
         raise ValueError("path or table is required")
 
 
-def overwrite_table(df: DataFrame, path: str | None = None, table: str | None = None) -> None:
+def overwrite_table(df: DataFrame, path: str | None = None, table: str | None = None, ranged: bool = False) -> None:
     """Full overwrite (S13), for tables holding every snapshot at once such as the payment mix."""
     if table:
         df.write.mode("overwrite").format("parquet").saveAsTable(table)
     elif path:
-        publish(df, path, None, _order(df))
+        publish(df, path, None, _order(df), ranged=ranged)
     else:
         raise ValueError("path or table is required")
 
@@ -148,7 +150,7 @@ def write_group(group: str, mk: Marketplace, dates: Iterable[DateLike], path: st
     with scratch_of(mk.orders.sparkSession):  # what the build writes on its way goes when the snapshots are written
         df = g.build(mk, list(snapshot_dates(list(dates))))
         if g.whole:
-            overwrite_table(df, path=path, table=table)
+            overwrite_table(df, path=path, table=table, ranged=g.ranged)
         else:
             replace_snapshots(df, path=path, table=table, partition_col=g.column, notes=notes)
 

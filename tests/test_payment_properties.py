@@ -99,6 +99,23 @@ def test_windows_of_doubles_are_sums_of_their_own_days(spark):
                 assert repr(r[f"avg_vlr_boleto_{w}"]) == repr(sum(own) / len(own))
 
 
+def test_windows_make_no_row_for_a_marker(spark):
+    """Month starts in and out of leap years: windows begin inside a month, and the only rows are months with a sale."""
+    days = [dt.date(2016, 1, 1) + dt.timedelta(days=k) for k in range(0, 900, 1)]
+    mk = marketplace(spark, orders=[order(f"o{k}", "c", f"{d} 13:00:00") for k, d in enumerate(days)],
+                     items=[item(f"o{k}", 1, "p", "s1", 1) for k in range(len(days))],
+                     payments=[(f"o{k}", "boleto", 1, money(k)) for k in range(len(days))])
+    base = PM.seller_orders(mk, CUTOFF)
+    found = PM.windowed_totals(base)
+    for r in found.collect():
+        month = dt.datetime.strptime(r.ref_month, "%Y%m").date()
+        for w, back in (("d28", 28), ("d56", 56), ("d365", 365), ("vida", 10**4)):
+            own = [k for k, d in enumerate(days) if month - dt.timedelta(days=back) <= d < month]
+            assert (r[f"n_paid__{w}"], r[f"vlr_total__{w}"]) == (len(own), 100 * sum(own)), (month, w)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "Generate" not in plan
+
+
 def test_the_grid_deals_orders_once(spark, mk_small):
     """Pairs of seller and order are dealt by order into all partitions, where they become distinct and are joined."""
     plan = PM.seller_month_grid(PM.seller_orders(mk_small, CUTOFF))._jdf.queryExecution().executedPlan().toString()
