@@ -96,4 +96,4 @@ def test_reviews_and_items_meet_as_sums(spark):
     assert {s: (r.n_orders, r.rows_all, r.c5_L, r.n_28) for s, r in sums.items()} == {
         "s1": (1, 400, 80, 400), None: (1, 200, 40, 200)}
     assert found["s1"].percNota5Lifetime == 0.2 and found["s1"].reviews28d == 1
-    assert R.per_order(rows, REF).agg(F.sum("n_item_rows")).first()[0] == 400
+    assert R.per_order(rows, REF).agg(F.sum("n_item_rows")).first()[0] == 600
