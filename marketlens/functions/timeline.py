@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.dates import DateLike, literal_array, snapshot_dates
 from marketlens.functions.horizons import REF, Horizon
+from marketlens.functions.skew import deal
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,15 @@ class Spine:
             return F.lit(self.dates[0])
         return F.element_at(self.all(), (number + 1).cast("int"))
 
+    def running(self, changes: DataFrame, key: Sequence[str], number: str, sums: Sequence[str]) -> DataFrame:
+        """(dtRef, ``key``, ``sums``): running sums of changes by key and number, at every date from a key's first change on."""
+        line = Window.partitionBy(*key).orderBy(number)
+        until = F.coalesce(F.lead(number).over(line), F.lit(len(self.dates)))
+        states = changes.select(*key, F.col(number).alias("__number"), until.alias("__until"),
+                                *[F.sum(c).over(line).alias(c) for c in sums])
+        found = states.withColumn("__number", F.explode(F.sequence("__number", F.col("__until") - 1)))
+        return found.select(self.date(F.col("__number")).alias(REF), *key, *sums)
+
 
 def sum_name(measure: str, h: Horizon) -> str:
     return f"{measure}_{h.name}"
@@ -63,14 +73,15 @@ def sum_name(measure: str, h: Horizon) -> str:
 
 def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | Mapping[str, Sequence[Horizon]],
                horizons: Sequence[Horizon], refs: DateLike | Iterable[DateLike], day: str = "day",
-               after: str | None = None, days_before: Sequence[Horizon] | None = None, dealt: bool = False) -> DataFrame:
+               after: str | None = None, days_before: Sequence[Horizon] | None = None, by: Sequence[str] | None = None) -> DataFrame:
     """(dtRef, ``key``, ``measure_horizon``...): sums of whole-number measures at every date after a key's first fact.
 
     ``day`` is the fact's day: horizon h of date r holds days >= r - h.
     ``after`` is the last day on which the fact does not count yet (default:
     ``day``, so a fact counts from the next day on).  Null measures add
     nothing; a sum without facts is 0.  A mapping gives a measure horizons of
-    its own.
+    its own.  ``by``: columns of the key that the daily sums are dealt by, so
+    that an aggregate by these needs no other exchange.
     """
     spine, key = Spine.of(refs), list(key)
     wanted = dict(measures) if isinstance(measures, Mapping) else {m: horizons for m in measures}
@@ -87,15 +98,15 @@ def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | M
         if ends:
             sums += [F.min(day).alias("first"), F.max(day).alias("last")]
             sums += [F.max(F.when(F.col(day) < F.date_sub(ref, h.days), F.col(day))).alias(f"before_{h.name}") for h in edges]
-        return facts.groupBy(*key).agg(*sums).select(ref.alias(REF), *key, *names, *ends)
+        found = facts.groupBy(*key).agg(*sums)
+        return (deal(found, *by) if by else found).select(ref.alias(REF), *key, *names, *ends)
     days = [day] if after == day else [day, after]
     if not ends:  # older days are alike at every date
         oldest = F.date_sub(F.lit(spine.dates[0]), max((h.days for own in wanted.values() for h in own if not h.lifetime), default=0) + 1)
         facts = facts.withColumns({c: F.greatest(F.col(c), oldest) for c in days})
     daily = facts.groupBy(*key, *days).agg(*[F.sum(value(m)).cast("long").alias(m) for m in wanted])
     lengths = sorted({h.days for own in (*wanted.values(), edges) for h in own if not h.lifetime})
-    if not dealt:  # into all partitions: a few bytes here are rows for many dates above
-        daily = daily.repartition(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    daily = deal(daily, *(by or key))  # into all partitions: a few bytes here are rows for many dates above
     # Numbers of the date at which a fact comes, and of those at which it goes from the horizons of each length.  It
     # never counts in horizons that it leaves before a date has seen it: those shorter than ``__least``.
     numbered = daily.select(*key, *wanted, *([day] if ends else []), spine.first_after(F.col(after)).cast("int").alias("__come"),

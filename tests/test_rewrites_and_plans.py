@@ -341,6 +341,34 @@ def test_a_product_of_every_seller_is_spread(spark, mk_small):
         assert some == want and every == want
 
 
+def test_rivals_of_pairs_sold_on_several_days(spark):
+    """Distinct products and rivals equal brute force, and no pair of seller and product is copied for a date."""
+    import random
+
+    r, start = random.Random(8), dt.date(2020, 1, 1)
+    days = sorted({(r.choice("abc"), r.choice("pqrs"), start + dt.timedelta(r.randrange(900))) for _ in range(60)})
+    for dates in ([start + dt.timedelta(600)], sorted({start + dt.timedelta(r.randrange(300, 950)) for _ in range(12)})):
+        sold = defaultdict(list)
+        for s, p, day in days:
+            if day < dates[-1]:
+                sold[s, p].append(max(day, dates[0] - dt.timedelta(366)))
+        rows = [(s, p, d, 1, int(i == 0), x[i - 1] if i else None, x[i + 1] if i + 1 < len(x) else None)
+                for (s, p), found in sold.items() for x in [sorted(set(found))] for i, d in enumerate(x)]
+        sales = spark.createDataFrame(rows, "seller_id string, product_id string, day date, items int, new int, last_day date, next_day date")
+        want = {}
+        for ref in dates:
+            seen = lambda s, p, h: any(d < ref and (h.lifetime or d >= ref - dt.timedelta(h.days)) for d in sold.get((s, p), ()))
+            for s in {s for s, p in sold if seen(s, p, P.HORIZONS[-1])}:
+                mine = [p for t, p in sold if t == s and seen(s, p, P.HORIZONS[-1])]
+                want[ref, s] = [sum(seen(s, p, h) for p in mine) for h in P.HORIZONS] + [
+                    sum(seen(t, p, h) for p in mine for t in "abc" if t != s) for h in P.HORIZONS]
+        for frequent in (10**9, 20):
+            df = P.product_rivals(sales, dates, frequent)
+            assert {(x.dtRef, x.seller_id): list(x)[2:] for x in df.collect()} == want
+        windows = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in x]
+        assert windows and not any("dtRef" in x and "product_id" in x for x in windows)
+
+
 def test_dates_are_attached_below_no_fact_exchange(spark, mk_small):
     """The reference dates are generated after the roll-up to (seller, order), not on items or reviews."""
     dates = [dt.date(1999, 12, 1), dt.date(2000, 1, 1)]
