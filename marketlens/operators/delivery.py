@@ -55,7 +55,8 @@ def delivery_histogram(mk: Marketplace, refs: DateLike | list[DateLike], inclusi
     """By (dtRef, seller, diff_days): items and money of each horizon, and lifetime sums of the durations."""
     measures = {m: HORIZONS for m in ("items", "price", "freight", "freight_n")}
     measures |= {m: (LIFETIME,) for name in DURATIONS for m in (name, f"{name}_n")}
-    return dated_sums(shipped_items(mk, refs, inclusive), ["seller_id", "diff_days"], measures, HORIZONS, refs, after="after")
+    return dated_sums(shipped_items(mk, refs, inclusive), ["seller_id", "diff_days"], measures, HORIZONS, refs, after="after",
+                      by=["seller_id"])
 
 
 def _sum(measure: str, h: Horizon = LIFETIME) -> Column:

@@ -170,23 +170,24 @@ FACTS = ("items", "payments", "reviews")
 def day_digests(mk: Marketplace) -> DataFrame:
     """(relation, day, rows, digest): one row a fact relation and purchase day, one a dimension (null day).
 
-    Facts count on the purchase day of their order.  The digest is a sum of
-    row hashes, so the order of rows does not matter and repeated rows do.
+    Facts count on the purchase day of their order; a row is its hash when it
+    meets the order.  The digest is a sum of row hashes, so the order of rows
+    does not matter and repeated rows do.
     """
-    def digest(rows: DataFrame, relation: str, day: Column, cols: list[str]) -> DataFrame:
-        hashed = F.xxhash64(*cols).cast("decimal(38,0)")
-        found = rows.select(day.alias("day"), hashed.alias("h")).groupBy("day").agg(
+    def digest(rows: DataFrame, relation: str, day: Column, hashed: Column) -> DataFrame:
+        found = rows.select(day.alias("day"), hashed.cast("decimal(38,0)").alias("h")).groupBy("day").agg(
             F.count(F.lit(1)).alias("rows"), F.sum("h").cast("string").alias("digest"))
         return found.select(F.lit(relation).alias("relation"), "day", "rows", "digest")
 
     ts = "order_purchase_timestamp"
     days = mk.orders.select(F.col("order_id").alias("__order"), F.to_date(ts).alias("__day"))
-    parts = [digest(mk.orders, "orders", F.to_date(ts), mk.orders.columns)]
+    hashed = lambda rows: F.xxhash64(*rows.columns)
+    parts = [digest(mk.orders, "orders", F.to_date(ts), hashed(mk.orders))]
     for name in FACTS:
         rows = getattr(mk, name)
-        joined = rows.join(days, F.col("order_id") == F.col("__order"))
-        parts.append(digest(joined, name, F.col("__day"), rows.columns))
-    parts += [digest(getattr(mk, name), name, F.lit(None).cast("date"), getattr(mk, name).columns) for name in DIMENSIONS]
+        narrow = rows.select("order_id", hashed(rows).alias("__hash"))
+        parts.append(digest(narrow.join(days, F.col("order_id") == F.col("__order")), name, F.col("__day"), F.col("__hash")))
+    parts += [digest(getattr(mk, name), name, F.lit(None).cast("date"), hashed(getattr(mk, name))) for name in DIMENSIONS]
     return reduce(DataFrame.unionByName, parts)
 
 

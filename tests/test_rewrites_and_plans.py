@@ -369,6 +369,17 @@ def test_rivals_of_pairs_sold_on_several_days(spark):
         assert windows and not any("dtRef" in x and "product_id" in x for x in windows)
 
 
+def test_facts_meet_their_order_as_hashes(spark, mk_small):
+    """The digests of the facts are those of whole rows, but only hashes are joined with the orders."""
+    found = S.day_digests(mk_small)
+    lines = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("xxhash64" in above and "Join Inner" in below for above, below in zip(lines, lines[1:]))
+    rows = mk_small.reviews
+    joined = rows.join(mk_small.orders.select("order_id", F.to_date("order_purchase_timestamp").alias("day")), "order_id")
+    want = joined.groupBy("day").agg(F.count(F.lit(1)), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).cast("string"))
+    assert set(map(tuple, found.where("relation = 'reviews'").drop("relation").collect())) == set(map(tuple, want.collect()))
+
+
 def test_dates_are_attached_below_no_fact_exchange(spark, mk_small):
     """The reference dates are generated after the roll-up to (seller, order), not on items or reviews."""
     dates = [dt.date(1999, 12, 1), dt.date(2000, 1, 1)]
