@@ -205,15 +205,16 @@ def _confirm(k: int, percent: int):
 
 
 def _frequencies(k: int):
-    """(bucket, count): in how many sets the shingles of a bucket occur, as far as one task sees."""
+    """(bucket, count): in how many sets the shingles of a bucket occur, as far as one task sees; a text counts by its weight."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKETS, np.int64)
         for batch in batches:
-            for _, _, data, offsets in chunks_of(batch.column(2)):
+            weights = batch.column(0).to_numpy()
+            for first, _, data, offsets in chunks_of(batch.column(1)):
                 w = words_of(data, offsets, NONBLANK)
                 for t in range(len(offsets) - 1):
                     s = shingle_set(w.hash[w.first[t]:w.first[t + 1]], k)
-                    np.add.at(total, (s >> U(64 - BUCKETS)).astype(np.int64), 1)
+                    np.add.at(total, (s >> U(64 - BUCKETS)).astype(np.int64), weights[first + t])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
     return run
@@ -248,8 +249,18 @@ def _rarest(k: int, percent: int, frequency):
     return run
 
 
-def _joined(crowd: DataFrame, k: int, percent: int, cell: int = CELL) -> DataFrame:
-    """(a, b): every pair of (class, component, text) of different components that can be alike enough.
+def _speakers(crowd: DataFrame) -> DataFrame:
+    """(class, weight): about the square root of each component's (class, component) rows, and for how many each stands."""
+    held = crowd.groupBy("__comp").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("__weight"), F.min("__cid").alias("__least"))
+    return crowd.join(held, "__comp").where("__cid = __least or pmod(xxhash64(__cid), __weight) = 0").select("__cid", "__weight")
+
+
+def _joined(crowd: DataFrame, texts: DataFrame, k: int, percent: int, cell: int = CELL) -> DataFrame:
+    """(a, b): every pair of (class, component) of different components whose texts can be alike enough.
+
+    Any order of the shingles lists every pair; the rarer the first ones are,
+    the fewer others.  So the order is counted on the speakers of components,
+    whose classes are alike, while every class is joined.
 
     Of each shingle's rows, the component with the most of them is joined with
     the others only, so rows of one component meet no oftener than rows of
@@ -257,9 +268,11 @@ def _joined(crowd: DataFrame, k: int, percent: int, cell: int = CELL) -> DataFra
     """
     spark = crowd.sparkSession
     counts = np.zeros(1 << BUCKETS, np.int64)
-    seen = crowd.mapInArrow(_frequencies(k), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    spoken = stored(_speakers(crowd).join(texts, "__cid").select("__weight", "__text"), "speakers")
+    seen = spoken.mapInArrow(_frequencies(k), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts[seen["bucket"].to_numpy()] = seen["n"].to_numpy()
     frequency = spark.sparkContext.broadcast(counts)
+    crowd = crowd.join(texts, "__cid").select("__cid", "__comp", "__text")
     rows = stored(crowd.mapInArrow(_rarest(k, percent, frequency), "s long, i long, cid long, comp long, n long, short boolean"), "rarest")
     frequency.destroy()
     held = rows.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("all"), F.count_if("short").alias("few"))
@@ -320,8 +333,7 @@ def _rest(entries: DataFrame, parts: DataFrame, texts: DataFrame, tested: DataFr
         _neighbours(depths, percent, window, least), "a long, b long, v double").select("a", "b").distinct()
     crowd = stored(entries.join(large, "__k0", "left_semi").select("__cid", "__comp").distinct(), "crowded")
     if not crowd.isEmpty():
-        crowd = crowd.join(texts, "__cid").select("__cid", "__comp", "__text")
-        found = found.unionByName(_joined(crowd, k, percent)).distinct()
+        found = found.unionByName(_joined(crowd, texts, k, percent)).distinct()
     return found.join(tested, ["a", "b"], "left_anti")
 
 

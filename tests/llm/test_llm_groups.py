@@ -87,6 +87,40 @@ def test_threshold_pairs_whose_signatures_agree_less(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 2 for i in range(1000)}
 
 
+def test_common_shingles_are_counted_on_some_of_a_component(spark, monkeypatch):
+    """Four times the near copies of one component make no four times the counts; every pair is still listed."""
+    real, made = lsh_forest._frequencies, []
+
+    def counted(k):
+        total, run = spark.sparkContext.accumulator(0), real(k)
+        made.append(total)
+
+        def rows(batches):
+            for batch in run(batches):
+                total.add(batch.num_rows)
+                yield batch
+        return rows
+
+    monkeypatch.setattr(lsh_forest, "_frequencies", counted)
+    r = random.Random(5)
+    base = [f"b{j}" for j in range(100)]
+    for copies in (300, 1200):
+        rows = []
+        for i in range(copies + 60):  # the last are alone in their components, every other one alike to the base
+            words = list(base)
+            for j in r.sample(range(100), 5 if i < copies or i % 2 else 30):
+                words[j] = f"x{i}y{j}"
+            rows.append((i, 0 if i < copies else i, " ".join(words)))
+        crowd = spark.createDataFrame(rows, "__cid long, __comp long, __text string").repartition(4).cache()
+        found = {(x.a, x.b) for x in lsh_forest._joined(
+            crowd.select("__cid", "__comp"), crowd.select("__cid", "__text"), 1, 80).collect()}
+        sets = [set(text.split()) for _, _, text in rows]
+        assert {(a, b) for b in range(copies, copies + 60) for a in range(b)
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} <= found
+        crowd.unpersist()
+    assert 0 < made[1].value < 2.5 * made[0].value
+
+
 def test_components_of_paths_and_stars(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (900, 901), (901, 900)]
