@@ -9,7 +9,10 @@ from marketlens.llm.shared import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges (u, v) with u > v; hubs of any size: a partial minimum and a join that splits skew."""
+    """One star step on edges (u, v) with u > v; hubs of any size: a partial minimum and a join that splits skew.
+
+    An edge may come out of a large star more than once, but no oftener than it has edges.
+    """
     if large:  # all neighbours, the larger ones move to the minimum
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:  # smaller neighbours only
@@ -17,11 +20,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     joined = both.join(least, "u")
     if large:
-        moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v")))
-    return moved.where(F.col("u") != F.col("v")).distinct()
+        return joined.where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    ends = F.explode(F.array("u", "v"))
+    return joined.select(ends.alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -55,6 +55,7 @@ BUCKETS = 20  # bits of a shingle's hash by which its frequency is counted
 CELL = 1000
 MOST = 2  # candidates of a class in one tree and round, beyond the first rounds
 BLOCK = 1 << 14
+FEW = 100  # a round that finds less than one in so many of all links is the last before the exact step
 U32 = np.uint32
 
 
@@ -299,14 +300,13 @@ def _joined(crowd: DataFrame, texts: DataFrame, k: int, percent: int, cell: int
     return found.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
 
 
-def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None, depths: int, percent: int, turn: int,
+def _candidates(entries: DataFrame, tested: DataFrame | None, depths: int, percent: int, turn: int,
                 best_rounds: int, window: int) -> DataFrame:
     """(a, b): untested pairs of classes in different components, near each other in some tree."""
     wide = turn >= best_rounds
-    rows = entries.join(parts, "__cid") if wide else entries
     keys = [f"__k{d}" for d in range(depths)]
     order = [*keys, F.xxhash64(F.lit(turn), "__cid"), "__cid"]
-    rows = rows.select("__cid", "__n", "__comp", *keys, *["__parts"] * wide).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = entries.select("__cid", "__n", "__comp", *keys, *["__parts"] * wide).repartitionByRange(*order).sortWithinPartitions(*order)
     least = max(0.0, percent / 100 - SLACK) if wide else None
     found = rows.mapInArrow(_neighbours(depths, percent, window if turn > best_rounds else 1, least, MOST if wide else None),
                             "a long, b long, v double")
@@ -320,13 +320,13 @@ def _candidates(entries: DataFrame, parts: DataFrame, tested: DataFrame | None,
     return best.select("m.a", "m.b").distinct()
 
 
-def _rest(entries: DataFrame, parts: DataFrame, texts: DataFrame, tested: DataFrame, depths: int, k: int, percent: int,
+def _rest(entries: DataFrame, texts: DataFrame, tested: DataFrame, depths: int, k: int, percent: int,
           signed: int, window: int) -> DataFrame:
     """(a, b): all untested pairs of the remaining regions that can be alike enough."""
     held = entries.groupBy("__k0").agg(F.count(F.lit(1)).alias("held"))
     small, large = (held.where(w).select("__k0") for w in (f"held <= {window + 1}", f"held > {window + 1}"))
     keys = [f"__k{d}" for d in range(depths)]
-    rows = entries.join(small, "__k0", "left_semi").join(parts, "__cid").select("__cid", "__n", "__comp", *keys, "__parts")
+    rows = entries.join(small, "__k0", "left_semi").select("__cid", "__n", "__comp", *keys, "__parts")
     share = percent / 100
     least = max(0.0, share - SURE * (share * (1 - share) / signed) ** 0.5)
     found = rows.repartition("__k0").sortWithinPartitions("__k0").mapInArrow(
@@ -377,17 +377,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     entries = classes.select("__cid", "__n", F.col("__cid").alias("__comp"), F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.struct(*[F.get("__keys", t * width + d).alias(f"__k{d}") for d in range(width)]))).alias("e"))
-    entries = stored(_several(entries.select("__cid", "__n", "__comp", "e.*")), "entries-0")
+    entries = _several(entries.select("__cid", "__n", "__comp", "e.*"))
+    # From the first wide round on the entries carry the parts, so that no round joins them anew.
+    entries = stored(entries if best_rounds else entries.join(parts, "__cid"), "entries-0")
     comps, tested, turn = classes.select("__cid", F.col("__cid").alias("__comp")), None, 0
-    last = False
+    last, united = False, 0
     while True:
-        pairs = (_rest(entries, parts, texts, tested, width, k, percent, trees * depths[-1], window) if last else
-                 _candidates(entries, parts, tested, width, percent, turn, best_rounds, window))
+        pairs = (_rest(entries, texts, tested, width, k, percent, trees * depths[-1], window) if last else
+                 _candidates(entries, tested, width, percent, turn, best_rounds, window))
         left, right = texts.toDF("a", "__text_a"), texts.toDF("b", "__text_b")
         checked = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "__text_a", "__text_b")
                          .mapInArrow(_confirm(k, percent), "a long, b long, linked boolean"), f"checked-{turn}")
         links = checked.where("linked").count()
-        turn += 1
+        turn, united = turn + 1, united + links
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
         if links:
             edges = (checked.where("linked").join(comps.toDF("a", "u"), "a").join(comps.toDF("b", "v"), "b").select("u", "v"))
@@ -395,11 +397,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             moved = lambda df: df.join(roots, "__comp", "left").withColumn(
                 "__comp", F.coalesce("__root", "__comp")).drop("__root")
             comps = stored(moved(comps).select("__cid", "__comp"), f"comps-{turn}")
-            if not last:
-                entries = stored(_several(moved(entries)), f"entries-{turn}")
+            entries = entries if last else _several(moved(entries))
+        if turn == best_rounds:
+            entries = entries.join(parts, "__cid")
+        if not last and (links or turn == best_rounds):
+            entries = stored(entries, f"entries-{turn}")
         if last:
             break
-        last = turn > best_rounds + 1 and not links
+        last = turn > best_rounds + 1 and FEW * links <= united
 
     first = nodes.groupBy("__cid").agg(F.min("__doc").alias("__first")).join(comps, "__cid", "left").withColumn(
         "__comp", F.coalesce("__comp", "__cid"))
@@ -421,17 +426,20 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     a kept id, the one whose text has the smallest hash stays.
     """
     found = near_duplicates(docs, doc_id, text, **settings).where("kept")
-    named = found.where(F.col(doc_id).isNotNull() & (F.col("n_shingles") > 0)).groupBy(F.col(doc_id).alias("__keep")).agg(
+    alone = F.col(doc_id).isNull() | (F.col("n_shingles") == 0)
+    named = found.groupBy(F.col(doc_id).alias("__keep"), F.when(alone, F.col("text_hash")).alias("__alone")).agg(
         F.min("text_hash").alias("__keep_th"), F.count(F.lit(1)).alias("__n"))
     named = stored(named, "kept")
-    repeated = not named.where("__n > 1").isEmpty()
+    repeated = not named.where("__n > 1 and __alone is null").isEmpty()
+    # Rows that stay anyway are named too: one pass over the texts.
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.withColumn("__th", F.xxhash64(whole))
-    wordless = F.col(doc_id).isNull() | (F.length(F.btrim(whole, F.lit(" \t\n\x0b\x0c\r"))) == 0)
-    kept = rows.join(named.hint("shuffle_hash"), (F.col(doc_id) == F.col("__keep")) & (F.col("__th") == F.col("__keep_th")), "left_semi")
+    kept = rows.join(named.hint("shuffle_hash"), F.col(doc_id).cast("long").eqNullSafe(F.col("__keep"))
+                     & (F.col("__th") == F.col("__keep_th")), "left_semi")
     if repeated:
-        kept = kept.dropDuplicates([doc_id, "__th"])
-    return kept.unionByName(rows.where(wordless)).select(*docs.columns)
+        wordless = F.col(doc_id).isNull() | (F.length(F.btrim(whole, F.lit(" \t\n\x0b\x0c\r"))) == 0)
+        kept = kept.where(~wordless).dropDuplicates([doc_id, "__th"]).unionByName(kept.where(wordless))
+    return kept.select(*docs.columns)
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from conftest import SF, duck_over, prose
 from pyspark.sql import functions as F
 
 from marketlens.llm import chat, line_dedup, lsh_forest, mixing, token_rollup
-from marketlens.llm.graph import components
+from marketlens.llm.graph import _star, components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -62,6 +62,44 @@ def test_one_row_of_each_component_stays(spark, hard):
     assert ids.count(1) == 1 and not {2, 3, 8} & set(ids) and {4, 5, 6} <= set(ids) and ids.count(None) == 3
 
 
+def test_kept_rows_are_found_in_one_pass_over_the_texts(spark, hard):
+    """The texts are read once to choose rows, those without words or id among them; repeats of those stay too."""
+    docs = spark.read.parquet(f"{hard}/documents.parquet")
+    kept = lsh_forest.drop_near_duplicates(docs.where("doc_id <> 2"))
+    assert kept._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2  # the texts, and what is named
+    rows = [(1, "a b c"), (1, "a b c"), (1, "d e f"), (2, None), (2, ""), (2, " "), (2, ""), (2, "x y z"), (3, "x y z"),
+            (None, "a b c"), (None, "a b c"), (None, None)]
+    found = lsh_forest.drop_near_duplicates(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    count = lambda i, t: sum(r.doc_id == i and r.text == t for r in found)
+    assert [count(2, None), count(2, ""), count(2, " "), count(2, "x y z"), count(3, "x y z")] == [1, 2, 1, 1, 0]
+    assert [count(None, "a b c"), count(None, None), count(1, "a b c") + count(1, "d e f")] == [2, 1, 1] and len(found) == 9
+
+
+def test_rounds_end_when_they_find_few_links(spark, monkeypatch):
+    """Rounds that find one link each, after one with hundreds, give way to the exact step, which finds them all."""
+    real, turns = lsh_forest._candidates, []
+    late = [(1000 + 2 * p, 1001 + 2 * p) for p in range(8)]
+    rows = alike_texts(0, 90, 0, 300, 84) + [(i, f"l{i // 2} " * 3 + " ".join(f"l{i // 2}x{j}" for j in range(90))
+                                              + f" only{i}" * 2) for p in late for i in p]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {r["__cid"]: r["__doc"] for r in docs.selectExpr("doc_id __doc", "xxhash64(text) __th", "text __text").mapInArrow(
+        lsh_forest._describe(1, 24, (4, 6, 9)), "__doc long, __th long, __n long, __cid long, __keys array<long>").collect()}
+    classes = {d: c for c, d in ids.items()}
+
+    def slow(*args):
+        turn = args[4]
+        turns.append(turn)
+        if not turn:
+            found = [(r.a, r.b) for r in real(*args).collect() if ids[r.a] < 1000]
+        else:
+            found = [tuple(sorted(classes[i] for i in late[turn - 1]))] if turn <= len(late) else []
+        return spark.createDataFrame(found, "a long, b long")
+
+    monkeypatch.setattr(lsh_forest, "_candidates", slow)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs, k=1).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows} and len(turns) <= 5
+
+
 def alike_texts(shared, own, singles, pairs, pair_shared):
     """Texts of ``shared`` common words and ``own`` others, and pairs that have further words in common."""
     common = [f"c{j}" for j in range(shared)]
@@ -131,6 +169,15 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_star_steps_share_their_shuffles(spark):
+    """A small star step takes the large one before it twice, not three times."""
+    edges = spark.createDataFrame([(2, 1)], "u long, v long")
+    plan = _star(_star(edges, True), False)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 3
+    doubled = _star(spark.createDataFrame([(3, 1), (2, 1), (3, 2)], "u long, v long"), True)
+    assert {(r.u, r.v) for r in doubled.collect()} == {(2, 1), (3, 1)}
+
+
 def test_line_runs_merge_and_anti_join(spark):
     def batch(*docs):
         return line_dedup.eligible_lines(spark.createDataFrame(docs, "doc_id long, text string"), min_chars=3)
