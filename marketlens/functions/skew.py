@@ -46,3 +46,28 @@ def split_frequent(rows: DataFrame, key: str, frequent: int = FREQUENT) -> tuple
     keys = F.broadcast(counts.select("__key"))
     on = F.col(key).eqNullSafe(F.col("__key"))
     return rows.join(keys, on, "left_anti"), rows.join(keys, on, "left_semi")
+
+
+#: Slots of hashes in which keys are counted first.
+SLOTS = 1 << 16
+
+
+def frequent_values(rows: DataFrame, key: str, frequent: int = FREQUENT) -> list:
+    """The keys with ``frequent`` rows or more, at most one in ``frequent`` rows.
+
+    Rows are counted by a hash of their key first, which shuffles a bounded
+    list; only the keys of slots with that many rows are counted themselves.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    counts = rows.groupBy(slot.alias("__slot")).agg(F.count(F.lit(1)).alias("__rows"))
+    full = [r[0] for r in counts.where(F.col("__rows") >= frequent).collect()]
+    if not full:
+        return []
+    counts = rows.where(slot.isin(full)).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+    return [r[0] for r in counts.where(F.col("__rows") >= frequent).collect()]
+
+
+def among(key: str, values: list) -> Column:
+    """Whether ``key`` is one of ``values``; null is a key."""
+    found = F.coalesce(F.col(key).isin([v for v in values if v is not None]), F.lit(False))
+    return found | F.col(key).isNull() if None in values else found

@@ -73,7 +73,8 @@ def sum_name(measure: str, h: Horizon) -> str:
 
 def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | Mapping[str, Sequence[Horizon]],
                horizons: Sequence[Horizon], refs: DateLike | Iterable[DateLike], day: str = "day",
-               after: str | None = None, days_before: Sequence[Horizon] | None = None, by: Sequence[str] | None = None) -> DataFrame:
+               after: str | None = None, days_before: Sequence[Horizon] | None = None, by: Sequence[str] | None = None,
+               dealt: bool = False) -> DataFrame:
     """(dtRef, ``key``, ``measure_horizon``...): sums of whole-number measures at every date after a key's first fact.
 
     ``day`` is the fact's day: horizon h of date r holds days >= r - h.
@@ -81,7 +82,8 @@ def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | M
     ``day``, so a fact counts from the next day on).  Null measures add
     nothing; a sum without facts is 0.  A mapping gives a measure horizons of
     its own.  ``by``: columns of the key that the daily sums are dealt by, so
-    that an aggregate by these needs no other exchange.
+    that an aggregate by these needs no other exchange.  ``dealt``: the facts
+    come dealt by a column of the key and stay where they are.
     """
     spine, key = Spine.of(refs), list(key)
     wanted = dict(measures) if isinstance(measures, Mapping) else {m: horizons for m in measures}
@@ -99,26 +101,34 @@ def dated_sums(facts: DataFrame, key: Sequence[str], measures: Sequence[str] | M
             sums += [F.min(day).alias("first"), F.max(day).alias("last")]
             sums += [F.max(F.when(F.col(day) < F.date_sub(ref, h.days), F.col(day))).alias(f"before_{h.name}") for h in edges]
         found = facts.groupBy(*key).agg(*sums)
-        return (deal(found, *by) if by else found).select(ref.alias(REF), *key, *names, *ends)
+        return (deal(found, *by) if by and not dealt else found).select(ref.alias(REF), *key, *names, *ends)
     days = [day] if after == day else [day, after]
     if not ends:  # older days are alike at every date
         oldest = F.date_sub(F.lit(spine.dates[0]), max((h.days for own in wanted.values() for h in own if not h.lifetime), default=0) + 1)
         facts = facts.withColumns({c: F.greatest(F.col(c), oldest) for c in days})
-    daily = facts.groupBy(*key, *days).agg(*[F.sum(value(m)).cast("long").alias(m) for m in wanted])
     lengths = sorted({h.days for own in (*wanted.values(), edges) for h in own if not h.lifetime})
-    daily = deal(daily, *(by or key))  # into all partitions: a few bytes here are rows for many dates above
+    if dealt:  # to sum up days first would spare no exchange
+        daily = facts.select(*key, *days, *[value(m).cast("long").alias(m) for m in wanted])
+    else:
+        daily = facts.groupBy(*key, *days).agg(*[F.sum(value(m)).cast("long").alias(m) for m in wanted])
+        daily = deal(daily, *(by or key))  # into all partitions: a few bytes here are rows for many dates above
     # Numbers of the date at which a fact comes, and of those at which it goes from the horizons of each length.  It
     # never counts in horizons that it leaves before a date has seen it: those shorter than ``__least``.
     numbered = daily.select(*key, *wanted, *([day] if ends else []), spine.first_after(F.col(after)).cast("int").alias("__come"),
                             *[spine.first_after(F.date_add(day, n)).cast("int").alias(f"__go_{n}") for n in lengths])
     least = F.coalesce(*[F.when(F.col(f"__go_{n}") > F.col("__come"), n) for n in lengths], F.lit(1 << 30))
-    move = lambda number, length: F.struct(F.col(number).alias("__number"), F.lit(length).alias("__length"))
-    moves = F.array(move("__come", 0), *[move(f"__go_{n}", n) for n in lengths])
+    # A move is one whole number: that of the date, and 0 for a coming or the place of the length for a going.
+    kinds = len(lengths) + 1
+    moves = [F.col("__come") * kinds]
+    for i, n in enumerate(lengths, 1):
+        seen = F.lit(True) if ends else F.col("__least") <= n
+        moves.append(F.when(seen, F.col(f"__go_{n}") * kinds + i))
     events = numbered.select("*", least.alias("__least")).select(
-        *key, *wanted, *([day] if ends else []), "__least", F.inline(moves)).where(F.col("__number") < len(spine.dates))
+        *key, *wanted, *([day] if ends else []), "__least", F.explode(F.array(*moves)).alias("__move"))
+    events = events.where(F.col("__move") < len(spine.dates) * kinds).withColumns({
+        "__number": F.floor(F.col("__move") / kinds).cast("int"),
+        "__length": F.element_at(literal_array([0, *lengths], "int"), F.col("__move") % kinds + 1)}).drop("__move")
     comes, length = F.col("__length") == 0, F.col("__length")
-    if not ends:
-        events = events.where(comes | (length >= F.col("__least")))
     sign = {n: F.when(comes, (F.col("__least") <= n).cast("int")).when((length == n) & (F.col("__least") <= n), -1).otherwise(0)
             for n in lengths}
     events = events.select("*", comes.cast("int").alias("__sign_None"), *[c.alias(f"__sign_{n}") for n, c in sign.items()])

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every build relies on.  Time zone pinned so month truncation and
 # date arithmetic do not depend on the machine; AQE re-plans joins and
@@ -72,10 +73,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_scratch: dict[str, list[str]] = {}
+_scratch: dict[str, list[tuple[str, str | None]]] = {}
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", by: str | None = None):
     """Cut the lineage of a relation that many branches re-read.
 
     The rows are computed once and written as a Parquet table under the
@@ -84,23 +85,53 @@ def materialize(df, name: str = "stage"):
     (``Dataset.checkpoint`` would compute the plan twice -- once to count,
     once to write -- and store row objects instead of columns.)
 
+    ``by``: the rows come dealt by this column into all shuffle partitions
+    (:func:`marketlens.functions.skew.deal`) and are kept so, in a bucketed
+    table: what groups or joins them by it later needs no exchange.
+
     The table stays until :func:`release_scratch`; the snapshot writers, whose
     results no longer need it, release theirs (:func:`scratch_of`).
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/marketlens/{name}-{uuid.uuid4().hex}"
-    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    key = f"{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/marketlens/{key}"
+    table = f"marketlens_{key.replace('-', '_')}" if by else None
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append((path, table))
+    if not table:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, by).saveAsTable(table)
+    return spark.table(table)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have the files deleted that finished jobs shuffled; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def release_scratch(spark: SparkSession, since: int = 0) -> None:
     """Delete the tables that ``materialize`` wrote in this session (from the ``since``-th on); frames on them end."""
-    paths = _scratch.get(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while len(paths) > since:
-        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
-        path.getFileSystem(conf).delete(path, True)
+    found = _scratch.get(spark.sparkContext.applicationId, [])
+    while len(found) > since:
+        _delete(spark, *found.pop())
+
+
+def release(df: DataFrame) -> None:
+    """Delete the tables that ``df`` reads of those that ``materialize`` wrote in this session."""
+    files = df.inputFiles()
+    found = _scratch.get(df.sparkSession.sparkContext.applicationId, [])
+    for one in [x for x in found if any(f"/{x[0].rpartition('/')[2]}/" in f for f in files)]:
+        found.remove(one)
+        _delete(df.sparkSession, *one)
+
+
+def _delete(spark: SparkSession, path: str, table: str | None) -> None:
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @contextmanager
