@@ -43,7 +43,8 @@ class Group:
 
     ``label`` turns a reference date into a value of that column; ``whole``
     says that one build has all snapshots up to the last date, ``ranged`` that
-    its rows come dealt in ranges of the seller.
+    its rows come dealt in ranges of the seller, ``stored`` that they are dear
+    to make: a write in ranges reads them twice, so they are stored first.
     """
 
     build: MultiBuilder
@@ -51,6 +52,7 @@ class Group:
     label: Callable[[DateLike], object] = lambda d: snapshot_dates(d)[0]
     whole: bool = False
     ranged: bool = False
+    stored: bool = False
 
 
 def _one_a_month(build: MultiBuilder) -> MultiBuilder:
@@ -63,7 +65,7 @@ def _one_a_month(build: MultiBuilder) -> MultiBuilder:
 
 
 GROUPS: dict[str, Group] = {
-    "products": Group(products.products_snapshot),
+    "products": Group(products.products_snapshot, stored=True),
     "reputation": Group(reputation.reputation_snapshot),
     "customers": Group(_one_a_month(customers.customers_snapshot), "dtSafra",
                        lambda d: snapshot_dates(d)[0].replace(day=1)),
@@ -149,6 +151,7 @@ def write_group(group: str, mk: Marketplace, dates: Iterable[DateLike], path: st
     g = GROUPS[group]
     with scratch_of(mk.orders.sparkSession):  # what the build writes on its way goes when the snapshots are written
         df = g.build(mk, list(snapshot_dates(list(dates))))
+        df = materialize(df, group) if g.stored else df
         if g.whole:
             overwrite_table(df, path=path, table=table, ranged=g.ranged)
         else:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketlens import session
 from marketlens.functions.skew import among, deal, frequent_values
 from marketlens.operators import products as P
+from marketlens.plans import snapshots as S
 from tests.test_rewrites_and_plans import physical
 
 DATES = [dt.date(1999, 11, 1), dt.date(1999, 12, 1), dt.date(2000, 1, 1)]
@@ -49,6 +50,24 @@ def test_the_build_stays_dealt_by_seller(spark, mk_small, monkeypatch):
         assert "Exchange" not in physical(build(kept["seller_sales"], DATES, dealt=True))
 
 
+def test_percentiles_share_their_aggregate_with_no_money(spark, mk_small):
+    """Only items and products are summed by weight, money and volume by seller; the extremes are those of the sales."""
+    sales = P.product_sales(mk_small, DATES, [])
+    assert not {"price_Vida", "freight_Vida", "vsum_Vida"} & set(P.weight_histogram(sales, DATES).columns)
+    got = P.item_metrics(sales, P.money_scales(mk_small), DATES).where(F.col("dtRef") == F.lit(DATES[-1]))
+    want = sales.groupBy("seller_id").agg(F.min("weight_g") / 1000, F.max("weight_g") / 1000)
+    cols = ["seller_id", "vlMinPesoProdutoVida", "vlMaxPesoProdutoVida"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_written_snapshot_is_made_once(spark, mk_small, monkeypatch, tmp_path):
+    """The ranges of a write are found in the stored rows, not in the plan that makes them."""
+    seen = []
+    monkeypatch.setattr(S, "publish", lambda df, *a, **b: seen.append(physical(df)))
+    S.write_group("products", mk_small, DATES[-1:], path=str(tmp_path / "t"))
+    assert len(seen) == 1 and "Join" not in seen[0] and "Aggregate" not in seen[0]
+
+
 def test_keys_of_very_many_items_change_nothing(spark, mk_small):
     want = sorted(map(str, P.products_snapshot(mk_small, DATES).collect()))
     counts = [r[0] for r in mk_small.items.groupBy("seller_id").count().select("count").collect()]
