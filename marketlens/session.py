@@ -7,8 +7,9 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every build relies on.  Time zone pinned so month truncation and
@@ -106,9 +107,16 @@ def materialize(df, name: str = "stage", by: str | None = None):
 
 
 def drop_shuffles(spark: SparkSession) -> None:
-    """Have the files deleted that finished jobs shuffled; else they stay until the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have the files deleted that finished jobs shuffled; else they stay until the driver happens to collect its garbage.
+
+    Spark deletes them when nothing on the driver refers to the job's plan any
+    more; the events of a finished job do until its listeners have read them.
+    """
+    with suppress(Py4JError):  # listeners that take longer keep the files a little longer
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def release_scratch(spark: SparkSession, since: int = 0) -> None:

@@ -102,3 +102,21 @@ def test_tables_kept_dealt_need_no_exchange(spark):
     assert "Exchange" not in physical(df) and df.count() == 100
     session.release(kept)
     assert not [x for x in session._scratch[spark.sparkContext.applicationId] if "kept-" in x[0]]
+
+
+def test_what_was_shuffled_goes_with_its_job(spark):
+    import os
+    import time
+
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(f.startswith("shuffle_") for d in manager.localDirsString() for _, _, names in os.walk(d) for f in names)
+
+    session.drop_shuffles(spark)
+    time.sleep(1)
+    before = files()
+    session.materialize(deal(spark.range(1000), "id").groupBy("id").count(), "shuffled")
+    assert files() > before
+    session.drop_shuffles(spark)
+    time.sleep(1)
+    assert files() <= before
